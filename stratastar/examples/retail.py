@@ -17,7 +17,7 @@ from stratastar.plans.gold import dimension, fact
 from stratastar.plans.semantic import Measure, Model, Relationship
 from stratastar.plans.silver import silver_table
 from stratastar.plans.specs import DimensionSpec, FactSpec, SilverSpec
-from stratastar.session import materialise
+from stratastar.session import materialise_all
 
 ORDER_TEXT = {
     "order_id": "cast(o_orderkey as string)",
@@ -150,13 +150,14 @@ def reference_table(t: Tables, name: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in df.columns if c.endswith("key")})
 
 
-def star_dimensions(t: Tables) -> dict[str, DataFrame]:
-    """Dimensions in dependency order, each stored once for all its consumers."""
-    built: dict[str, DataFrame] = {}
-    for spec in (REGION, NATION, CUSTOMER, SUPPLIER, PART):
-        rows = dimension(reference_table(t, spec.source), spec, built, latest=False)
-        built[spec.name] = materialise(rows, spec.name)
-    return built
+MASTERS = {spec.name: spec for spec in (REGION, NATION, CUSTOMER, SUPPLIER, PART)}
+
+
+def master_dimension(t: Tables, name: str) -> DataFrame:
+    """One dimension with its parents inside its own plan."""
+    spec = MASTERS[name]
+    parents = {p.dimension: master_dimension(t, p.dimension) for p in spec.parents}
+    return dimension(reference_table(t, spec.source), spec, parents, latest=False)
 
 
 def dim_status(t: Tables) -> DataFrame:
@@ -204,28 +205,37 @@ MEASURES = (
 )
 
 
-def retail_model(t: Tables) -> Model:
-    dims = star_dimensions(t)
-    dims["dim_statut"] = materialise(dim_status(t), "dim_statut")
-    dims["dim_date"] = materialise(dim_date(t), "dim_date")
-    facts = {
-        "fact_order": fact(silver_orders(t), FACT_ORDER, dims),
-        "fact_line": fact(silver_lines(t), FACT_LINE, dims),
-        "fact_target": fact_target(t),
-    }
-    dims["dim_customer"] = dims["dim_customer"].withColumn("balance", F.col("c_acctbal").cast("decimal(18,2)"))
-    edges = [
-        Relationship("fact_order", "customer_key", "dim_customer", "customer_key"),
-        Relationship("fact_order", "date_order_key", "dim_date", "date_key"),
-        Relationship("fact_order", "statut_key", "dim_statut", "statut_key"),
-        Relationship("fact_line", "part_key", "dim_part", "part_key"),
-        Relationship("fact_line", "supplier_key", "dim_supplier", "supplier_key"),
-        Relationship("fact_line", "date_ship_key", "dim_date", "date_key"),
-        Relationship("fact_line", "statut_key", "dim_statut", "statut_key"),
-        Relationship("fact_target", "date_target_key", "dim_date", "date_key"),
-        Relationship("fact_target", "statut_key", "dim_statut", "statut_key"),
-    ]
-    return Model({**dims, **facts}, edges, {m.name: m for m in MEASURES})
+EDGES = (
+    Relationship("fact_order", "customer_key", "dim_customer", "customer_key"),
+    Relationship("fact_order", "date_order_key", "dim_date", "date_key"),
+    Relationship("fact_order", "statut_key", "dim_statut", "statut_key"),
+    Relationship("fact_line", "part_key", "dim_part", "part_key"),
+    Relationship("fact_line", "supplier_key", "dim_supplier", "supplier_key"),
+    Relationship("fact_line", "date_ship_key", "dim_date", "date_key"),
+    Relationship("fact_line", "statut_key", "dim_statut", "statut_key"),
+    Relationship("fact_target", "date_target_key", "dim_date", "date_key"),
+    Relationship("fact_target", "statut_key", "dim_statut", "statut_key"),
+)
+
+
+def star_dimensions(t: Tables, *facts: str) -> dict[str, DataFrame]:
+    """Every dimension that the facts point at, each stored once for all its consumers."""
+    names = dict.fromkeys(e.dimension for e in EDGES if e.table in facts)
+    build = {"dim_statut": dim_status, "dim_date": dim_date}
+    return materialise_all({n: build[n](t) if n in build else master_dimension(t, n) for n in names})
+
+
+def retail_model(t: Tables, *facts: str) -> Model:
+    tables = star_dimensions(t, *facts)
+    if "fact_order" in facts:
+        tables["fact_order"] = fact(silver_orders(t), FACT_ORDER, tables)
+    if "fact_line" in facts:
+        tables["fact_line"] = fact(silver_lines(t), FACT_LINE, tables)
+    if "fact_target" in facts:
+        tables["fact_target"] = fact_target(t)
+    if "dim_customer" in tables:
+        tables["dim_customer"] = tables["dim_customer"].withColumn("balance", F.col("c_acctbal").cast("decimal(18,2)"))
+    return Model(tables, EDGES, {m.name: m for m in MEASURES})
 
 
 # The same star in SQL.

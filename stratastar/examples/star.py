@@ -9,7 +9,7 @@ from stratastar import operators as op
 from stratastar.examples import retail
 from stratastar.examples.columns import CALENDAR_SQL, LOAD_TIME, RATE_SQL
 from stratastar.examples.registry import Tables, query
-from stratastar.plans.gold import dimension, fact
+from stratastar.plans.gold import dimension
 from stratastar.plans.semantic import measure_query, propagate, related
 from stratastar.session import materialise
 from stratastar.sources import bronze
@@ -38,26 +38,19 @@ def _(t: Tables):
     f"WITH {retail.DIM_CUSTOMER_SQL} SELECT * FROM dim_customer",
 )
 def _(t: Tables):
-    return retail.star_dimensions(t)["dim_customer"]
+    return retail.master_dimension(t, "dim_customer")
 
 
 @query("j2_star_fact", f"{STAR} SELECT * FROM fact_line")
 def _(t: Tables):
-    dims = retail.star_dimensions(t)
-    dims["dim_statut"] = materialise(retail.dim_status(t), "dim_statut")
-    return fact(retail.silver_lines(t), retail.FACT_LINE, dims)
+    return retail.retail_model(t, "fact_line").tables["fact_line"]
 
 
 @query("j3_status_lookup", f"{STAR} SELECT order_id, status, statut_key FROM fact_order")
 def _(t: Tables):
-    dims = {
-        "dim_customer": dimension(retail.reference_table(t, "customer").drop("c_nationkey"), retail_customer_alone, {}, latest=False),
-        "dim_statut": materialise(retail.dim_status(t), "dim_statut"),
-    }
-    return fact(retail.silver_orders(t), retail.FACT_ORDER, dims).select("order_id", "status", "statut_key")
-
-
-retail_customer_alone = retail.DimensionSpec("dim_customer", "customer", "c_custkey", "customer_key")
+    statuses = materialise(retail.dim_status(t), "dim_statut")
+    orders = retail.silver_orders(t).where(~F.col("is_deleted"))
+    return op.status_lookup(orders, statuses, "ORDER", "status", spread_by=["order_id"]).select("order_id", "status", "statut_key")
 
 
 @query(
@@ -111,7 +104,7 @@ def _(t: Tables):
     f"""{STAR} SELECT order_id, amount, c_name, c_mktsegment FROM fact_order JOIN dim_customer USING (customer_key)""",
 )
 def _(t: Tables):
-    model = retail.retail_model(t)
+    model = retail.retail_model(t, "fact_order")
     return related(model, "fact_order", "dim_customer", ["c_name", "c_mktsegment"]).select(
         "order_id", "amount", "c_name", "c_mktsegment"
     )
@@ -124,7 +117,7 @@ def _(t: Tables):
         AND date_order_key // 10000 = 1997""",
 )
 def _(t: Tables):
-    model = retail.retail_model(t)
+    model = retail.retail_model(t, "fact_order")
     filters = {
         "dim_customer": model.tables["dim_customer"].where("c_mktsegment = 'BUILDING'"),
         "dim_date": model.tables["dim_date"].where("annee = 1997"),
@@ -146,7 +139,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     names = ["revenue", "n_orders", "shipped", "n_lines", "target", "attainment"]
-    return measure_query(retail.retail_model(t), names, [("dim_date", "annee"), ("dim_statut", "statut_value")])
+    return measure_query(retail.retail_model(t, "fact_order", "fact_line", "fact_target"), names, [("dim_date", "annee"), ("dim_statut", "statut_value")])
 
 
 # Aggregates
@@ -226,33 +219,33 @@ def by_segment(columns: str) -> str:
 
 @query("a8_sum", by_segment("sum(amount) AS revenue, count(*) AS n_orders"))
 def _(t: Tables):
-    return measure_query(retail.retail_model(t), ["revenue", "n_orders"], BY_SEGMENT)
+    return measure_query(retail.retail_model(t, "fact_order"), ["revenue", "n_orders"], BY_SEGMENT)
 
 
 @query("a8_count", f"{STAR} SELECT part_id, count(*) AS n_lines FROM (SELECT p_type AS part_id FROM fact_line JOIN part ON CAST(p_partkey AS VARCHAR) = fact_line.part_id) GROUP BY ALL")
 def _(t: Tables):
-    counts = measure_query(retail.retail_model(t), ["n_lines"], [("dim_part", "p_type")])
+    counts = measure_query(retail.retail_model(t, "fact_line"), ["n_lines"], [("dim_part", "p_type")])
     return counts.withColumnRenamed("p_type", "part_id")
 
 
 @query("a8_distinct", "SELECT c_mktsegment, count(DISTINCT c_custkey) AS n_customers FROM customer GROUP BY ALL UNION ALL SELECT 'INCONNU', 1")
 def _(t: Tables):
-    return measure_query(retail.retail_model(t), ["n_customers"], [("dim_customer", "c_mktsegment")])
+    return measure_query(retail.retail_model(t, "fact_order"), ["n_customers"], [("dim_customer", "c_mktsegment")])
 
 
 @query("a8_avg", by_segment("CAST(sum(amount) AS DOUBLE) / count(amount) AS mean_order"))
 def _(t: Tables):
-    return measure_query(retail.retail_model(t), ["mean_order"], BY_SEGMENT)
+    return measure_query(retail.retail_model(t, "fact_order"), ["mean_order"], BY_SEGMENT)
 
 
 @query("a8_ratio", by_segment("CAST(sum(amount) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS order_value"))
 def _(t: Tables):
-    return measure_query(retail.retail_model(t), ["order_value"], BY_SEGMENT)
+    return measure_query(retail.retail_model(t, "fact_order"), ["order_value"], BY_SEGMENT)
 
 
 @query("a8_filtered_count", by_segment("nullif(count(*) FILTER (customer_key = sha256('__UNKNOWN__')), 0) AS n_unknown_customer"))
 def _(t: Tables):
-    return measure_query(retail.retail_model(t), ["n_unknown_customer"], BY_SEGMENT)
+    return measure_query(retail.retail_model(t, "fact_order"), ["n_unknown_customer"], BY_SEGMENT)
 
 
 @query(
@@ -262,7 +255,7 @@ def _(t: Tables):
         FROM fact_order GROUP BY ALL""",
 )
 def _(t: Tables):
-    return measure_query(retail.retail_model(t), ["revenue", "n_customers", "mean_balance"], [("dim_date", "annee")])
+    return measure_query(retail.retail_model(t, "fact_order"), ["revenue", "n_customers", "mean_balance"], [("dim_date", "annee")])
 
 
 STOCK_STATUS = "case when p_size <= 20 then 'EN_COMMERCIALISATION' when p_size <= 40 then 'COMMERCIALISE' else 'LIVRE' end"
@@ -358,13 +351,13 @@ def _(t: Tables):
 
 @query(
     "w3_latest_nulls_win",
-    """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY at DESC NULLS FIRST, event_id) AS rn
-       FROM (SELECT user_id, event_id, CASE WHEN event_type <> 'error' OR value < 100 THEN ts END AS at FROM events)) WHERE rn = 1""",
+    """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY seen_at DESC NULLS FIRST, event_id) AS rn
+       FROM (SELECT user_id, event_id, CASE WHEN event_type <> 'error' OR value < 100 THEN ts END AS seen_at FROM events)) WHERE rn = 1""",
 )
 def _(t: Tables):
     text = F.when((F.col("event_type") != "error") | (F.col("value") < 100), F.col("ts").cast("string")).otherwise("n/a")
-    rows = t.events.select("user_id", "event_id", fn.to_timestamp(text).alias("at"))
-    return op.latest_version(rows, ["user_id"], ["at"], nulls="first")
+    rows = t.events.select("user_id", "event_id", fn.to_timestamp(text).alias("seen_at"))
+    return op.latest_version(rows, ["user_id"], ["seen_at"], nulls="first")
 
 
 @query(
@@ -426,7 +419,7 @@ QUALITY = (
                n AS records_checked, failed AS records_failed, {RATE_SQL} FROM c""",
 )
 def _(t: Tables):
-    tables = retail.retail_model(t).tables
+    tables = retail.retail_model(t, "fact_order", "fact_line").tables
     orders = tables["fact_order"].withColumn("margin", F.col("amount") - 20000)
     return op.quality_log({"fact_order": orders, "fact_line": tables["fact_line"]}, QUALITY, F.lit(LOAD_TIME).cast("timestamp_ntz"))
 

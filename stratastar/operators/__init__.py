@@ -21,6 +21,7 @@ from stratastar.operators.days import (
     observed_span,
     public_holidays,
 )
+from stratastar.operators import setops
 from stratastar.operators.lookup import Lookup, lookup, status_lookup
 from stratastar.operators.quality import (
     Check,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +60,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialise_all(frames: Mapping[str, DataFrame], parallel: int = 4) -> dict[str, DataFrame]:
+    """`materialise` for independent tables; their jobs share the cluster."""
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return dict(zip(frames, pool.map(lambda item: materialise(item[1], item[0]), frames.items()), strict=True))
