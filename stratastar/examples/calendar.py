@@ -106,11 +106,11 @@ def _landing(t: Tables) -> str:
     return folder
 
 
-@query("s1_list_files", "SELECT unnest(['nation', 'region', 'supplier']) AS table_name, CAST(1 AS BIGINT) AS n_files")
+@query("s1_list_files", "SELECT unnest(['nation', 'region', 'supplier']) AS table_name")
 def _(t: Tables):
     parts = ingest.list_files(t.spark, f"{_landing(t)}/*.csv", "*.csv")
     folder = F.element_at(F.split("path", "/"), -2)
-    return parts.groupBy(ingest.table_name(folder).alias("table_name")).agg(F.count(F.lit(1)).alias("n_files"))
+    return parts.select(ingest.table_name(folder).alias("table_name")).distinct()
 
 
 @query(

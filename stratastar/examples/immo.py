@@ -1,0 +1,548 @@
+"""The full property-investment model, from source versions to measures.
+
+The given tables supply the rows and their numbers; every source column is an
+expression over a row number `k`, by the kind of the column. Both engines read the
+same expressions. They include unreadable texts, missing and orphaned keys, deleted
+rows, several versions per key, and one client and one agency that hold a third of
+all references.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from stratastar.examples.columns import CALENDAR_SQL, LOAD_TIME, RATE_SQL
+from stratastar.examples.registry import Tables, query
+from stratastar.functions.keys import NULL_TOKEN
+from stratastar.operators import domain_values, freshness, observed_dates, quality_log
+from stratastar.plans import catalogue, pipeline
+from stratastar.plans.gold import dimension, fact
+from stratastar.plans.security import ROLES, access_table, user_grants, visible
+from stratastar.plans.semantic import measure_query
+from stratastar.plans.silver import silver_table
+from stratastar.session import materialise, materialise_all
+
+# Source table: (given table, its row number, versions per key).
+ORIGINS = {
+    "agences_regions": ("supplier", "s_suppkey", 4),
+    "conseillers": ("supplier", "s_suppkey", 2),
+    "partenaires_patrimoine": ("customer", "c_custkey", 5),
+    "produits_investissement": ("part", "p_partkey", 10),
+    "programmes_immobiliers": ("part", "p_partkey", 4),
+    "lots_immobiliers": ("orders", "o_orderkey", 3),
+    "crm_investisseurs": ("customer", "c_custkey", 2),
+    "crm_prospects": ("customer", "c_custkey", 2),
+    "security_user_access": ("customer", "c_custkey", 1),
+    "objectifs_commerciaux": ("customer", "c_custkey", 1),
+    "evenements_clients": ("events", "event_id", 1),
+}
+DEFAULT_ORIGIN = ("orders", "o_orderkey", 2)
+
+# Reference range per key stem; somewhat more than there are keys at the smallest scale.
+RANGES = {"agence": 30, "conseiller": 60, "partenaire": 330, "produit": 220, "programme": 550, "lot": 5500, "investisseur": 800}
+HOT = ("investisseur", "agence")
+
+
+def _pick(values: list[str | None], shift: int) -> str:
+    arms = " ".join(f"when {n} then '{v}'" for n, v in enumerate(values) if v is not None)
+    return f"case (k + {shift}) % {len(values)} {arms} end"
+
+
+def _day(shift: int) -> str:
+    return f"cast(date '2024-01-01' + cast((k * 3 + {shift * 11}) % 700 as int) as string)"
+
+
+def _reference(stem: str, shift: int) -> str:
+    target = f"concat('{stem.upper()}-', cast((k * 7 + {shift}) % {RANGES.get(stem, 97)} as string))"
+    hot = f"when k % 3 = 0 then '{stem.upper()}-1' " if stem in HOT else ""
+    return f"case when (k + {shift}) % 11 = 0 then null when (k + {shift}) % 17 = 0 then 'X' {hot}else {target} end"
+
+
+def source_columns(name: str) -> dict[str, str]:
+    """Column to expression over `k`, for one source table."""
+    spec = catalogue.SILVER[name]
+    versions = ORIGINS.get(name, DEFAULT_ORIGIN)[2]
+    columns: dict[str, str] = {}
+    for shift, (column, kind) in enumerate(spec.columns.items()):
+        stem = column.removesuffix("_id")
+        if column == spec.key:
+            text = f"concat('{stem.upper()}-', cast(cast(floor(k / {versions}) as bigint) as string))"
+        elif kind == "id":
+            text = _reference(stem, shift)
+        elif column == spec.version_order[0]:
+            text = "case when k % 23 = 0 then 'n/a' else concat(cast(date '2024-06-01' + cast(k % 400 as int) as string), ' 08:30:00') end"
+        elif kind == "timestamp":
+            text = f"concat({_day(shift)}, ' 10:00:00')"
+        elif column == "is_deleted":
+            text = "case when k % 7 = 0 then ' OUI' when k % 7 = 1 then null else '0' end"
+        elif column == "is_active":
+            text = "case when k % 7 = 0 then 'non' else 'Yes ' end"
+        elif kind == "flag":
+            text = _pick(["1", "0", "oui", "non", None, "a, b"], shift)
+        elif column == "annee":
+            text = _pick(["2024", "2025", "x"], shift)
+        elif column == "mois":
+            text = "cast(k % 14 as string)"
+        elif column == "access_level":
+            text = _pick(["scope", " Scope ", "agence", "region", "scope", "scope", "all", "scope", "scope", "adv ", "scope"], shift)
+        elif column == "user_email":
+            text = "case when k % 19 = 0 then ' ' else concat('User', cast(k % 211 as string), '@Example.com ') end"
+        elif kind == "date":
+            text = f"case (k + {shift}) % 6 when 0 then '' when 1 then 'n/a' else {_day(shift)} end"
+        elif kind == "int":
+            text = f"case (k + {shift}) % 8 when 0 then 'x' when 1 then '7.0' else cast((k * {shift + 1}) % 400 as string) end"
+        elif kind == "code":
+            text = _pick(["disponible", " Refuse ", "EN_COURS", None, "Valide"], shift)
+        elif kind == "lower":
+            text = "concat(' Mail', cast(k as string), '@Example.COM ')"
+        elif kind == "text":
+            text = f"case (k + {shift}) % 5 when 0 then null when 1 then '' else concat(' {column} ', cast(k % 13 as string)) end"
+        elif kind == "18,2":
+            text = (
+                f"case (k + {shift}) % 9 when 0 then '' when 1 then '-12.5' when 2 then '1e3' "
+                f"else concat(cast((k * 37 + {shift}) % 100000 as string), '.', cast(100 + k % 900 as string)) end"
+            )
+        else:
+            text = f"case (k + {shift}) % 9 when 0 then 'n/a' else concat('0.0', cast(10 + (k * 7 + {shift}) % 90 as string), '5') end"
+        columns[column] = text
+    return columns
+
+
+class Immo:
+    """The layers over one set of given tables; nothing runs until a result is asked for."""
+
+    def __init__(self, t: Tables) -> None:
+        self.t = t
+
+    def bronze(self, name: str) -> DataFrame:
+        table, key, _ = ORIGINS.get(name, DEFAULT_ORIGIN)
+        rows = getattr(self.t, table).select(F.col(key).cast("long").alias("k"))
+        return rows.select(*[F.expr(text).alias(column) for column, text in source_columns(name).items()])
+
+    def silver(self, name: str) -> DataFrame:
+        return silver_table(self.bronze(name), catalogue.SILVER[name])
+
+    def dimensions(self, *names: str) -> dict[str, DataFrame]:
+        """The dimensions and their parents, stored in dependency order, independent ones together."""
+        specs = catalogue.DIMENSIONS
+        wanted: set[str] = set()
+        pending = [n for n in names if n in specs]
+        while pending:
+            name = pending.pop()
+            if name not in wanted:
+                wanted.add(name)
+                pending += [p.dimension for p in specs[name].parents]
+        built: dict[str, DataFrame] = {}
+        while wanted - set(built):
+            ready = [n for n in specs if n in wanted - set(built) and all(p.dimension in built for p in specs[n].parents)]
+            built |= materialise_all({n: dimension(self.silver(specs[n].source), specs[n], built, latest=False) for n in ready})
+        return built
+
+    def statuses(self, *domains: str) -> DataFrame:
+        sources = catalogue.STATUS_DOMAINS
+        return domain_values({d: (self.silver(sources[d][0]), sources[d][1]) for d in domains or sources})
+
+    def fact(self, name: str, dimensions: dict[str, DataFrame] | None = None) -> DataFrame:
+        spec = catalogue.FACTS[name]
+        dims = dict(dimensions) if dimensions else self.dimensions(*[target.dimension for target in spec.lookups])
+        if spec.status and "dim_statut" not in dims:
+            dims["dim_statut"] = materialise(self.statuses(spec.status[0]), "dim_statut")
+        return fact(self.silver(spec.source), spec, dims)
+
+    def facts(self, *names: str) -> dict[str, DataFrame]:
+        specs = [catalogue.FACTS[n] for n in names]
+        dims = self.dimensions(*[target.dimension for spec in specs for target in spec.lookups])
+        dims["dim_statut"] = materialise(self.statuses(*[spec.status[0] for spec in specs if spec.status]), "dim_statut")
+        return {**dims, **{spec.name: self.fact(spec.name, dims) for spec in specs}}
+
+
+# The same layers in SQL.
+
+_CASTS = {
+    "id": "substr({c}, 1, 50)",
+    "text": "trim({c})",
+    "code": "upper(trim({c}))",
+    "lower": "lower(trim({c}))",
+    "date": "TRY_CAST({c} AS DATE)",
+    "timestamp": "TRY_CAST({c} AS TIMESTAMP)",
+    "int": "CASE WHEN regexp_full_match(trim({c}), '[+-]?[0-9]+') THEN TRY_CAST({c} AS INTEGER) END",
+    "flag": "coalesce(lower(trim({c})) IN ('1', 'true', 'oui', 'yes'), false)",
+}
+UNKNOWN_SQL = "sha256('__UNKNOWN__')"
+
+
+def silver_sql(name: str, dedup: bool = True) -> str:
+    spec = catalogue.SILVER[name]
+    table, key, _ = ORIGINS.get(name, DEFAULT_ORIGIN)
+    raw = ", ".join(f"{text} AS {column}" for column, text in source_columns(name).items())
+    typed = ", ".join(f"{_CASTS.get(k, 'TRY_CAST({c} AS DECIMAL(' + k + '))').format(c=c)} AS {c}" for c, k in spec.columns.items())
+    rows = f"SELECT {typed} FROM (SELECT {raw} FROM (SELECT CAST({key} AS BIGINT) AS k FROM {table}))"
+    if not dedup:
+        return rows
+    first, second = spec.version_order
+    return (
+        f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {spec.key} "
+        f"ORDER BY {first} DESC NULLS LAST, {second} DESC NULLS LAST) AS rn FROM ({rows})) WHERE rn = 1"
+    )
+
+
+def _found(stem: str, source: str, row: str) -> str:
+    """Key of the member that `row` refers to: its hash if the member exists, else the unknown key."""
+    alive = " AND NOT is_deleted" if catalogue.SILVER[source].deleted else ""
+    members = f"SELECT {stem}_id FROM s_{source} WHERE {stem}_id IS NOT NULL{alive}"
+    return f"CASE WHEN {row}.{stem}_id IN ({members}) THEN sha256({row}.{stem}_id) ELSE {UNKNOWN_SQL} END"
+
+
+def _with(*sources: str) -> str:
+    return "WITH " + ", ".join(f"s_{name} AS ({silver_sql(name)})" for name in dict.fromkeys(sources))
+
+
+def _sources(name: str) -> list[str]:
+    """Silver tables behind a gold table."""
+    spec = catalogue.DIMENSIONS.get(name) or catalogue.FACTS[name]
+    targets = spec.parents if name in catalogue.DIMENSIONS else spec.lookups
+    return [spec.source, *[catalogue.DIMENSIONS[target.dimension].source for target in targets]]
+
+
+def dimension_rows_sql(name: str) -> str:
+    spec = catalogue.DIMENSIONS[name]
+    columns = [f"sha256(f.{spec.natural_key}) AS {spec.key}", "f.*"]
+    unknown = {spec.key: UNKNOWN_SQL, spec.natural_key: "'__UNKNOWN__'"}
+    for parent in spec.parents:
+        stem = parent.natural_key.removesuffix("_id")
+        columns.append(f"{_found(stem, catalogue.DIMENSIONS[parent.dimension].source, 'f')} AS {parent.key}")
+        unknown |= {parent.key: UNKNOWN_SQL, parent.foreign_key: "'__UNKNOWN__'"}
+    if spec.full_name:
+        new, first, last = spec.full_name
+        columns.append(f"substr(coalesce(f.{first}, '') || ' ' || coalesce(f.{last}, ''), 1, 255) AS {new}")
+    unknown |= {c: f"'{v}'" if isinstance(v, str) else str(v).lower() for c, v in spec.unknown.items()}
+    alive = " AND NOT f.is_deleted" if spec.deleted else ""
+    known = f"SELECT {', '.join(columns)} FROM s_{spec.source} f WHERE f.{spec.natural_key} IS NOT NULL{alive}"
+    member = "SELECT " + ", ".join(f"{value} AS {column}" for column, value in unknown.items())
+    return f"{known} UNION ALL BY NAME {member}"
+
+
+def fact_rows_sql(name: str) -> str:
+    spec = catalogue.FACTS[name]
+    columns = [f"sha256(f.{spec.natural_key}) AS {spec.key}"]
+    for column, kind in catalogue.SILVER[spec.source].columns.items():
+        if kind == "date":
+            columns.append(f"CAST(strftime(f.{column}, '%Y%m%d') AS INTEGER) AS {column}_key")
+        elif column != "is_deleted" and column not in spec.drop:
+            columns.append(f"f.{column}")
+    for target in spec.lookups:
+        stem = target.natural_key.removesuffix("_id")
+        columns.append(f"{_found(stem, catalogue.DIMENSIONS[target.dimension].source, 'f')} AS {target.key}")
+    if spec.status:
+        domain, status = spec.status
+        columns.append(f"sha256('{domain}-' || coalesce(upper(trim(f.{status})), '__UNKNOWN__')) AS statut_key")
+    if name == "fact_objectif_commercial":
+        null = NULL_TOKEN
+        columns.append("CASE WHEN f.mois BETWEEN 1 AND 12 THEN CAST(f.annee * 10000 + f.mois * 100 + 1 AS INTEGER) END AS date_objectif_key")
+        columns.append(f"sha256(coalesce(f.famille_produit, '{null}') || '-' || coalesce(f.type_produit, '{null}')) AS produit_objectif_key")
+    alive = "NOT f.is_deleted" if catalogue.SILVER[spec.source].deleted else "f.is_active"
+    return f"SELECT {', '.join(columns)} FROM s_{spec.source} f WHERE {alive}"
+
+
+for _name in catalogue.SILVER:
+
+    @query(f"silver_{_name}", silver_sql(_name))
+    def _(t: Tables, name=_name):
+        return Immo(t).silver(name)
+
+
+@query("silver_all_versions", silver_sql("ventes_immobilieres", dedup=False))
+def _(t: Tables):
+    return silver_table(Immo(t).bronze("ventes_immobilieres"), catalogue.SILVER["ventes_immobilieres"], dedup=False)
+
+
+for _name in catalogue.DIMENSIONS:
+
+    @query(_name, f"{_with(*_sources(_name))} {dimension_rows_sql(_name)}")
+    def _(t: Tables, name=_name):
+        return Immo(t).dimensions(name)[name]
+
+
+for _name in catalogue.FACTS:
+
+    @query(_name, f"{_with(*_sources(_name))} {fact_rows_sql(_name)}")
+    def _(t: Tables, name=_name):
+        return Immo(t).fact(name)
+
+
+def _days_sql() -> str:
+    parts = []
+    for spec in catalogue.FACTS.values():
+        days = [c for c, k in catalogue.SILVER[spec.source].columns.items() if k == "date"]
+        parts += [f"SELECT {d} AS d FROM s_{spec.source}" for d in days]
+    parts.append("SELECT CAST(make_date(CAST(annee AS BIGINT), CAST(mois AS BIGINT), 1) AS DATE) FROM s_objectifs_commerciaux WHERE annee IS NOT NULL AND mois BETWEEN 1 AND 12")
+    return " UNION ".join(parts)
+
+
+_ALL_FACT_SOURCES = [spec.source for spec in catalogue.FACTS.values()]
+
+
+@query("dim_date", f"{_with(*_ALL_FACT_SOURCES)} SELECT {CALENDAR_SQL} FROM ({_days_sql()}) WHERE d IS NOT NULL")
+def _(t: Tables):
+    model = Immo(t)
+    silver = materialise_all({name: model.silver(name) for name in dict.fromkeys(_ALL_FACT_SOURCES)})
+    return pipeline.build_dimensions(silver, only={"dim_date"})["dim_date"]
+
+
+@query(
+    "dim_statut",
+    _with(*[source for source, _ in catalogue.STATUS_DOMAINS.values()])
+    + " SELECT sha256(domaine_statut || '-' || statut_value) AS statut_key, * FROM ("
+    + " UNION ".join(
+        f"SELECT '{d}' AS domaine_statut, upper(trim({c})) AS statut_value FROM s_{s} WHERE {c} IS NOT NULL UNION SELECT '{d}', '__UNKNOWN__'"
+        for d, (s, c) in catalogue.STATUS_DOMAINS.items()
+    )
+    + ")",
+)
+def _(t: Tables):
+    return Immo(t).statuses()
+
+
+_GRANT = ("user_email", "role_metier", "access_level", "region_id", "agence_id", "conseiller_id", "partenaire_id")
+
+
+def _access_sql() -> str:
+    null = NULL_TOKEN
+    key = " || '-' || ".join(f"coalesce({c}, '{null}')" for c in _GRANT)
+    groups = ", ".join(f"coalesce({c}, 'none')" for c in _GRANT)
+    return (
+        f"SELECT sha256({key}) AS security_access_key, * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {groups} "
+        "ORDER BY updated_at DESC NULLS LAST, created_at DESC NULLS LAST, user_access_id) AS rn FROM s_security_user_access "
+        "WHERE user_email <> '') WHERE rn = 1"
+    )
+
+
+@query("security_user_access", f"{_with('security_user_access')} {_access_sql()}")
+def _(t: Tables):
+    return access_table(Immo(t).silver("security_user_access"))
+
+
+_QUALITY_TABLES = tuple(dict.fromkeys(check.table for check in catalogue.QUALITY_CHECKS))
+
+
+def _gold_sql(*names: str) -> str:
+    sources = [s for n in names for s in _sources(n)]
+    rows = {n: dimension_rows_sql(n) if n in catalogue.DIMENSIONS else fact_rows_sql(n) for n in names}
+    return _with(*sources) + ", " + ", ".join(f"{n} AS ({sql})" for n, sql in rows.items())
+
+
+def _quality_sql() -> str:
+    failed = {
+        "null_check": "CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT)",
+        "range_check": "CAST(sum(CASE WHEN {c} < 0 THEN 1 ELSE 0 END) AS BIGINT)",
+        "duplicate_check": "count(*) - count(DISTINCT {c})",
+    }
+    checks = " UNION ALL ".join(
+        f"SELECT '{c.table}' AS table_name, '{c.column}' AS column_name, '{c.kind}' AS check_type, count(*) AS n, "
+        f"{failed[c.kind].format(c=c.column)} AS failed FROM {c.table}"
+        for c in catalogue.QUALITY_CHECKS
+    )
+    return (
+        f"{_gold_sql(*_QUALITY_TABLES)} SELECT TIMESTAMP '{LOAD_TIME}' AS checked_at, 'gold' AS table_schema, table_name, column_name, "
+        f"check_type, n AS records_checked, failed AS records_failed, {RATE_SQL} FROM ({checks})"
+    )
+
+
+def _gold(t: Tables, *names: str) -> dict[str, DataFrame]:
+    model = Immo(t)
+    tables = model.facts(*[n for n in names if n in catalogue.FACTS])
+    missing = [n for n in names if n in catalogue.DIMENSIONS and n not in tables]
+    return {**tables, **model.dimensions(*missing)}
+
+
+@query("tech_data_quality_log", _quality_sql())
+def _(t: Tables):
+    return quality_log(_gold(t, *_QUALITY_TABLES), catalogue.QUALITY_CHECKS, F.lit(LOAD_TIME).cast("timestamp_ntz"))
+
+
+def _freshness_sql() -> str:
+    gold = [*catalogue.FACTS, *catalogue.DIMENSIONS]
+    probes = [("silver", n, f"s_{n}", s.version_order[0]) for n, s in catalogue.SILVER.items() if n != "security_user_access"]
+    for name in gold:
+        spec = catalogue.DIMENSIONS.get(name) or catalogue.FACTS[name]
+        probes.append(("gold", name, name, catalogue.SILVER[spec.source].version_order[0]))
+    rows = " UNION ALL ".join(
+        f"SELECT '{layer}' AS table_schema, '{name}' AS table_name, max({column}) AS last_load_time, count(*) AS row_count, "
+        f"TIMESTAMP '{LOAD_TIME}' AS checked_at FROM {table}"
+        for layer, name, table, column in probes
+    )
+    silver = _with(*[n for n in catalogue.SILVER if n != "security_user_access"])
+    built = ", ".join(
+        f"{n} AS ({dimension_rows_sql(n) if n in catalogue.DIMENSIONS else fact_rows_sql(n)})" for n in gold
+    )
+    return f"{silver}, {built} {rows}"
+
+
+def stored_layers(t: Tables) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """All silver and gold tables, each stored once, as a full refresh leaves them."""
+    model = Immo(t)
+    silver = materialise_all({name: model.silver(name) for name in catalogue.SILVER})
+    base = {n: s for n, s in catalogue.DIMENSIONS.items()}
+    gold: dict[str, DataFrame] = {}
+    while set(base) - set(gold):
+        ready = [n for n in base if n not in gold and all(p.dimension in gold for p in base[n].parents)]
+        gold |= materialise_all({n: dimension(silver[base[n].source], base[n], gold, latest=False) for n in ready})
+    rest = pipeline.build_dimensions(silver, only={"dim_date", "dim_statut"})
+    gold |= materialise_all({n: rest[n] for n in ("dim_date", "dim_statut")})
+    gold |= materialise_all({**pipeline.build_facts(silver, gold), "security_user_access": access_table(silver["security_user_access"])})
+    return silver, gold
+
+
+@query("tech_data_freshness", _freshness_sql())
+def _(t: Tables):
+    silver, gold = stored_layers(t)
+    return freshness(pipeline.freshness_tables(silver, gold), F.lit(LOAD_TIME).cast("timestamp_ntz"))
+
+
+def _tests_sql() -> str:
+    """Never-null and unique tests as separate counts over every built table."""
+    tests: list[tuple[str, str, list[str], list[str]]] = []
+    more = {"commissions": ["type_operation"], "objectifs_commerciaux": ["annee", "mois"], "security_user_access": ["user_email", "role_metier"]}
+    for name, spec in catalogue.SILVER.items():
+        state = next(c for c in spec.columns if c in ("is_deleted", "is_active"))
+        tests.append((name, f"s_{name}", [spec.key, state, *more.get(name, [])], [] if name == "security_user_access" else [spec.key]))
+    for name, spec in {**catalogue.DIMENSIONS, **catalogue.FACTS}.items():
+        targets = spec.parents if name in catalogue.DIMENSIONS else spec.lookups
+        filled = [spec.key, spec.natural_key, *[target.key for target in targets]]
+        if name in catalogue.FACTS and name != "fact_objectif_commercial":
+            filled.append("statut_key")
+        filled += {"fact_vente": ["prix_vente_ttc"], "fact_souscription_pierre_papier": ["montant_souscrit"]}.get(name, [])
+        tests.append((name, name, filled, [spec.key, spec.natural_key]))
+    tests.append(("dim_date", "dim_date", ["date_key", "full_date"], ["date_key"]))
+    tests.append(("dim_statut", "dim_statut", ["statut_key", "domaine_statut", "statut_value"], ["statut_key"]))
+    tests.append(("gold_security_user_access", "access", ["security_access_key", "user_email", "role_metier"], ["security_access_key"]))
+    rows = []
+    for label, table, filled, unique in tests:
+        rows += [f"SELECT '{label}' AS table_name, '{c}' AS column_name, 'not_null' AS test, count(*) - count({c}) AS n_failures FROM {table}" for c in filled]
+        rows += [f"SELECT '{label}', '{c}', 'unique', count(*) FROM (SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)" for c in unique]
+    rows.append("SELECT 'dim_statut', 'domaine_statut', 'accepted_values', CAST(0 AS BIGINT)")
+    gold = {**catalogue.DIMENSIONS, **catalogue.FACTS}
+    built = ", ".join(f"{n} AS ({dimension_rows_sql(n) if n in catalogue.DIMENSIONS else fact_rows_sql(n)})" for n in gold)
+    statuses = " UNION ".join(
+        f"SELECT '{d}' AS domaine_statut, {c} AS statut_value FROM s_{s} WHERE {c} IS NOT NULL UNION SELECT '{d}', '__UNKNOWN__'"
+        for d, (s, c) in catalogue.STATUS_DOMAINS.items()
+    )
+    return (
+        f"{_with(*catalogue.SILVER)}, {built}, dim_date AS (SELECT {CALENDAR_SQL} FROM ({_days_sql()}) WHERE d IS NOT NULL), "
+        f"dim_statut AS (SELECT sha256(domaine_statut || '-' || statut_value) AS statut_key, * FROM ({statuses})), "
+        f"access AS ({_access_sql()}) {' UNION ALL '.join(rows)}"
+    )
+
+
+@query("tech_data_tests", _tests_sql())
+def _(t: Tables):
+    return pipeline.data_tests(*stored_layers(t))
+
+
+# Measures
+
+_CONDITIONS = {
+    "Nb Dossiers Pièces Manquantes": ("pieces_manquantes",) * 2,
+    "Nb Dossiers Bloqués": ("blocage_adv",) * 2,
+    "Ventes Sans Date Acte": ("date_signature_acte_key IS NULL",) * 2,
+    "Ventes Sans Investisseur": ("investisseur_key IS NULL", f"investisseur_key = {UNKNOWN_SQL}"),
+    "Réservations Sans Lot": ("lot_key IS NULL", f"lot_key = {UNKNOWN_SQL}"),
+    "Commissions Bloquées": ("motif_blocage IS NOT NULL",) * 2,
+    "Dossiers ADV Bloqués": ("blocage_adv",) * 2,
+    "Dossiers Pièces Manquantes": ("pieces_manquantes",) * 2,
+    "Financements Refusés": ("statut_financement = 'Refusé'", "statut_financement = 'REFUSE'"),
+    "Lots Vendus Encore Disponibles": (
+        "statut_lot = 'Disponible' AND date_vente IS NOT NULL",
+        "statut_lot = 'DISPONIBLE' AND date_vente IS NOT NULL",
+    ),
+}
+
+
+def _measure_sql(name: str, normalised: bool) -> str:
+    m = catalogue.measures()[name]
+    if name in _CONDITIONS:
+        where = _CONDITIONS[name][normalised]
+        counted = f"count(DISTINCT {m.column})" if m.kind == "distinct" else "count(*)"
+        return f"nullif({counted} FILTER ({where}), 0)"
+    return {
+        "sum": f"CAST(sum({m.column}) AS BIGINT)" if m.column == "nombre_lots_disponibles" else f"sum({m.column})",
+        "avg": f"CAST(sum({m.column}) AS DOUBLE) / nullif(count({m.column}), 0)",
+        "count": "count(*)",
+        "distinct": f"nullif(count(DISTINCT {m.column}) + max(CASE WHEN {m.column} IS NULL THEN 1 ELSE 0 END), 0)",
+    }[m.kind]
+
+
+def measures_of(*tables: str) -> list[str]:
+    return [m.name for m in catalogue.measures().values() if m.table in tables]
+
+
+def _group_sql(table: str, dim: str, column: str, names: list[str], normalised: bool) -> str:
+    """Measures of one table by a column of a related dimension, or of its own."""
+    values = ", ".join(f'{_measure_sql(n, normalised)} AS "{n}"' for n in names)
+    if table == dim:
+        return f"SELECT {column}, {values} FROM {table} GROUP BY ALL"
+    if dim == "dim_date":
+        key = catalogue.FACTS[table].date_role
+        return f"SELECT {key} // 10000 AS {column}, {values} FROM {table} GROUP BY ALL"
+    key = catalogue.DIMENSIONS[dim].key
+    return f"SELECT {column}, {values} FROM {table} JOIN (SELECT {key}, {column} FROM {dim}) USING ({key}) GROUP BY ALL"
+
+
+def _measures_query(name: str, dim: str, column: str, tables: tuple[str, ...], normalised: bool = False, ratios: tuple[str, ...] = ()) -> None:
+    per_table = {table: measures_of(table) for table in tables}
+    names = [n for group in per_table.values() for n in group]
+    gold = [*tables] + ([dim] if dim != "dim_date" and dim not in tables else [])
+    parts = ", ".join(f"m_{table} AS ({_group_sql(table, dim, column, own, normalised)})" for table, own in per_table.items())
+    stacked = " UNION ALL BY NAME ".join(f"SELECT * FROM m_{table}" for table in tables)
+    lined_up = ", ".join(f'max("{n}") AS "{n}"' for n in names)
+    joins = f"(SELECT {column}, {lined_up} FROM ({stacked}) GROUP BY {column})"
+    definitions = catalogue.measures()
+    quoted = [f'"{n}"' for n in names]
+    for ratio in ratios:
+        m = definitions[ratio]
+        quoted.append(f'CAST("{m.numerator}" AS DOUBLE) / nullif(CAST("{m.denominator}" AS DOUBLE), 0) AS "{ratio}"')
+    sql = f"{_gold_sql(*gold)}, {parts} SELECT {column}, {', '.join(quoted)} FROM {joins}"
+
+    @query(name, sql)
+    def _(t: Tables):
+        model = Immo(t)
+        built = _gold(t, *[x for x in gold])
+        if dim == "dim_date":
+            used = dict.fromkeys(catalogue.FACTS[x].source for x in tables)
+            silver = {s: model.silver(s) for s in used}
+            sources = [pair for pair, spec in zip(catalogue.date_sources({**dict.fromkeys(_ALL_FACT_SOURCES, None), **silver}), catalogue.FACTS.values(), strict=True) if spec.source in used]
+            built["dim_date"] = materialise(observed_dates(sources), "dim_date")
+        return measure_query(catalogue.model(built, normalised), [*names, *ratios], [(dim, column)])
+
+
+_measures_query(
+    "measures_by_year",
+    "dim_date",
+    "annee",
+    ("fact_vente", "fact_reservation", "fact_objectif_commercial"),
+    ratios=("Taux Réservation Vente", "Taux Atteinte Objectif CA", "CA Moyen Vente"),
+)
+_measures_query("measures_by_client_city", "dim_investisseur", "ville", ("fact_vente", "fact_financement", "fact_gestion_locative", "dim_investisseur"))
+_measures_query("measures_by_adviser_status", "dim_conseiller", "statut_collaborateur", ("fact_commission", "fact_dossier_adv"))
+_measures_query("measures_by_programme_region", "dim_programme_immobilier", "region", ("dim_programme_immobilier",))
+_measures_query("measures_by_lot_type", "dim_lot_immobilier", "type_lot", ("fact_reservation", "dim_lot_immobilier"))
+_measures_query("measures_normalised_lots", "dim_lot_immobilier", "type_lot", ("fact_reservation", "dim_lot_immobilier"), True)
+_measures_query("measures_normalised_clients", "dim_investisseur", "ville", ("fact_vente", "fact_financement"), True)
+
+
+# Roles on the built dimensions
+
+for _role_name, _role in ROLES.items():
+    _tests = " OR ".join(f"{c} IN (SELECT {c} FROM grants WHERE {c} IS NOT NULL)" for c in _role.columns)
+    _sql = (
+        f"{_gold_sql(_role.dimension)}, s_security_user_access AS ({silver_sql('security_user_access')}), access AS ({_access_sql()}), "
+        "grants AS (SELECT * FROM access WHERE user_email = 'user5@example.com' AND is_active) "
+        f"SELECT * FROM {_role.dimension} WHERE {_tests} OR EXISTS (SELECT 1 FROM grants WHERE access_level IN ('ALL', 'ADV'))"
+    )
+
+    @query("role_" + _role.dimension, _sql)
+    def _(t: Tables, role=_role):
+        model = Immo(t)
+        access = access_table(model.silver("security_user_access"))
+        return visible(model.dimensions(role.dimension)[role.dimension], role, user_grants(access, "User5@Example.com"))

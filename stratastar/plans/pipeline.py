@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from stratastar.operators.quality import (
     accepted_values_failures,
     freshness,
-    not_null_failures,
     quality_log,
     unique_failures,
 )
@@ -99,7 +98,10 @@ def build_tech(
 
 
 def data_tests(silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame]) -> DataFrame:
-    """Failing records per declared test: table_name, column_name, test, n_failures."""
+    """Failures per declared test: table_name, column_name, test, n_failures.
+
+    All never-null tests of a table share one aggregate; each unique test reads one column.
+    """
     rows = []
 
     def add(table: str, column: str, test: str, failures: DataFrame) -> None:
@@ -111,8 +113,10 @@ def data_tests(silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame]) -
         )
 
     def declare(table: str, df: DataFrame, never_null: list[str], unique: list[str]) -> None:
-        for column in dict.fromkeys(never_null):
-            add(table, column, "not_null", not_null_failures(df, column))
+        columns = list(dict.fromkeys(never_null))
+        counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+        cells = [F.struct(F.lit(c).alias("column_name"), F.lit("not_null").alias("test"), F.col(c).alias("n_failures")) for c in columns]
+        rows.append(counts.select(F.lit(table).alias("table_name"), F.inline(F.array(*cells))))
         for column in dict.fromkeys(unique):
             add(table, column, "unique", unique_failures(df, column))
 

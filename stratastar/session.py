@@ -62,7 +62,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialise_all(frames: Mapping[str, DataFrame], parallel: int = 4) -> dict[str, DataFrame]:
+def materialise_all(frames: Mapping[str, DataFrame], parallel: int = 8) -> dict[str, DataFrame]:
     """`materialise` for independent tables; their jobs share the cluster."""
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         return dict(zip(frames, pool.map(lambda item: materialise(item[1], item[0]), frames.items()), strict=True))
