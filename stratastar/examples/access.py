@@ -123,7 +123,7 @@ def rule_sql(table: str, columns: tuple[str, ...], email: str) -> str:
 
 
 # A user with scopes only, one with full access, one without any grant.
-SCOPED, OPEN, STRANGER = "USER2@example.com", "user0@EXAMPLE.com", "nobody@example.com"
+SCOPED, OPEN, STRANGER = "USER112@example.com", "user106@EXAMPLE.com", "nobody@example.com"
 
 
 @query("r1_grants", f"WITH {ACCESS_SQL} SELECT * FROM access WHERE user_email = '{SCOPED.lower()}' AND is_active")

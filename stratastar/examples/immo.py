@@ -276,7 +276,7 @@ def _days_sql() -> str:
     for spec in catalogue.FACTS.values():
         days = [c for c, k in catalogue.SILVER[spec.source].columns.items() if k == "date"]
         parts += [f"SELECT {d} AS d FROM s_{spec.source}" for d in days]
-    parts.append("SELECT CAST(make_date(CAST(annee AS BIGINT), CAST(mois AS BIGINT), 1) AS DATE) FROM s_objectifs_commerciaux WHERE annee IS NOT NULL AND mois BETWEEN 1 AND 12")
+    parts.append("SELECT CASE WHEN mois BETWEEN 1 AND 12 THEN CAST(make_date(CAST(annee AS BIGINT), CAST(mois AS BIGINT), 1) AS DATE) END FROM s_objectifs_commerciaux")
     return " UNION ".join(parts)
 
 
@@ -351,7 +351,8 @@ def _quality_sql() -> str:
 
 def _gold(t: Tables, *names: str) -> dict[str, DataFrame]:
     model = Immo(t)
-    tables = model.facts(*[n for n in names if n in catalogue.FACTS])
+    facts = [n for n in names if n in catalogue.FACTS]
+    tables = model.facts(*facts) if facts else {}
     missing = [n for n in names if n in catalogue.DIMENSIONS and n not in tables]
     return {**tables, **model.dimensions(*missing)}
 
@@ -537,7 +538,7 @@ for _role_name, _role in ROLES.items():
     _tests = " OR ".join(f"{c} IN (SELECT {c} FROM grants WHERE {c} IS NOT NULL)" for c in _role.columns)
     _sql = (
         f"{_gold_sql(_role.dimension)}, s_security_user_access AS ({silver_sql('security_user_access')}), access AS ({_access_sql()}), "
-        "grants AS (SELECT * FROM access WHERE user_email = 'user5@example.com' AND is_active) "
+        "grants AS (SELECT * FROM access WHERE user_email = 'user1@example.com' AND is_active) "
         f"SELECT * FROM {_role.dimension} WHERE {_tests} OR EXISTS (SELECT 1 FROM grants WHERE access_level IN ('ALL', 'ADV'))"
     )
 
@@ -545,4 +546,4 @@ for _role_name, _role in ROLES.items():
     def _(t: Tables, role=_role):
         model = Immo(t)
         access = access_table(model.silver("security_user_access"))
-        return visible(model.dimensions(role.dimension)[role.dimension], role, user_grants(access, "User5@Example.com"))
+        return visible(model.dimensions(role.dimension)[role.dimension], role, user_grants(access, "User1@Example.com"))

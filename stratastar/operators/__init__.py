@@ -22,7 +22,7 @@ from stratastar.operators.days import (
     public_holidays,
 )
 from stratastar.operators import setops
-from stratastar.operators.lookup import Lookup, lookup, status_lookup
+from stratastar.operators.lookup import Lookup, find_keys, lookup, status_lookup
 from stratastar.operators.quality import (
     Check,
     accepted_values_failures,

@@ -30,54 +30,53 @@ class Lookup:
     key: str
 
 
-def spread_nulls(foreign_key: str, spread_by: Sequence[str]) -> Column:
-    """The foreign key as text, or for NULL one of many texts that no key has."""
+@dataclass(frozen=True)
+class Target:
+    """Members (natural key, surrogate key) for the value `side` of each row; a miss yields `unknown`."""
+
+    members: DataFrame
+    side: Column
+    key: str
+    unknown: Column
+
+
+def spread_nulls(value: Column, spread_by: Sequence[str]) -> Column:
+    """The value as text, or for NULL one of many texts that no key has."""
     bucket = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_BUCKETS))
-    return F.coalesce(F.col(foreign_key).cast("string"), F.concat(F.lit("\u0000"), bucket.cast("string")))
+    return F.coalesce(value.cast("string"), F.concat(F.lit("\u0000"), bucket.cast("string")))
 
 
-def lookup(
-    df: DataFrame,
-    dimension: DataFrame,
-    spec: Lookup,
-    *,
-    spread_by: Sequence[str] | None = None,
-    unknown: Column | None = None,
-    expose: str | None = None,
-) -> DataFrame:
-    """Left join on the natural key; a miss gets the unknown key.
+def find_keys(df: DataFrame, targets: Sequence[Target], spread_by: Sequence[str] | None = None) -> DataFrame:
+    """`df` plus the key of every target, by one left join each.
 
-    `dimension` must be unique on the natural key (see `unique_failures`), so the row
-    count of `df` never changes. `spread_by` names columns of `df` that vary from row
-    to row; `expose` renames the resulting key column.
+    Members must be unique (see `unique_failures`), so the row count never changes.
     """
-    members = dimension.select(
-        F.col(spec.natural_key).cast("string").alias("__member"),
-        F.col(spec.key).alias("__member_key"),
-    )
-    side = spread_nulls(spec.foreign_key, spread_by) if spread_by else F.col(spec.foreign_key).cast("string")
-    joined = df.withColumn("__side", side).join(members, F.col("__side") == F.col("__member"), "left")
-    found = F.coalesce("__member_key", unknown_key() if unknown is None else unknown)
-    return joined.withColumn(expose or spec.key, found).drop("__side", "__member", "__member_key")
+    joined = df
+    for i, target in enumerate(targets):
+        member, key = target.members.columns
+        members = target.members.select(F.col(member).cast("string").alias(f"__m{i}"), F.col(key).alias(f"__k{i}"))
+        side = spread_nulls(target.side, spread_by) if spread_by else target.side.cast("string")
+        joined = joined.join(members, side == F.col(f"__m{i}"), "left")
+    keys = [F.coalesce(f"__k{i}", target.unknown).alias(target.key) for i, target in enumerate(targets)]
+    return joined.select(*[f"`{c}`" for c in df.columns], *keys)
+
+
+def target(dimension: DataFrame, spec: Lookup) -> Target:
+    members = dimension.select(spec.natural_key, spec.key)
+    return Target(members, F.col(spec.foreign_key), spec.key, unknown_key())
+
+
+def status_target(dim_status: DataFrame, domain: str, status: str, key: str = "statut_key") -> Target:
+    """The cleaned status inside its domain; a miss yields the domain's unknown key."""
+    members = dim_status.where(F.col("domaine_statut") == domain).select("statut_value", "statut_key")
+    return Target(members, F.upper(F.trim(F.col(status))), key, unknown_key(domain))
+
+
+def lookup(df: DataFrame, dimension: DataFrame, spec: Lookup, *, spread_by: Sequence[str] | None = None) -> DataFrame:
+    return find_keys(df, [target(dimension, spec)], spread_by)
 
 
 def status_lookup(
-    df: DataFrame,
-    dim_status: DataFrame,
-    domain: str,
-    status: str,
-    *,
-    key: str = "statut_key",
-    spread_by: Sequence[str] | None = None,
+    df: DataFrame, dim_status: DataFrame, domain: str, status: str, *, spread_by: Sequence[str] | None = None
 ) -> DataFrame:
-    """Key of the cleaned status inside its domain; a miss gets the domain's unknown key."""
-    members = dim_status.where(F.col("domaine_statut") == domain).select("statut_value", "statut_key")
-    cleaned = df.withColumn("__status", F.upper(F.trim(F.col(status))))
-    return lookup(
-        cleaned,
-        members,
-        Lookup("dim_statut", "__status", "statut_value", "statut_key"),
-        spread_by=spread_by,
-        unknown=unknown_key(domain),
-        expose=key,
-    ).drop("__status")
+    return find_keys(df, [status_target(dim_status, domain, status)], spread_by)

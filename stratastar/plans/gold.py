@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from stratastar.functions.cleaning import full_name
 from stratastar.functions.keys import UNKNOWN, date_key, surrogate_key, unknown_key
-from stratastar.operators.lookup import lookup, status_lookup
+from stratastar.operators.lookup import find_keys, status_target, target
 from stratastar.operators.setops import with_unknown
 from stratastar.operators.versions import latest_version
 from stratastar.plans.specs import DimensionSpec, FactSpec
@@ -36,13 +36,11 @@ def dimension(
     else:
         rows = source.where(F.col(spec.natural_key).isNotNull())
         rows = rows if live is None else rows.where(live)
-    for parent in spec.parents:
-        rows = lookup(rows, dimensions[parent.dimension], parent, spread_by=[spec.natural_key])
-    if spec.full_name:
-        name, first, last = spec.full_name
-        rows = rows.withColumn(name, full_name(first, last))
-    rows = rows.withColumn(spec.key, surrogate_key(spec.natural_key))
-    rows = rows.select(spec.key, *[c for c in rows.columns if c != spec.key])
+    if spec.parents:
+        parents = [target(dimensions[parent.dimension], parent) for parent in spec.parents]
+        rows = find_keys(rows, parents, spread_by=[spec.natural_key])
+    names = [full_name(first, last).alias(name) for name, first, last in ([spec.full_name] if spec.full_name else [])]
+    rows = rows.select(surrogate_key(spec.natural_key).alias(spec.key), "*", *names)
 
     member: dict[str, Column | str | int | bool] = {spec.key: unknown_key(), spec.natural_key: UNKNOWN}
     for parent in spec.parents:
@@ -63,9 +61,7 @@ def fact(source: DataFrame, spec: FactSpec, dimensions: Mapping[str, DataFrame])
         *[date_key(d).alias(f"{d}_key") for d in days],
         *[build().alias(name) for name, build in spec.extra.items()],
     )
-    for target in spec.lookups:
-        rows = lookup(rows, dimensions[target.dimension], target, spread_by=[spec.natural_key])
+    targets = [target(dimensions[lookup.dimension], lookup) for lookup in spec.lookups]
     if spec.status:
-        domain, status = spec.status
-        rows = status_lookup(rows, dimensions["dim_statut"], domain, status, spread_by=[spec.natural_key])
-    return rows
+        targets.append(status_target(dimensions["dim_statut"], *spec.status))
+    return find_keys(rows, targets, spread_by=[spec.natural_key])

@@ -16,7 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Wide typed projections compile to methods that the JIT skips; above this size
+    # (bytes, the JIT's own limit) Spark splits the expressions instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -30,6 +32,13 @@ def build_session(name: str = "stratastar", master: str | None = None, **extra:
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session made elsewhere; all of them can change at run time."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by all executors, as named in `spark.checkpoint.dir`.
 
