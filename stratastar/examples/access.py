@@ -15,6 +15,7 @@ from stratastar.functions import flag
 from stratastar.functions.keys import NULL_TOKEN
 from stratastar.plans.security import ROLES, Role, access_table, bypasses, secured, user_grants, visible
 from stratastar.plans.semantic import propagate
+from stratastar.session import materialise_all
 
 ACCESS_TEXT = {
     "user_access_id": "cast(c_custkey as string)",
@@ -168,7 +169,7 @@ def _(t: Tables):
     )
     roles = [Role("dim_customer", ("agence_id",)), Role("dim_customer", ("partenaire_id",))]
     filtered = secured({"dim_customer": customers}, access(t), SCOPED, roles)
-    return propagate(model, "fact_order", filtered).select("order_id", "amount")
+    return propagate(model, "fact_order", materialise_all(filtered)).select("order_id", "amount")
 
 
 @query("r7_access_table", f"WITH {ACCESS_SQL} SELECT * FROM access")

@@ -269,4 +269,4 @@ def _(t: Tables):
 )
 def _(t: Tables):
     hot = F.when(F.col("event_type").isin("view", "click"), -1).otherwise(F.col("user_id"))
-    return op.status_transitions(t.events.withColumn("entity", hot), "entity", "event_type", ["ts", "event_id"])
+    return op.status_transitions(t.events.withColumn("entity", hot), "entity", "event_type", ["ts", "event_id"], hot_rows=1000, slices=16)

@@ -123,6 +123,10 @@ class Immo:
     def silver(self, name: str) -> DataFrame:
         return silver_table(self.bronze(name), catalogue.SILVER[name])
 
+    def versions(self, name: str) -> DataFrame:
+        """All typed versions; a reader of few columns scans few columns and shuffles nothing."""
+        return silver_table(self.bronze(name), catalogue.SILVER[name], dedup=False)
+
     def dimensions(self, *names: str) -> dict[str, DataFrame]:
         """The dimensions and their parents, stored in dependency order, independent ones together."""
         specs = catalogue.DIMENSIONS
@@ -141,7 +145,12 @@ class Immo:
 
     def statuses(self, *domains: str) -> DataFrame:
         sources = catalogue.STATUS_DOMAINS
-        return domain_values({d: (self.silver(sources[d][0]), sources[d][1]) for d in domains or sources})
+        return domain_values({d: (self.versions(sources[d][0]), sources[d][1]) for d in domains or sources})
+
+    def dates(self, *facts: str) -> DataFrame:
+        """Dates of the facts' sources, seen in any version."""
+        sources = catalogue.date_sources({catalogue.FACTS[f].source: self.versions(catalogue.FACTS[f].source) for f in facts or catalogue.FACTS})
+        return observed_dates(sources)
 
     def fact(self, name: str, dimensions: dict[str, DataFrame] | None = None) -> DataFrame:
         spec = catalogue.FACTS[name]
@@ -194,8 +203,8 @@ def _found(stem: str, source: str, row: str) -> str:
     return f"CASE WHEN {row}.{stem}_id IN ({members}) THEN sha256({row}.{stem}_id) ELSE {UNKNOWN_SQL} END"
 
 
-def _with(*sources: str) -> str:
-    return "WITH " + ", ".join(f"s_{name} AS ({silver_sql(name)})" for name in dict.fromkeys(sources))
+def _with(*sources: str, dedup: bool = True) -> str:
+    return "WITH " + ", ".join(f"s_{name} AS ({silver_sql(name, dedup)})" for name in dict.fromkeys(sources))
 
 
 def _sources(name: str) -> list[str]:
@@ -283,16 +292,14 @@ def _days_sql() -> str:
 _ALL_FACT_SOURCES = [spec.source for spec in catalogue.FACTS.values()]
 
 
-@query("dim_date", f"{_with(*_ALL_FACT_SOURCES)} SELECT {CALENDAR_SQL} FROM ({_days_sql()}) WHERE d IS NOT NULL")
+@query("dim_date", f"{_with(*_ALL_FACT_SOURCES, dedup=False)} SELECT {CALENDAR_SQL} FROM ({_days_sql()}) WHERE d IS NOT NULL")
 def _(t: Tables):
-    model = Immo(t)
-    silver = materialise_all({name: model.silver(name) for name in dict.fromkeys(_ALL_FACT_SOURCES)})
-    return pipeline.build_dimensions(silver, only={"dim_date"})["dim_date"]
+    return Immo(t).dates()
 
 
 @query(
     "dim_statut",
-    _with(*[source for source, _ in catalogue.STATUS_DOMAINS.values()])
+    _with(*[source for source, _ in catalogue.STATUS_DOMAINS.values()], dedup=False)
     + " SELECT sha256(domaine_statut || '-' || statut_value) AS statut_key, * FROM ("
     + " UNION ".join(
         f"SELECT '{d}' AS domaine_statut, upper(trim({c})) AS statut_value FROM s_{s} WHERE {c} IS NOT NULL UNION SELECT '{d}', '__UNKNOWN__'"
@@ -508,12 +515,9 @@ def _measures_query(name: str, dim: str, column: str, tables: tuple[str, ...], n
     @query(name, sql)
     def _(t: Tables):
         model = Immo(t)
-        built = _gold(t, *[x for x in gold])
+        built = _gold(t, *gold)
         if dim == "dim_date":
-            used = dict.fromkeys(catalogue.FACTS[x].source for x in tables)
-            silver = {s: model.silver(s) for s in used}
-            sources = [pair for pair, spec in zip(catalogue.date_sources({**dict.fromkeys(_ALL_FACT_SOURCES, None), **silver}), catalogue.FACTS.values(), strict=True) if spec.source in used]
-            built["dim_date"] = materialise(observed_dates(sources), "dim_date")
+            built["dim_date"] = model.dates(*tables)
         return measure_query(catalogue.model(built, normalised), [*names, *ratios], [(dim, column)])
 
 

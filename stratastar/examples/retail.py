@@ -218,23 +218,26 @@ EDGES = (
 )
 
 
-def star_dimensions(t: Tables, *facts: str) -> dict[str, DataFrame]:
-    """Every dimension that the facts point at, each stored once for all its consumers."""
-    names = dict.fromkeys(e.dimension for e in EDGES if e.table in facts)
-    build = {"dim_statut": dim_status, "dim_date": dim_date}
-    return materialise_all({n: build[n](t) if n in build else master_dimension(t, n) for n in names})
+FACTS = {spec.name: spec for spec in (FACT_ORDER, FACT_LINE)}
+SILVER = {"fact_order": silver_orders, "fact_line": silver_lines}
 
 
 def retail_model(t: Tables, *facts: str) -> Model:
-    tables = star_dimensions(t, *facts)
-    if "fact_order" in facts:
-        tables["fact_order"] = fact(silver_orders(t), FACT_ORDER, tables)
-    if "fact_line" in facts:
-        tables["fact_line"] = fact(silver_lines(t), FACT_LINE, tables)
+    """The facts with what they look up. Looked-up tables are stored once for all their
+    consumers; the date dimension only meets summed-up rows and stays a plan."""
+    specs = [FACTS[name] for name in facts if name in FACTS]
+    masters = dict.fromkeys(target.dimension for spec in specs for target in spec.lookups)
+    domains = [spec.status[0] for spec in specs if spec.status]
+    stored = {name: master_dimension(t, name) for name in masters}
+    stored["dim_statut"] = dim_status(t).where(F.col("domaine_statut").isin(domains))
+    tables = materialise_all(stored)
+    for spec in specs:
+        tables[spec.name] = fact(SILVER[spec.name](t), spec, tables)
     if "fact_target" in facts:
         tables["fact_target"] = fact_target(t)
     if "dim_customer" in tables:
         tables["dim_customer"] = tables["dim_customer"].withColumn("balance", F.col("c_acctbal").cast("decimal(18,2)"))
+    tables["dim_date"] = dim_date(t)
     return Model(tables, EDGES, {m.name: m for m in MEASURES})
 
 

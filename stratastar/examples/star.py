@@ -351,13 +351,14 @@ def _(t: Tables):
 
 @query(
     "w3_latest_nulls_win",
-    """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY seen_at DESC NULLS FIRST, event_id) AS rn
+    """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY seen_at DESC NULLS FIRST, event_id DESC) AS rn
        FROM (SELECT user_id, event_id, CASE WHEN event_type <> 'error' OR value < 100 THEN ts END AS seen_at FROM events)) WHERE rn = 1""",
 )
 def _(t: Tables):
     text = F.when((F.col("event_type") != "error") | (F.col("value") < 100), F.col("ts").cast("string")).otherwise("n/a")
-    rows = t.events.select("user_id", "event_id", fn.to_timestamp(text).alias("seen_at"))
-    return op.latest_version(rows, ["user_id"], ["seen_at"], nulls="first")
+    rows = t.events.select("user_id", "event_id", text.alias("seen_at"))
+    newest = op.latest_of_extract(rows, "user_id", "seen_at", sequence="event_id")
+    return newest.withColumn("seen_at", fn.to_timestamp("seen_at"))
 
 
 @query(

@@ -33,6 +33,6 @@ from stratastar.operators.quality import (
     unique_failures,
 )
 from stratastar.operators.setops import domain_values, observed_dates, with_unknown
-from stratastar.operators.versions import latest_version
+from stratastar.operators.versions import latest_of_extract, latest_version
 
 __all__ = [name for name in dir() if not name.startswith("_")]

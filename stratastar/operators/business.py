@@ -12,7 +12,8 @@ from stratastar.operators.setops import union_all
 
 # Programme states that follow the stock.
 SELLING, SOLD_OUT = "EN_COMMERCIALISATION", "COMMERCIALISE"
-MAX_HOT_KEYS = 2000
+MAX_HOT_KEYS = 20_000
+HOT_ROWS = 1_000_000
 
 
 def reconcile_stock(programmes: DataFrame, lots: DataFrame, *, available: str = "DISPONIBLE") -> DataFrame:
@@ -109,11 +110,11 @@ def group_members(df: DataFrame, group: str, member: str, page_rows: int = 10_00
     return paged.groupBy(group, "page", "group_size").agg(F.sort_array(F.collect_list(member)).alias("members"))
 
 
-def hot_keys(df: DataFrame, key: str, limit: int = MAX_HOT_KEYS) -> DataFrame:
-    """Keys that hold more than 1/limit of the rows; there are fewer than `limit` of them."""
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, limit: int = MAX_HOT_KEYS) -> DataFrame:
+    """Keys with at least `min_rows` rows and more than 1/limit of all rows, so fewer than `limit` keys."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = counts.agg(F.sum("n_rows").alias("total")).scalar()
-    return counts.where(F.col("n_rows") > total / F.lit(limit)).select(key, "n_rows")
+    total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
+    return counts.where((F.col("n_rows") >= min_rows) & (F.col("n_rows") * limit > total)).select(key, "n_rows")
 
 
 def previous_version(
@@ -122,66 +123,59 @@ def previous_version(
     order_by: Sequence[str],
     values: Mapping[str, str],
     *,
-    chunk: Column | None = None,
-    chunks_per_hot_key: int = 256,
+    hot_rows: int = HOT_ROWS,
+    slices: int = 256,
 ) -> DataFrame:
     """Adds columns (new name to source column) of the version just before, per key.
 
     Sorting a key's whole history in one task breaks down when one key holds a large
-    share of the rows. Hot keys are therefore cut into time slices at approximate
-    quantiles of the first order column. The slices are disjoint and ordered, so the
-    window runs inside (key, slice), and only the first row of a slice takes its
-    values from the last row of the slice before it. Ordinary keys have one slice.
+    share of the rows. Keys of at least `hot_rows` rows are therefore cut into time
+    slices at approximate quantiles of the first order column. Slices are disjoint and
+    ordered, so the window runs inside (key, slice), and only the first row of a slice
+    takes its values from the last row of the slice before it. All other keys have one
+    slice. The broadcast list of cuts has fewer than MAX_HOT_KEYS rows.
     """
-    lead = F.col(order_by[0])
-    if chunk is None:
-        hot = hot_keys(df, key).select(F.col(key).alias("__hot"))
-        ticks = F.unix_micros(lead.cast("timestamp"))
-        steps = [i / chunks_per_hot_key for i in range(1, chunks_per_hot_key)]
-        cuts = (
-            df.join(F.broadcast(hot), F.col(key) == F.col("__hot"))
-            .groupBy("__hot")
-            .agg(F.percentile_approx(ticks, steps, 1000).alias("__cuts"))
-        )
-        sliced = df.join(F.broadcast(cuts), F.col(key) == F.col("__hot"), "left").withColumn(
-            "__slice",
-            F.coalesce(F.size(F.filter("__cuts", lambda cut: cut < ticks)), F.lit(0)),
-        ).drop("__hot", "__cuts")
-    else:
-        sliced = df.withColumn("__slice", chunk)
-
-    order = [F.col(c).asc_nulls_first() for c in order_by]
-    inside = Window.partitionBy(key, "__slice").orderBy(*order)
+    ticks = F.unix_micros(F.col(order_by[0]).cast("timestamp"))
+    hot = hot_keys(df, key, hot_rows).select(F.col(key).alias("__hot"))
+    steps = [i / slices for i in range(1, slices)]
+    cuts = (
+        df.select(F.col(key).alias("__key"), ticks.alias("__ticks"))
+        .join(F.broadcast(hot), F.col("__key") == F.col("__hot"))
+        .groupBy("__hot")
+        .agg(F.percentile_approx("__ticks", steps, 10 * slices).alias("__cuts"))
+    )
+    sliced = df.join(F.broadcast(cuts), F.col(key) == F.col("__hot"), "left").withColumn(
+        "__slice",
+        F.when(
+            F.col("__hot").isNotNull(), F.coalesce(F.size(F.filter("__cuts", lambda cut: cut < ticks)), F.lit(0))
+        ).otherwise(0),
+    )
     sources = list(dict.fromkeys(values.values()))
-    rows = sliced.withColumns(
-        {
-            "__before": F.lag(F.struct(*sources)).over(inside),
-            "__first": F.row_number().over(inside) == 1,
-        }
+    edges = (
+        sliced.where(F.col("__hot").isNotNull())
+        .groupBy(F.col("__hot").alias("__edge_key"), F.col("__slice").alias("__edge_slice"))
+        .agg(F.max_by(F.struct(*sources), F.struct(*order_by)).alias("__edge"))
     )
-    edges = sliced.groupBy(key, "__slice").agg(
-        F.max_by(F.struct(*sources), F.struct(*order_by)).alias("__edge")
+    per_key = Window.partitionBy("__edge_key").orderBy("__edge_slice")
+    handover = edges.select("__edge_key", "__edge_slice", F.lag("__edge").over(per_key).alias("__handed"))
+
+    inside = Window.partitionBy(key, "__slice").orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
+    rows = sliced.drop("__hot", "__cuts").withColumns(
+        {"__before": F.lag(F.struct(*sources)).over(inside), "__first": F.row_number().over(inside) == 1}
     )
-    per_key = Window.partitionBy(key).orderBy("__slice")
-    handover = edges.select(
-        F.col(key).alias("__edge_key"),
-        F.col("__slice").alias("__edge_slice"),
-        F.lag("__edge").over(per_key).alias("__handed"),
-    ).where("__handed is not null")
     joined = rows.join(
-        handover,
-        rows["__first"] & (rows[key] == handover["__edge_key"]) & (rows["__slice"] == handover["__edge_slice"]),
+        handover.where("__handed is not null"),
+        (F.col(key) == F.col("__edge_key")) & (F.col("__slice") == F.col("__edge_slice")) & F.col("__first"),
         "left",
     )
-    before = F.when(F.col("__first"), F.col("__handed")).otherwise(F.col("__before"))
-    result = joined.withColumn("__before", before)
-    for new, source in values.items():
-        result = result.withColumn(new, F.col(f"__before.{source}"))
-    return result.drop("__slice", "__before", "__first", "__handed", "__edge_key", "__edge_slice")
+    before = F.coalesce("__before", "__handed")
+    return joined.select(
+        *[f"`{c}`" for c in df.columns], *[before[source].alias(new) for new, source in values.items()]
+    )
 
 
 def status_transitions(
-    history: DataFrame, key: str, status: str, order_by: Sequence[str], *, chunks_per_hot_key: int = 256
+    history: DataFrame, key: str, status: str, order_by: Sequence[str], *, hot_rows: int = HOT_ROWS, slices: int = 256
 ) -> DataFrame:
     """Edges of the state graph: from, to, number of moves and mean days spent in `from`."""
     clock = order_by[0]
@@ -190,7 +184,8 @@ def status_transitions(
         key,
         order_by,
         {"from_status": status, "from_time": clock},
-        chunks_per_hot_key=chunks_per_hot_key,
+        hot_rows=hot_rows,
+        slices=slices,
     ).where(F.col("from_time").isNotNull())
     seconds = F.unix_seconds(F.col(clock).cast("timestamp")) - F.unix_seconds(F.col("from_time").cast("timestamp"))
     return moves.groupBy("from_status", F.col(status).alias("to_status")).agg(

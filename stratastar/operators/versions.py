@@ -24,8 +24,8 @@ def latest_version(
 ) -> DataFrame:
     """One row per key: the first in descending `order_by`.
 
-    * `tie_break` orders ascending among equal versions. By default all other columns
-      do, so a recomputed task picks the same row.
+    * `tie_break` orders ascending among equal versions (pass sort columns for another
+      order). By default all other columns do, so a recomputed task picks the same row.
     * `nulls="first"` lets a version without a readable time win.
     * `placeholders` groups NULL key parts under a text, as for optional scopes.
     * Rows flagged `deleted` are dropped before ranking (an older, live version comes
@@ -52,8 +52,25 @@ def latest_version(
     if tie_break is None:
         named = {c for c in order_by if isinstance(c, str)} | set(keys)
         tie_break = [c for c in df.columns if c not in named]
-    ordering += [(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in tie_break]
+    ordering += [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in tie_break]
 
     ranked = df.withColumn(_RANK, F.row_number().over(Window.partitionBy(*groups).orderBy(*ordering)))
     result = ranked.where(F.col(_RANK) == 1).drop(_RANK)
     return result.where(live) if live is not None and deleted_policy == "after" else result
+
+
+def latest_of_extract(df: DataFrame, key: str, time: str = "updated_at", sequence: str | None = None) -> DataFrame:
+    """Newest version per key of a raw extract.
+
+    A version whose time cannot be read wins. Among equal times, or without a time
+    column, the highest `sequence` wins. An extract without the key is returned as is.
+    """
+    if key not in df.columns:
+        return df
+    last = [F.col(sequence).desc_nulls_last()] if sequence else []
+    if time not in df.columns:
+        if not sequence:
+            raise ValueError("without a time column the order needs a sequence")
+        return latest_version(df, [key], [sequence])
+    ranked = df.withColumn("__time", F.col(time).cast("string").try_cast("timestamp_ntz"))
+    return latest_version(ranked, [key], ["__time"], nulls="first", tie_break=last or None).drop("__time")

@@ -480,9 +480,11 @@ STATUS_DOMAINS = {spec.status[0]: (spec.source, spec.status[1]) for spec in FACT
 
 
 def date_sources(silver: Mapping[str, DataFrame]) -> list[tuple[DataFrame, list[str | Column]]]:
-    """Every date column that some fact turns into a key."""
+    """Every date column that some fact turns into a key, for the sources given."""
     sources: list[tuple[DataFrame, list[str | Column]]] = []
     for spec in FACTS.values():
+        if spec.source not in silver:
+            continue
         if spec.source == "objectifs_commerciaux":
             columns: list[str | Column] = [month_start("annee", "mois")]
         else:

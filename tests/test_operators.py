@@ -22,6 +22,14 @@ def test_latest_version(spark):
     assert plan.count("WindowGroupLimit") == 2  # before and after the exchange
 
 
+def test_latest_of_extract(spark):
+    rows = [("a", "2025-01-02", 1), ("a", "n/a", 2), ("b", "2025-01-01", 3), ("b", "2025-01-01", 4)]
+    df = spark.createDataFrame(rows, "k string, updated_at string, n int")
+    assert {r.k: r.n for r in op.latest_of_extract(df, "k", sequence="n").collect()} == {"a": 2, "b": 4}
+    assert {r.k: r.n for r in op.latest_of_extract(df.drop("updated_at"), "k", sequence="n").collect()} == {"a": 2, "b": 4}
+    assert op.latest_of_extract(df, "missing").count() == 4
+
+
 def test_deleted_policy(spark):
     df = spark.createDataFrame([("a", 1, False), ("a", 2, True), ("b", 1, False)], "k string, v int, gone boolean")
     after = op.latest_version(df, ["k"], ["v"], deleted="gone")
@@ -40,6 +48,33 @@ def test_lookup_never_changes_the_row_count(spark):
         assert found == {1: "KX", 2: unknown, 3: unknown}
 
 
+def test_lookup_by_shuffle_with_a_hot_key(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        fk = F.when(F.col("id") % 3 == 0, "k1").when(F.col("id") % 3 == 1, None).otherwise(F.concat(F.lit("k"), F.col("id") % 700))
+        fact = spark.range(0, 60000, 1, 6).select("id", fk.alias("fk"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+        dim = spark.range(500).select(F.concat(F.lit("k"), "id").alias("code"), F.concat(F.lit("K"), "id").alias("key"))
+        found = op.lookup(fact, dim, op.Lookup("dim", "fk", "code", "key"), spread_by=["id"])
+        counts = {r.key: r["count"] for r in found.groupBy("key").count().collect()}
+        unknown = spark.range(1).select(unknown_key()).first()[0]
+        assert found.count() == 60000
+        assert counts["K1"] == 20000 + sum(1 for i in range(60000) if i % 3 == 2 and i % 700 == 1)
+        assert counts[unknown] == 20000 + sum(1 for i in range(60000) if i % 3 == 2 and i % 700 >= 500)
+        found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_status_lookup(spark):
     statuses = op.domain_values({"A": (spark.createDataFrame([(" signee ",), ("SIGNEE",), (None,)], "s string"), "s")})
     assert sorted(r.statut_value for r in statuses.collect()) == ["SIGNEE", "__UNKNOWN__"]
@@ -110,8 +145,8 @@ def test_days_to_process(spark):
     assert op.days_to_process(days, log, force=True).count() == 5
 
 
-@pytest.mark.parametrize("chunks", [2, 16])
-def test_previous_version_with_a_hot_key(spark, chunks):
+@pytest.mark.parametrize(("hot_rows", "slices"), [(1_000_000, 16), (1000, 2), (1000, 16), (10, 16)])
+def test_previous_version_with_a_hot_key(spark, hot_rows, slices):
     rng = random.Random(7)
     rows, n = [], 0
     for _ in range(4000):
@@ -120,7 +155,7 @@ def test_previous_version_with_a_hot_key(spark, chunks):
         rows.append((key, when, n, rng.choice("ABC")))
         n += 1
     df = spark.createDataFrame(rows, "k string, at timestamp_ntz, seq int, s string").repartition(5)
-    found = op.previous_version(df, "k", ["at", "seq"], {"before": "s", "before_seq": "seq"}, chunks_per_hot_key=chunks)
+    found = op.previous_version(df, "k", ["at", "seq"], {"before": "s", "before_seq": "seq"}, hot_rows=hot_rows, slices=slices)
     expected = {}
     for key in {r[0] for r in rows}:
         last = None
