@@ -33,8 +33,11 @@ def reconcile_stock(programmes: DataFrame, lots: DataFrame, *, available: str =
 
 
 def never_matched(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of `df` whose key combination does not occur in `other`."""
-    return df.join(other.select(*keys), list(keys), "left_anti")
+    """Rows of `df` whose key combination does not occur in `other`.
+
+    Repeated keys of `other` are dropped in the map tasks before the shuffle.
+    """
+    return df.join(other.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def resale_candidates(sales: DataFrame, resales: DataFrame, as_of: Column) -> DataFrame:

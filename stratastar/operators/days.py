@@ -78,4 +78,4 @@ def days_to_process(days: DataFrame, log: DataFrame | None, *, force: bool = Fal
     wanted = business_days(days, exclude_holidays)
     if force or log is None:
         return wanted
-    return wanted.join(log.select(F.col("date_cible").alias("day")), "day", "left_anti")
+    return wanted.join(log.select(F.col("date_cible").alias("day")).distinct(), "day", "left_anti")

@@ -49,8 +49,9 @@ def append_versions(batch: DataFrame, path: str, *, day: str | None = None, mode
     if mode != "append":
         raise ValueError("mode is 'append' or 'dry_run'")
     if day is None:
-        batch.hint("rebalance").write.mode("append").parquet(path)
+        batch.write.mode("append").parquet(path)
         return
+    # One shuffle by day, in which adaptive execution splits a heavy day: few files per day.
     writer = batch.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(day).parquet(path)
 
@@ -97,7 +98,7 @@ def run_log_rows(
 
 def append_run_log(rows: DataFrame, path: str) -> None:
     """Create the log if absent, then append."""
-    rows.coalesce(1).write.mode("append").parquet(path)
+    rows.write.mode("append").parquet(path)
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:

@@ -31,12 +31,13 @@ class Layout:
         reader = spark.read.option("mergeSchema", "true") if layer == "bronze" else spark.read
         return reader.parquet(self.path(layer, table))
 
-    def save(self, layer: str, table: str, df: DataFrame, *, mode: str = "overwrite") -> DataFrame:
-        """Replace (or append to) a table in files of even size, and read it back.
+    def save(self, layer: str, table: str, df: DataFrame, *, mode: str = "overwrite", rebalance: bool = False) -> DataFrame:
+        """Replace (or append to) a table and read it back.
 
-        The rebalance lets adaptive execution split hot and merge tiny write partitions.
+        Plans that end in a shuffle already have partitions sized by adaptive execution.
+        `rebalance` adds a shuffle that evens out the files of a plan without one.
         """
         path = self.path(layer, table)
-        writer = df.hint("rebalance").write.mode(mode).option("partitionOverwriteMode", "static")
-        writer.parquet(path)
-        return df.sparkSession.read.parquet(path)
+        rows = df.hint("rebalance") if rebalance else df
+        rows.write.mode(mode).option("partitionOverwriteMode", "static").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
