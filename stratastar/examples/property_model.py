@@ -109,7 +109,7 @@ def source_columns(name: str) -> dict[str, str]:
     return columns
 
 
-class Immo:
+class PropertyModel:
     """The layers over one set of given tables; nothing runs until a result is asked for."""
 
     def __init__(self, t: Tables) -> None:
@@ -258,26 +258,26 @@ for _name in catalogue.SILVER:
 
     @query(f"silver_{_name}", silver_sql(_name))
     def _(t: Tables, name=_name):
-        return Immo(t).silver(name)
+        return PropertyModel(t).silver(name)
 
 
 @query("silver_all_versions", silver_sql("ventes_immobilieres", dedup=False))
 def _(t: Tables):
-    return silver_table(Immo(t).bronze("ventes_immobilieres"), catalogue.SILVER["ventes_immobilieres"], dedup=False)
+    return silver_table(PropertyModel(t).bronze("ventes_immobilieres"), catalogue.SILVER["ventes_immobilieres"], dedup=False)
 
 
 for _name in catalogue.DIMENSIONS:
 
     @query(_name, f"{_with(*_sources(_name))} {dimension_rows_sql(_name)}")
     def _(t: Tables, name=_name):
-        return Immo(t).dimensions(name)[name]
+        return PropertyModel(t).dimensions(name)[name]
 
 
 for _name in catalogue.FACTS:
 
     @query(_name, f"{_with(*_sources(_name))} {fact_rows_sql(_name)}")
     def _(t: Tables, name=_name):
-        return Immo(t).fact(name)
+        return PropertyModel(t).fact(name)
 
 
 def _days_sql() -> str:
@@ -294,7 +294,7 @@ _ALL_FACT_SOURCES = [spec.source for spec in catalogue.FACTS.values()]
 
 @query("dim_date", f"{_with(*_ALL_FACT_SOURCES, dedup=False)} SELECT {CALENDAR_SQL} FROM ({_days_sql()}) WHERE d IS NOT NULL")
 def _(t: Tables):
-    return Immo(t).dates()
+    return PropertyModel(t).dates()
 
 
 @query(
@@ -308,7 +308,7 @@ def _(t: Tables):
     + ")",
 )
 def _(t: Tables):
-    return Immo(t).statuses()
+    return PropertyModel(t).statuses()
 
 
 _GRANT = ("user_email", "role_metier", "access_level", "region_id", "agence_id", "conseiller_id", "partenaire_id")
@@ -327,7 +327,7 @@ def _access_sql() -> str:
 
 @query("security_user_access", f"{_with('security_user_access')} {_access_sql()}")
 def _(t: Tables):
-    return access_table(Immo(t).silver("security_user_access"))
+    return access_table(PropertyModel(t).silver("security_user_access"))
 
 
 _QUALITY_TABLES = tuple(dict.fromkeys(check.table for check in catalogue.QUALITY_CHECKS))
@@ -357,7 +357,7 @@ def _quality_sql() -> str:
 
 
 def _gold(t: Tables, *names: str) -> dict[str, DataFrame]:
-    model = Immo(t)
+    model = PropertyModel(t)
     facts = [n for n in names if n in catalogue.FACTS]
     tables = model.facts(*facts) if facts else {}
     missing = [n for n in names if n in catalogue.DIMENSIONS and n not in tables]
@@ -389,7 +389,7 @@ def _freshness_sql() -> str:
 
 def stored_layers(t: Tables) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """All silver and gold tables, each stored once, as a full refresh leaves them."""
-    model = Immo(t)
+    model = PropertyModel(t)
     silver = materialise_all({name: model.silver(name) for name in catalogue.SILVER})
     base = {n: s for n, s in catalogue.DIMENSIONS.items()}
     gold: dict[str, DataFrame] = {}
@@ -514,7 +514,7 @@ def _measures_query(name: str, dim: str, column: str, tables: tuple[str, ...], n
 
     @query(name, sql)
     def _(t: Tables):
-        model = Immo(t)
+        model = PropertyModel(t)
         built = _gold(t, *gold)
         if dim == "dim_date":
             built["dim_date"] = model.dates(*tables)
@@ -548,6 +548,6 @@ for _role_name, _role in ROLES.items():
 
     @query("role_" + _role.dimension, _sql)
     def _(t: Tables, role=_role):
-        model = Immo(t)
+        model = PropertyModel(t)
         access = access_table(model.silver("security_user_access"))
         return visible(model.dimensions(role.dimension)[role.dimension], role, user_grants(access, "User1@Example.com"))

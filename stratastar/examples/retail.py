@@ -246,26 +246,22 @@ def retail_model(t: Tables, *facts: str) -> Model:
 _UNKNOWN = "sha256('__UNKNOWN__')"
 
 
-def _text(columns: dict[str, str], name: str) -> str:
-    return columns[name]
-
-
 SILVER_ORDERS_SQL = f"""silver_orders AS (
-    SELECT {_text(ORDER_TEXT, "order_id")} AS order_id, {_text(ORDER_TEXT, "customer_id")} AS customer_id,
-           CAST(o_orderdate AS DATE) AS date_order, upper(trim({_text(ORDER_TEXT, "status")})) AS status,
+    SELECT {ORDER_TEXT["order_id"]} AS order_id, {ORDER_TEXT["customer_id"]} AS customer_id,
+           CAST(o_orderdate AS DATE) AS date_order, upper(trim({ORDER_TEXT["status"]})) AS status,
            CAST(o_totalprice AS DECIMAL(18,2)) AS amount, o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P' AS is_deleted,
-           CAST({_text(ORDER_TEXT, "updated_at")} AS TIMESTAMP) AS updated_at
+           CAST({ORDER_TEXT["updated_at"]} AS TIMESTAMP) AS updated_at
     FROM orders)"""
 
 SILVER_LINES_SQL = f"""silver_lines AS (
     SELECT * EXCLUDE (rn) FROM (
         SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY updated_at DESC, part_id, supplier_id, date_ship, status,
                                      amount, quantity, is_deleted) AS rn
-        FROM (SELECT {_text(LINE_TEXT, "line_id")} AS line_id, {_text(LINE_TEXT, "part_id")} AS part_id,
-                     {_text(LINE_TEXT, "supplier_id")} AS supplier_id, CAST(l_shipdate AS DATE) AS date_ship,
+        FROM (SELECT {LINE_TEXT["line_id"]} AS line_id, {LINE_TEXT["part_id"]} AS part_id,
+                     {LINE_TEXT["supplier_id"]} AS supplier_id, CAST(l_shipdate AS DATE) AS date_ship,
                      l_linestatus AS status, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
                      CAST(l_quantity AS INTEGER) AS quantity, false AS is_deleted,
-                     CAST({_text(LINE_TEXT, "updated_at")} AS TIMESTAMP) AS updated_at
+                     CAST({LINE_TEXT["updated_at"]} AS TIMESTAMP) AS updated_at
               FROM lineitem)) WHERE rn = 1)"""
 
 DIM_STATUS_SQL = """dim_statut AS (

@@ -133,19 +133,22 @@ def previous_version(
 
     Sorting a key's whole history in one task breaks down when one key holds a large
     share of the rows. Keys of at least `hot_rows` rows are therefore cut into time
-    slices at approximate quantiles of the first order column. Slices are disjoint and
-    ordered, so the window runs inside (key, slice), and only the first row of a slice
-    takes its values from the last row of the slice before it. All other keys have one
-    slice. The broadcast list of cuts has fewer than MAX_HOT_KEYS rows.
+    slices of about that size, at most `slices`, at approximate quantiles of the first
+    order column. Slices are disjoint and ordered, so the window runs inside (key,
+    slice), and only the first row of a slice takes its values from the last row of the
+    slice before it. All other keys have one slice. The broadcast list of cuts has fewer
+    than MAX_HOT_KEYS rows.
     """
     ticks = F.unix_micros(F.col(order_by[0]).cast("timestamp"))
-    hot = hot_keys(df, key, hot_rows).select(F.col(key).alias("__hot"))
+    hot = hot_keys(df, key, hot_rows).select(F.col(key).alias("__hot"), "n_rows")
     steps = [i / slices for i in range(1, slices)]
+    stride = F.greatest(F.lit(1), F.floor(F.lit(slices) / F.ceil(F.col("n_rows") / F.lit(hot_rows))))
     cuts = (
         df.select(F.col(key).alias("__key"), ticks.alias("__ticks"))
         .join(F.broadcast(hot), F.col("__key") == F.col("__hot"))
-        .groupBy("__hot")
-        .agg(F.percentile_approx("__ticks", steps, 10 * slices).alias("__cuts"))
+        .groupBy("__hot", "n_rows")
+        .agg(F.percentile_approx("__ticks", steps, 2 * slices).alias("__steps"))
+        .select("__hot", F.filter("__steps", lambda _, i: (i + 1) % stride == 0).alias("__cuts"))
     )
     sliced = df.join(F.broadcast(cuts), F.col(key) == F.col("__hot"), "left").withColumn(
         "__slice",

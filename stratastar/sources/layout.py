@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Store name per environment.
-STORES = {"dev": "LH_Immo_Dev", "test": "LH_Immo_Test", "prod": "LH_Immo_Prod"}
 LAYERS = ("bronze", "silver", "gold", "tech")
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Paths `<root>/<store of the environment>/<layer>/<table>`; other environments use dev."""
+    """Paths `<root>/<store>/<layer>/<table>`.
+
+    `stores` names the store of each environment; an environment not named uses dev's.
+    """
 
     root: str
     environment: str = "dev"
+    stores: Mapping[str, str] = field(default_factory=lambda: {"dev": "dev", "test": "test", "prod": "prod"})
 
     @property
     def store(self) -> str:
-        return STORES.get(self.environment, STORES["dev"])
+        return self.stores.get(self.environment, self.stores["dev"])
 
     def path(self, layer: str, table: str) -> str:
         if layer not in LAYERS:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratastar.examples import Tables
-from stratastar.examples.immo import Immo
+from stratastar.examples.property_model import PropertyModel
 from stratastar.plans import catalogue, pipeline
 from stratastar.plans.security import ROLES, Role, access_table, secured, user_grants, visible
 from stratastar.plans.semantic import measure_query, propagate
@@ -21,7 +21,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def layers(spark, tmp_path_factory):
     layout = Layout(str(tmp_path_factory.mktemp("warehouse")), "test")
-    model = Immo(Tables(spark, FOLDER))
+    model = PropertyModel(Tables(spark, FOLDER))
     bronze = {s.source: layout.save("bronze", s.source, model.bronze(n)) for n, s in catalogue.SILVER.items()}
     silver = pipeline.build_silver(bronze, save=layout.save)
     gold = pipeline.build_gold(silver, save=layout.save)
@@ -119,7 +119,12 @@ def test_unreachable_dimension_repeats_the_total(layers):
         measure_query(catalogue.model(gold), ["Nb Lots"], [("dim_date", "annee")])
 
 
-ACCESS = "user_access_id string, user_email string, user_name string, role_metier string, access_level string, region_id string, agence_id string, conseiller_id string, partenaire_id string, can_view_commissions boolean, can_view_margin boolean, can_view_personal_data boolean, can_export_data boolean, start_date date, end_date date, is_active boolean, created_at timestamp_ntz, updated_at timestamp_ntz"
+ACCESS = (
+    "user_access_id string, user_email string, user_name string, role_metier string, access_level string, "
+    "region_id string, agence_id string, conseiller_id string, partenaire_id string, can_view_commissions boolean, "
+    "can_view_margin boolean, can_view_personal_data boolean, can_export_data boolean, start_date date, end_date date, "
+    "is_active boolean, created_at timestamp_ntz, updated_at timestamp_ntz"
+)
 
 
 def grant(n, email, level, region=None, agency=None, adviser=None, partner=None, active=True, day=1):

@@ -47,8 +47,9 @@ def test_ingest_folder(spark, tmp_path):
 
 
 def test_layout(spark, tmp_path):
-    layout = Layout(str(tmp_path), "prod")
-    assert layout.path("gold", "x").endswith("/LH_Immo_Prod/gold/x") and Layout("/r", "other").store == "LH_Immo_Dev"
+    layout = Layout(str(tmp_path), "prod", {"dev": "lake_dev", "prod": "lake_prod"})
+    assert layout.path("gold", "x").endswith("/lake_prod/gold/x")
+    assert Layout("/r", "other").path("bronze", "t") == "/r/dev/bronze/t"
     assert layout.save("gold", "x", spark.range(3)).count() == 3
     layout.save("gold", "x", spark.range(2))
     assert layout.read(spark, "gold", "x").count() == 2
