@@ -280,6 +280,42 @@ for _name in catalogue.FACTS:
         return PropertyModel(t).fact(name)
 
 
+# The variants without deduplication in silver: dimensions rank all live versions, facts hold every version.
+
+_CLIENT_PARENTS = ("dim_agence_region", "dim_partenaire", "dim_conseiller")
+_LIVE_CLIENTS = (
+    "s_crm_investisseurs AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY investisseur_id "
+    "ORDER BY last_update_date DESC NULLS LAST, date_creation DESC NULLS LAST) AS rn "
+    f"FROM ({silver_sql('crm_investisseurs', dedup=False)}) WHERE NOT is_deleted) WHERE rn = 1)"
+)
+
+
+@query(
+    "dim_investisseur_from_versions",
+    f"{_with(*[catalogue.DIMENSIONS[n].source for n in _CLIENT_PARENTS])}, {_LIVE_CLIENTS} {dimension_rows_sql('dim_investisseur')}",
+)
+def _(t: Tables):
+    model = PropertyModel(t)
+    names = {*_CLIENT_PARENTS, "dim_investisseur"}
+    versions = {catalogue.DIMENSIONS[n].source: model.versions(catalogue.DIMENSIONS[n].source) for n in names}
+    built = pipeline.build_dimensions(
+        versions, latest=True, deleted_policy="before", only=names, save=lambda _, name, df: materialise(df, name)
+    )
+    return built["dim_investisseur"]
+
+
+@query(
+    "fact_vente_from_versions",
+    f"{_with(*_sources('fact_vente')[1:])}, s_ventes_immobilieres AS ({silver_sql('ventes_immobilieres', dedup=False)}) {fact_rows_sql('fact_vente')}",
+)
+def _(t: Tables):
+    model = PropertyModel(t)
+    spec = catalogue.FACTS["fact_vente"]
+    dims = model.dimensions(*[target.dimension for target in spec.lookups])
+    dims["dim_statut"] = materialise(model.statuses("VENTE"), "dim_statut")
+    return fact(model.versions(spec.source), spec, dims)
+
+
 def _days_sql() -> str:
     parts = []
     for spec in catalogue.FACTS.values():

@@ -29,11 +29,14 @@ def observed_dates(sources: Sequence[tuple[DataFrame, Sequence[str | Column]]])
     return union_all(branches).distinct().select(*calendar_attributes("full_date"))
 
 
+STATUS_WIDTH = 100
+
+
 def domain_values(sources: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Cleaned distinct (domain, value) pairs plus one unknown value per domain, with hash keys."""
     branches = []
     for domain, (df, column) in sources.items():
-        value = F.upper(F.trim(F.col(column)))
+        value = F.substring(F.upper(F.trim(F.col(column))), 1, STATUS_WIDTH)
         seen = df.select(F.lit(domain).alias("domaine_statut"), value.alias("statut_value"))
         branches.append(seen.where("statut_value is not null"))
     spark = branches[0].sparkSession
