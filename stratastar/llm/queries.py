@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratastar.llm import near_dup
+from stratastar.llm import near_dup, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,6 +32,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query(
+    "op4_substring_dedup",
+    r"""
+    WITH worded AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    windows AS (
+        SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM worded WHERE len(w) >= 20)),
+    later AS (
+        SELECT doc_id, i FROM windows
+        QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+    kept AS (
+        SELECT doc_id, i, word FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM worded)
+        ANTI JOIN gone USING (doc_id, i)),
+    joined AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM kept GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+    FROM worded LEFT JOIN joined USING (doc_id)
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.cut_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query(
     "op7_minhash_near_dup",
     r"""
