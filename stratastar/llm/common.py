@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stratastar.session import scratch_path
@@ -10,9 +15,25 @@ from stratastar.session import scratch_path
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
+#: Folder of the shipped code by application; it goes when this Python ends.
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
+
+
 def settle(spark: SparkSession) -> SparkSession:
+    """Batch sizes, and this package's code for the Python workers, once per application."""
     for key, value in BATCH.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        code = io.BytesIO()
+        with zipfile.ZipFile(code, "w", zipfile.ZIP_DEFLATED) as archive:
+            for file in sorted(package.rglob("*.py")):
+                archive.write(file, file.relative_to(package.parent))
+        folder = _SHIPPED[context.applicationId] = tempfile.TemporaryDirectory()
+        path = Path(folder.name, f"{package.name}.zip")
+        path.write_bytes(code.getvalue())
+        context.addPyFile(str(path))  # the driver serves it to the executors
     return spark
 
 
