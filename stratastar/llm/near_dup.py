@@ -5,17 +5,18 @@ whole sequence is its one member. Two documents link when 100 * |A and B| >= 85
 a component is what links reach.
 
 1. One pass over the texts gives, per document, the size and a 128-bit fingerprint of its set,
-   252 MinHash samples folded into 36 band keys of 7, and an odd sketch: a bitmap of 512 bits
-   in which every sample flips one bit. Documents with equal sets are one class from here on.
+   252 MinHash samples as 36 band keys of 7, and an odd sketch: 1024 further samples (the least
+   hash in each of 1024 bins) each flip one of 2048 bits. Two sketches differ in few bits if
+   the samples agree. Documents with equal sets are one class from here on.
 2. Classes that share a band key stand in one bucket. Each is compared with the bucket's
    smallest member, first by sketch, then on full sets; confirmed links are contracted.
 3. Where a bucket still holds several components, its members outside the first member's
    component meet the members of other components, again by sketch, then on full sets.
    So every two classes that share a bucket are connected, or compared and found apart.
 
-The sketch estimates the similarity with a standard error of about 0.025 at 0.85; pairs
-estimated below SKETCH_FLOOR are not confirmed. Two sets of similarity 0.85 share no bucket with
-a chance below 1e-6.
+A pair is left unconfirmed only if its sketches agree in fewer samples than a similarity of 0.85
+gives, less DEVIATIONS standard deviations. Two sets of similarity 0.85 share no bucket with a
+chance below 1e-6.
 
 Defined cases: null or empty texts and texts without words have an empty set and link with
 nothing. Rows with a null id link with nothing and are kept. Rows that share an id are each
@@ -39,16 +40,16 @@ from stratastar.llm.words import Words, chunks, mix, signed, stream, words_of
 SHINGLE = 5
 BANDS, ROWS = 36, 7
 SAMPLES = BANDS * ROWS
-SKETCH_BITS = 512
-#: Five standard errors of the estimate below the threshold.
-SKETCH_FLOOR = 0.73
+BINS = 1024
+SKETCH_BITS = 2048
+DEVIATIONS = 5
 
 _U = np.uint64
 _SCALE = (stream(21, SAMPLES) >> _U(32)).astype(np.uint32) | np.uint32(1)
 _SHIFT = (stream(22, SAMPLES) >> _U(32)).astype(np.uint32)
 _FOLD = stream(23, ROWS) | _U(1)
 _BAND = stream(24, BANDS)
-_SAMPLE = stream(25, SAMPLES)
+_BIN = stream(25, BINS)
 #: Values of one block of samples; it stays in the cache of a core.
 _BLOCK = 1024
 
@@ -106,12 +107,21 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return keys
 
 
-def odd_sketches(samples: np.ndarray) -> np.ndarray:
-    """(text, word of 64 bits): sample i flips the bit that its value and i hash to."""
-    n = samples.shape[1]
-    bits = (mix(samples.T.astype(np.uint64) ^ _SAMPLE[None, :]) % _U(SKETCH_BITS)).astype(np.int64)
-    flips = np.bincount((bits + np.arange(n)[:, None] * SKETCH_BITS).ravel(), minlength=n * SKETCH_BITS) & 1
-    return np.packbits(flips.astype(np.uint8).reshape(n, SKETCH_BITS), axis=1, bitorder="little").view(np.int64)
+def odd_sketches(members: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, word of 64 bits), and the number of samples per text.
+
+    A sample is the least member of one bin; it flips the bit that it and its bin hash to.
+    """
+    texts = len(sizes)
+    h = mix(members ^ _U(0x6A09E667F3BCC909))
+    place = np.repeat(np.arange(texts), sizes) * BINS + (h % _U(BINS)).astype(np.int64)
+    least = np.full(texts * BINS, ~_U(0))
+    np.minimum.at(least, place, h >> _U(10))
+    filled = np.flatnonzero(least != ~_U(0))
+    bit = (mix(least[filled] ^ _BIN[filled % BINS]) % _U(SKETCH_BITS)).astype(np.int64)
+    flips = np.bincount(bit + filled // BINS * SKETCH_BITS, minlength=texts * SKETCH_BITS) & 1
+    bits = np.packbits(flips.astype(np.uint8).reshape(texts, SKETCH_BITS), axis=1, bitorder="little").view(np.int64)
+    return bits, np.bincount(filled // BINS, minlength=texts)
 
 
 def _lists(values: np.ndarray) -> pa.Array:
@@ -121,7 +131,7 @@ def _lists(values: np.ndarray) -> pa.Array:
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row, end, data, offsets in chunks(batch.column(1)):
+        for row, end, data, offsets in chunks(batch.column(1), rows=512):
             members, sizes = shingle_sets(words_of(data, offsets, lower=True))
             full = np.flatnonzero(sizes)
             ids = batch.column(0).slice(row, end - row)
@@ -129,12 +139,13 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(none):
                 blank = pa.nulls(len(none), pa.int64())
                 empty = pa.nulls(len(none), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(none)), pa.array(sizes[none]), blank, blank, empty, empty], _NAMES)
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(none)), pa.array(sizes[none]), blank, blank, empty, empty, blank], _NAMES)
             if len(full):
                 heads = np.cumsum(sizes[full]) - sizes[full]
                 one = np.add.reduceat(mix(members), heads)
                 two = np.add.reduceat(mix(members ^ _U(0x5851F42D4C957F2D)), heads)
                 samples = samples_of(members, sizes[full])
+                sketches, filled = odd_sketches(members, sizes[full])
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(pa.array(full)),
@@ -142,14 +153,15 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         pa.array(signed(one)),
                         pa.array(signed(two)),
                         _lists(signed(band_keys(samples))),
-                        _lists(odd_sketches(samples)),
+                        _lists(sketches),
+                        pa.array(filled),
                     ],
                     _NAMES,
                 )
 
 
-_NAMES = ["doc_id", "n_shingles", "print_1", "print_2", "bands", "sketch"]
-_SCHEMA = "doc_id long, n_shingles long, print_1 long, print_2 long, bands array<long>, sketch array<long>"
+_NAMES = ["doc_id", "n_shingles", "print_1", "print_2", "bands", "sketch", "filled"]
+_SCHEMA = "doc_id long, n_shingles long, print_1 long, print_2 long, bands array<long>, sketch array<long>, filled long"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,18 +173,28 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), sets], ["doc_id", "members"])
 
 
-def similarity(one: Column, two: Column) -> Column:
-    """Similarity estimated from the bits in which two odd sketches differ."""
-    apart = sum((F.bit_count(one[i].bitwiseXOR(two[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
-    left = F.greatest(1 - 2 * apart / F.lit(SKETCH_BITS), F.lit(1e-9))
-    return 1 + F.log(left) * SKETCH_BITS / (4 * SAMPLES)
+def agreeing(one: Column, two: Column, filled: Column) -> Column:
+    """Samples that two sets share, estimated from the bits in which their odd sketches differ."""
+    bits = SKETCH_BITS
+    apart = sum((F.bit_count(one[i].bitwiseXOR(two[i])) for i in range(bits // 64)), F.lit(0))
+    differ = -F.lit(bits / 2) * F.log(F.greatest(1 - 2 * apart / F.lit(bits), F.lit(1e-9)))
+    return (filled - differ) / 2
 
 
 def _likely(a: str, b: str) -> Column:
     """Neither the sizes nor the sketches rule the link out."""
-    n, m = F.col(f"n_{a}"), F.col(f"n_{b}")
+    n, m, filled = F.col(f"n_{a}"), F.col(f"n_{b}"), F.col(f"f_{a}") + F.col(f"f_{b}")
     fits = 100 * F.least(n, m) >= 85 * F.greatest(n, m)
-    return fits & (similarity(F.col(f"s_{a}"), F.col(f"s_{b}")) >= SKETCH_FLOOR)
+    # What a similarity of exactly 0.85 gives: members of the union, bins they fill, samples shared
+    # and apart, and the variances of sampling by bins and of folding into bits.
+    union = (n + m) / 1.85
+    bins = BINS * (1 - F.exp(-union / BINS))
+    apart = F.greatest(filled - 2 * 0.85 * bins, F.lit(1.0))
+    two, four = F.pow(F.lit(1 - 2 / SKETCH_BITS), apart), F.pow(F.lit(1 - 4 / SKETCH_BITS), apart)
+    folding = (SKETCH_BITS / 4 * (1 - four) + SKETCH_BITS**2 / 4 * (four - two * two)) / (two * two)
+    sampling = 0.85 * 0.15 * bins * F.greatest(1 - bins / union, F.lit(0.0))
+    least = 0.85 * bins - DEVIATIONS * F.sqrt(sampling + F.greatest(folding, F.lit(0.0)) / 4) - 1
+    return fits & (agreeing(F.col(f"s_{a}"), F.col(f"s_{b}"), filled) >= least)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -199,7 +221,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("print_1", "print_2").agg(F.min("doc_id").alias("rep"))
     classes = scratch.store(classes, "classes")
     first = (every["print_1"] == classes["print_1"]) & (every["print_2"] == classes["print_2"]) & (every["doc_id"] == classes["rep"])
-    chosen = scratch.store(every.join(classes, first, "left_semi").select("doc_id", "n_shingles", "bands", "sketch").dropDuplicates(["doc_id"]), "chosen")
+    chosen = scratch.store(every.join(classes, first, "left_semi").select("doc_id", "n_shingles", "bands", "sketch", "filled").dropDuplicates(["doc_id"]), "chosen")
 
     banded = chosen.select("doc_id", F.explode("bands").alias("key"))
     leads = banded.groupBy("key").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).where("lead < last")
@@ -207,7 +229,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     buckets = scratch.store(banded.join(leads, "key").select("key", "doc_id", "lead"), "buckets")
 
     def looked_up(side: str) -> DataFrame:
-        return chosen.select(F.col("doc_id").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
+        return chosen.select(F.col("doc_id").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"), F.col("filled").alias(f"f_{side}"))
 
     stars = buckets.where("doc_id <> lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
     stars = stars.join(looked_up("a"), "a").join(looked_up("b"), "b").where(_likely("a", "b")).select("a", "b")

@@ -7,10 +7,11 @@ earlier in the same document. Every word covered by a repeating window goes.
 1. Seeds. Each window elects the smallest hash among its runs of ANCHOR words (winnowing), so
    equal windows elect equal anchors, and about one word in seven is an anchor. Anchors that
    occur twice or more anywhere are the seeds; the join on them brings documents together.
-2. Extension. Around each seed the match is extended to the left and the right, to every window
-   that elected it, and compared by a 128-bit hash of its 20 words. Each task keeps the first
-   window of every hash among its own rows, so that a passage found in a third of all documents
-   meets in the comparison only once per task.
+2. Extension. Around each seed the match is extended to the left and the right, over the run of
+   windows that elected it. Where all runs of a seed have the same words, as inside long copies,
+   whole runs are compared; elsewhere, as at the ends of a passage, each window on its own. Both
+   by a 128-bit hash of the words. Each task keeps the first place of every hash among its own
+   rows, so that a passage found in a third of all documents meets only once per task.
 3. Maximal repeats. Adjacent repeating windows merge into spans; nothing under WINDOW words is one.
 
 Defined cases: a null text has no words; texts under WINDOW words have no window and stay whole.
@@ -22,6 +23,7 @@ pass through untouched, whatever their names; others are not read. An empty tabl
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +33,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratastar.llm.common import Scratch, settle
-from stratastar.llm.words import Words, chunks, signed, words_of
+from stratastar.llm.words import GRAMS, GRAMS_2, OTHER, Powers, Words, chunks, mix, signed, sums_between, words_of
 
 WINDOW = 20
 ANCHOR = 8
 #: Anchors in a window.
 SPREAD = WINDOW - ANCHOR + 1
-#: Candidate windows that a task holds before it compares them among themselves.
-HELD = 1_000_000
+#: Candidate runs and windows that a task holds before it compares them among themselves.
+HELD = 400_000
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -51,87 +53,134 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def elected(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First word and elected anchor of every window, text and hash of every elected place."""
+@dataclass(frozen=True)
+class Elected:
+    """Windows of one chunk and what they elected, and the runs of windows that elected the same.
+
+    `first` is a window's first word; run r is windows run[r]:run[r + 1], and `several[r]` tells
+    that its anchor stands in it more than once.
+    """
+
+    first: np.ndarray
+    anchor: np.ndarray
+    run: np.ndarray
+    several: np.ndarray
+
+
+def elected(words: Words) -> Elected:
     at, hashes = words.grams(ANCHOR)
     if len(hashes) < SPREAD:
         none = np.zeros(0, np.int64)
-        return none, np.zeros(0, np.uint64), none, np.zeros(0, np.uint64)
+        return Elected(none, np.zeros(0, np.uint64), np.zeros(1, np.int64), none)
     owner = words.owner()[at]
     whole = owner[: len(at) - SPREAD + 1] == owner[SPREAD - 1 :]
     least = _sliding_min(hashes, SPREAD)
-    # A place is elected if its hash is the minimum of some window over it, thus the largest of those minima.
-    padded = np.zeros(len(hashes) + SPREAD - 1, np.uint64)
-    padded[SPREAD - 1 : SPREAD - 1 + len(least)] = np.where(whole, least, 0)
-    most = ~_sliding_min(~padded, SPREAD)
-    place = np.flatnonzero((most == hashes) & (most > 0))
-    return at[: len(whole)][whole], least[whole], owner[place], hashes[place]
+    gram = np.flatnonzero(whole)
+    first, anchor = at[gram], least[gram]
+    opens = np.ones(len(first), bool)
+    opens[1:] = (anchor[1:] != anchor[:-1]) | (gram[1:] != gram[:-1] + 1)
+    run = np.append(np.flatnonzero(opens), len(first))
+    if not len(first):
+        return Elected(first, anchor, np.zeros(1, np.int64), np.zeros(0, bool))
+    heads, tails = gram[run[:-1]], gram[run[1:] - 1] + SPREAD
+    several = _occurrences(hashes, anchor[run[:-1]], heads, tails) > 1
+    return Elected(first, anchor, run, several)
+
+
+def _occurrences(hashes: np.ndarray, wanted: np.ndarray, heads: np.ndarray, tails: np.ndarray) -> np.ndarray:
+    """How often wanted[i] stands in hashes[heads[i]:tails[i]]."""
+    size = tails - heads
+    owner = np.repeat(np.arange(len(size)), size)
+    inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + heads[owner]
+    return np.bincount(owner[hashes[inside] == wanted[owner]], minlength=len(size))
+
+
+def _spans(words: Words, found: Elected, powers: Powers, values: np.ndarray) -> np.ndarray:
+    """Hash of all words of every run."""
+    start, size = found.first[found.run[:-1]], np.diff(found.run) + WINDOW - 1
+    return mix(sums_between(values, powers, start, start + size) ^ size.astype(np.uint64))
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, anchor, n) once per document and anchor; n is 2 if it stands there more than once."""
+    """(doc_id, anchor, content, n, inner) once per document, anchor and words of its run.
+
+    n is 2 if the anchor stands in the document more than once; inner: more than once in the run,
+    so that the run may repeat windows of its own.
+    """
     for batch in batches:
         for row, end, data, offsets in chunks(batch.column(1)):
-            _, _, owner, anchor = elected(words_of(data, offsets))
-            if not len(anchor):
+            words = words_of(data, offsets)
+            found = elected(words)
+            if not len(found.first):
                 continue
-            order = np.lexsort((anchor, owner))
-            owner, anchor = owner[order], anchor[order]
+            heads = found.run[:-1]
+            owner, anchor, content = words.owner()[found.first[heads]], found.anchor[heads], _spans(words, found, GRAMS, words.hashes)
+            order = np.lexsort((content, anchor, owner))
+            owner, anchor, content, several = owner[order], anchor[order], content[order], found.several[order]
             head = np.ones(len(anchor), bool)
-            head[1:] = (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])
+            head[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1]) | (owner[1:] != owner[:-1])
             head = np.flatnonzero(head)
-            n = np.minimum(np.diff(np.append(head, len(anchor))), 2).astype(np.int32)
+            n = np.minimum(np.diff(np.append(head, len(anchor))) + several[head], 2).astype(np.int32)
             ids = batch.column(0).slice(row, end - row).take(pa.array(owner[head]))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(signed(anchor[head])), pa.array(n)], ["doc_id", "anchor", "n"])
+            inner = pa.array(several[head])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(signed(anchor[head])), pa.array(signed(content[head])), pa.array(n), inner], ["doc_id", "anchor", "content", "n", "inner"])
 
 
 _FOUND = ["hash_1", "hash_2", "doc_id", "row", "start", "length"]
 
 
 def _compared(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-    """Among the windows held: the first place of every hash, and runs of windows that come later."""
-    one, two, doc, row, start = (np.concatenate(x) for x in zip(*parts, strict=True))
+    """Among the places held: the first one of every hash, and merged runs of those that come later."""
+    one, two, doc, row, start, length = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.lexsort((start, doc, two, one))
-    one, two, doc, row, start = (x[order] for x in (one, two, doc, row, start))
+    one, two, doc, row, start, length = (x[order] for x in (one, two, doc, row, start, length))
     fresh = np.ones(len(one), bool)
     fresh[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
     head = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
     first = (doc == doc[head]) & (start == start[head])
-    yield pa.RecordBatch.from_arrays(
-        [*map(pa.array, (signed(one[first]), signed(two[first]), doc[first], row[first], start[first])), pa.array(np.ones(int(first.sum()), np.int32))], _FOUND
-    )
-    doc, row, start = doc[~first], row[~first], start[~first]
+    yield pa.RecordBatch.from_arrays([pa.array(x[first]) for x in (signed(one), signed(two), doc, row, start, length)], _FOUND)
+    doc, row, start, length = doc[~first], row[~first], start[~first], length[~first]
     if len(doc):
         order = np.lexsort((start, row, doc))
-        doc, row, start = doc[order], row[order], start[order]
+        doc, row, start, end = doc[order], row[order], start[order], (start + length)[order]
         cut = np.ones(len(doc), bool)
-        cut[1:] = (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]) | (start[1:] > start[:-1] + 1)
+        cut[1:] = (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]) | (start[1:] > end[:-1])
         head = np.flatnonzero(cut)
         last = np.append(head[1:], len(doc)) - 1
         blank = pa.nulls(len(head), pa.int64())
-        length = (start[last] - start[head] + 1).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([blank, blank, *map(pa.array, (doc[head], row[head], start[head], length))], _FOUND)
+        yield pa.RecordBatch.from_arrays([blank, blank, *map(pa.array, (doc[head], row[head], start[head], end[last] - start[head]))], _FOUND)
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows that elected a seed, compared with the others of this task."""
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of the seeds whose runs are all alike, and windows of the others, compared within this task."""
     parts, held = [], 0
     for batch in batches:
         ids, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        seeds = batch.column(3)
         for row, end, data, offsets in chunks(batch.column(2)):
             words = words_of(data, offsets)
-            at, anchor, _, _ = elected(words)
-            wanted = np.unique(seeds.slice(row, end - row).flatten().to_numpy(zero_copy_only=False)).view(np.uint64)
-            near = np.isin(anchor, wanted)
-            (_, one), (_, two) = words.grams(WINDOW), words.grams(WINDOW, second=True)
-            owner = words.owner()[at[near]]
-            start = (at[near] - words.first[owner]).astype(np.int32)
-            parts.append((one[near], two[near], ids[row + owner], rows[row + owner], start))
-            held += len(start)
-            if held >= HELD:
-                yield from _compared(parts)
-                parts, held = [], 0
+            found = elected(words)
+            alike, mixed = (np.unique(batch.column(i).slice(row, end - row).flatten().to_numpy()).view(np.uint64) for i in (3, 4))
+
+            def add(first, one, two, length, words=words, row=row):
+                nonlocal held
+                owner = words.owner()[first]
+                start = (first - words.first[owner]).astype(np.int32)
+                parts.append((one, two, ids[row + owner], rows[row + owner], start, length.astype(np.int32)))
+                held += len(start)
+
+            heads = found.run[:-1]
+            near = np.isin(found.anchor[heads], alike)
+            if near.any():
+                one = _spans(words, found, GRAMS, words.hashes)
+                two = _spans(words, found, GRAMS_2, mix(words.hashes ^ OTHER))
+                add(found.first[heads[near]], one[near], two[near], np.diff(found.run)[near])
+            near = np.isin(found.anchor, mixed)
+            if near.any():
+                (_, one), (_, two) = words.grams(WINDOW), words.grams(WINDOW, second=True)
+                add(found.first[near], one[near], two[near], np.ones(int(near.sum())))
+        if held >= HELD:
+            yield from _compared(parts)
+            parts, held = [], 0
     if held:
         yield from _compared(parts)
 
@@ -145,13 +194,18 @@ def maximal_repeats(documents: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "repeats")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("row"), F.col("text").cast("string").alias("text"))
     docs = docs.where("doc_id is not null and text is not null")
-    anchors = scratch.store(docs.select("doc_id", "text").mapInArrow(_anchors, "doc_id long, anchor long, n int"), "anchors")
-    seeds = scratch.store(anchors.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "seeds")
-    seeded = anchors.join(seeds, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("seeds"))
+    anchors = docs.select("doc_id", "text").mapInArrow(_anchors, "doc_id long, anchor long, content long, n int, inner boolean")
+    anchors = scratch.store(anchors, "anchors")
+    seeds = anchors.groupBy("anchor").agg(
+        F.sum("n").alias("n"), (F.max("inner") | (F.min("content") != F.max("content"))).alias("mixed")
+    )
+    seeds = scratch.store(seeds.where("n > 1").select("anchor", "mixed"), "seeds")
+    seeded = anchors.select("doc_id", "anchor").join(seeds, "anchor").groupBy("doc_id")
+    seeded = seeded.agg(*(F.collect_set(F.when(which, F.col("anchor"))).alias(name) for name, which in (("alike", ~F.col("mixed")), ("mixed", F.col("mixed")))))
     seeded = scratch.store(seeded, "seeded")
     scratch.drop("anchors", "seeds")
-    found = docs.join(seeded, "doc_id").select("doc_id", "row", "text", "seeds")
-    found = scratch.store(found.mapInArrow(_windows, "hash_1 long, hash_2 long, doc_id long, row int, start int, length int"), "windows")
+    found = docs.join(seeded, "doc_id").select("doc_id", "row", "text", "alike", "mixed")
+    found = scratch.store(found.mapInArrow(_places, "hash_1 long, hash_2 long, doc_id long, row int, start int, length int"), "places")
     place = W.partitionBy("hash_1", "hash_2").orderBy("doc_id", "start")
     later = found.where("hash_1 is not null").withColumn("place", F.rank().over(place)).where("place > 1")
     later = later.select("doc_id", "row", "start", "length").unionByName(found.where("hash_1 is null").select("doc_id", "row", "start", "length"))

@@ -14,6 +14,7 @@ import pyarrow as pa
 
 #: Bytes of text handled at once; a longer text is still handled whole.
 CHUNK_BYTES = 1 << 20
+CHUNK_ROWS = 2048
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -58,8 +59,10 @@ class Powers:
 
 
 _BYTES = Powers(0x9E3779B97F4A7C15 | 1)
-_GRAMS = Powers(0xD6E8FEB86659FD93 | 1)
-_GRAMS_2 = Powers(0xA0761D6478BD642F | 1)
+GRAMS = Powers(0xD6E8FEB86659FD93 | 1)
+GRAMS_2 = Powers(0xA0761D6478BD642F | 1)
+#: Makes a second, independent value of each word.
+OTHER = _U(0x2545F4914F6CDD1D)
 _CODE = stream(11, 256)
 _CODE_LOWER = _CODE.copy()
 _CODE_LOWER[65:91] = _CODE[97:123]
@@ -99,8 +102,8 @@ class Words:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         owner = self.owner()
         at = np.flatnonzero(owner[: n - k + 1] == owner[k - 1 :])
-        values = mix(self.hashes ^ _U(0x2545F4914F6CDD1D)) if second else self.hashes
-        return at, mix(sums_between(values, _GRAMS_2 if second else _GRAMS, at, at + k) + _U(k))
+        values = mix(self.hashes ^ OTHER) if second else self.hashes
+        return at, mix(sums_between(values, GRAMS_2 if second else GRAMS, at, at + k) + _U(k))
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
@@ -137,12 +140,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of runs of rows with about `size` bytes of text."""
+def chunks(column: pa.Array, size: int = CHUNK_BYTES, rows: int = CHUNK_ROWS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of runs of rows with about `size` bytes of text, `rows` at most."""
     data, offsets = utf8(column)
     row, n = 0, len(column)
     while row < n:
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
+        end = min(end, row + rows)
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
 
