@@ -12,7 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from stratastar.session import scratch_path
 
 #: Whole texts travel to Python in batches of about this size, so that few very long ones fit too.
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+#: Shuffled texts are dealt to tasks in smaller parts than Spark's own rows, as Python holds them too.
+BATCH = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
+}
 
 
 #: Folder of the shipped code by application; it goes when this Python ends.

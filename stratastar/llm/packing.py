@@ -4,8 +4,8 @@ A document's ids, followed by the end id, are cut into pieces only where they ex
 sequence length. Pieces are packed by length alone, so the plan is made on the histogram of
 lengths (at most CAPACITY entries, however large the corpus):
 
-1. Linear grouping. Pieces over SMALL tokens, longest first, are split into GROUPS groups of
-   equal cardinality, and each group counts as its longest length.
+1. Linear grouping. Pieces over a share SMALL of a sequence, longest first, are split into GROUPS
+   groups of equal cardinality, and each group counts as its longest length.
 2. Configurations. Over those few sizes, sequences are filled by configurations (how many of
    each size); column generation finds the mix that needs fewest sequences, rounded down, and
    what is left over goes to step 4 with the small pieces.
@@ -42,7 +42,8 @@ from stratastar.llm.words import chunks
 
 CAPACITY = 2048
 END = 0
-SMALL = 128
+#: Pieces up to this share of a sequence are small. Each share is tried on the histogram; the plan with fewest sequences wins.
+SMALL = (1 / 8, 1 / 3, 2 / 5, 1 / 2)
 GROUPS = 96
 #: Rows ranked together.
 SALTED = 50_000
@@ -252,8 +253,12 @@ def best_fit(bins: list[Bins], histogram: dict[int, int], capacity: int) -> None
             rooms.setdefault(one.room, []).append(one)
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS, small: int = SMALL) -> list[Bins]:
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[Bins]:
     """Sequences for pieces of the given lengths. Its size follows the number of lengths."""
+    return min((planned(histogram, capacity, groups, int(share * capacity)) for share in SMALL), key=lambda bins: sum(b.many for b in bins))
+
+
+def planned(histogram: dict[int, int], capacity: int, groups: int, small: int) -> list[Bins]:
     left = {n: c for n, c in histogram.items() if c > 0}
     large = {n: c for n, c in left.items() if n > small}
     bins: list[Bins] = []
@@ -316,16 +321,16 @@ def slots(bins: list[Bins]) -> np.ndarray:
 
 def _placed(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The last column, a rank within the length, becomes sequence_id and offset."""
-    base = int(table[:, 1].max() + 1) if len(table) else 1
-    wide = [int(a) * base + int(b) for a, b in table[:, :2].tolist()]
     lengths, firsts = np.unique(table[:, 0], return_index=True)
-    ends = np.append(firsts[1:], len(wide))
+    ends = np.append(firsts[1:], len(table))
     for batch in batches:
         length, rank = batch.column(3).to_numpy(), batch.column(5).to_numpy()
-        at = np.zeros(len(length), np.int64)
         which = np.searchsorted(lengths, length)
-        for k in np.unique(which):
-            mine = which == k
+        order = np.argsort(which, kind="stable")
+        cuts = np.flatnonzero(np.diff(which[order], prepend=-1))
+        at = np.zeros(len(length), np.int64)
+        for mine in np.split(order, cuts[1:]):
+            k = which[mine[0]] if len(mine) else 0
             at[mine] = firsts[k] + np.searchsorted(table[firsts[k] : ends[k], 1], rank[mine], "right") - 1
         past = rank - table[at, 1]
         sequence = table[at, 2] + past // table[at, 4]
