@@ -51,7 +51,7 @@ def test_accuracy_on_held_out_documents(spark):
 @pytest.fixture(scope="module")
 def small(spark):
     texts = {"en": "the cat and the dog with that hat ", "de": "und der die das nicht ein zwei über "}
-    rows = [(i, texts[k] * (1 + i % 3) + str(i), k) for i in range(60) for k in [("en", "de")[i % 2]]]
+    rows = [(i + 1, texts[k] * (1 + i % 3) + str(i), k) for i in range(60) for k in [("en", "de")[i % 2]]]
     return spark.createDataFrame(rows, SCHEMA)
 
 
