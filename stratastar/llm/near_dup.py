@@ -245,8 +245,13 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     # The first member has met everyone already. Two of the others meet once, from the smaller id.
     met = placed.where("doc_id <> lead").join(others.select("key").distinct(), "key", "left_semi")
     met = met.select("key", F.col("doc_id").alias("b"), F.col("part").alias("part_b"), (F.col("part") != F.col("lead_part")).alias("other"))
-    left, right = others.join(looked_up("a"), "a"), met.join(looked_up("b"), "b")
-    meets = left.join(right, (left["key"] == right["key"]) & (F.col("part_a") != F.col("part_b")) & (~F.col("other") | (F.col("a") < F.col("b"))) & _likely("a", "b"))
+    bands = [chosen.select(F.col("doc_id").alias(side), F.col("bands").alias(f"k_{side}")) for side in ("a", "b")]
+    left = others.join(looked_up("a"), "a").join(bands[0], "a")
+    right = met.join(looked_up("b"), "b").join(bands[1], "b")
+    apart = (F.col("part_a") != F.col("part_b")) & (~F.col("other") | (F.col("a") < F.col("b"))) & _likely("a", "b")
+    # Two documents may share several buckets; they meet in the first.
+    shared = F.array_position(F.zip_with("k_a", "k_b", lambda x, y: x == y), True)
+    meets = left.join(right, (left["key"] == right["key"]) & apart & (shared == F.array_position(F.col("k_a"), left["key"])))
     more = scratch.store(meets.select("a", "b").distinct(), "meets")
     scratch.drop("leads", "buckets", "placed", "others")
     if not more.isEmpty():
