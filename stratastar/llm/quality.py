@@ -6,8 +6,8 @@ One pass over all texts adds to each symbol the index vectors of the words and s
 REACH to each side. The table of sums has a fixed size; tasks send their share of it and Spark
 adds the shares up. Numbers stay integers, so the sums do not depend on the order.
 
-Pooling. A text's features are the mean and the spread of its words' and its shapes' vectors, and
-how often each shape stands in it.
+Pooling. A text's features are the mean and the spread of its words' and its shapes' vectors, how
+often each shape stands in it, how often a word follows itself, and the logarithm of its length.
 
 Network. Two layers, trained in numpy on up to TRAINED labelled texts by Adam; a tenth of them
 stops the training and sets the temperature that the probabilities are calibrated with.
@@ -47,6 +47,7 @@ _KIND[[ord(c) for c in ".,;:?!'\""]] = 8
 #: Shapes: kinds present, and four classes of length.
 SHAPES = 64 * 4
 SYMBOLS = WORDS + SHAPES
+FEATURES = 4 * DIM + SHAPES + 2
 
 _RANDOM = stream(61, SYMBOLS * NONZERO).reshape(SYMBOLS, NONZERO)
 _PLACE = (_RANDOM % np.uint64(DIM)).astype(np.int64)
@@ -129,7 +130,9 @@ def pooled(words: Words, vectors: np.ndarray) -> np.ndarray:
         share = share.astype(np.float32) / number
         mean = share @ vectors[low:high]
         out += [mean, np.sqrt(np.maximum(share @ (vectors[low:high] ** 2) - mean**2, 0))]
-    return np.hstack([*out, share])
+    again = (words.hashes[1:] == words.hashes[:-1]) & (owner[1:] == owner[:-1])
+    again = np.bincount(owner[1:][again], minlength=texts)[:, None] / number
+    return np.hstack([*out, share, again, np.log1p(words.counts)[:, None]]).astype(np.float32)
 
 
 @dataclass(frozen=True)
@@ -200,7 +203,7 @@ def trained(features: np.ndarray, label: np.ndarray, seed: int = 7, most: int =
 def _features(batches: Iterator[pa.RecordBatch], vectors: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row, end, data, offsets in chunks(batch.column(0), rows=256):
-            rows = pooled(words_of(data, offsets, lower=True), vectors).astype("<f4")
+            rows = pooled(words_of(data, offsets, lower=True), vectors)
             yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows]), batch.column(1).slice(row, end - row)], ["features", "label"])
 
 
@@ -214,8 +217,7 @@ def train(documents: DataFrame, labels: DataFrame, vectors) -> Network:
     sample = docs.join(F.broadcast(chosen), "doc_id").select("text", "label")  # TRAINED rows of two numbers
     rows = sample.mapInArrow(lambda batches: _features(batches, vectors.value), "features binary, label int").toPandas()
     rows = rows.sort_values(["label", "features"], kind="stable") if len(rows) else rows
-    width = 4 * DIM + SHAPES
-    return trained(np.frombuffer(b"".join(rows["features"]), "<f4").reshape(-1, width).astype(float), rows["label"].to_numpy(int))
+    return trained(np.frombuffer(b"".join(rows["features"]), np.float32).reshape(-1, FEATURES).astype(float), rows["label"].to_numpy(int))
 
 
 def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
