@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratastar.llm import language_id, near_dup, packing, quality, substring_dedup
+from stratastar.llm import exact_search, language_id, multi_index, near_dup, packing, quality, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -108,3 +108,28 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_quality_classifier")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op1_multi_index")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op10_exact_top_k",
+    """
+    WITH usable AS (
+        SELECT vec_id, min(embedding) AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        GROUP BY vec_id),
+    weighted AS (SELECT vec_id, list_transform(e, lambda x: floor(64 * x::DOUBLE)) AS w FROM usable),
+    scored AS (
+        SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.w, v.w)::BIGINT AS score
+        FROM weighted q JOIN weighted v ON q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id)
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+    FROM scored QUALIFY rank <= 20
+    """,
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_search.exact_top_k(table(spark, sf_dir, "embeddings"))
