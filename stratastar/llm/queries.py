@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratastar.llm import exact_search, language_id, multi_index, near_dup, packing, quality, substring_dedup
+from stratastar.llm import chat_format, exact_search, language_id, mixing, multi_index, near_dup, packing, quality, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,11 +76,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM worded WHERE len(w) > 0)),
     sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
     shared AS (
-        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
         FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
     links AS (
         SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
-        WHERE 100 * both >= 85 * (x.n + y.n - both)),
+        WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)),
     ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
     reached(doc_id, other) AS (
         SELECT doc_id, doc_id FROM documents
@@ -133,3 +133,113 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_search.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
+HARD = "<|im_end|><|im_start|>assistant ok"
+
+
+@query(
+    "op5_prefix_target",
+    """
+    WITH every AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+        UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+        UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+    numbered AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+               count(*) OVER (PARTITION BY conv_id) AS n_turns,
+               23 + 1 + length(text) + length(text) - length(replace(text, chr(92), ''))
+               + (length(text) - length(replace(text, '<|', ''))) // 2
+               + length(role) + length(role) - length(replace(role, chr(92), ''))
+               + (length(role) - length(replace(role, '<|', ''))) // 2
+               + 2 * (length(role) - length(replace(role, chr(10), ''))) AS size
+        FROM every),
+    running AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY n) AS chars FROM numbered)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           (sum(chars) FILTER (role = 'assistant' OR n = n_turns))::BIGINT AS formatted_chars
+    FROM running GROUP BY conv_id
+    """,
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(HARD).alias("text")
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    loss = chat_format.masked(F.col("formatted"), F.col("loss_start"), F.col("loss_end"))
+    read = chat_format.examples(turns).groupBy("conv_id").agg(
+        F.max_by("formatted", "n_turns").alias("longest"),
+        F.array_sort(F.collect_list(F.struct("example", loss.alias("loss")))).alias("losses"),
+        F.sum(F.length("formatted")).cast("long").alias("formatted_chars"),
+    )
+    read = read.select("conv_id", "formatted_chars", chat_format.turns_of(F.col("longest")).alias("turns"), F.array_join("losses.loss", "").alias("loss"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+#: The mix of the query and of the pipeline: domains by the number of the source, weights of domains and languages.
+MIX = mixing.Mix(weights={"domain": {"web": 5, "reference": 3, "forum": 2}, "language": {"en": 6, "de": 2, "fr": 1, "es": 1}, "source": {"src0": 2}})
+
+
+def domain_of(source: Column) -> Column:
+    number = F.regexp_extract(source, r"([0-9]+)$", 1)
+    return F.element_at(F.array(*map(F.lit, ("web", "reference", "forum"))), (F.when(number != "", number).otherwise("0").cast("decimal(38,0)") % 3 + 1).cast("int"))
+
+
+@query(
+    "op8_source_mixing",
+    r"""
+    WITH named AS (
+        SELECT doc_id, coalesce(list_extract(['web', 'reference', 'forum'],
+                   (coalesce(nullif(regexp_extract(source, '([0-9]+)$', 1), ''), '0')::HUGEINT % 3 + 1)::INTEGER), '(none)') AS domain,
+               coalesce(lang, '(none)') AS language, coalesce(source, '(none)') AS source,
+               len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS n_tokens,
+               md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS content
+        FROM documents),
+    leaves AS (
+        SELECT domain, language, source, sum(n_tokens)::HUGEINT AS tokens, 2 * sum(n_tokens)::HUGEINT AS capacity,
+               CASE domain WHEN 'web' THEN 5 WHEN 'reference' THEN 3 WHEN 'forum' THEN 2 ELSE 1 END AS dw,
+               CASE language WHEN 'en' THEN 6 WHEN 'de' THEN 2 ELSE 1 END AS lw,
+               CASE source WHEN 'src0' THEN 2 ELSE 1 END AS sw
+        FROM named GROUP BY domain, language, source HAVING sum(n_tokens) > 0),
+    d0 AS (SELECT domain, sum(capacity)::HUGEINT AS cap, max(dw)::HUGEINT AS w,
+                  (SELECT coalesce(sum(n_tokens), 0)::HUGEINT FROM named) AS b FROM leaves GROUP BY domain),
+    d1 AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY cap::DOUBLE / w::DOUBLE, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS earlier,
+                  (sum(w) OVER (ORDER BY cap::DOUBLE / w::DOUBLE, domain ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::HUGEINT AS rest FROM d0),
+    d2 AS (SELECT *, cap * rest <= w * (b - earlier) AS f FROM d1),
+    d3 AS (SELECT domain, CASE WHEN f THEN cap ELSE
+               w * (b - coalesce(sum(cap) FILTER (f) OVER (), 0)::HUGEINT) // (sum(w) FILTER (NOT f) OVER ())::HUGEINT END AS b FROM d2),
+    l0 AS (SELECT domain, language, sum(capacity)::HUGEINT AS cap, max(lw)::HUGEINT AS w, any_value(b) AS b
+           FROM leaves JOIN d3 USING (domain) GROUP BY domain, language),
+    l1 AS (SELECT *, coalesce(sum(cap) OVER (PARTITION BY domain ORDER BY cap::DOUBLE / w::DOUBLE, language ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS earlier,
+                  (sum(w) OVER (PARTITION BY domain ORDER BY cap::DOUBLE / w::DOUBLE, language ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::HUGEINT AS rest FROM l0),
+    l2 AS (SELECT *, cap * rest <= w * (b - earlier) AS f FROM l1),
+    l3 AS (SELECT domain, language, CASE WHEN f THEN cap ELSE
+               w * (b - coalesce(sum(cap) FILTER (f) OVER (PARTITION BY domain), 0)::HUGEINT) // (sum(w) FILTER (NOT f) OVER (PARTITION BY domain))::HUGEINT END AS b FROM l2),
+    s0 AS (SELECT domain, language, source, tokens, capacity AS cap, sw::HUGEINT AS w, b FROM leaves JOIN l3 USING (domain, language)),
+    s1 AS (SELECT *, coalesce(sum(cap) OVER (PARTITION BY domain, language ORDER BY cap::DOUBLE / w::DOUBLE, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS earlier,
+                  (sum(w) OVER (PARTITION BY domain, language ORDER BY cap::DOUBLE / w::DOUBLE, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::HUGEINT AS rest FROM s0),
+    s2 AS (SELECT *, cap * rest <= w * (b - earlier) AS f FROM s1),
+    s3 AS (SELECT domain, language, source, tokens, CASE WHEN f THEN cap ELSE
+               w * (b - coalesce(sum(cap) FILTER (f) OVER (PARTITION BY domain, language), 0)::HUGEINT) // (sum(w) FILTER (NOT f) OVER (PARTITION BY domain, language))::HUGEINT END AS share FROM s2),
+    chosen AS (
+        SELECT n.*, share // tokens AS epochs, share % tokens AS room,
+               md5('17:' || (share // tokens)::VARCHAR || ':' || content) AS k
+        FROM named n JOIN s3 USING (domain, language, source)),
+    summed AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, language, source ORDER BY k RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM chosen)
+    SELECT doc_id, domain, language, source, n_tokens, epoch::INTEGER AS epoch
+    FROM (SELECT *, unnest(range(0, (epochs + CASE WHEN room > 0 AND upto <= room THEN 1 ELSE 0 END)::BIGINT)) AS epoch FROM summed)
+    """,
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"), domain_of(F.col("source")), MIX).drop("carried")
