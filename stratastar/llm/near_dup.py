@@ -134,12 +134,12 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, end, data, offsets in chunks(batch.column(1), rows=512):
             members, sizes = shingle_sets(words_of(data, offsets, lower=True))
             full = np.flatnonzero(sizes)
-            ids = batch.column(0).slice(row, end - row)
+            own = [batch.column(i).slice(row, end - row) for i in (0, 2)]
             none = np.flatnonzero(sizes == 0)
             if len(none):
                 blank = pa.nulls(len(none), pa.int64())
                 empty = pa.nulls(len(none), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(none)), pa.array(sizes[none]), blank, blank, empty, empty, blank], _NAMES)
+                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(none)) for c in own), pa.array(sizes[none]), blank, blank, empty, empty, blank], _NAMES)
             if len(full):
                 heads = np.cumsum(sizes[full]) - sizes[full]
                 one = np.add.reduceat(mix(members), heads)
@@ -148,7 +148,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sketches, filled = odd_sketches(members, sizes[full])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.take(pa.array(full)),
+                        *(c.take(pa.array(full)) for c in own),
                         pa.array(sizes[full]),
                         pa.array(signed(one)),
                         pa.array(signed(two)),
@@ -160,8 +160,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-_NAMES = ["doc_id", "n_shingles", "print_1", "print_2", "bands", "sketch", "filled"]
-_SCHEMA = "doc_id long, n_shingles long, print_1 long, print_2 long, bands array<long>, sketch array<long>, filled long"
+_NAMES = ["doc_id", "text_hash", "n_shingles", "print_1", "print_2", "bands", "sketch", "filled"]
+_SCHEMA = "doc_id long, text_hash long, n_shingles long, print_1 long, print_2 long, bands array<long>, sketch array<long>, filled long"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,13 +211,16 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
-    """Per row of `documents` (doc_id, text): doc_id, n_shingles, component_id, kept."""
+    """Per row of `documents` (doc_id, text): doc_id, n_shingles, component_id, kept, text_hash.
+
+    text_hash (Spark's xxhash64 of the text) tells rows of one id apart.
+    """
     spark = settle(documents.sparkSession)
     scratch = Scratch(spark, "near-dup")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    every = scratch.store(docs.mapInArrow(_sketch, _SCHEMA), "sketches")
+    every = scratch.store(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_sketch, _SCHEMA), "sketches")
 
-    rows = every.select("doc_id", "n_shingles", "print_1", "print_2")
+    rows = every.select("doc_id", "text_hash", "n_shingles", "print_1", "print_2")
     classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("print_1", "print_2").agg(F.min("doc_id").alias("rep"))
     classes = scratch.store(classes, "classes")
     first = (every["print_1"] == classes["print_1"]) & (every["print_2"] == classes["print_2"]) & (every["doc_id"] == classes["rep"])
@@ -261,4 +264,25 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     classes = scratch.store(classes, "final")
     out = rows.join(classes, ["print_1", "print_2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), "text_hash")
+
+
+def without_near_duplicates(documents: DataFrame) -> DataFrame:
+    """Rows of `documents` that stay, with all their columns: of each component the document with the
+    smallest id, and of rows that repeat it by id and text, one. Rows with a null id all stay."""
+    scratch = Scratch(documents.sparkSession, "near-dup-stay")
+    judged = scratch.store(near_duplicates(documents).select("doc_id", "text_hash", "kept"), "judged")
+    gone = judged.where("not kept").select("doc_id", "text_hash").distinct()
+    again = judged.where("kept and doc_id is not null").groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash")
+    again = scratch.store(again, "again")
+
+    def same(other: DataFrame) -> Column:
+        return (documents["doc_id"].cast("long") == other["doc_id"]) & (F.xxhash64(documents["text"].cast("string")) == other["text_hash"])
+
+    apart = gone.unionByName(again)
+    rest = documents.join(apart, same(apart), "left_anti")
+    if again.isEmpty():
+        return rest
+    repeated = documents.join(again, same(again), "left_semi").dropDuplicates(["doc_id", "text"])
+    return rest.unionByName(repeated)
