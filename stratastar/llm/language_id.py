@@ -75,15 +75,20 @@ class Model:
         return values / values.sum(axis=1, keepdims=True)
 
 
+def normed(rows: np.ndarray) -> np.ndarray:
+    """Presence rows of length one, whose products are kernel values."""
+    return rows.astype(np.float32) / np.sqrt(np.maximum(rows.sum(axis=1, dtype=np.int64), 1)).astype(np.float32)[:, None]
+
+
 def learned(rows: np.ndarray, labels: list[str], landmark: np.ndarray) -> Model:
     """Model of presence rows with their labels; `landmark` marks the rows taken as landmarks."""
     languages = tuple(sorted(set(labels)))
-    unit = rows.astype(np.float32) / np.sqrt(np.maximum(rows.sum(axis=1, dtype=np.int64), 1))[:, None]
-    marks = unit[landmark]
+    marks = normed(rows[landmark])
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     values = np.maximum(values, 1e-6 * values.max())
     root = vectors / np.sqrt(values) @ vectors.T
-    features = (unit @ marks.T).astype(np.float64) @ root
+    parts = [normed(rows[at : at + 64]) @ marks.T for at in range(0, len(rows), 64)]
+    features = np.concatenate(parts).astype(np.float64) @ root
     mean = features.mean(axis=0)
     target = np.where(np.array(labels)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     centred = features - mean
