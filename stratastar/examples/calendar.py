@@ -96,36 +96,84 @@ def _(t: Tables):
 
 # Sources and sinks
 
+# One file per region, nation, status of orders and kind of event: several share a header.
+LANDED = {"nation": None, "region": None, "supplier": "s_nationkey", "orders": "o_orderstatus", "events": "event_type"}
+
 
 def _landing(t: Tables) -> str:
-    """Master tables as files with a header row, one per table."""
+    """Tables as single header files, some split by a column into one file per value."""
     folder = scratch_path(t.spark, "landing")
-    for name in ("nation", "region", "supplier"):
+    for name, split in LANDED.items():
         df = getattr(t, name)
-        df.select(*fn.source_text(df)).write.option("header", True).csv(f"{folder}/{name}.csv")
+        texts = df.select(*fn.source_text(df))
+        if split is None:
+            texts.coalesce(1).write.option("header", True).csv(f"{folder}/{name}")
+        else:
+            texts.withColumn("part", F.col(split)).repartition("part").write.partitionBy("part").option("header", True).csv(f"{folder}/{name}")
+    return _named_files(t.spark, folder)
+
+
+def _named_files(spark, folder: str) -> str:
+    """Give every written file the name of its table, as a source delivers it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = store.listFiles(place, True)
+    found = []
+    while files.hasNext():
+        path = files.next().getPath()
+        if path.getName().startswith("part-"):
+            found.append(path)
+    for path in found:
+        parent = path.getParent()
+        part = parent.getName().removeprefix("part=") if parent.getName().startswith("part=") else None
+        table = parent.getParent().getName() if part is not None else parent.getName()
+        name = table if part is None else f"{table}_{part}"
+        store.rename(path, spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.csv"))
     return folder
 
 
-@query("s1_list_files", "SELECT unnest(['nation', 'region', 'supplier']) AS table_name")
+NAMES_SQL = """SELECT 'nation' AS table_name UNION ALL SELECT 'region' UNION ALL SELECT DISTINCT 'supplier_' || s_nationkey FROM supplier
+    UNION ALL SELECT DISTINCT 'orders_' || o_orderstatus FROM orders UNION ALL SELECT DISTINCT 'events_' || event_type FROM events"""
+
+
+@query("s1_list_files", NAMES_SQL)
 def _(t: Tables):
-    parts = ingest.list_files(t.spark, f"{_landing(t)}/*.csv", "*.csv")
-    folder = F.element_at(F.split("path", "/"), -2)
-    return parts.select(ingest.table_name(folder).alias("table_name")).distinct()
+    return ingest.list_files(t.spark, _landing(t), "*.csv").select("table_name")
+
+
+def _row_sql(table: str, label: str, columns: list[str]) -> str:
+    cells = " || '|' || ".join(f"coalesce({c}, '')" for c in columns)
+    return f"SELECT {label} AS table_name, {cells} AS cells FROM {table}"
 
 
 @query(
     "s2_ingest_folder",
-    """SELECT 'nation' AS table_name, CAST(n_nationkey AS VARCHAR) AS id, n_name AS label FROM nation
-       UNION ALL SELECT 'region', CAST(r_regionkey AS VARCHAR), r_name FROM region
-       UNION ALL SELECT 'supplier', CAST(s_suppkey AS VARCHAR), s_name FROM supplier""",
+    " UNION ALL ".join(
+        (
+            _row_sql("nation", "'nation'", ["CAST(n_nationkey AS VARCHAR)", "n_name", "CAST(n_regionkey AS VARCHAR)"]),
+            _row_sql("region", "'region'", ["CAST(r_regionkey AS VARCHAR)", "r_name"]),
+            _row_sql("supplier", "'supplier_' || s_nationkey", ["CAST(s_suppkey AS VARCHAR)", "s_name", "CAST(s_nationkey AS VARCHAR)", "printf('%.2f', s_acctbal)"]),
+            _row_sql(
+                "orders",
+                "'orders_' || o_orderstatus",
+                ["CAST(o_orderkey AS VARCHAR)", "CAST(o_custkey AS VARCHAR)", "o_orderstatus", "printf('%.2f', o_totalprice)", "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')", "o_orderpriority"],
+            ),
+            _row_sql(
+                "events",
+                "'events_' || event_type",
+                ["CAST(event_id AS VARCHAR)", "strftime(ts, '%Y-%m-%d %H:%M:%S')", "CAST(user_id AS VARCHAR)", "event_type", "printf('%.2f', value)", "props"],
+            ),
+        )
+    ),
 )
 def _(t: Tables):
+    """All columns of every landed file, from a landing of files with five different headers."""
     folder, target = _landing(t), scratch_path(t.spark, "ingested")
     frames = []
-    for name in ("nation", "region", "supplier"):
-        for table in ingest.ingest_folder(t.spark, f"{folder}/{name}.csv", f"{target}/{name}"):
-            df = t.spark.read.parquet(f"{target}/{name}/{table}")
-            frames.append(df.select(F.lit(name).alias("table_name"), F.col(df.columns[0]).alias("id"), F.col(df.columns[1]).alias("label")))
+    for table in ingest.ingest_folder(t.spark, folder, target):
+        df = t.spark.read.parquet(f"{target}/{table}")
+        cells = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in df.columns])
+        frames.append(df.select(F.lit(table).alias("table_name"), cells.alias("cells")))
     return op.setops.union_all(frames)
 
 
@@ -136,9 +184,26 @@ def _(t: Tables):
 def _(t: Tables):
     path = scratch_path(t.spark, "src_events")
     batch = t.events.select(*fn.source_text(t.events.select("event_id", "event_type", "value")), F.col("ts").cast("date").alias("day"))
-    bronze.append_versions(batch, path, day="day")
-    bronze.append_versions(batch, path, day="day")
-    return bronze.read_versions(t.spark, path)
+    bronze.append_versions(batch, path, day="day", batch_id="1")
+    bronze.append_versions(batch, path, day="day", batch_id="1")
+    return bronze.read_versions(t.spark, path).drop("batch_id")
+
+
+@query(
+    "s5_append_two_batches",
+    """SELECT event_id, event_type, CASE WHEN event_type IN ('view', 'click') THEN user_id END AS user_id, CAST(ts AS DATE) AS day,
+              CASE WHEN event_type IN ('view', 'click') THEN 'late' ELSE 'first' END AS batch_id FROM events""",
+)
+def _(t: Tables):
+    """Two batches of the same days are both kept, a rerun adds nothing, and a new column appears."""
+    path = scratch_path(t.spark, "src_events")
+    rows = t.events.select("event_id", "event_type", "user_id", F.col("ts").cast("date").alias("day"))
+    late = rows.where(F.col("event_type").isin("view", "click"))
+    first = rows.where(~F.col("event_type").isin("view", "click")).drop("user_id")
+    for batch, name in ((first, "first"), (late, "late"), (late, "late"), (first, "first")):
+        bronze.append_versions(batch, path, day="day", batch_id=name)
+    contract = "event_id long, event_type string, user_id long, day date, batch_id string"
+    return bronze.read_versions(t.spark, path, contract)
 
 
 @query(
@@ -233,6 +298,26 @@ def _(t: Tables):
     return op.same_region(investors, lots, programmes, names)
 
 
+@query(
+    "b12_all_investors",
+    """WITH city AS (SELECT n_name AS ville, CAST(n_regionkey AS VARCHAR) AS region_id, n_nationkey FROM nation),
+            lots AS (SELECT n_regionkey, count(*) AS n, min(l_orderkey) AS first_lot FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+                     JOIN nation ON s_nationkey = n_nationkey WHERE l_returnflag = 'A' AND n_regionkey < 3 GROUP BY ALL)
+       SELECT CAST(c_custkey AS VARCHAR) AS investisseur_id, CASE WHEN region_id < '3' THEN region_id END AS region_id,
+              coalesce(n, 0) AS available_lots, first_lot
+       FROM customer JOIN city ON c_nationkey = n_nationkey LEFT JOIN lots ON CAST(n_regionkey AS VARCHAR) = region_id""",
+)
+def _(t: Tables):
+    """Cities of two regions have no agency; their investors stay, without region and lots."""
+    city = t.nation.select("n_nationkey", F.col("n_name").alias("ville"), F.col("n_regionkey").cast("string").alias("region_id"))
+    investors = t.customer.join(city, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").cast("string").alias("investisseur_id"), "ville")
+    programmes = t.supplier.join(city, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("programme_id"), "ville")
+    lots = t.lineitem.select(
+        F.col("l_suppkey").alias("programme_id"), F.col("l_orderkey").alias("lot_id"), F.when(F.col("l_returnflag") == "A", "DISPONIBLE").alias("statut_lot")
+    )
+    return op.same_region(investors, lots, programmes, city.where("region_id < '3'").select("ville", "region_id"))
+
+
 @query(
     "b13_last_attributes",
     """SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY ALL""",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratastar import functions as fn
 from stratastar.examples.registry import Tables, query
-from stratastar.operators import Check, quality_log, with_unknown
+from stratastar.operators import Check, latest_version, quality_log, with_unknown
 from stratastar.sources.bronze import as_source, conform, write_summary
 
 CUSTOMER_CONTRACT = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
@@ -52,11 +52,44 @@ def _(t: Tables):
 PART_TEXT = "concat('PART-', cast(p_partkey as string), '-', repeat(p_name, 6))"
 
 
-@query("p2_id_cast", f"SELECT p_partkey, substr({PART_TEXT}, 1, 50) AS part_id FROM part")
+@query("p2_id_cast", f"SELECT p_partkey, {PART_TEXT} AS part_id FROM part")
 def _(t: Tables):
     return t.part.select("p_partkey", fn.id_text(F.expr(PART_TEXT)).alias("part_id"))
 
 
+LONG_ID = "concat(repeat('PART-', 12), cast(floor(p_partkey / 2) as int), '-', p_brand)"
+
+
+@query(
+    "p2_id_full",
+    f"""SELECT part_id, max(p_retailprice) AS price, count(*) AS n FROM (SELECT {LONG_ID} AS part_id, p_retailprice FROM part) GROUP BY ALL""",
+)
+def _(t: Tables):
+    """Ids that agree in their first 60 characters stay apart, through typing and deduplication."""
+    parts = t.part.select(fn.id_text(F.expr(LONG_ID)).alias("part_id"), "p_partkey", F.col("p_retailprice").alias("price"))
+    newest = latest_version(parts, ["part_id"], ["price"], tie_break=["p_partkey"])
+    counts = parts.groupBy("part_id").agg(F.count(F.lit(1)).alias("n"))
+    return newest.select("part_id", "price").join(counts, "part_id")
+
+
+# Prices in eighths and thousandths: ties whose exact binary value decides.
+TIES = "p_retailprice, cast(p_partkey as double) / 8.0, cast(p_partkey as double) / 1000.0, cast(0 - p_partkey as double) / 200.0, cast(p_partkey as double) * 1e6 + 0.375"
+
+
+@query(
+    "s11_float_ties",
+    f"""SELECT p_partkey, n, printf('%.2f', x) AS text FROM (
+            SELECT p_partkey, unnest(range(5)) AS n, unnest([{TIES}]) AS x FROM part)
+        UNION ALL SELECT 0 - p_partkey, 0, CASE WHEN p_size % 3 = 0 THEN 'inf' WHEN p_size % 3 = 1 THEN '-inf' END FROM part""",
+)
+def _(t: Tables):
+    values = t.part.select("p_partkey", F.posexplode(F.expr(f"array({TIES})")).alias("n", "x"))
+    edge = F.when(F.col("p_size") % 3 == 0, float("inf")).when(F.col("p_size") % 3 == 1, float("-inf")).otherwise(float("nan"))
+    edges = t.part.select((-F.col("p_partkey")).alias("p_partkey"), F.lit(0).alias("n"), edge.alias("x"))
+    rows = values.unionByName(edges)
+    return rows.select("p_partkey", F.col("n").cast("long").alias("n"), fn.float_text(F.col("x")).alias("text"))
+
+
 DAY_TEXT = (
     "case when o_orderkey % 7 = 0 then 'n/a' when o_orderkey % 7 = 1 then '2025-13-02' when o_orderkey % 7 = 2 then '' "
     "when o_orderkey % 7 = 3 then concat(cast(cast(o_orderdate as date) as string), ' 08:00:03') "
@@ -180,7 +213,7 @@ def _(t: Tables):
 
 @query(
     "p12_full_name",
-    f"""SELECT c_custkey, substr(coalesce({MAYBE_TEXT}, '') || ' ' || coalesce(nullif(c_name, 'Customer#000000001'), ''), 1, 255)
+    f"""SELECT c_custkey, coalesce({MAYBE_TEXT}, '') || ' ' || coalesce(nullif(c_name, 'Customer#000000001'), '')
                AS full_name FROM customer""",
 )
 def _(t: Tables):

@@ -169,7 +169,7 @@ class PropertyModel:
 # The same layers in SQL.
 
 _CASTS = {
-    "id": "substr({c}, 1, 50)",
+    "id": "{c}",
     "text": "trim({c})",
     "code": "upper(trim({c}))",
     "lower": "lower(trim({c}))",
@@ -224,7 +224,7 @@ def dimension_rows_sql(name: str) -> str:
         unknown |= {parent.key: UNKNOWN_SQL, parent.foreign_key: "'__UNKNOWN__'"}
     if spec.full_name:
         new, first, last = spec.full_name
-        columns.append(f"substr(coalesce(f.{first}, '') || ' ' || coalesce(f.{last}, ''), 1, 255) AS {new}")
+        columns.append(f"coalesce(f.{first}, '') || ' ' || coalesce(f.{last}, '') AS {new}")
     unknown |= {c: f"'{v}'" if isinstance(v, str) else str(v).lower() for c, v in spec.unknown.items()}
     alive = " AND NOT f.is_deleted" if spec.deleted else ""
     known = f"SELECT {', '.join(columns)} FROM s_{spec.source} f WHERE f.{spec.natural_key} IS NOT NULL{alive}"

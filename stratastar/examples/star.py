@@ -53,6 +53,21 @@ def _(t: Tables):
     return op.status_lookup(orders, statuses, "ORDER", "status", spread_by=["order_id"]).select("order_id", "status", "statut_key")
 
 
+LONG_STATUS = "concat(repeat(concat(o_orderstatus, '-', o_orderpriority, ' '), 12), cast(o_orderkey % 7 as string))"
+
+
+@query(
+    "j3_status_long",
+    f"""SELECT o_orderkey, s AS status, sha256('ORDER-' || upper(trim(s))) AS statut_key
+        FROM (SELECT o_orderkey, {LONG_STATUS} AS s FROM orders)""",
+)
+def _(t: Tables):
+    """Statuses of more than a hundred characters find their members."""
+    orders = t.orders.select("o_orderkey", F.expr(LONG_STATUS).alias("status"))
+    statuses = materialise(op.domain_values({"ORDER": (orders, "status")}), "dim_statut")
+    return op.status_lookup(orders, statuses, "ORDER", "status")
+
+
 @query(
     "j4_anti_runlog",
     """SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders
@@ -189,16 +204,27 @@ def _(t: Tables):
     """WITH sizes AS (SELECT c_nationkey, count(DISTINCT c_custkey) AS group_size FROM customer GROUP BY ALL),
             pages AS (SELECT DISTINCT c_nationkey, c_custkey, group_size,
                              ('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 8))::BIGINT
-                             % CAST(ceil(group_size / 20.0) AS BIGINT) AS page
+                             % 4 AS page
                       FROM customer JOIN sizes USING (c_nationkey))
        SELECT c_nationkey, page, group_size, string_agg(CAST(c_custkey AS VARCHAR), ',' ORDER BY c_custkey) AS members
        FROM pages GROUP BY ALL""",
 )
 def _(t: Tables):
-    pages = op.group_members(t.customer, "c_nationkey", "c_custkey", page_rows=20)
+    pages = op.member_pages(t.customer, "c_nationkey", "c_custkey", 4)
     return pages.withColumn("members", F.array_join("members", ","))
 
 
+@query(
+    "a6_group_rows",
+    """SELECT l_suppkey, l_partkey, count(*) OVER (PARTITION BY l_suppkey) AS group_size
+       FROM (SELECT DISTINCT CASE WHEN l_quantity <= 17 THEN -1 ELSE l_suppkey END AS l_suppkey, l_partkey FROM lineitem)""",
+)
+def _(t: Tables):
+    """One group holds a third of the rows; the grain is the same for it."""
+    hot = F.when(F.col("l_quantity") <= 17, -1).otherwise(F.col("l_suppkey"))
+    return op.group_members(t.lineitem.select(hot.alias("l_suppkey"), "l_partkey"), "l_suppkey", "l_partkey")
+
+
 @query(
     "a7_distinct_union",
     "SELECT c_nationkey AS nation FROM customer WHERE c_acctbal < -900 UNION SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000",
@@ -349,6 +375,20 @@ def _(t: Tables):
     )
 
 
+@query(
+    "w2_null_keys",
+    """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id, coalesce(scope, 'NO_SCOPE') ORDER BY ts DESC, event_id) AS rn
+       FROM (SELECT CASE WHEN event_type <> 'error' THEN user_id END AS user_id, CASE WHEN value > 50 THEN event_type END AS scope, event_id, ts FROM events)
+       WHERE user_id IS NOT NULL) WHERE rn = 1""",
+)
+def _(t: Tables):
+    """A placeholder for one key part does not let NULLs of another part through."""
+    rows = t.events.select(
+        F.when(F.col("event_type") != "error", F.col("user_id")).alias("user_id"), F.when(F.col("value") > 50, F.col("event_type")).alias("scope"), "event_id", "ts"
+    )
+    return op.latest_version(rows, ["user_id", "scope"], ["ts"], tie_break=["event_id"], placeholders={"scope": "NO_SCOPE"})
+
+
 @query(
     "w3_latest_nulls_win",
     """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY seen_at DESC NULLS FIRST, event_id DESC) AS rn

@@ -10,6 +10,8 @@ from stratastar.functions.cleaning import (
     date_or,
     flag,
     flag_present,
+    fitted_text,
+    float_text,
     full_name,
     id_text,
     int_or,

@@ -16,8 +16,16 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def id_text(value: Column | str, width: int = 50) -> Column:
-    return F.substring(_col(value).cast("string"), 1, width)
+def id_text(value: Column | str) -> Column:
+    """The whole id as text: a cut would make two ids one."""
+    return _col(value).cast("string")
+
+
+def fitted_text(value: Column | str, width: int) -> Column:
+    """The text, at most `width` characters long; a longer one is an error when it is read."""
+    text = _col(value).cast("string")
+    complaint = F.concat(F.lit(f"longer than {width} characters: "), text)
+    return F.when(F.length(text) > width, F.raise_error(complaint).cast("string")).otherwise(text)
 
 
 def to_date(value: Column | str) -> Column:
@@ -62,10 +70,10 @@ def blank_to_null(value: Column | str) -> Column:
     return F.nullif(_col(value), F.lit(""))
 
 
-def full_name(first: Column | str, last: Column | str, width: int = 255) -> Column:
+def full_name(first: Column | str, last: Column | str) -> Column:
     """First and last name around one blank; a missing part counts as empty text."""
     parts = [F.coalesce(_col(c), F.lit("")) for c in (first, last)]
-    return F.substring(F.concat(parts[0], F.lit(" "), parts[1]), 1, width)
+    return F.concat(parts[0], F.lit(" "), parts[1])
 
 
 def zero_to_null(code: Column | str) -> Column:
@@ -98,5 +106,33 @@ def _as_text(value: Column, kind: T.DataType, scale: int) -> Column:
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(value, "yyyy-MM-dd HH:mm:ss")
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return F.when(value.isNotNull() & ~F.isnan(value), F.format_string(f"%.{scale}f", value))
+        return float_text(value, scale)
     return value.cast("string")
+
+
+def float_text(value: Column, scale: int = 2) -> Column:
+    """The float with `scale` places (at most 7), decided by its exact binary value, ties to even.
+
+    Formatting goes by the shortest digits that read back as the float. Those decide wrongly only
+    where they end in a 5 just beyond the last place; there the fraction times 2 * 10**scale is
+    taken as a rounded product and its exact error, which tell on which side of the tie it lies. So
+    2.675 (a little less in binary) gives 2.67 and 0.125 gives 0.12. Infinity reads inf, NaN is
+    NULL. A number of more than 17 digits is padded with zeros.
+    """
+    if not 0 <= scale <= 7:
+        raise ValueError("scale is 0 to 7")
+    x = value.cast("double")
+    size, twice = F.abs(x), float(2 * 10**scale)
+    digits = size.try_cast(f"decimal(38,{scale + 1})")
+    tie = (digits.cast("double") == size) & (digits * F.lit(10 ** (scale + 1)).cast("decimal(9,0)") % 10 == 5)
+    part = size - F.floor(size).cast("double")
+    product, split = part * twice, part * 134217729.0
+    high = split - (split - part)
+    beyond = (product - F.rint(product)) + ((high * twice - product) + (part - high) * twice)
+    down = (digits - F.lit(f"{5 * 10 ** -(scale + 1):.{scale + 1}f}").cast(f"decimal(9,{scale + 1})")).cast(f"decimal(38,{scale})")
+    up = (digits + F.lit(f"{5 * 10 ** -(scale + 1):.{scale + 1}f}").cast(f"decimal(9,{scale + 1})")).cast(f"decimal(38,{scale})")
+    exact = F.when(beyond > 0, up).when(beyond < 0, down).otherwise(F.bround(digits, scale))
+    sign = F.when(x.cast("string").startswith("-"), "-").otherwise("")
+    plain = F.format_string(f"%.{scale}f", size)
+    text = F.when(size == float("inf"), "inf").when(tie, exact.cast("string")).otherwise(plain)
+    return F.when(x.isNotNull() & ~F.isnan(x), F.concat(sign, text))

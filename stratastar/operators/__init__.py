@@ -2,6 +2,7 @@
 
 from stratastar.operators.business import (
     group_members,
+    member_pages,
     hot_keys,
     last_attributes,
     never_matched,

@@ -65,6 +65,7 @@ def same_region(
 ) -> DataFrame:
     """Available lots counted in the region of every investor: investor, region, count, lowest lot id.
 
+    An investor of a city without an agency has no region and no lots.
     Both sides reach a region through their city. Lots are counted per region before
     the join, so no pair of investor and lot is ever formed.
     """
@@ -82,7 +83,7 @@ def same_region(
     )
     return (
         investors.select("investisseur_id", "ville")
-        .join(city_region, "ville")
+        .join(city_region, "ville", "left")
         .join(per_region, "region_id", "left")
         .select(
             "investisseur_id",
@@ -99,17 +100,24 @@ def last_attributes(df: DataFrame, key: str, order_by: Sequence[str], attributes
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(newest.alias("__last")).select(key, "__last.*")
 
 
-def group_members(df: DataFrame, group: str, member: str, page_rows: int = 10_000) -> DataFrame:
-    """Sorted member lists with the group's size, in pages: group, page, members, group_size.
+def group_members(df: DataFrame, group: str, member: str) -> DataFrame:
+    """Distinct members with their group's size, one row each: group, member, group_size.
 
-    A group of ordinary size is one page. A larger one is split by a hash of the
-    member into pages of about `page_rows`, so no task ever holds a whole hot group.
+    The size is counted apart and joined back, so a hot group is never in one task.
     """
     pairs = df.where(F.col(group).isNotNull() & F.col(member).isNotNull()).select(group, member).distinct()
     sizes = pairs.groupBy(group).agg(F.count(F.lit(1)).alias("group_size"))
+    return pairs.join(sizes, group)
+
+
+def member_pages(df: DataFrame, group: str, member: str, pages: int) -> DataFrame:
+    """Sorted member lists in `pages` pages per group, by a hash of the member: group, page, members, group_size.
+
+    The caller gives the number of pages; every group has the same, whatever its size
+    (a page without members has no row), so a page has to fit into one row.
+    """
     digest = F.conv(F.substring(F.md5(F.col(member).cast("string")), 1, 8), 16, 10).cast("long")
-    pages = F.ceil(F.col("group_size") / F.lit(page_rows))
-    paged = pairs.join(sizes, group).withColumn("page", (digest % pages).cast("long"))
+    paged = group_members(df, group, member).withColumn("page", digest % F.lit(pages))
     return paged.groupBy(group, "page", "group_size").agg(F.sort_array(F.collect_list(member)).alias("members"))
 
 

@@ -14,9 +14,6 @@ from stratastar.functions.calendar import day_flag, easter_sunday
 FIXED_HOLIDAYS = ((1, 1), (5, 1), (5, 8), (7, 14), (8, 15), (11, 1), (11, 11), (12, 25))
 EASTER_HOLIDAYS = (1, 39, 50)
 
-# No run of closed days is longer.
-LONGEST_CLOSURE = 10
-
 
 def candidate_days(spark: SparkSession, start: date | None = None, end: date | None = None) -> DataFrame:
     """Days from start to end; only start: that day; neither: yesterday."""
@@ -60,17 +57,20 @@ def business_days(days: DataFrame, exclude_holidays: bool = True) -> DataFrame:
     return weekdays.join(holidays.select("day"), "day", "left_anti")
 
 
-def next_business_day(days: DataFrame, exclude_holidays: bool = True) -> DataFrame:
+def next_business_day(days: DataFrame, exclude_holidays: bool = True, search: int = 10) -> DataFrame:
     """For every distinct `day`, the first business day on or after it.
 
-    Works on distinct days, so its size follows the calendar and not the rows.
+    Works on distinct days, so its size follows the calendar and not the rows. A day with
+    no business day in the `search` days from it on is an error, never a missing row.
     """
-    ahead = days.select("day").distinct().select(
-        F.col("day").alias("from_day"),
-        F.explode(F.sequence(F.col("day"), F.date_add("day", LONGEST_CLOSURE))).alias("day"),
-    )
-    open_days = business_days(ahead, exclude_holidays)
-    return open_days.groupBy(F.col("from_day").alias("day")).agg(F.min(open_days["day"]).alias("business_day"))
+    wanted = days.select("day").distinct()
+    ahead = wanted.select(F.explode(F.sequence(F.col("day"), F.date_add("day", search))).alias("day")).distinct()
+    open_days = business_days(ahead, exclude_holidays).select(F.col("day").alias("open_day"))
+    near = wanted.select("day", F.explode(F.sequence(F.col("day"), F.date_add("day", search))).alias("open_day"))
+    found = near.join(open_days, "open_day", "left_semi").groupBy("day").agg(F.min("open_day").alias("business_day"))
+    complaint = F.concat(F.lit(f"no business day in the {search} days from "), F.col("day").cast("string"))
+    checked = F.coalesce("business_day", F.raise_error(complaint).cast("date"))
+    return wanted.join(found, "day", "left").select("day", checked.alias("business_day"))
 
 
 def days_to_process(days: DataFrame, log: DataFrame | None, *, force: bool = False, exclude_holidays: bool = True) -> DataFrame:

@@ -49,14 +49,14 @@ def spread_nulls(value: Column, spread_by: Sequence[str]) -> Column:
 def find_keys(df: DataFrame, targets: Sequence[Target], spread_by: Sequence[str] | None = None) -> DataFrame:
     """`df` plus the key of every target, by one left join each.
 
-    Members must be unique (see `unique_failures`), so the row count never changes.
+    Members must be unique (see `unique_failures`), so the row count never changes. Rows
+    without a key are spread by a hash of `spread_by`, by default of the whole row.
     """
-    joined = df
+    joined, spread_by = df, spread_by or [f"`{c}`" for c in df.columns]
     for i, target in enumerate(targets):
         member, key = target.members.columns
         members = target.members.select(F.col(member).cast("string").alias(f"__m{i}"), F.col(key).alias(f"__k{i}"))
-        side = spread_nulls(target.side, spread_by) if spread_by else target.side.cast("string")
-        joined = joined.join(members, side == F.col(f"__m{i}"), "left")
+        joined = joined.join(members, spread_nulls(target.side, spread_by) == F.col(f"__m{i}"), "left")
     keys = [F.coalesce(f"__k{i}", target.unknown).alias(target.key) for i, target in enumerate(targets)]
     return joined.select(*[f"`{c}`" for c in df.columns], *keys)
 

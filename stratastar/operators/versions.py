@@ -27,7 +27,8 @@ def latest_version(
     * `tie_break` orders ascending among equal versions (pass sort columns for another
       order). By default all other columns do, so a recomputed task picks the same row.
     * `nulls="first"` lets a version without a readable time win.
-    * `placeholders` groups NULL key parts under a text, as for optional scopes.
+    * `placeholders` groups NULL parts of a key under a text, as for optional scopes; a NULL in
+      any other part drops the row unless `keep_null_keys`.
     * Rows flagged `deleted` are dropped before ranking (an older, live version comes
       back) or after it (a key whose newest version is deleted disappears).
 
@@ -39,13 +40,14 @@ def latest_version(
     if deleted_policy not in ("before", "after"):
         raise ValueError("deleted_policy is 'before' or 'after'")
     live = None if deleted is None else ~F.coalesce(F.col(deleted), F.lit(False))
-    if not keep_null_keys and not placeholders:
+    placeholders = placeholders or {}
+    if not keep_null_keys:
         for key in keys:
-            df = df.where(F.col(key).isNotNull())
+            if key not in placeholders:
+                df = df.where(F.col(key).isNotNull())
     if live is not None and deleted_policy == "before":
         df = df.where(live)
 
-    placeholders = placeholders or {}
     groups = [F.coalesce(F.col(k), F.lit(placeholders[k])) if k in placeholders else F.col(k) for k in keys]
     columns = [F.col(c) if isinstance(c, str) else c for c in order_by]
     ordering = [c.desc_nulls_last() if nulls == "last" else c.desc_nulls_first() for c in columns]

@@ -47,7 +47,7 @@ def access_table(access: DataFrame) -> DataFrame:
         {
             "user_access_id": id_text("user_access_id"),
             "user_email": clean_lower("user_email"),
-            "user_name": id_text("user_name", 255),
+            "user_name": id_text("user_name"),
             "role_metier": clean_code("role_metier"),
             "access_level": clean_code("access_level"),
             **{scope: blank_to_null(id_text(scope)) for scope in NO_SCOPE},

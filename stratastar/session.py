@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -47,7 +48,7 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="stratastar-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -58,6 +59,28 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a stored table."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def stored(spark: SparkSession, path: str) -> bool:
+    """Whether something is stored at `path`, which may be a pattern."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return len(place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []) > 0
+
+
+def switch(spark: SparkSession, new: str, path: str) -> None:
+    """Put the table stored at `new` in the place of `path`."""
+    source, place = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, path))
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.delete(place, True)
+    store.mkdirs(place.getParent())
+    if not store.rename(source, place):
+        raise OSError(f"could not move {new} to {path}")
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once and read it back.
 

@@ -41,22 +41,32 @@ def as_source(batch: DataFrame, contract: Sequence[str], table: str = "batch", s
     return conforming.select(*source_text(conforming, scale))
 
 
-def append_versions(batch: DataFrame, path: str, *, day: str | None = None, mode: str = "append") -> None:
-    """Append versions. With `day`, a column of `batch` that names the processed day, the
-    table is laid out by day and a rerun of a day replaces that day instead of doubling it."""
+def append_versions(
+    batch: DataFrame, path: str, *, day: str | None = None, batch_id: str | None = None, mode: str = "append"
+) -> None:
+    """Append versions; what is there stays.
+
+    With `batch_id` the batch is laid out in a folder of its own: a rerun of that batch
+    replaces it, and another batch adds to it, of whatever day. With `day`, a column of
+    `batch` that names the processed day, the files are laid out by day.
+    """
     if mode == "dry_run":
         return
     if mode != "append":
         raise ValueError("mode is 'append' or 'dry_run'")
-    if day is None:
-        batch.write.mode("append").parquet(path)
-        return
     # One shuffle by day, in which adaptive execution splits a heavy day: few files per day.
-    writer = batch.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(day).parquet(path)
-
-
-def read_versions(spark: SparkSession, path: str) -> DataFrame:
+    rows = batch if day is None else batch.hint("rebalance", day)
+    writer = rows.write.mode("append" if batch_id is None else "overwrite").option("partitionOverwriteMode", "static")
+    if day is not None:
+        writer = writer.partitionBy(day)
+    writer.parquet(path if batch_id is None else f"{path}/batch_id={batch_id}")
+
+
+def read_versions(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """All versions. With the contract's `schema` no file footer is opened to find the columns, and
+    a column that a file lacks is NULL; without it the columns of all files are merged."""
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 

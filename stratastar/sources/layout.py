@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from stratastar.session import switch
 
 LAYERS = ("bronze", "silver", "gold", "tech")
 
@@ -30,17 +34,26 @@ class Layout:
             raise ValueError(f"unknown layer: {layer}")
         return f"{self.root.rstrip('/')}/{self.store}/{layer}/{table}"
 
-    def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
+    def read(self, spark: SparkSession, layer: str, table: str, schema: T.StructType | str | None = None) -> DataFrame:
+        """The stored table; with the contract's `schema` no footer is opened to find its columns."""
+        if schema is not None:
+            return spark.read.schema(schema).parquet(self.path(layer, table))
         reader = spark.read.option("mergeSchema", "true") if layer == "bronze" else spark.read
         return reader.parquet(self.path(layer, table))
 
     def save(self, layer: str, table: str, df: DataFrame, *, mode: str = "overwrite", rebalance: bool = False) -> DataFrame:
-        """Replace (or append to) a table and read it back.
+        """Replace (or append to) a table and read it back. A replacement is written beside the
+        old table first, so a job that fails leaves the old one as it is.
 
         Plans that end in a shuffle already have partitions sized by adaptive execution.
         `rebalance` adds a shuffle that evens out the files of a plan without one.
         """
         path = self.path(layer, table)
         rows = df.hint("rebalance") if rebalance else df
-        rows.write.mode(mode).option("partitionOverwriteMode", "static").parquet(path)
+        if mode == "overwrite":
+            beside = f"{path}__{uuid.uuid4().hex}"
+            rows.write.parquet(beside)
+            switch(df.sparkSession, beside, path)
+        else:
+            rows.write.mode(mode).parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)

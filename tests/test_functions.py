@@ -72,7 +72,7 @@ def test_source_text(spark):
         [(True, datetime(2025, 1, 2, 3, 4, 5), date(2025, 1, 2), 1.005, float("nan"), 7, None)],
         "b boolean, t timestamp_ntz, d date, x double, n double, i int, z double",
     )
-    assert tuple(df.select(*fn.source_text(df)).first()) == ("1", "2025-01-02 03:04:05", "2025-01-02", "1.01", None, "7", None)
+    assert tuple(df.select(*fn.source_text(df)).first()) == ("1", "2025-01-02 03:04:05", "2025-01-02", "1.00", None, "7", None)
     assert df.select(*fn.source_text(df, scale=4)).first()["x"] == "1.0050"
 
 
@@ -95,3 +95,19 @@ def test_finance(spark):
     assert [one(fn.occupancy(F.lit(d), F.lit("900"))["rent"]) for d in (0, 15, 30, 45)] == [Decimal(v) for v in ("900", "450", "0", "0")]
     assert one(fn.tax_result(F.lit("100"), F.lit("150"), F.lit("0"))["tax"]) == Decimal("0.00")
     assert one(fn.elapsed_days(F.lit(None).cast("date"), F.lit(date(2025, 1, 1)))) is None
+
+
+def test_float_text_decides_by_the_binary_value(spark):
+    values = [1.005, 0.125, 2.675, 0.375, -0.005, -0.0, 1e15, 99999999.995, float("inf"), float("-inf"), 4503599627370497.5]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(values)], "i int, x double").orderBy("i")
+    for scale in (0, 1, 2, 3):
+        assert [r[0] for r in df.select(fn.float_text(F.col("x"), scale)).collect()] == [format(x, f".{scale}f") for x in values]
+    assert spark.sql("SELECT double('NaN') AS x").select(fn.float_text(F.col("x"))).first()[0] is None
+
+
+def test_long_ids_and_names_stay_whole(spark):
+    df = spark.createDataFrame([("x" * 60 + "1", "y" * 300)], "a string, b string")
+    assert tuple(df.select(fn.id_text("a"), fn.full_name("b", "a")).first()) == ("x" * 60 + "1", "y" * 300 + " " + "x" * 60 + "1")
+    assert df.select(fn.fitted_text("a", 61)).first()[0] == "x" * 60 + "1"
+    with pytest.raises(Exception, match="longer than 60 characters"):
+        df.select(fn.fitted_text("a", 60)).collect()

@@ -133,6 +133,8 @@ def test_business_days(spark):
     assert following[date(2025, 4, 19)] == date(2025, 4, 22) and following[date(2025, 4, 17)] == date(2025, 4, 17)
     year_end = op.next_business_day(op.candidate_days(spark, date(2027, 12, 31), date(2028, 1, 1)))
     assert {r.day: r.business_day for r in year_end.collect()}[date(2028, 1, 1)] == date(2028, 1, 3)
+    with pytest.raises(Exception, match="no business day in the 1 days from 2025-04-(19|20)"):
+        op.next_business_day(days, search=1).collect()
     with pytest.raises(ValueError):
         op.candidate_days(spark, date(2025, 1, 2), date(2025, 1, 1))
     assert op.candidate_days(spark).first().day == date.today() - timedelta(days=1)
@@ -165,12 +167,30 @@ def test_previous_version_with_a_hot_key(spark, hot_rows, slices):
     assert {r.seq: (r.before, r.before_seq) for r in found.collect()} == expected
 
 
-def test_group_members_pages(spark):
+def test_group_members(spark):
     rows = [("big", i) for i in range(500)] + [("small", i) for i in range(3)] + [("small", 1), (None, 1), ("small", None)]
-    pages = op.group_members(spark.createDataFrame(rows, "g string, m int"), "g", "m", page_rows=50).collect()
+    df = spark.createDataFrame(rows, "g string, m int")
+    found = op.group_members(df, "g", "m").collect()
+    assert sorted((r.g, r.m, r.group_size) for r in found) == [("big", i, 500) for i in range(500)] + [("small", i, 3) for i in range(3)]
+    pages = op.member_pages(df, "g", "m", 10).collect()
     big = [r for r in pages if r.g == "big"]
     assert sorted(m for r in big for m in r.members) == list(range(500)) and len(big) == 10
-    assert [(r.members, r.group_size) for r in pages if r.g == "small"] == [([0, 1, 2], 3)]
+    assert [(r.members, r.group_size) for r in op.member_pages(df, "g", "m", 1).collect() if r.g == "small"] == [([0, 1, 2], 3)]
+
+
+def test_investors_without_agency_stay(spark):
+    investors = spark.createDataFrame([("i1", "a"), ("i2", "b"), ("i3", None)], "investisseur_id string, ville string")
+    agencies = spark.createDataFrame([("a", "r1")], "ville string, region_id string")
+    programmes = spark.createDataFrame([("p", "a")], "programme_id string, ville string")
+    lots = spark.createDataFrame([("p", "l", "DISPONIBLE")], "programme_id string, lot_id string, statut_lot string")
+    found = {tuple(r) for r in op.same_region(investors, lots, programmes, agencies).collect()}
+    assert found == {("i1", "r1", 1, "l"), ("i2", None, 0, None), ("i3", None, 0, None)}
+
+
+def test_null_keys_without_placeholder_go(spark):
+    df = spark.createDataFrame([(None, "s", 1), ("a", None, 1), ("a", None, 2)], "id string, scope string, v int")
+    found = op.latest_version(df, ["id", "scope"], ["v"], placeholders={"scope": "NONE"}).collect()
+    assert [tuple(r) for r in found] == [("a", None, 2)]
 
 
 def test_reconcile_stock(spark):

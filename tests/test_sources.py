@@ -17,13 +17,20 @@ def test_contract(spark):
         bronze.conform(batch, ["a", "c"], "t")
 
 
-def test_append_by_day_is_idempotent(spark, tmp_path):
+def test_append_adds_batches_and_replaces_reruns(spark, tmp_path):
     batch = spark.createDataFrame([("x", date(2025, 1, 1)), ("y", date(2025, 1, 2))], "v string, day date")
     path = str(tmp_path / "t")
-    bronze.append_versions(batch, path, day="day")
-    bronze.append_versions(batch.where("v = 'y'"), path, day="day")
+    bronze.append_versions(batch, path, day="day", batch_id="a")
+    bronze.append_versions(batch.where("v = 'y'"), path, day="day", batch_id="b")
     bronze.append_versions(batch, path, mode="dry_run")
-    assert sorted(r.v for r in bronze.read_versions(spark, path).collect()) == ["x", "y"]
+    assert sorted(r.v for r in bronze.read_versions(spark, path).collect()) == ["x", "y", "y"]
+    bronze.append_versions(batch.where("v = 'x'"), path, day="day", batch_id="a")
+    assert sorted((r.v, r.batch_id) for r in bronze.read_versions(spark, path).collect()) == [("x", "a"), ("y", "b")]
+    read = bronze.read_versions(spark, path, "v string, w int, day date, batch_id string")
+    assert set(read.columns) == {"v", "w", "day", "batch_id"} and {r.w for r in read.collect()} == {None}
+    bronze.append_versions(batch, str(tmp_path / "u"), day="day")
+    bronze.append_versions(batch, str(tmp_path / "u"), day="day")
+    assert bronze.read_versions(spark, str(tmp_path / "u")).count() == 4
 
 
 def test_append_merges_schemas(spark, tmp_path):
@@ -46,6 +53,28 @@ def test_ingest_folder(spark, tmp_path):
     assert again.columns == ["id"] and [r.id for r in again.collect()] == ["9"]
 
 
+def test_ingest_groups_by_header_and_refuses_duplicates(spark, tmp_path):
+    folder, target = tmp_path / "landing", str(tmp_path / "tables")
+    folder.mkdir()
+    for n in range(12):
+        (folder / f"t {n}.csv").write_text("id,name\n" + "".join(f"{n}{i},x\n" for i in range(n)))
+    (folder / "none.csv").write_text("")
+    assert len(ingest.by_header(spark, [str(p) for p in folder.glob("t*.csv")])) == 1
+    assert ingest.ingest_folder(spark, str(folder), target) == sorted(f"t {n}" for n in range(12))
+    assert [spark.read.parquet(f"{target}/t {n}").count() for n in range(12)] == list(range(12))
+    (folder / "t 3.txt").write_text("id\n1\n")
+    with pytest.raises(ingest.DuplicateTable, match="t 3"):
+        ingest.ingest_folder(spark, str(folder), target, "*")
+
+
+def test_refresh_that_fails_keeps_the_old_table(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    layout.save("gold", "x", spark.range(3))
+    with pytest.raises(Exception, match="USER_RAISED_EXCEPTION"):
+        layout.save("gold", "x", spark.range(3).selectExpr("raise_error('no') AS id"))
+    assert layout.read(spark, "gold", "x").count() == 3
+
+
 def test_layout(spark, tmp_path):
     layout = Layout(str(tmp_path), "prod", {"dev": "lake_dev", "prod": "lake_prod"})
     assert layout.path("gold", "x").endswith("/lake_prod/gold/x")
