@@ -48,7 +48,7 @@ GROUPS = 96
 #: Rows ranked together.
 SALTED = 50_000
 #: Space-free runs whose ids a task remembers; forgotten when full.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 # ---------------------------------------------------------------- tokens
 
@@ -61,11 +61,16 @@ class Encoder(dict):
 
     White space never lies inside a token and leaves no token, so a text's ids are those of its
     space-free runs, one after another. A run's ids are remembered; of two generations of
-    REMEMBERED runs the older one goes. A run of ASCII letters is one word of the vocabulary's
-    model, and ASCII marks after it are words of their own; any other run is encoded in full.
+    REMEMBERED runs the older one goes. A run of Latin letters is one word of the vocabulary's
+    model, lower-cased, byte by byte, and ASCII marks after it are words of their own; any other
+    run is encoded in full.
     """
 
-    plain = re.compile(rb"([A-Za-z]+)([!-&(-/:-@\[-^`{-~]*)")
+    #: Letters whose lower case is one letter and which no normal form changes, then marks.
+    plain = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u0148\u014a-\u017e]+)([!-&(-/:-@\\[-^`{-~]*)")
+    #: How byte-level vocabularies write a byte: itself where it is printable, else a letter from 256 on.
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    written = {b: 256 + n for n, b in enumerate(sorted({*range(256)} - {*printable}))}
 
     def __init__(self, path: str) -> None:
         super().__init__()
@@ -74,23 +79,27 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.older: dict[bytes, bytes] = {}
-        self.marks: dict[bytes, bytes] = {b"": b""}
+        self.marks: dict[str, bytes] = {"": b""}
 
-    def full(self, run: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(run.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+    def full(self, run: str) -> bytes:
+        return array("I", self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, run: bytes) -> bytes:
         ids = self.older.get(run)
         if ids is None:
-            parts = self.plain.fullmatch(run)
+            text = run.decode()
+            parts = self.plain.fullmatch(text)
             if parts is None:
-                ids = self.full(run)
+                ids = self.full(text)
             else:
                 word, marks = parts.groups()
-                ids = array("I", [t.id for t in self.model.tokenize(word.decode().lower())]).tobytes()
+                word = word.lower()
+                if not word.isascii():
+                    word = word.encode().decode("latin-1").translate(self.written)
+                ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
                 if marks:
                     if marks not in self.marks:
-                        self.marks = {b"": b""} if len(self.marks) > REMEMBERED else self.marks
+                        self.marks = {"": b""} if len(self.marks) > REMEMBERED else self.marks
                         self.marks[marks] = self.full(marks)
                     ids += self.marks[marks]
         if len(self) >= REMEMBERED:

@@ -34,8 +34,16 @@ def test_ids_are_those_of_the_whole_text(tk):
         assert got == [e.ids for e in tk.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_ids_of_every_letter(tk):
+    """Every letter of the fast path, alone, in a word, before marks, and with a combining mark."""
+    letters = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()]
+    texts = [f"{c} a{c}b! {c}{c.lower()}.. {c}\u0301 \u03a3{c}\u03a3" for c in letters]
+    got = [np.frombuffer(x, "<u4").tolist() for x in packing.Encoder(tokenizer()).encode([t.encode() for t in texts])]
+    assert got == [e.ids for e in tk.encode_batch(texts, add_special_tokens=False)]
+
+
 @settings(max_examples=300, deadline=None)
-@given(st.text(max_size=60))
+@given(st.text(max_size=60) | st.text(alphabet="aé É.!ßſİŉΣ' -1", max_size=30))
 def test_ids_of_any_text(text):
     tk, encoder = Tokenizer.from_file(tokenizer()), packing.encoder_for(tokenizer())
     assert np.frombuffer(next(encoder.encode([text.encode()])), "<u4").tolist() == tk.encode(text, add_special_tokens=False).ids
