@@ -15,7 +15,7 @@ from stratastar.session import scratch_path
 #: Shuffled texts are dealt to tasks in smaller parts than Spark's own rows, as Python holds them too.
 BATCH = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
 }
 

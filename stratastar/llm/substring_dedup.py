@@ -40,7 +40,7 @@ ANCHOR = 8
 #: Anchors in a window.
 SPREAD = WINDOW - ANCHOR + 1
 #: Candidate runs and windows that a task holds before it compares them among themselves.
-HELD = 400_000
+HELD = 200_000
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:

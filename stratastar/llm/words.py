@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; a longer text is still handled whole.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 CHUNK_ROWS = 2048
 
 _IS_SPACE = np.zeros(256, bool)
