@@ -13,7 +13,8 @@ from stratastar.examples import retail
 from stratastar.examples.registry import Tables, query
 from stratastar.functions import flag
 from stratastar.functions.keys import NULL_TOKEN
-from stratastar.plans.security import ROLES, Role, access_table, bypasses, secured, user_grants, visible
+from stratastar.operators.setops import union_all
+from stratastar.plans.security import ROLES, Role, access_table, bypasses, secured, stored_grants, user_grants, visible
 from stratastar.plans.semantic import propagate
 from stratastar.session import materialise_all
 
@@ -151,7 +152,33 @@ for _name, (_table, _build, _role) in _RULES.items():
 
         @query(_name + _suffix, rule_sql(_table, _role.columns, _email))
         def _(t: Tables, build=_build, role=_role, email=_email):
-            return visible(build(t), role, user_grants(access(t), email))
+            return visible(build(t), role, stored_grants(access(t), email))
+
+
+def _two_roles_sql() -> str:
+    """Rows seen under the adviser role alone, and under the adviser and the investor role together."""
+    grants = f"SELECT * FROM access WHERE user_email = '{SCOPED.lower()}' AND is_active"
+    tests = " OR ".join(f"{c} IN (SELECT {c} FROM ({grants}) WHERE {c} IS NOT NULL)" for c in ROLES["RLS_conseillers"].columns)
+    return (
+        f"WITH {ACCESS_SQL}, {AGENCY_SQL}, {ADVISER_SQL}, {INVESTOR_SQL} "
+        f"SELECT 'one' AS roles, 'dim_conseiller' AS dimension, conseiller_id AS id FROM adviser "
+        f"WHERE {tests} OR EXISTS (SELECT 1 FROM ({grants}) WHERE access_level IN ('ALL', 'ADV')) "
+        "UNION ALL SELECT 'one', 'dim_investisseur', investisseur_id FROM investor "
+        "UNION ALL SELECT 'two', 'dim_conseiller', conseiller_id FROM adviser "
+        "UNION ALL SELECT 'two', 'dim_investisseur', investisseur_id FROM investor"
+    )
+
+
+@query("role_two_roles", _two_roles_sql())
+def _(t: Tables):
+    """Roles add up: a dimension that one of the user's roles leaves unfiltered is seen whole."""
+    dimensions = {"dim_conseiller": dim_adviser(t), "dim_investisseur": dim_investor(t)}
+    ids = {"dim_conseiller": "conseiller_id", "dim_investisseur": "investisseur_id"}
+    allowed, parts = access(t), []
+    for label, roles in (("one", ["RLS_conseillers"]), ("two", ["RLS_conseillers", "RLS_investisseur"])):
+        seen = dimensions | secured(dimensions, allowed, SCOPED, [ROLES[r] for r in roles])
+        parts += [df.select(F.lit(label).alias("roles"), F.lit(name).alias("dimension"), F.col(ids[name]).alias("id")) for name, df in seen.items()]
+    return union_all(parts)
 
 
 @query(
@@ -163,7 +190,7 @@ for _name, (_table, _build, _role) in _RULES.items():
                OR EXISTS (SELECT 1 FROM grants WHERE access_level IN ('ALL', 'ADV')))""",
 )
 def _(t: Tables):
-    model = retail.retail_model(t, "fact_order")
+    model = retail.retail_model(t, "fact_order", reads={"fact_order": {"customer_key"}})
     customers = model.tables["dim_customer"].withColumns(
         {"agence_id": F.col("c_nationkey"), "partenaire_id": F.concat(F.lit("P"), F.col("c_nationkey"))}
     )

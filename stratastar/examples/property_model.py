@@ -18,8 +18,8 @@ from stratastar.functions.keys import NULL_TOKEN
 from stratastar.operators import domain_values, freshness, observed_dates, quality_log
 from stratastar.plans import catalogue, pipeline
 from stratastar.plans.gold import dimension, fact
-from stratastar.plans.security import ROLES, access_table, user_grants, visible
-from stratastar.plans.semantic import measure_query
+from stratastar.plans.security import ROLES, access_table, stored_grants, visible
+from stratastar.plans.semantic import measure_query, needed
 from stratastar.plans.silver import silver_table
 from stratastar.session import materialise, materialise_all
 
@@ -152,18 +152,25 @@ class PropertyModel:
         sources = catalogue.date_sources({catalogue.FACTS[f].source: self.versions(catalogue.FACTS[f].source) for f in facts or catalogue.FACTS})
         return observed_dates(sources)
 
-    def fact(self, name: str, dimensions: dict[str, DataFrame] | None = None) -> DataFrame:
+    def fact(self, name: str, dimensions: dict[str, DataFrame] | None = None, only: set[str] | None = None) -> DataFrame:
         spec = catalogue.FACTS[name]
         dims = dict(dimensions) if dimensions else self.dimensions(*[target.dimension for target in spec.lookups])
-        if spec.status and "dim_statut" not in dims:
+        if spec.status and "dim_statut" not in dims and (only is None or "statut_key" in only):
             dims["dim_statut"] = materialise(self.statuses(spec.status[0]), "dim_statut")
-        return fact(self.silver(spec.source), spec, dims)
+        return fact(self.silver(spec.source), spec, dims, only)
 
-    def facts(self, *names: str) -> dict[str, DataFrame]:
+    def facts(self, *names: str, reads: dict[str, set[str]] | None = None) -> dict[str, DataFrame]:
+        """The facts and what they look up; with `reads` (columns by fact) only the lookups that are read."""
         specs = [catalogue.FACTS[n] for n in names]
-        dims = self.dimensions(*[target.dimension for spec in specs for target in spec.lookups])
-        dims["dim_statut"] = materialise(self.statuses(*[spec.status[0] for spec in specs if spec.status]), "dim_statut")
-        return {**dims, **{spec.name: self.fact(spec.name, dims) for spec in specs}}
+        keys = {spec.name: None if reads is None else reads.get(spec.name, set()) for spec in specs}
+        read = lambda spec, key: keys[spec.name] is None or key in keys[spec.name]
+        dims = self.dimensions(*[target.dimension for spec in specs for target in spec.lookups if read(spec, target.key)])
+        domains = [spec.status[0] for spec in specs if spec.status and read(spec, "statut_key")]
+        if domains:
+            dims["dim_statut"] = materialise(self.statuses(*domains), "dim_statut")
+        if reads is None:
+            return {**dims, **{spec.name: self.fact(spec.name, dims) for spec in specs}}
+        return {**dims, **{spec.name: fact(self.silver(spec.source), spec, dims, keys[spec.name]) for spec in specs}}
 
 
 # The same layers in SQL.
@@ -392,17 +399,17 @@ def _quality_sql() -> str:
     )
 
 
-def _gold(t: Tables, *names: str) -> dict[str, DataFrame]:
+def _gold(t: Tables, *names: str, reads: dict[str, set[str]] | None = None) -> dict[str, DataFrame]:
     model = PropertyModel(t)
     facts = [n for n in names if n in catalogue.FACTS]
-    tables = model.facts(*facts) if facts else {}
+    tables = model.facts(*facts, reads=reads) if facts else {}
     missing = [n for n in names if n in catalogue.DIMENSIONS and n not in tables]
     return {**tables, **model.dimensions(*missing)}
 
 
 @query("tech_data_quality_log", _quality_sql())
 def _(t: Tables):
-    return quality_log(_gold(t, *_QUALITY_TABLES), catalogue.QUALITY_CHECKS, F.lit(LOAD_TIME).cast("timestamp_ntz"))
+    return quality_log(_gold(t, *_QUALITY_TABLES, reads={c.table: {c.column} for c in catalogue.QUALITY_CHECKS}), catalogue.QUALITY_CHECKS, F.lit(LOAD_TIME).cast("timestamp_ntz"))
 
 
 def _freshness_sql() -> str:
@@ -551,7 +558,8 @@ def _measures_query(name: str, dim: str, column: str, tables: tuple[str, ...], n
     @query(name, sql)
     def _(t: Tables):
         model = PropertyModel(t)
-        built = _gold(t, *gold)
+        reads = needed(catalogue.relationships(), catalogue.measures(normalised), [*names, *ratios], [dim])
+        built = _gold(t, *gold, reads=reads)
         if dim == "dim_date":
             built["dim_date"] = model.dates(*tables)
         return measure_query(catalogue.model(built, normalised), [*names, *ratios], [(dim, column)])
@@ -586,4 +594,4 @@ for _role_name, _role in ROLES.items():
     def _(t: Tables, role=_role):
         model = PropertyModel(t)
         access = access_table(model.silver("security_user_access"))
-        return visible(model.dimensions(role.dimension)[role.dimension], role, user_grants(access, "User1@Example.com"))
+        return visible(model.dimensions(role.dimension)[role.dimension], role, stored_grants(access, "User1@Example.com"))

@@ -14,7 +14,7 @@ from stratastar.functions import date_key, surrogate_key
 from stratastar.functions.keys import unknown_key
 from stratastar.operators import Lookup, domain_values, observed_dates
 from stratastar.plans.gold import dimension, fact
-from stratastar.plans.semantic import Measure, Model, Relationship
+from stratastar.plans.semantic import Measure, Model, Relationship, measure_query, needed
 from stratastar.plans.silver import silver_table
 from stratastar.plans.specs import DimensionSpec, FactSpec, SilverSpec
 from stratastar.session import materialise_all
@@ -193,7 +193,7 @@ def fact_target(t: Tables) -> DataFrame:
 MEASURES = (
     Measure("revenue", "sum", "fact_order", "amount"),
     Measure("n_orders", "count", "fact_order"),
-    Measure("n_unknown_customer", "count", "fact_order", where=lambda: F.col("customer_key") == unknown_key()),
+    Measure("n_unknown_customer", "count", "fact_order", where=lambda: F.col("customer_key") == unknown_key(), reads=("customer_key",)),
     Measure("mean_order", "avg", "fact_order", "amount"),
     Measure("shipped", "sum", "fact_line", "amount"),
     Measure("n_lines", "count", "fact_line"),
@@ -222,17 +222,22 @@ FACTS = {spec.name: spec for spec in (FACT_ORDER, FACT_LINE)}
 SILVER = {"fact_order": silver_orders, "fact_line": silver_lines}
 
 
-def retail_model(t: Tables, *facts: str) -> Model:
-    """The facts with what they look up. Looked-up tables are stored once for all their
-    consumers; the date dimension only meets summed-up rows and stays a plan."""
+def retail_model(t: Tables, *facts: str, reads: dict[str, set[str]] | None = None) -> Model:
+    """The facts with what they look up, or with `reads` (columns by table) only what is read of
+    them. Looked-up tables are stored once for all their consumers; the date dimension only meets
+    summed-up rows and stays a plan."""
     specs = [FACTS[name] for name in facts if name in FACTS]
-    masters = dict.fromkeys(target.dimension for spec in specs for target in spec.lookups)
-    domains = [spec.status[0] for spec in specs if spec.status]
+    only = {spec.name: None if reads is None else reads.get(spec.name, set()) for spec in specs}
+    read = lambda spec, key: only[spec.name] is None or key in only[spec.name]
+    masters = dict.fromkeys(target.dimension for spec in specs for target in spec.lookups if read(spec, target.key))
+    masters |= dict.fromkeys(name for name in facts if name in MASTERS)
+    domains = [spec.status[0] for spec in specs if spec.status and read(spec, "statut_key")]
     stored = {name: master_dimension(t, name) for name in masters}
-    stored["dim_statut"] = dim_status(t).where(F.col("domaine_statut").isin(domains))
+    if domains:
+        stored["dim_statut"] = dim_status(t).where(F.col("domaine_statut").isin(domains))
     tables = materialise_all(stored)
     for spec in specs:
-        tables[spec.name] = fact(SILVER[spec.name](t), spec, tables)
+        tables[spec.name] = fact(SILVER[spec.name](t), spec, tables, only[spec.name])
     if "fact_target" in facts:
         tables["fact_target"] = fact_target(t)
     if "dim_customer" in tables:
@@ -241,6 +246,14 @@ def retail_model(t: Tables, *facts: str) -> Model:
     return Model(tables, EDGES, {m.name: m for m in MEASURES})
 
 
+def measured(t: Tables, names: list[str], by: list[tuple[str, str]]) -> DataFrame:
+    """The measures by (dimension, column), over a model that holds only what they read."""
+    measures = {m.name: m for m in MEASURES}
+    dimensions = [dimension for dimension, _ in by]
+    reads = needed(EDGES, measures, names, dimensions)
+    return measure_query(retail_model(t, *reads, *[d for d in dimensions if d in MASTERS], reads=reads), names, by)
+
+
 # The same star in SQL.
 
 _UNKNOWN = "sha256('__UNKNOWN__')"

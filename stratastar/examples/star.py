@@ -10,7 +10,7 @@ from stratastar.examples import retail
 from stratastar.examples.columns import CALENDAR_SQL, LOAD_TIME, RATE_SQL
 from stratastar.examples.registry import Tables, query
 from stratastar.plans.gold import dimension
-from stratastar.plans.semantic import measure_query, propagate, related
+from stratastar.plans.semantic import propagate, related
 from stratastar.session import materialise
 from stratastar.sources import bronze
 
@@ -119,7 +119,7 @@ def _(t: Tables):
     f"""{STAR} SELECT order_id, amount, c_name, c_mktsegment FROM fact_order JOIN dim_customer USING (customer_key)""",
 )
 def _(t: Tables):
-    model = retail.retail_model(t, "fact_order")
+    model = retail.retail_model(t, "fact_order", reads={"fact_order": {"customer_key"}})
     return related(model, "fact_order", "dim_customer", ["c_name", "c_mktsegment"]).select(
         "order_id", "amount", "c_name", "c_mktsegment"
     )
@@ -132,7 +132,7 @@ def _(t: Tables):
         AND date_order_key // 10000 = 1997""",
 )
 def _(t: Tables):
-    model = retail.retail_model(t, "fact_order")
+    model = retail.retail_model(t, "fact_order", reads={"fact_order": {"customer_key"}})
     filters = {
         "dim_customer": model.tables["dim_customer"].where("c_mktsegment = 'BUILDING'"),
         "dim_date": model.tables["dim_date"].where("annee = 1997"),
@@ -154,7 +154,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     names = ["revenue", "n_orders", "shipped", "n_lines", "target", "attainment"]
-    return measure_query(retail.retail_model(t, "fact_order", "fact_line", "fact_target"), names, [("dim_date", "annee"), ("dim_statut", "statut_value")])
+    return retail.measured(t, names, [("dim_date", "annee"), ("dim_statut", "statut_value")])
 
 
 # Aggregates
@@ -245,33 +245,33 @@ def by_segment(columns: str) -> str:
 
 @query("a8_sum", by_segment("sum(amount) AS revenue, count(*) AS n_orders"))
 def _(t: Tables):
-    return measure_query(retail.retail_model(t, "fact_order"), ["revenue", "n_orders"], BY_SEGMENT)
+    return retail.measured(t, ["revenue", "n_orders"], BY_SEGMENT)
 
 
 @query("a8_count", f"{STAR} SELECT part_id, count(*) AS n_lines FROM (SELECT p_type AS part_id FROM fact_line JOIN part ON CAST(p_partkey AS VARCHAR) = fact_line.part_id) GROUP BY ALL")
 def _(t: Tables):
-    counts = measure_query(retail.retail_model(t, "fact_line"), ["n_lines"], [("dim_part", "p_type")])
+    counts = retail.measured(t, ["n_lines"], [("dim_part", "p_type")])
     return counts.withColumnRenamed("p_type", "part_id")
 
 
 @query("a8_distinct", "SELECT c_mktsegment, count(DISTINCT c_custkey) AS n_customers FROM customer GROUP BY ALL UNION ALL SELECT 'INCONNU', 1")
 def _(t: Tables):
-    return measure_query(retail.retail_model(t, "fact_order"), ["n_customers"], [("dim_customer", "c_mktsegment")])
+    return retail.measured(t, ["n_customers"], [("dim_customer", "c_mktsegment")])
 
 
 @query("a8_avg", by_segment("CAST(sum(amount) AS DOUBLE) / count(amount) AS mean_order"))
 def _(t: Tables):
-    return measure_query(retail.retail_model(t, "fact_order"), ["mean_order"], BY_SEGMENT)
+    return retail.measured(t, ["mean_order"], BY_SEGMENT)
 
 
 @query("a8_ratio", by_segment("CAST(sum(amount) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS order_value"))
 def _(t: Tables):
-    return measure_query(retail.retail_model(t, "fact_order"), ["order_value"], BY_SEGMENT)
+    return retail.measured(t, ["order_value"], BY_SEGMENT)
 
 
 @query("a8_filtered_count", by_segment("nullif(count(*) FILTER (customer_key = sha256('__UNKNOWN__')), 0) AS n_unknown_customer"))
 def _(t: Tables):
-    return measure_query(retail.retail_model(t, "fact_order"), ["n_unknown_customer"], BY_SEGMENT)
+    return retail.measured(t, ["n_unknown_customer"], BY_SEGMENT)
 
 
 @query(
@@ -281,7 +281,7 @@ def _(t: Tables):
         FROM fact_order GROUP BY ALL""",
 )
 def _(t: Tables):
-    return measure_query(retail.retail_model(t, "fact_order"), ["revenue", "n_customers", "mean_balance"], [("dim_date", "annee")])
+    return retail.measured(t, ["revenue", "n_customers", "mean_balance"], [("dim_date", "annee")])
 
 
 STOCK_STATUS = "case when p_size <= 20 then 'EN_COMMERCIALISATION' when p_size <= 40 then 'COMMERCIALISE' else 'LIVRE' end"
@@ -460,7 +460,7 @@ QUALITY = (
                n AS records_checked, failed AS records_failed, {RATE_SQL} FROM c""",
 )
 def _(t: Tables):
-    tables = retail.retail_model(t, "fact_order", "fact_line").tables
+    tables = retail.retail_model(t, "fact_order", "fact_line", reads={c.table: {c.column} for c in QUALITY}).tables
     orders = tables["fact_order"].withColumn("margin", F.col("amount") - 20000)
     return op.quality_log({"fact_order": orders, "fact_line": tables["fact_line"]}, QUALITY, F.lit(LOAD_TIME).cast("timestamp_ntz"))
 

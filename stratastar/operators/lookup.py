@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratastar.functions.keys import unknown_key
+from stratastar.functions.keys import surrogate_key, unknown_key
 
 NULL_BUCKETS = 1024
 
@@ -32,12 +32,18 @@ class Lookup:
 
 @dataclass(frozen=True)
 class Target:
-    """Members (natural key, surrogate key) for the value `side` of each row; a miss yields `unknown`."""
+    """Members for the value `side` of each row: (natural key, key), or the natural key alone if
+    `hashed` says how a member's key follows from `side`. A miss yields `unknown`.
+
+    With `hashed` the join only answers whether the member exists: its side is a quarter as
+    wide, so more dimensions stay under the broadcast threshold.
+    """
 
     members: DataFrame
     side: Column
     key: str
     unknown: Column
+    hashed: Column | None = None
 
 
 def spread_nulls(value: Column, spread_by: Sequence[str]) -> Column:
@@ -54,22 +60,28 @@ def find_keys(df: DataFrame, targets: Sequence[Target], spread_by: Sequence[str]
     """
     joined, spread_by = df, spread_by or [f"`{c}`" for c in df.columns]
     for i, target in enumerate(targets):
-        member, key = target.members.columns
-        members = target.members.select(F.col(member).cast("string").alias(f"__m{i}"), F.col(key).alias(f"__k{i}"))
+        member, *key = target.members.columns
+        members = target.members.select(F.col(member).cast("string").alias(f"__m{i}"), *[F.col(k).alias(f"__k{i}") for k in key])
         joined = joined.join(members, spread_nulls(target.side, spread_by) == F.col(f"__m{i}"), "left")
-    keys = [F.coalesce(f"__k{i}", target.unknown).alias(target.key) for i, target in enumerate(targets)]
+    keys = []
+    for i, target in enumerate(targets):
+        found = F.col(f"__k{i}") if target.hashed is None else F.when(F.col(f"__m{i}").isNotNull(), target.hashed)
+        keys.append(F.coalesce(found, target.unknown).alias(target.key))
     return joined.select(*[f"`{c}`" for c in df.columns], *keys)
 
 
-def target(dimension: DataFrame, spec: Lookup) -> Target:
-    members = dimension.select(spec.natural_key, spec.key)
-    return Target(members, F.col(spec.foreign_key), spec.key, unknown_key())
+def target(dimension: DataFrame, spec: Lookup, hashed: bool = False) -> Target:
+    """`hashed` for dimensions whose key is `surrogate_key` of the natural key."""
+    side = F.col(spec.foreign_key)
+    members = dimension.select(spec.natural_key, *([] if hashed else [spec.key]))
+    return Target(members, side, spec.key, unknown_key(), surrogate_key(side) if hashed else None)
 
 
 def status_target(dim_status: DataFrame, domain: str, status: str, key: str = "statut_key") -> Target:
     """The cleaned status inside its domain; a miss yields the domain's unknown key."""
-    members = dim_status.where(F.col("domaine_statut") == domain).select("statut_value", "statut_key")
-    return Target(members, F.upper(F.trim(F.col(status))), key, unknown_key(domain))
+    members = dim_status.where(F.col("domaine_statut") == domain).select("statut_value")
+    side = F.upper(F.trim(F.col(status)))
+    return Target(members, side, key, unknown_key(domain), surrogate_key(F.lit(domain), side))
 
 
 def lookup(df: DataFrame, dimension: DataFrame, spec: Lookup, *, spread_by: Sequence[str] | None = None) -> DataFrame:

@@ -576,7 +576,8 @@ def _filtered(normalised: bool) -> list[Measure]:
         "Dossiers Pièces Manquantes": ("fact_dossier_adv", incomplete),
         "Financements Refusés": ("fact_financement", lambda: status("statut_financement", "Refusé", "REFUSE")),
     }
-    result = [Measure(name, "count", table, where=where) for name, (table, where) in counts.items()]
+    keys = {"Ventes Sans Investisseur": ("investisseur_key",), "Réservations Sans Lot": ("lot_key",)}
+    result = [Measure(name, "count", table, where=where, reads=keys.get(name, ())) for name, (table, where) in counts.items()]
     result.append(
         Measure("Lots Vendus Encore Disponibles", "distinct", "dim_lot_immobilier", "lot_key", sold_but_available)
     )

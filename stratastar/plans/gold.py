@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +37,7 @@ def dimension(
         rows = source.where(F.col(spec.natural_key).isNotNull())
         rows = rows if live is None else rows.where(live)
     if spec.parents:
-        parents = [target(dimensions[parent.dimension], parent) for parent in spec.parents]
+        parents = [target(dimensions[parent.dimension], parent, hashed=True) for parent in spec.parents]
         rows = find_keys(rows, parents, spread_by=[spec.natural_key])
     names = [full_name(first, last).alias(name) for name, first, last in ([spec.full_name] if spec.full_name else [])]
     rows = rows.select(surrogate_key(spec.natural_key).alias(spec.key), "*", *names)
@@ -49,8 +49,14 @@ def dimension(
     return with_unknown(rows, {**member, **spec.unknown})
 
 
-def fact(source: DataFrame, spec: FactSpec, dimensions: Mapping[str, DataFrame]) -> DataFrame:
-    """Live rows with surrogate keys for every lookup and integer keys for every date."""
+def fact(
+    source: DataFrame, spec: FactSpec, dimensions: Mapping[str, DataFrame], only: Collection[str] | None = None
+) -> DataFrame:
+    """Live rows with surrogate keys for every lookup and integer keys for every date.
+
+    `only` names the columns that the consumer reads: lookups of other keys are left out, as a
+    left join to a table that is not known to be unique stays in the plan even if nobody reads it.
+    """
     column, value = spec.live
     rows = source.where(F.coalesce(F.col(column), F.lit(not value)) == F.lit(value))
     days = [f.name for f in source.schema if isinstance(f.dataType, T.DateType)]
@@ -61,7 +67,8 @@ def fact(source: DataFrame, spec: FactSpec, dimensions: Mapping[str, DataFrame])
         *[date_key(d).alias(f"{d}_key") for d in days],
         *[build().alias(name) for name, build in spec.extra.items()],
     )
-    targets = [target(dimensions[lookup.dimension], lookup) for lookup in spec.lookups]
-    if spec.status:
+    wanted = [lookup for lookup in spec.lookups if only is None or lookup.key in only]
+    targets = [target(dimensions[lookup.dimension], lookup, hashed=True) for lookup in wanted]
+    if spec.status and (only is None or "statut_key" in only):
         targets.append(status_target(dimensions["dim_statut"], *spec.status))
     return find_keys(rows, targets, spread_by=[spec.natural_key])

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stratastar.functions.cleaning import blank_to_null, clean_code, clean_lower, id_text
 from stratastar.functions.keys import surrogate_key
 from stratastar.operators.versions import latest_version
+from stratastar.session import materialise
 
 # Access levels that see everything, and the texts for an absent scope.
 BYPASS_LEVELS = ("ALL", "ADV")
@@ -61,6 +62,7 @@ def access_table(access: DataFrame) -> DataFrame:
         ["updated_at", "created_at"],
         tie_break=["user_access_id"],
         placeholders=NO_SCOPE,
+        keep_null_keys=True,  # a grant without a role or level is a grant of its own
     )
     return newest.select(surrogate_key(*GRANT_KEY).alias("security_access_key"), *newest.columns)
 
@@ -70,6 +72,12 @@ def user_grants(access: DataFrame, email: str) -> DataFrame:
     return access.where((F.lower("user_email") == email.lower()) & F.col("is_active"))
 
 
+def stored_grants(access: DataFrame, email: str) -> DataFrame:
+    """The user's grants, stored: a few rows that every rule reads, instead of deduplicating the
+    access table once per scope. With their size known, each scope becomes a broadcast join."""
+    return materialise(user_grants(access, email), "grants")
+
+
 def bypasses(grants: DataFrame, levels: Sequence[str] = BYPASS_LEVELS) -> Column:
     """True when a grant opens everything."""
     return grants.where(F.col("access_level").isin(*levels)).select(F.lit(1)).exists()
@@ -91,15 +99,18 @@ def visible(dimension: DataFrame, role: Role, grants: DataFrame) -> DataFrame:
 def secured(
     dimensions: Mapping[str, DataFrame], access: DataFrame, email: str, roles: Sequence[Role]
 ) -> dict[str, DataFrame]:
-    """Filtered dimensions for a user, ready for `propagate`.
+    """Filtered dimensions for a user who holds `roles`, ready for `propagate`.
 
-    Roles on one dimension add up; roles on different dimensions all apply. Store the
-    results before filtering large facts: with a known size a short list of visible
-    rows is broadcast, and the fact is not shuffled.
+    Roles add up: a row is visible if any role shows it, and a role without a filter on a
+    dimension shows all of it. So a dimension is filtered only if every role filters it, and
+    the others are not in the result. Store the results before filtering large facts: with a
+    known size a short list of visible rows is broadcast, and the fact is not shuffled.
     """
-    grants = user_grants(access, email)
+    grants = stored_grants(access, email)
     result: dict[str, DataFrame] = {}
     for name in dict.fromkeys(role.dimension for role in roles):
-        columns = dict.fromkeys(c for role in roles if role.dimension == name for c in role.columns)
+        if any(role.dimension != name for role in roles):
+            continue
+        columns = dict.fromkeys(c for role in roles for c in role.columns)
         result[name] = visible(dimensions[name], Role(name, tuple(columns)), grants)
     return result

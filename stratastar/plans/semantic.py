@@ -23,7 +23,7 @@ class Relationship:
 
 @dataclass(frozen=True)
 class Measure:
-    """`kind` is sum, count, distinct, avg or ratio; `where` filters the rows it sees."""
+    """`kind` is sum, count, distinct, avg or ratio; `where` filters the rows it sees, by the columns `reads`."""
 
     name: str
     kind: str
@@ -32,6 +32,7 @@ class Measure:
     where: Callable[[], Column] | None = None
     numerator: str | None = None
     denominator: str | None = None
+    reads: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -93,6 +94,22 @@ def _expand(model: Model, names: Sequence[str]) -> list[Measure]:
     return list(base.values())
 
 
+def needed(
+    relationships: Sequence[Relationship], measures: Mapping[str, Measure], names: Sequence[str], dimensions: Sequence[str]
+) -> dict[str, set[str]]:
+    """Columns that the named measures read per table, grouped or filtered by the given dimensions.
+
+    Build facts with only these (see `fact`), so that no lookup is done that nobody reads.
+    """
+    base = _expand(Model({}, relationships, measures), names)
+    columns: dict[str, set[str]] = {}
+    for m in base:
+        own = columns.setdefault(m.table, set())
+        own |= {*m.reads, *([m.column] if m.column else [])}
+        own |= {edge.foreign_key for edge in relationships if edge.table == m.table and edge.dimension in dimensions}
+    return columns
+
+
 def _partials(measures: Sequence[Measure]) -> dict[str, Column]:
     """Aggregates that can be summed up again over coarser groups."""
     cells: dict[str, Column] = {}
