@@ -226,8 +226,9 @@ def _(t: Tables):
     stamp = F.lit(LOAD_TIME).cast("timestamp_ntz")
     rows = t.events.groupBy(F.col("ts").cast("date").alias("date_cible"), F.concat(F.lit("src_"), "event_type").alias("table_cible"))
     counted = rows.agg(F.count(F.lit(1)).alias("nb_versions")).withColumns({"run_timestamp": stamp, "run_mode": F.lit("append")})
-    for half in (F.col("date_cible") < "2024-01-15", F.col("date_cible") >= "2024-01-15"):
-        bronze.append_run_log(counted.where(half), path)
+    halves = {"early": F.col("date_cible") < "2024-01-15", "late": F.col("date_cible") >= "2024-01-15"}
+    for name in ("early", "late", "late"):  # a rerun adds nothing
+        bronze.append_run_log(counted.where(halves[name]), path, batch_id=name)
     return bronze.read_run_log(t.spark, path)
 
 

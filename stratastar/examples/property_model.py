@@ -382,7 +382,7 @@ def _gold_sql(*names: str) -> str:
     return _with(*sources) + ", " + ", ".join(f"{n} AS ({sql})" for n, sql in rows.items())
 
 
-def _quality_sql() -> str:
+def _quality_rows_sql() -> str:
     failed = {
         "null_check": "CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT)",
         "range_check": "CAST(sum(CASE WHEN {c} < 0 THEN 1 ELSE 0 END) AS BIGINT)",
@@ -394,11 +394,15 @@ def _quality_sql() -> str:
         for c in catalogue.QUALITY_CHECKS
     )
     return (
-        f"{_gold_sql(*_QUALITY_TABLES)} SELECT TIMESTAMP '{LOAD_TIME}' AS checked_at, 'gold' AS table_schema, table_name, column_name, "
+        f"SELECT TIMESTAMP '{LOAD_TIME}' AS checked_at, 'gold' AS table_schema, table_name, column_name, "
         f"check_type, n AS records_checked, failed AS records_failed, {RATE_SQL} FROM ({checks})"
     )
 
 
+def _quality_sql() -> str:
+    return f"{_gold_sql(*_QUALITY_TABLES)} {_quality_rows_sql()}"
+
+
 def _gold(t: Tables, *names: str, reads: dict[str, set[str]] | None = None) -> dict[str, DataFrame]:
     model = PropertyModel(t)
     facts = [n for n in names if n in catalogue.FACTS]
@@ -412,22 +416,26 @@ def _(t: Tables):
     return quality_log(_gold(t, *_QUALITY_TABLES, reads={c.table: {c.column} for c in catalogue.QUALITY_CHECKS}), catalogue.QUALITY_CHECKS, F.lit(LOAD_TIME).cast("timestamp_ntz"))
 
 
-def _freshness_sql() -> str:
+def _freshness_rows_sql() -> str:
     gold = [*catalogue.FACTS, *catalogue.DIMENSIONS]
     probes = [("silver", n, f"s_{n}", s.version_order[0]) for n, s in catalogue.SILVER.items() if n != "security_user_access"]
     for name in gold:
         spec = catalogue.DIMENSIONS.get(name) or catalogue.FACTS[name]
         probes.append(("gold", name, name, catalogue.SILVER[spec.source].version_order[0]))
-    rows = " UNION ALL ".join(
+    return " UNION ALL ".join(
         f"SELECT '{layer}' AS table_schema, '{name}' AS table_name, max({column}) AS last_load_time, count(*) AS row_count, "
         f"TIMESTAMP '{LOAD_TIME}' AS checked_at FROM {table}"
         for layer, name, table, column in probes
     )
+
+
+def _freshness_sql() -> str:
+    gold = [*catalogue.FACTS, *catalogue.DIMENSIONS]
     silver = _with(*[n for n in catalogue.SILVER if n != "security_user_access"])
     built = ", ".join(
         f"{n} AS ({dimension_rows_sql(n) if n in catalogue.DIMENSIONS else fact_rows_sql(n)})" for n in gold
     )
-    return f"{silver}, {built} {rows}"
+    return f"{silver}, {built} {_freshness_rows_sql()}"
 
 
 def stored_layers(t: Tables) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
@@ -451,6 +459,12 @@ def _(t: Tables):
     return freshness(pipeline.freshness_tables(silver, gold), F.lit(LOAD_TIME).cast("timestamp_ntz"))
 
 
+RUN_LOG_SQL = f"""SELECT CAST(event_id AS VARCHAR) AS run_id, 'user-' || user_id AS pipeline_name, 'DEV' AS environment, event_type AS status,
+           ts AS start_time, ts + INTERVAL 1 MINUTE AS end_time, CAST(floor(CAST(round(value * 100) AS BIGINT) / 1000) AS BIGINT) AS duration_seconds,
+           event_id AS rows_processed, CASE WHEN event_type = 'error' THEN '404' END AS error_message, TIMESTAMP '{LOAD_TIME}' AS inserted_at
+    FROM events WHERE ts + INTERVAL 720 DAY >= TIMESTAMP '{LOAD_TIME}' - INTERVAL 7 DAY AND event_type <> 'signup'"""
+
+
 def _tests_sql() -> str:
     """Never-null and unique tests as separate counts over every built table."""
     tests: list[tuple[str, str, list[str], list[str]]] = []
@@ -472,7 +486,14 @@ def _tests_sql() -> str:
     for label, table, filled, unique in tests:
         rows += [f"SELECT '{label}' AS table_name, '{c}' AS column_name, 'not_null' AS test, count(*) - count({c}) AS n_failures FROM {table}" for c in filled]
         rows += [f"SELECT '{label}', '{c}', 'unique', count(*) FROM (SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)" for c in unique]
-    rows.append("SELECT 'dim_statut', 'domaine_statut', 'accepted_values', CAST(0 AS BIGINT)")
+    for name, (filled, unique, _) in catalogue.TECH_TESTS.items():
+        rows += [f"SELECT '{name}', '{c}', 'not_null', count(*) - count({c}) FROM {name}" for c in filled]
+        rows += [f"SELECT '{name}', '{c}', 'unique', count(*) FROM (SELECT {c} FROM {name} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)" for c in unique]
+    accepted = [("dim_statut", "domaine_statut", list(catalogue.STATUS_DOMAINS))]
+    accepted += [(name, c, values) for name, (_, _, by_column) in catalogue.TECH_TESTS.items() for c, values in by_column.items()]
+    for name, column, values in accepted:
+        listed = ", ".join(f"'{v}'" for v in values)
+        rows.append(f"SELECT '{name}', '{column}', 'accepted_values', count(DISTINCT {column}) FROM {name} WHERE {column} NOT IN ({listed})")
     gold = {**catalogue.DIMENSIONS, **catalogue.FACTS}
     built = ", ".join(f"{n} AS ({dimension_rows_sql(n) if n in catalogue.DIMENSIONS else fact_rows_sql(n)})" for n in gold)
     statuses = " UNION ".join(
@@ -482,13 +503,40 @@ def _tests_sql() -> str:
     return (
         f"{_with(*catalogue.SILVER)}, {built}, dim_date AS (SELECT {CALENDAR_SQL} FROM ({_days_sql()}) WHERE d IS NOT NULL), "
         f"dim_statut AS (SELECT sha256(domaine_statut || '-' || statut_value) AS statut_key, * FROM ({statuses})), "
-        f"access AS ({_access_sql()}) {' UNION ALL '.join(rows)}"
+        f"access AS ({_access_sql()}), data_freshness AS ({_freshness_rows_sql()}), data_quality_log AS ({_quality_rows_sql()}), "
+        f"pipeline_run_log AS ({RUN_LOG_SQL}) {' UNION ALL '.join(rows)}"
     )
 
 
+def statements(t: Tables) -> DataFrame:
+    """The events as statements of a warehouse, moved by whole days so that the last week is in reach."""
+    return t.events.select(
+        F.col("event_id").cast("string").alias("run_id"),
+        F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("pipeline_name"),
+        F.when(F.col("event_type") == "signup", "USE").otherwise("SELECT").alias("statement_type"),
+        F.col("event_type").alias("status"),
+        (F.col("ts") + F.expr("INTERVAL 720 DAYS")).alias("start_time"),
+        (F.col("ts") + F.expr("INTERVAL 720 DAYS") + F.expr("INTERVAL 1 MINUTE")).alias("end_time"),
+        F.round(F.col("value") * 100).cast("long").alias("elapsed_ms"),
+        F.col("event_id").alias("row_count"),
+        F.when(F.col("event_type") == "error", 404).otherwise(0).alias("error_code"),
+    )
+
+
+@query(
+    "tech_pipeline_run_log",
+    RUN_LOG_SQL.replace("ts AS start_time, ts + INTERVAL 1 MINUTE", "ts + INTERVAL 720 DAY AS start_time, ts + INTERVAL 720 DAY + INTERVAL 1 MINUTE"),
+)
+def _(t: Tables):
+    built = pipeline.build_tech({}, _gold(t, *_QUALITY_TABLES, reads={}), F.lit(LOAD_TIME).cast("timestamp_ntz"), statements(t))
+    return built["pipeline_run_log"]
+
+
 @query("tech_data_tests", _tests_sql())
 def _(t: Tables):
-    return pipeline.data_tests(*stored_layers(t))
+    silver, gold = stored_layers(t)
+    tech = materialise_all(pipeline.build_tech(silver, gold, F.lit(LOAD_TIME).cast("timestamp_ntz"), statements(t)))
+    return pipeline.data_tests(silver, gold, tech)
 
 
 # Measures

@@ -628,6 +628,18 @@ QUALITY_CHECKS = tuple(
 )
 
 
+# Tests on the technical tables: never null, unique, accepted values by column.
+TECH_TESTS: dict[str, tuple[tuple[str, ...], tuple[str, ...], dict[str, list[str]]]] = {
+    "data_freshness": (("table_schema", "table_name", "checked_at"), (), {}),
+    "data_quality_log": (
+        ("checked_at", "table_schema", "table_name", "column_name", "check_type", "records_checked", "records_failed", "status"),
+        (),
+        {"check_type": ["null_check", "range_check", "duplicate_check"], "status": ["pass", "warn", "fail"]},
+    ),
+    "pipeline_run_log": (("run_id", "environment", "inserted_at"), ("run_id",), {}),
+}
+
+
 def required_columns(spec: DimensionSpec | FactSpec) -> tuple[list[str], list[str]]:
     """Columns of a gold table that must be (never null, unique)."""
     unique = [spec.key, spec.natural_key]

@@ -11,6 +11,7 @@ from stratastar.operators.quality import (
     accepted_values_failures,
     freshness,
     quality_log,
+    run_log,
     unique_failures,
 )
 from stratastar.operators.setops import domain_values, observed_dates, union_all
@@ -89,19 +90,35 @@ def freshness_tables(
 
 
 def build_tech(
-    silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame], checked_at: Column, *, save: Save = keep
+    silver: Mapping[str, DataFrame],
+    gold: Mapping[str, DataFrame],
+    checked_at: Column,
+    statements: DataFrame | None = None,
+    *,
+    environment: str = "DEV",
+    save: Save = keep,
 ) -> dict[str, DataFrame]:
-    return {
+    """Quality log, freshness and, from the statements that ran (see `run_log`), the run log.
+
+    A `save` that appends keeps the history of the logs.
+    """
+    built = {
         "data_quality_log": save("tech", "data_quality_log", quality_log(gold, catalogue.QUALITY_CHECKS, checked_at)),
         "data_freshness": save("tech", "data_freshness", freshness(freshness_tables(silver, gold), checked_at)),
     }
+    if statements is not None:
+        built["pipeline_run_log"] = save("tech", "pipeline_run_log", run_log(statements, checked_at, environment=environment))
+    return built
 
 
-def data_tests(silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame]) -> DataFrame:
+def data_tests(
+    silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame], tech: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
     """Failures per declared test: table_name, column_name, test, n_failures.
 
     All never-null tests of a table share one aggregate; each unique test reads one column.
     """
+    tech = tech or {}
     rows = []
 
     def add(table: str, column: str, test: str, failures: DataFrame) -> None:
@@ -146,4 +163,9 @@ def data_tests(silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame]) -
             ["security_access_key", "user_email", "role_metier"],
             ["security_access_key"],
         )
+    for name, (never_null, unique, accepted) in catalogue.TECH_TESTS.items():
+        if name in tech:
+            declare(name, tech[name], list(never_null), list(unique))
+            for column, values in accepted.items():
+                add(name, column, "accepted_values", accepted_values_failures(tech[name], column, values))
     return union_all(rows)

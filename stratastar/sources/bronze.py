@@ -106,10 +106,10 @@ def run_log_rows(
     return stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RUN_LOG_SCHEMA])
 
 
-def append_run_log(rows: DataFrame, path: str) -> None:
-    """Create the log if absent, then append."""
-    rows.write.mode("append").parquet(path)
+def append_run_log(rows: DataFrame, path: str, batch_id: str | None = None) -> None:
+    """Create the log if absent, then append. With `batch_id` a rerun replaces its own rows."""
+    append_versions(rows, path, batch_id=batch_id)
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_LOG_SCHEMA).parquet(path)
+    return spark.read.schema(RUN_LOG_SCHEMA).parquet(path).select(*RUN_LOG_SCHEMA.fieldNames())
