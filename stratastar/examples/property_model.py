@@ -1,10 +1,11 @@
 """The full property-investment model, from source versions to measures.
 
-The given tables supply the rows and their numbers; every source column is an
-expression over a row number `k`, by the kind of the column. Both engines read the
-same expressions. They include unreadable texts, missing and orphaned keys, deleted
-rows, several versions per key, and one client and one agency that hold a third of
-all references.
+Every source table reads the real columns of a given table: dates, money, statuses, texts and
+whole numbers by kind, and its keys and foreign keys, so references grow with the tables. The
+texts get the faults that sources have, by the number of the row: unreadable values, missing and
+orphaned keys, deleted rows, several versions per key, and one client and one agency that hold a
+third of all references. Both engines read the same expressions. Master tables have no dates;
+theirs follow from the row number.
 """
 
 from __future__ import annotations
@@ -23,24 +24,69 @@ from stratastar.plans.semantic import measure_query, needed
 from stratastar.plans.silver import silver_table
 from stratastar.session import materialise, materialise_all
 
-# Source table: (given table, its row number, versions per key).
+# Source table: (given table, versions per key).
 ORIGINS = {
-    "agences_regions": ("supplier", "s_suppkey", 4),
-    "conseillers": ("supplier", "s_suppkey", 2),
-    "partenaires_patrimoine": ("customer", "c_custkey", 5),
-    "produits_investissement": ("part", "p_partkey", 10),
-    "programmes_immobiliers": ("part", "p_partkey", 4),
-    "lots_immobiliers": ("orders", "o_orderkey", 3),
-    "crm_investisseurs": ("customer", "c_custkey", 2),
-    "crm_prospects": ("customer", "c_custkey", 2),
-    "security_user_access": ("customer", "c_custkey", 1),
-    "objectifs_commerciaux": ("customer", "c_custkey", 1),
-    "evenements_clients": ("events", "event_id", 1),
+    "agences_regions": ("supplier", 4),
+    "conseillers": ("supplier", 2),
+    "partenaires_patrimoine": ("customer", 5),
+    "produits_investissement": ("part", 10),
+    "programmes_immobiliers": ("part", 4),
+    "lots_immobiliers": ("orders", 3),
+    "crm_investisseurs": ("customer", 2),
+    "crm_prospects": ("customer", 2),
+    "security_user_access": ("customer", 1),
+    "objectifs_commerciaux": ("orders", 4),
+    "evenements_clients": ("events", 1),
+    "ventes_immobilieres": ("lineitem", 2),
+    "commissions": ("lineitem", 2),
+    "financements": ("lineitem", 2),
+    "gestion_locative": ("lineitem", 2),
+    "reservations_immobilieres": ("orders", 2),
+    "souscriptions_pierre_papier": ("orders", 2),
+    "revente_biens": ("orders", 2),
+    "expertise_comptable_lmnp": ("orders", 2),
+    "operations_crowdfunding": ("events", 2),
+    "dossiers_adv": ("events", 2),
+    "reclamations_incidents": ("events", 2),
 }
-DEFAULT_ORIGIN = ("orders", "o_orderkey", 2)
 
-# Reference range per key stem; somewhat more than there are keys at the smallest scale.
-RANGES = {"agence": 30, "conseiller": 60, "partenaire": 330, "produit": 220, "programme": 550, "lot": 5500, "investisseur": 800}
+# Row number, and the column that gives each kind of value, by given table.
+ROWS = {
+    "supplier": "s_suppkey",
+    "customer": "c_custkey",
+    "part": "p_partkey",
+    "orders": "o_orderkey",
+    "lineitem": "l_orderkey * 8 + l_linenumber",
+    "events": "event_id",
+}
+VALUES = {
+    "supplier": {"money": "s_acctbal", "code": "s_name", "text": "s_name", "int": "s_nationkey"},
+    "customer": {"money": "c_acctbal", "code": "c_mktsegment", "text": "c_name", "int": "c_nationkey"},
+    "part": {"money": "p_retailprice", "code": "p_brand", "text": "p_name", "int": "p_size"},
+    "orders": {"date": "o_orderdate", "money": "o_totalprice", "code": "o_orderstatus", "text": "o_orderpriority", "int": "o_custkey"},
+    "lineitem": {"date": "l_shipdate", "money": "l_extendedprice", "code": "l_linestatus", "text": "l_returnflag", "int": "l_quantity", "rate": "l_discount"},
+    "events": {"date": "ts", "money": "value", "code": "event_type", "text": "event_type", "int": "user_id"},
+}
+
+# Given table behind the source that a key stem points at, and versions per key there.
+REFERRED = {
+    "agence": ("supplier", 4),
+    "conseiller": ("supplier", 2),
+    "partenaire": ("customer", 5),
+    "investisseur": ("customer", 2),
+    "produit": ("part", 10),
+    "programme": ("part", 4),
+    "lot": ("orders", 3),
+}
+FOREIGN = {
+    ("orders", "customer"): "o_custkey",
+    ("lineitem", "part"): "l_partkey",
+    ("lineitem", "supplier"): "l_suppkey",
+    ("lineitem", "orders"): "l_orderkey",
+    ("events", "customer"): "user_id",
+}
+# Relative numbers of rows; a key without a column of its own is the row number brought to the other table's size.
+SIZES = {"supplier": 1, "customer": 15, "part": 20, "orders": 150, "lineitem": 1200, "events": 100}
 HOT = ("investisseur", "agence")
 
 
@@ -49,31 +95,38 @@ def _pick(values: list[str | None], shift: int) -> str:
     return f"case (k + {shift}) % {len(values)} {arms} end"
 
 
-def _day(shift: int) -> str:
+def _day(table: str, shift: int) -> str:
+    """A day some weeks after the row's own date."""
+    own = VALUES[table].get("date")
+    if own:
+        return f"cast(cast({own} as date) + cast({shift * 11 % 90} as int) as string)"
     return f"cast(date '2024-01-01' + cast((k * 3 + {shift * 11}) % 700 as int) as string)"
 
 
-def _reference(stem: str, shift: int) -> str:
-    target = f"concat('{stem.upper()}-', cast((k * 7 + {shift}) % {RANGES.get(stem, 97)} as string))"
+def _reference(table: str, stem: str, shift: int) -> str:
+    target, versions = REFERRED.get(stem, (table, 1))
+    number = FOREIGN.get((table, target), "k" if target == table else f"floor(k * {SIZES[target]} / {SIZES[table]})")
+    known = f"concat('{stem.upper()}-', cast(cast(floor({number} / {versions}) as bigint) as string))"
     hot = f"when k % 3 = 0 then '{stem.upper()}-1' " if stem in HOT else ""
-    return f"case when (k + {shift}) % 11 = 0 then null when (k + {shift}) % 17 = 0 then 'X' {hot}else {target} end"
+    return f"case when (k + {shift}) % 11 = 0 then null when (k + {shift}) % 17 = 0 then 'X' {hot}else {known} end"
 
 
 def source_columns(name: str) -> dict[str, str]:
-    """Column to expression over `k`, for one source table."""
+    """Column to expression over a given table's columns and its row number `k`, for one source table."""
     spec = catalogue.SILVER[name]
-    versions = ORIGINS.get(name, DEFAULT_ORIGIN)[2]
+    table, versions = ORIGINS[name]
+    own = VALUES[table]
     columns: dict[str, str] = {}
     for shift, (column, kind) in enumerate(spec.columns.items()):
         stem = column.removesuffix("_id")
         if column == spec.key:
             text = f"concat('{stem.upper()}-', cast(cast(floor(k / {versions}) as bigint) as string))"
         elif kind == "id":
-            text = _reference(stem, shift)
+            text = _reference(table, stem, shift)
         elif column == spec.version_order[0]:
-            text = "case when k % 23 = 0 then 'n/a' else concat(cast(date '2024-06-01' + cast(k % 400 as int) as string), ' 08:30:00') end"
+            text = f"case when k % 23 = 0 then 'n/a' else concat({_day(table, shift)}, ' 08:', cast(10 + k % 50 as string), ':00') end"
         elif kind == "timestamp":
-            text = f"concat({_day(shift)}, ' 10:00:00')"
+            text = f"concat({_day(table, shift)}, ' 10:00:00')"
         elif column == "is_deleted":
             text = "case when k % 7 = 0 then ' OUI' when k % 7 = 1 then null else '0' end"
         elif column == "is_active":
@@ -81,30 +134,28 @@ def source_columns(name: str) -> dict[str, str]:
         elif kind == "flag":
             text = _pick(["1", "0", "oui", "non", None, "a, b"], shift)
         elif column == "annee":
-            text = _pick(["2024", "2025", "x"], shift)
+            text = f"case when k % 9 = 0 then 'x' else cast(year({own['date']}) as string) end"
         elif column == "mois":
-            text = "cast(k % 14 as string)"
+            text = f"case when k % 13 = 0 then '13' else cast(month({own['date']}) as string) end"
         elif column == "access_level":
             text = _pick(["scope", " Scope ", "agence", "region", "scope", "scope", "all", "scope", "scope", "adv ", "scope"], shift)
         elif column == "user_email":
             text = "case when k % 19 = 0 then ' ' else concat('User', cast(k % 211 as string), '@Example.com ') end"
         elif kind == "date":
-            text = f"case (k + {shift}) % 6 when 0 then '' when 1 then 'n/a' else {_day(shift)} end"
+            text = f"case (k + {shift}) % 6 when 0 then '' when 1 then 'n/a' else {_day(table, shift)} end"
         elif kind == "int":
-            text = f"case (k + {shift}) % 8 when 0 then 'x' when 1 then '7.0' else cast((k * {shift + 1}) % 400 as string) end"
+            text = f"case (k + {shift}) % 8 when 0 then 'x' when 1 then '7.0' else cast(cast({own['int']} as bigint) + {shift} as string) end"
         elif kind == "code":
-            text = _pick(["disponible", " Refuse ", "EN_COURS", None, "Valide"], shift)
+            text = f"case (k + {shift}) % 5 when 0 then 'disponible' when 1 then ' Refuse ' when 2 then null else concat(' ', {own['code']}) end"
         elif kind == "lower":
-            text = "concat(' Mail', cast(k as string), '@Example.COM ')"
+            text = f"concat(' Mail', {own['text']}, cast(k as string), '@Example.COM ')"
         elif kind == "text":
-            text = f"case (k + {shift}) % 5 when 0 then null when 1 then '' else concat(' {column} ', cast(k % 13 as string)) end"
+            text = f"case (k + {shift}) % 5 when 0 then null when 1 then '' else concat(' {column} ', {own['text']}, ' ') end"
         elif kind == "18,2":
-            text = (
-                f"case (k + {shift}) % 9 when 0 then '' when 1 then '-12.5' when 2 then '1e3' "
-                f"else concat(cast((k * 37 + {shift}) % 100000 as string), '.', cast(100 + k % 900 as string)) end"
-            )
+            text = f"case (k + {shift}) % 9 when 0 then '' when 1 then '-12.5' when 2 then '1e3' else cast(cast({own['money']} as decimal(18,2)) as string) end"
         else:
-            text = f"case (k + {shift}) % 9 when 0 then 'n/a' else concat('0.0', cast(10 + (k * 7 + {shift}) % 90 as string), '5') end"
+            number = f"cast(cast({own['rate']} as decimal(9,4)) as string)" if "rate" in own else f"concat('0.0', cast(10 + (k * 7 + {shift}) % 90 as string), '5')"
+            text = f"case (k + {shift}) % 9 when 0 then 'n/a' else {number} end"
         columns[column] = text
     return columns
 
@@ -116,8 +167,8 @@ class PropertyModel:
         self.t = t
 
     def bronze(self, name: str) -> DataFrame:
-        table, key, _ = ORIGINS.get(name, DEFAULT_ORIGIN)
-        rows = getattr(self.t, table).select(F.col(key).cast("long").alias("k"))
+        table, _ = ORIGINS[name]
+        rows = getattr(self.t, table).withColumn("k", F.expr(ROWS[table]).cast("long"))
         return rows.select(*[F.expr(text).alias(column) for column, text in source_columns(name).items()])
 
     def silver(self, name: str) -> DataFrame:
@@ -190,19 +241,26 @@ UNKNOWN_SQL = "sha256('__UNKNOWN__')"
 
 def silver_sql(name: str, dedup: bool = True) -> str:
     spec = catalogue.SILVER[name]
-    table, key, _ = ORIGINS.get(name, DEFAULT_ORIGIN)
+    table, _ = ORIGINS[name]
     raw = ", ".join(f"{text} AS {column}" for column, text in source_columns(name).items())
     typed = ", ".join(f"{_CASTS.get(k, 'TRY_CAST({c} AS DECIMAL(' + k + '))').format(c=c)} AS {c}" for c, k in spec.columns.items())
-    rows = f"SELECT {typed} FROM (SELECT {raw} FROM (SELECT CAST({key} AS BIGINT) AS k FROM {table}))"
+    rows = f"SELECT {typed} FROM (SELECT {raw} FROM (SELECT *, CAST({ROWS[table]} AS BIGINT) AS k FROM {table}))"
     if not dedup:
         return rows
-    first, second = spec.version_order
     return (
         f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {spec.key} "
-        f"ORDER BY {first} DESC NULLS LAST, {second} DESC NULLS LAST) AS rn FROM ({rows})) WHERE rn = 1"
+        f"ORDER BY {_newest_sql(name)}) AS rn FROM ({rows})) WHERE rn = 1"
     )
 
 
+def _newest_sql(name: str) -> str:
+    """Newest first; equal times by all other columns, as rows of a given table may repeat."""
+    spec = catalogue.SILVER[name]
+    first, second = spec.version_order
+    others = [c for c in spec.columns if c not in (first, second, spec.key)]
+    return f"{first} DESC NULLS LAST, {second} DESC NULLS LAST, {', '.join(f'{c} ASC NULLS LAST' for c in others)}"
+
+
 def _found(stem: str, source: str, row: str) -> str:
     """Key of the member that `row` refers to: its hash if the member exists, else the unknown key."""
     alive = " AND NOT is_deleted" if catalogue.SILVER[source].deleted else ""
@@ -292,7 +350,7 @@ for _name in catalogue.FACTS:
 _CLIENT_PARENTS = ("dim_agence_region", "dim_partenaire", "dim_conseiller")
 _LIVE_CLIENTS = (
     "s_crm_investisseurs AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY investisseur_id "
-    "ORDER BY last_update_date DESC NULLS LAST, date_creation DESC NULLS LAST) AS rn "
+    f"ORDER BY {_newest_sql('crm_investisseurs')}) AS rn "
     f"FROM ({silver_sql('crm_investisseurs', dedup=False)}) WHERE NOT is_deleted) WHERE rn = 1)"
 )
 
