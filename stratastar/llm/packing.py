@@ -48,7 +48,7 @@ GROUPS = 96
 #: Rows ranked together.
 SALTED = 50_000
 #: Space-free runs whose ids a task remembers; forgotten when full.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 # ---------------------------------------------------------------- tokens
 
