@@ -108,7 +108,7 @@ def held_out(doc_id: Column) -> Column:
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row, end, data, offsets in chunks(pc.utf8_lower(batch.column(0)), rows=256):
+        for row, end, data, offsets in chunks(pc.utf8_lower(batch.column(0)), rows=128):
             bits = np.packbits(presence(data, offsets), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in bits]), *(c.slice(row, end - row) for c in batch.columns[1:])], ["bits", "lang", "place"])
 
@@ -147,7 +147,7 @@ def predicted(documents: DataFrame, model: Model | None, carry: tuple[str, ...]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(["und"] * n), pa.array(np.zeros(n))], names)
                 continue
             languages = pa.array(known.languages)
-            for row, end, data, offsets in chunks(pc.utf8_lower(batch.column(2)), rows=256):
+            for row, end, data, offsets in chunks(pc.utf8_lower(batch.column(2)), rows=128):
                 p = known.scores(presence(data, offsets))
                 none = batch.column(2).slice(row, end - row).is_null()
                 found = pc.if_else(none, pa.scalar("und"), languages.take(pa.array(p.argmax(axis=1))))
