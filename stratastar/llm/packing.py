@@ -88,11 +88,17 @@ class Encoder(dict):
         ids = self.older.get(run)
         if ids is None:
             text = run.decode()
-            parts = self.plain.fullmatch(text)
+            if run.isalpha():  # ASCII letters only, for bytes
+                parts = (text, "")
+            elif run[:-1].isalpha() and text[-1] in ".,":
+                parts = (text[:-1], text[-1])
+            else:
+                found = self.plain.fullmatch(text)
+                parts = found and found.groups()
             if parts is None:
                 ids = self.full(text)
             else:
-                word, marks = parts.groups()
+                word, marks = parts
                 word = word.lower()
                 if not word.isascii():
                     word = word.encode().decode("latin-1").translate(self.written)
