@@ -5,7 +5,7 @@ Column, table and measure names are fixed values: queries address them by name.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,269 +16,671 @@ from stratastar.operators.quality import Check
 from stratastar.plans.semantic import Measure, Model, Relationship
 from stratastar.plans.specs import DimensionSpec, FactSpec, SilverSpec
 
-_AUDIT = ("created_at", "updated_at")
-_CRM_AUDIT = ("date_creation", "last_update_date")
-
 
 def _table(
     name: str,
-    ids: str,
+    key: str,
+    columns: Sequence[tuple[str, str]],
     *,
-    text: str = "",
-    code: str = "",
-    lower: str = "",
-    dates: str = "",
-    times: str = "",
-    ints: str = "",
-    money: str = "",
-    rates: str = "",
-    flags: str = "",
-    state: str = "is_deleted",
-    audit: tuple[str, str] = _AUDIT,
-    other: Mapping[str, str] | None = None,
+    version_order: tuple[str, ...] = ("updated_at", "created_at"),
+    deleted: str | None = None,
 ) -> SilverSpec:
-    """Names by kind. Ids come as stems of `<stem>_id`, the first being the key; dates as stems of `date_<stem>`."""
-    columns = {f"{stem}_id": "id" for stem in ids.split()}
-    for kind, names in (("text", text), ("code", code), ("lower", lower), ("int", ints), ("18,2", money), ("9,4", rates)):
-        columns |= dict.fromkeys(names.split(), kind)
-    columns |= {f"date_{stem}": "date" for stem in dates.split()}
-    columns |= dict.fromkeys([*times.split(), *audit], "timestamp")
-    columns |= dict.fromkeys([*flags.split(), state], "flag")
-    columns |= other or {}
-    return SilverSpec(
-        name,
-        f"{ids.split()[0]}_id",
-        columns,
-        version_order=(audit[1], audit[0]),
-        deleted="is_deleted" if state == "is_deleted" else None,
-    )
+    return SilverSpec(name, key, dict(columns), version_order, deleted)
 
 
-# The 22 source tables.
+# The 22 source tables, each with its columns and their kinds in the order of the source.
 SILVER = {
     spec.name: spec
     for spec in (
         _table(
             "agences_regions",
-            "agence region directeur_region responsable_agence",
-            text="nom_agence nom_region ville code_postal adresse zone_commerciale",
-            code="code_agence pays statut_agence",
-            dates="ouverture fermeture",
-            state="is_active",
+            "agence_id",
+            (
+                ("agence_id", "id"),
+                ("nom_agence", "text"),
+                ("code_agence", "code"),
+                ("region_id", "id"),
+                ("nom_region", "text"),
+                ("directeur_region_id", "id"),
+                ("responsable_agence_id", "id"),
+                ("ville", "text"),
+                ("code_postal", "text"),
+                ("adresse", "text"),
+                ("pays", "code"),
+                ("zone_commerciale", "text"),
+                ("statut_agence", "code"),
+                ("date_ouverture", "date"),
+                ("date_fermeture", "date"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_active", "flag"),
+            ),
         ),
         _table(
             "commissions",
-            "commission operation vente souscription operation_crowdfunding investisseur partenaire conseiller agence "
-            "produit programme",
-            text="motif_blocage",
-            code="type_operation statut_commission mode_paiement",
-            dates="calcul validation paiement",
-            money="montant_operation montant_commission_brut montant_commission_net part_commission_partenaire "
-            "part_commission_interne",
-            rates="taux_commission",
+            "commission_id",
+            (
+                ("commission_id", "id"),
+                ("type_operation", "code"),
+                ("operation_id", "id"),
+                ("vente_id", "id"),
+                ("souscription_id", "id"),
+                ("operation_crowdfunding_id", "id"),
+                ("investisseur_id", "id"),
+                ("partenaire_id", "id"),
+                ("conseiller_id", "id"),
+                ("agence_id", "id"),
+                ("produit_id", "id"),
+                ("programme_id", "id"),
+                ("montant_operation", "18,2"),
+                ("taux_commission", "9,4"),
+                ("montant_commission_brut", "18,2"),
+                ("montant_commission_net", "18,2"),
+                ("part_commission_partenaire", "18,2"),
+                ("part_commission_interne", "18,2"),
+                ("statut_commission", "code"),
+                ("date_calcul", "date"),
+                ("date_validation", "date"),
+                ("date_paiement", "date"),
+                ("mode_paiement", "code"),
+                ("motif_blocage", "text"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_deleted", "flag"),
+            ),
+            deleted="is_deleted",
         ),
         _table(
             "conseillers",
-            "conseiller agence region manager",
-            text="nom prenom telephone poste specialite_produit",
-            code="matricule statut_collaborateur",
-            lower="email",
-            dates="arrivee depart",
-            money="objectif_annuel objectif_mensuel_moyen",
-            state="is_active",
+            "conseiller_id",
+            (
+                ("conseiller_id", "id"),
+                ("matricule", "code"),
+                ("nom", "text"),
+                ("prenom", "text"),
+                ("email", "lower"),
+                ("telephone", "text"),
+                ("poste", "text"),
+                ("agence_id", "id"),
+                ("region_id", "id"),
+                ("manager_id", "id"),
+                ("date_arrivee", "date"),
+                ("date_depart", "date"),
+                ("statut_collaborateur", "code"),
+                ("specialite_produit", "text"),
+                ("objectif_annuel", "18,2"),
+                ("objectif_mensuel_moyen", "18,2"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_active", "flag"),
+            ),
         ),
         _table(
             "crm_investisseurs",
-            "investisseur prospect partenaire conseiller agence",
-            text="nom prenom telephone adresse ville code_postal profession objectif_principal horizon_placement "
-            "created_by last_updated_by",
-            code="civilite pays situation_familiale profil_investisseur niveau_experience statut_kyc statut_lcbft "
-            "statut_client",
-            lower="email",
-            dates="entree_relation",
-            money="revenu_annuel patrimoine_financier patrimoine_immobilier",
-            audit=_CRM_AUDIT,
+            "investisseur_id",
+            (
+                ("investisseur_id", "id"),
+                ("prospect_id", "id"),
+                ("civilite", "code"),
+                ("nom", "text"),
+                ("prenom", "text"),
+                ("email", "lower"),
+                ("telephone", "text"),
+                ("adresse", "text"),
+                ("ville", "text"),
+                ("code_postal", "text"),
+                ("pays", "code"),
+                ("profession", "text"),
+                ("situation_familiale", "code"),
+                ("revenu_annuel", "18,2"),
+                ("patrimoine_financier", "18,2"),
+                ("patrimoine_immobilier", "18,2"),
+                ("profil_investisseur", "code"),
+                ("objectif_principal", "text"),
+                ("horizon_placement", "text"),
+                ("niveau_experience", "code"),
+                ("statut_kyc", "code"),
+                ("statut_lcbft", "code"),
+                ("date_entree_relation", "date"),
+                ("partenaire_id", "id"),
+                ("conseiller_id", "id"),
+                ("agence_id", "id"),
+                ("statut_client", "code"),
+                ("date_creation", "timestamp"),
+                ("created_by", "text"),
+                ("last_update_date", "timestamp"),
+                ("last_updated_by", "text"),
+                ("is_deleted", "flag"),
+            ),
+            version_order=("last_update_date", "date_creation"),
+            deleted="is_deleted",
         ),
         _table(
             "crm_prospects",
-            "prospect",
-            text="nom prenom telephone ville code_postal profession objectif_investissement horizon_investissement "
-            "source_acquisition campagne_marketing created_by last_updated_by",
-            code="civilite pays situation_familiale appetence_risque canal_acquisition statut_prospect",
-            lower="email",
-            dates="naissance",
-            ints="score_qualification",
-            money="revenu_annuel_estime patrimoine_estime capacite_investissement",
-            audit=_CRM_AUDIT,
+            "prospect_id",
+            (
+                ("prospect_id", "id"),
+                ("civilite", "code"),
+                ("nom", "text"),
+                ("prenom", "text"),
+                ("email", "lower"),
+                ("telephone", "text"),
+                ("date_naissance", "date"),
+                ("ville", "text"),
+                ("code_postal", "text"),
+                ("pays", "code"),
+                ("situation_familiale", "code"),
+                ("profession", "text"),
+                ("revenu_annuel_estime", "18,2"),
+                ("patrimoine_estime", "18,2"),
+                ("capacite_investissement", "18,2"),
+                ("objectif_investissement", "text"),
+                ("horizon_investissement", "text"),
+                ("appetence_risque", "code"),
+                ("source_acquisition", "text"),
+                ("campagne_marketing", "text"),
+                ("canal_acquisition", "code"),
+                ("statut_prospect", "code"),
+                ("score_qualification", "int"),
+                ("date_creation", "timestamp"),
+                ("created_by", "text"),
+                ("last_update_date", "timestamp"),
+                ("last_updated_by", "text"),
+                ("is_deleted", "flag"),
+            ),
+            version_order=("last_update_date", "date_creation"),
+            deleted="is_deleted",
         ),
         _table(
             "dossiers_adv",
-            "dossier_adv vente reservation investisseur lot programme partenaire conseiller responsable_adv",
-            text="motif_blocage commentaire_adv",
-            code="statut_dossier",
-            dates="ouverture_dossier reception_pieces validation_dossier envoi_notaire signature_acte",
-            ints="delai_traitement_jours nombre_relances",
-            flags="pieces_manquantes blocage_adv",
+            "dossier_adv_id",
+            (
+                ("dossier_adv_id", "id"),
+                ("vente_id", "id"),
+                ("reservation_id", "id"),
+                ("investisseur_id", "id"),
+                ("lot_id", "id"),
+                ("programme_id", "id"),
+                ("partenaire_id", "id"),
+                ("conseiller_id", "id"),
+                ("statut_dossier", "code"),
+                ("date_ouverture_dossier", "date"),
+                ("date_reception_pieces", "date"),
+                ("date_validation_dossier", "date"),
+                ("date_envoi_notaire", "date"),
+                ("date_signature_acte", "date"),
+                ("delai_traitement_jours", "int"),
+                ("pieces_manquantes", "flag"),
+                ("nombre_relances", "int"),
+                ("blocage_adv", "flag"),
+                ("motif_blocage", "text"),
+                ("responsable_adv_id", "id"),
+                ("commentaire_adv", "text"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_deleted", "flag"),
+            ),
+            deleted="is_deleted",
         ),
         _table(
             "evenements_clients",
-            "evenement investisseur prospect partenaire conseiller",
-            text="objet_evenement resultat_evenement prochaine_action commentaire created_by",
-            code="type_evenement canal_evenement statut_evenement priorite",
-            times="date_evenement date_prochaine_action",
+            "evenement_id",
+            (
+                ("evenement_id", "id"),
+                ("investisseur_id", "id"),
+                ("prospect_id", "id"),
+                ("partenaire_id", "id"),
+                ("conseiller_id", "id"),
+                ("type_evenement", "code"),
+                ("canal_evenement", "code"),
+                ("objet_evenement", "text"),
+                ("date_evenement", "timestamp"),
+                ("statut_evenement", "code"),
+                ("resultat_evenement", "text"),
+                ("prochaine_action", "text"),
+                ("date_prochaine_action", "timestamp"),
+                ("priorite", "code"),
+                ("commentaire", "text"),
+                ("created_at", "timestamp"),
+                ("created_by", "text"),
+                ("updated_at", "timestamp"),
+                ("is_deleted", "flag"),
+            ),
+            deleted="is_deleted",
         ),
         _table(
             "expertise_comptable_lmnp",
-            "dossier_comptable investisseur vente lot programme comptable",
-            code="regime_fiscal statut_dossier_comptable",
-            dates="ouverture reception_documents declaration",
-            ints="annee_fiscale nombre_relances",
-            money="recettes_locatives charges_deductibles amortissements resultat_fiscal impot_estime",
-            flags="pieces_manquantes",
+            "dossier_comptable_id",
+            (
+                ("dossier_comptable_id", "id"),
+                ("investisseur_id", "id"),
+                ("vente_id", "id"),
+                ("lot_id", "id"),
+                ("programme_id", "id"),
+                ("annee_fiscale", "int"),
+                ("regime_fiscal", "code"),
+                ("statut_dossier_comptable", "code"),
+                ("date_ouverture", "date"),
+                ("date_reception_documents", "date"),
+                ("date_declaration", "date"),
+                ("recettes_locatives", "18,2"),
+                ("charges_deductibles", "18,2"),
+                ("amortissements", "18,2"),
+                ("resultat_fiscal", "18,2"),
+                ("impot_estime", "18,2"),
+                ("comptable_id", "id"),
+                ("nombre_relances", "int"),
+                ("pieces_manquantes", "flag"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_deleted", "flag"),
+            ),
+            deleted="is_deleted",
         ),
         _table(
             "financements",
-            "financement vente investisseur",
-            text="courtier motif_refus",
-            code="banque statut_financement",
-            dates="demande accord_principe offre_pret acceptation_offre",
-            ints="duree_credit_mois",
-            money="montant_demande montant_accorde mensualite_estimee apport_personnel assurance_emprunteur",
-            rates="taux_credit",
+            "financement_id",
+            (
+                ("financement_id", "id"),
+                ("vente_id", "id"),
+                ("investisseur_id", "id"),
+                ("banque", "code"),
+                ("courtier", "text"),
+                ("montant_demande", "18,2"),
+                ("montant_accorde", "18,2"),
+                ("taux_credit", "9,4"),
+                ("duree_credit_mois", "int"),
+                ("mensualite_estimee", "18,2"),
+                ("statut_financement", "code"),
+                ("date_demande", "date"),
+                ("date_accord_principe", "date"),
+                ("date_offre_pret", "date"),
+                ("date_acceptation_offre", "date"),
+                ("motif_refus", "text"),
+                ("apport_personnel", "18,2"),
+                ("assurance_emprunteur", "18,2"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_deleted", "flag"),
+            ),
+            deleted="is_deleted",
         ),
         _table(
             "gestion_locative",
-            "gestion vente lot investisseur programme gestionnaire",
-            code="statut_gestion",
-            dates="debut_gestion fin_gestion",
-            ints="vacance_locative_jours",
-            money="loyer_mensuel_prevu loyer_mensuel_reel charges_mensuelles montant_impayes",
-            rates="taux_occupation rendement_reel_annuel",
-            flags="incident_locatif",
-            state="is_active",
+            "gestion_id",
+            (
+                ("gestion_id", "id"),
+                ("vente_id", "id"),
+                ("lot_id", "id"),
+                ("investisseur_id", "id"),
+                ("programme_id", "id"),
+                ("gestionnaire_id", "id"),
+                ("date_debut_gestion", "date"),
+                ("date_fin_gestion", "date"),
+                ("statut_gestion", "code"),
+                ("loyer_mensuel_prevu", "18,2"),
+                ("loyer_mensuel_reel", "18,2"),
+                ("taux_occupation", "9,4"),
+                ("vacance_locative_jours", "int"),
+                ("charges_mensuelles", "18,2"),
+                ("incident_locatif", "flag"),
+                ("montant_impayes", "18,2"),
+                ("rendement_reel_annuel", "9,4"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_active", "flag"),
+            ),
         ),
         _table(
             "lots_immobiliers",
-            "lot programme investisseur partenaire",
-            code="numero_lot type_lot typologie orientation statut_lot",
-            dates="disponibilite reservation vente",
-            ints="etage",
-            money="prix_catalogue prix_remise prix_final loyer_estime_mensuel",
-            rates="rentabilite_brute_estimee",
-            flags="parking_inclus",
-            state="is_active",
-            other={"surface_m2": "10,2"},
+            "lot_id",
+            (
+                ("lot_id", "id"),
+                ("programme_id", "id"),
+                ("numero_lot", "code"),
+                ("type_lot", "code"),
+                ("typologie", "code"),
+                ("surface_m2", "10,2"),
+                ("etage", "int"),
+                ("orientation", "code"),
+                ("parking_inclus", "flag"),
+                ("prix_catalogue", "18,2"),
+                ("prix_remise", "18,2"),
+                ("prix_final", "18,2"),
+                ("loyer_estime_mensuel", "18,2"),
+                ("rentabilite_brute_estimee", "9,4"),
+                ("statut_lot", "code"),
+                ("date_disponibilite", "date"),
+                ("date_reservation", "date"),
+                ("date_vente", "date"),
+                ("investisseur_id", "id"),
+                ("partenaire_id", "id"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_active", "flag"),
+            ),
         ),
         _table(
             "objectifs_commerciaux",
-            "objectif region agence conseiller partenaire",
-            text="periode",
-            code="niveau_objectif famille_produit type_produit",
-            ints="annee mois objectif_nombre_ventes objectif_nombre_reservations objectif_nouveaux_clients",
-            money="objectif_ca objectif_montant_souscriptions objectif_commissions",
-            state="is_active",
+            "objectif_id",
+            (
+                ("objectif_id", "id"),
+                ("annee", "int"),
+                ("mois", "int"),
+                ("periode", "text"),
+                ("niveau_objectif", "code"),
+                ("region_id", "id"),
+                ("agence_id", "id"),
+                ("conseiller_id", "id"),
+                ("partenaire_id", "id"),
+                ("famille_produit", "code"),
+                ("type_produit", "code"),
+                ("objectif_ca", "18,2"),
+                ("objectif_nombre_ventes", "int"),
+                ("objectif_nombre_reservations", "int"),
+                ("objectif_montant_souscriptions", "18,2"),
+                ("objectif_commissions", "18,2"),
+                ("objectif_nouveaux_clients", "int"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_active", "flag"),
+            ),
         ),
         _table(
             "operations_crowdfunding",
-            "operation_crowdfunding investisseur partenaire conseiller agence projet promoteur",
-            text="nom_projet ville region",
-            code="statut_operation fiscalite_appliquee",
-            dates="investissement remboursement_prevue remboursement_reelle",
-            ints="duree_mois",
-            money="montant_investi montant_rembourse interets_bruts",
-            rates="taux_rendement_annuel_prevu",
-            flags="incident_paiement",
+            "operation_crowdfunding_id",
+            (
+                ("operation_crowdfunding_id", "id"),
+                ("investisseur_id", "id"),
+                ("partenaire_id", "id"),
+                ("conseiller_id", "id"),
+                ("agence_id", "id"),
+                ("projet_id", "id"),
+                ("nom_projet", "text"),
+                ("promoteur_id", "id"),
+                ("ville", "text"),
+                ("region", "text"),
+                ("date_investissement", "date"),
+                ("montant_investi", "18,2"),
+                ("taux_rendement_annuel_prevu", "9,4"),
+                ("duree_mois", "int"),
+                ("statut_operation", "code"),
+                ("date_remboursement_prevue", "date"),
+                ("date_remboursement_reelle", "date"),
+                ("montant_rembourse", "18,2"),
+                ("interets_bruts", "18,2"),
+                ("fiscalite_appliquee", "code"),
+                ("incident_paiement", "flag"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_deleted", "flag"),
+            ),
+            deleted="is_deleted",
         ),
         _table(
             "partenaires_patrimoine",
-            "partenaire manager_interne conseiller_referent",
-            text="raison_sociale siret nom_contact_principal prenom_contact_principal telephone_contact adresse ville "
-            "code_postal region",
-            code="type_partenaire statut_partenaire pays niveau_partenaire segment_partenaire statut_convention",
-            lower="email_contact",
-            dates="signature_convention derniere_activite",
-            ints="nombre_clients_actifs",
-            money="encours_total_apporte",
-            rates="commission_rate_default",
-            state="is_active",
+            "partenaire_id",
+            (
+                ("partenaire_id", "id"),
+                ("raison_sociale", "text"),
+                ("siret", "text"),
+                ("type_partenaire", "code"),
+                ("statut_partenaire", "code"),
+                ("nom_contact_principal", "text"),
+                ("prenom_contact_principal", "text"),
+                ("email_contact", "lower"),
+                ("telephone_contact", "text"),
+                ("adresse", "text"),
+                ("ville", "text"),
+                ("code_postal", "text"),
+                ("region", "text"),
+                ("pays", "code"),
+                ("date_signature_convention", "date"),
+                ("niveau_partenaire", "code"),
+                ("segment_partenaire", "code"),
+                ("nombre_clients_actifs", "int"),
+                ("encours_total_apporte", "18,2"),
+                ("commission_rate_default", "9,4"),
+                ("manager_interne_id", "id"),
+                ("conseiller_referent_id", "id"),
+                ("statut_convention", "code"),
+                ("date_derniere_activite", "date"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_active", "flag"),
+            ),
         ),
         _table(
             "produits_investissement",
-            "produit societe_gestion promoteur",
-            text="nom_produit duree_recommandee",
-            code="famille_produit type_produit sous_type_produit fiscalite niveau_risque statut_commercialisation",
-            dates="debut_commercialisation fin_commercialisation",
-            money="montant_minimum_investissement",
-            rates="rendement_cible_annuel frais_entree frais_gestion_annuels frais_sortie",
-            state="is_active",
+            "produit_id",
+            (
+                ("produit_id", "id"),
+                ("nom_produit", "text"),
+                ("famille_produit", "code"),
+                ("type_produit", "code"),
+                ("sous_type_produit", "code"),
+                ("fiscalite", "code"),
+                ("niveau_risque", "code"),
+                ("duree_recommandee", "text"),
+                ("rendement_cible_annuel", "9,4"),
+                ("montant_minimum_investissement", "18,2"),
+                ("frais_entree", "9,4"),
+                ("frais_gestion_annuels", "9,4"),
+                ("frais_sortie", "9,4"),
+                ("societe_gestion_id", "id"),
+                ("promoteur_id", "id"),
+                ("statut_commercialisation", "code"),
+                ("date_debut_commercialisation", "date"),
+                ("date_fin_commercialisation", "date"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_active", "flag"),
+            ),
         ),
         _table(
             "programmes_immobiliers",
-            "programme promoteur",
-            text="nom_programme ville code_postal region adresse",
-            code="type_programme type_actif segment_marche statut_programme zone_fiscale dispositif_fiscal "
-            "label_energetique",
-            dates="lancement_commercial livraison_prevue livraison_reelle",
-            ints="nombre_lots_total nombre_lots_disponibles",
-            money="prix_moyen_m2",
-            rates="rentabilite_cible",
-            state="is_active",
-            other={"latitude": "10,6", "longitude": "10,6", "note_programme": "5,2"},
+            "programme_id",
+            (
+                ("programme_id", "id"),
+                ("nom_programme", "text"),
+                ("type_programme", "code"),
+                ("promoteur_id", "id"),
+                ("ville", "text"),
+                ("code_postal", "text"),
+                ("region", "text"),
+                ("adresse", "text"),
+                ("latitude", "10,6"),
+                ("longitude", "10,6"),
+                ("type_actif", "code"),
+                ("segment_marche", "code"),
+                ("statut_programme", "code"),
+                ("date_lancement_commercial", "date"),
+                ("date_livraison_prevue", "date"),
+                ("date_livraison_reelle", "date"),
+                ("nombre_lots_total", "int"),
+                ("nombre_lots_disponibles", "int"),
+                ("prix_moyen_m2", "18,2"),
+                ("rentabilite_cible", "9,4"),
+                ("zone_fiscale", "code"),
+                ("dispositif_fiscal", "code"),
+                ("label_energetique", "code"),
+                ("note_programme", "5,2"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_active", "flag"),
+            ),
         ),
         _table(
             "reclamations_incidents",
-            "reclamation investisseur partenaire operation responsable_traitement",
-            text="motif_reclamation resolution_apportee",
-            code="type_operation type_reclamation categorie_reclamation niveau_urgence statut_reclamation",
-            dates="ouverture resolution",
-            ints="delai_resolution_jours",
-            money="impact_financier_estime",
+            "reclamation_id",
+            (
+                ("reclamation_id", "id"),
+                ("investisseur_id", "id"),
+                ("partenaire_id", "id"),
+                ("operation_id", "id"),
+                ("type_operation", "code"),
+                ("type_reclamation", "code"),
+                ("categorie_reclamation", "code"),
+                ("niveau_urgence", "code"),
+                ("statut_reclamation", "code"),
+                ("date_ouverture", "date"),
+                ("date_resolution", "date"),
+                ("delai_resolution_jours", "int"),
+                ("responsable_traitement_id", "id"),
+                ("motif_reclamation", "text"),
+                ("resolution_apportee", "text"),
+                ("impact_financier_estime", "18,2"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_deleted", "flag"),
+            ),
+            deleted="is_deleted",
         ),
         _table(
             "reservations_immobilieres",
-            "reservation lot programme investisseur partenaire conseiller agence",
-            text="motif_annulation commentaire_commercial",
-            code="statut_reservation canal_reservation mode_financement_prevu",
-            dates="reservation annulation expiration_reservation",
-            money="montant_reservation prix_reserve remise_appliquee apport_prevu montant_credit_prevu",
+            "reservation_id",
+            (
+                ("reservation_id", "id"),
+                ("lot_id", "id"),
+                ("programme_id", "id"),
+                ("investisseur_id", "id"),
+                ("partenaire_id", "id"),
+                ("conseiller_id", "id"),
+                ("agence_id", "id"),
+                ("date_reservation", "date"),
+                ("montant_reservation", "18,2"),
+                ("prix_reserve", "18,2"),
+                ("remise_appliquee", "18,2"),
+                ("statut_reservation", "code"),
+                ("motif_annulation", "text"),
+                ("date_annulation", "date"),
+                ("date_expiration_reservation", "date"),
+                ("canal_reservation", "code"),
+                ("mode_financement_prevu", "code"),
+                ("apport_prevu", "18,2"),
+                ("montant_credit_prevu", "18,2"),
+                ("commentaire_commercial", "text"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_deleted", "flag"),
+            ),
+            deleted="is_deleted",
         ),
         _table(
             "revente_biens",
-            "revente vente lot investisseur programme conseiller_revente",
-            text="motif_revente",
-            code="statut_revente mandat_revente",
-            dates="demande_revente mise_en_marche revente",
-            ints="nombre_visites",
-            money="prix_achat_initial prix_revente_estime prix_revente_final plus_value_brute plus_value_nette",
+            "revente_id",
+            (
+                ("revente_id", "id"),
+                ("vente_id", "id"),
+                ("lot_id", "id"),
+                ("investisseur_id", "id"),
+                ("programme_id", "id"),
+                ("date_demande_revente", "date"),
+                ("date_mise_en_marche", "date"),
+                ("date_revente", "date"),
+                ("prix_achat_initial", "18,2"),
+                ("prix_revente_estime", "18,2"),
+                ("prix_revente_final", "18,2"),
+                ("plus_value_brute", "18,2"),
+                ("plus_value_nette", "18,2"),
+                ("statut_revente", "code"),
+                ("motif_revente", "text"),
+                ("mandat_revente", "code"),
+                ("conseiller_revente_id", "id"),
+                ("nombre_visites", "int"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_deleted", "flag"),
+            ),
+            deleted="is_deleted",
         ),
         _table(
             "security_user_access",
-            "user_access region agence conseiller partenaire",
-            text="user_name",
-            code="role_metier access_level",
-            lower="user_email",
-            flags="can_view_commissions can_view_margin can_view_personal_data can_export_data",
-            state="is_active",
-            other={"start_date": "date", "end_date": "date"},
+            "user_access_id",
+            (
+                ("user_access_id", "id"),
+                ("user_email", "lower"),
+                ("user_name", "text"),
+                ("role_metier", "code"),
+                ("access_level", "code"),
+                ("region_id", "id"),
+                ("agence_id", "id"),
+                ("conseiller_id", "id"),
+                ("partenaire_id", "id"),
+                ("can_view_commissions", "flag"),
+                ("can_view_margin", "flag"),
+                ("can_view_personal_data", "flag"),
+                ("can_export_data", "flag"),
+                ("start_date", "date"),
+                ("end_date", "date"),
+                ("is_active", "flag"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+            ),
         ),
         _table(
             "souscriptions_pierre_papier",
-            "souscription investisseur partenaire conseiller agence produit societe_gestion",
-            text="nom_support duree_recommandee motif_rejet",
-            code="type_support statut_souscription mode_paiement",
-            dates="souscription validation rejet",
-            money="montant_souscrit prix_part frais_souscription",
-            rates="rendement_previsionnel",
-            other={"nombre_parts": "18,4"},
+            "souscription_id",
+            (
+                ("souscription_id", "id"),
+                ("investisseur_id", "id"),
+                ("partenaire_id", "id"),
+                ("conseiller_id", "id"),
+                ("agence_id", "id"),
+                ("produit_id", "id"),
+                ("societe_gestion_id", "id"),
+                ("type_support", "code"),
+                ("nom_support", "text"),
+                ("date_souscription", "date"),
+                ("montant_souscrit", "18,2"),
+                ("nombre_parts", "18,4"),
+                ("prix_part", "18,2"),
+                ("frais_souscription", "18,2"),
+                ("duree_recommandee", "text"),
+                ("rendement_previsionnel", "9,4"),
+                ("statut_souscription", "code"),
+                ("date_validation", "date"),
+                ("date_rejet", "date"),
+                ("motif_rejet", "text"),
+                ("mode_paiement", "code"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_deleted", "flag"),
+            ),
+            deleted="is_deleted",
         ),
         _table(
             "ventes_immobilieres",
-            "vente reservation lot programme investisseur partenaire conseiller agence",
-            text="motif_echec",
-            code="mode_financement banque_financement statut_vente",
-            dates="signature_contrat signature_acte livraison_prevue livraison_reelle",
-            money="prix_vente_ht prix_vente_ttc tva frais_notaire montant_total_operation montant_apport "
-            "montant_credit",
+            "vente_id",
+            (
+                ("vente_id", "id"),
+                ("reservation_id", "id"),
+                ("lot_id", "id"),
+                ("programme_id", "id"),
+                ("investisseur_id", "id"),
+                ("partenaire_id", "id"),
+                ("conseiller_id", "id"),
+                ("agence_id", "id"),
+                ("date_signature_contrat", "date"),
+                ("date_signature_acte", "date"),
+                ("date_livraison_prevue", "date"),
+                ("date_livraison_reelle", "date"),
+                ("prix_vente_ht", "18,2"),
+                ("prix_vente_ttc", "18,2"),
+                ("tva", "18,2"),
+                ("frais_notaire", "18,2"),
+                ("montant_total_operation", "18,2"),
+                ("mode_financement", "code"),
+                ("montant_apport", "18,2"),
+                ("montant_credit", "18,2"),
+                ("banque_financement", "code"),
+                ("statut_vente", "code"),
+                ("motif_echec", "text"),
+                ("created_at", "timestamp"),
+                ("updated_at", "timestamp"),
+                ("is_deleted", "flag"),
+            ),
+            deleted="is_deleted",
         ),
     )
 }
@@ -504,46 +906,45 @@ def relationships() -> list[Relationship]:
     return edges
 
 
-# Name, table, aggregate, column.
-_BASE_MEASURES = """
-CA Signé|fact_vente|sum|montant_total_operation
-Nb Ventes|fact_vente|count|
-Nb Réservations|fact_reservation|count|
-Objectif CA|fact_objectif_commercial|sum|objectif_ca
-Montant Réservé|fact_reservation|sum|prix_reserve
-Montant Crédit|fact_vente|sum|montant_credit
-Montant Apport|fact_vente|sum|montant_apport
-Nb Programmes|dim_programme_immobilier|distinct|programme_key
-Nb Lots Disponibles|dim_programme_immobilier|sum|nombre_lots_disponibles
-Prix Moyen m2|dim_programme_immobilier|avg|prix_moyen_m2
-Rentabilité Cible Moyenne|dim_programme_immobilier|avg|rentabilite_cible
-Nb Lots|dim_lot_immobilier|distinct|lot_key
-Prix Final Moyen Lot|dim_lot_immobilier|avg|prix_final
-Rentabilité Brute Estimée Moyenne|dim_lot_immobilier|avg|rentabilite_brute_estimee
-Surface Moyenne|dim_lot_immobilier|avg|surface_m2
-Nb Investisseurs|dim_investisseur|distinct|investisseur_key
-Patrimoine Financier Moyen|dim_investisseur|avg|patrimoine_financier
-Patrimoine Immobilier Moyen|dim_investisseur|avg|patrimoine_immobilier
-Revenu Annuel Moyen|dim_investisseur|avg|revenu_annuel
-Commission Brute|fact_commission|sum|montant_commission_brut
-Commission Nette|fact_commission|sum|montant_commission_net
-Part Commission Partenaire|fact_commission|sum|part_commission_partenaire
-Part Commission Interne|fact_commission|sum|part_commission_interne
-Taux Commission Moyen|fact_commission|avg|taux_commission
-Nb Dossiers ADV|fact_dossier_adv|count|
-Délai Moyen Traitement ADV|fact_dossier_adv|avg|delai_traitement_jours
-Montant Financement Demandé|fact_financement|sum|montant_demande
-Montant Financement Accordé|fact_financement|sum|montant_accorde
-Taux Crédit Moyen|fact_financement|avg|taux_credit
-Taux Occupation Moyen|fact_gestion_locative|avg|taux_occupation
-Montant Impayés|fact_gestion_locative|sum|montant_impayes
-"""
-
-_RATIOS = """
-Taux Réservation Vente|Nb Ventes|Nb Réservations
-Taux Atteinte Objectif CA|CA Signé|Objectif CA
-CA Moyen Vente|CA Signé|Nb Ventes
-"""
+# Names, aggregates, tables and columns of the measures, and the ratios over them.
+BASE_MEASURES = (
+    Measure("CA Signé", "sum", "fact_vente", "montant_total_operation"),
+    Measure("Nb Ventes", "count", "fact_vente"),
+    Measure("Nb Réservations", "count", "fact_reservation"),
+    Measure("Objectif CA", "sum", "fact_objectif_commercial", "objectif_ca"),
+    Measure("Montant Réservé", "sum", "fact_reservation", "prix_reserve"),
+    Measure("Montant Crédit", "sum", "fact_vente", "montant_credit"),
+    Measure("Montant Apport", "sum", "fact_vente", "montant_apport"),
+    Measure("Nb Programmes", "distinct", "dim_programme_immobilier", "programme_key"),
+    Measure("Nb Lots Disponibles", "sum", "dim_programme_immobilier", "nombre_lots_disponibles"),
+    Measure("Prix Moyen m2", "avg", "dim_programme_immobilier", "prix_moyen_m2"),
+    Measure("Rentabilité Cible Moyenne", "avg", "dim_programme_immobilier", "rentabilite_cible"),
+    Measure("Nb Lots", "distinct", "dim_lot_immobilier", "lot_key"),
+    Measure("Prix Final Moyen Lot", "avg", "dim_lot_immobilier", "prix_final"),
+    Measure("Rentabilité Brute Estimée Moyenne", "avg", "dim_lot_immobilier", "rentabilite_brute_estimee"),
+    Measure("Surface Moyenne", "avg", "dim_lot_immobilier", "surface_m2"),
+    Measure("Nb Investisseurs", "distinct", "dim_investisseur", "investisseur_key"),
+    Measure("Patrimoine Financier Moyen", "avg", "dim_investisseur", "patrimoine_financier"),
+    Measure("Patrimoine Immobilier Moyen", "avg", "dim_investisseur", "patrimoine_immobilier"),
+    Measure("Revenu Annuel Moyen", "avg", "dim_investisseur", "revenu_annuel"),
+    Measure("Commission Brute", "sum", "fact_commission", "montant_commission_brut"),
+    Measure("Commission Nette", "sum", "fact_commission", "montant_commission_net"),
+    Measure("Part Commission Partenaire", "sum", "fact_commission", "part_commission_partenaire"),
+    Measure("Part Commission Interne", "sum", "fact_commission", "part_commission_interne"),
+    Measure("Taux Commission Moyen", "avg", "fact_commission", "taux_commission"),
+    Measure("Nb Dossiers ADV", "count", "fact_dossier_adv"),
+    Measure("Délai Moyen Traitement ADV", "avg", "fact_dossier_adv", "delai_traitement_jours"),
+    Measure("Montant Financement Demandé", "sum", "fact_financement", "montant_demande"),
+    Measure("Montant Financement Accordé", "sum", "fact_financement", "montant_accorde"),
+    Measure("Taux Crédit Moyen", "avg", "fact_financement", "taux_credit"),
+    Measure("Taux Occupation Moyen", "avg", "fact_gestion_locative", "taux_occupation"),
+    Measure("Montant Impayés", "sum", "fact_gestion_locative", "montant_impayes"),
+)
+RATIOS = (
+    Measure("Taux Réservation Vente", "ratio", numerator="Nb Ventes", denominator="Nb Réservations"),
+    Measure("Taux Atteinte Objectif CA", "ratio", numerator="CA Signé", denominator="Objectif CA"),
+    Measure("CA Moyen Vente", "ratio", numerator="CA Signé", denominator="Nb Ventes"),
+)
 
 
 def _filtered(normalised: bool) -> list[Measure]:
@@ -585,16 +986,7 @@ def _filtered(normalised: bool) -> list[Measure]:
 
 
 def measures(normalised: bool = False) -> dict[str, Measure]:
-    found = []
-    for line in _BASE_MEASURES.split("\n"):
-        if line:
-            name, table, kind, column = line.split("|")
-            found.append(Measure(name, kind, table, column or None))
-    for line in _RATIOS.split("\n"):
-        if line:
-            name, numerator, denominator = line.split("|")
-            found.append(Measure(name, "ratio", numerator=numerator, denominator=denominator))
-    return {m.name: m for m in [*found, *_filtered(normalised)]}
+    return {m.name: m for m in [*BASE_MEASURES, *RATIOS, *_filtered(normalised)]}
 
 
 def model(tables: Mapping[str, DataFrame], normalised: bool = False) -> Model:
