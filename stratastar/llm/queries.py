@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratastar.llm import chat_format, exact_search, language_id, mixing, multi_index, near_dup, packing, quality, substring_dedup
+from stratastar.llm import chat_format, exact_search, fixity, language_id, mixing, multi_index, near_dup, packing, quality, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -243,3 +243,46 @@ def domain_of(source: Column) -> Column:
 )
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"), domain_of(F.col("source")), MIX).drop("carried")
+
+
+def damaged(pages: DataFrame) -> DataFrame:
+    """A replica of the pages with damage by rule: changed payloads and addresses, lost and added records."""
+    hurt = (
+        F.when(F.col("page_id") % 211 == 0, F.concat("html", F.lit("~")))
+        .when(F.col("page_id") % 307 == 5, F.translate("html", "e", "3"))
+        .otherwise(F.col("html"))
+    )
+    moved = F.when(F.col("page_id") % 401 == 7, F.concat("url", F.lit("#"))).otherwise(F.col("url"))
+    kept = pages.where("page_id % 503 <> 1").select("page_id", moved.alias("url"), hurt.alias("html"))
+    added = pages.where("page_id % 499 = 3").select((-F.col("page_id")).alias("page_id"), "url", "html")
+    return kept.unionByName(added)
+
+
+RECORD_SQL = """'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
+    || chr(13) || chr(10) || 'Content-Length: ' || octet_length(encode(coalesce(html, ''))) || chr(13) || chr(10) || chr(13) || chr(10)
+    || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10)"""
+
+
+@query(
+    "op3_merkle_fixity",
+    f"""
+    WITH replica AS (
+        SELECT page_id, CASE WHEN page_id % 401 = 7 THEN url || '#' ELSE url END AS url,
+               CASE WHEN page_id % 211 = 0 THEN html || '~' WHEN page_id % 307 = 5 THEN translate(html, 'e', '3') ELSE html END AS html
+        FROM pages WHERE page_id % 503 <> 1
+        UNION ALL SELECT -page_id, url, html FROM pages WHERE page_id % 499 = 3),
+    one AS (SELECT page_id AS id, {RECORD_SQL} AS r FROM pages WHERE page_id IS NOT NULL),
+    two AS (SELECT page_id AS id, {RECORD_SQL} AS r FROM replica WHERE page_id IS NOT NULL),
+    a AS (SELECT id, sha256(r) AS digest, octet_length(encode(r)) AS length,
+                 sum(octet_length(encode(r))) OVER (PARTITION BY floor(id / 65536) ORDER BY id) - octet_length(encode(r)) AS at FROM one),
+    b AS (SELECT id, sha256(r) AS digest, octet_length(encode(r)) AS length,
+                 sum(octet_length(encode(r))) OVER (PARTITION BY floor(id / 65536) ORDER BY id) - octet_length(encode(r)) AS at FROM two)
+    SELECT id, CASE WHEN a.digest IS NULL THEN 'added' WHEN b.digest IS NULL THEN 'missing' ELSE 'changed' END AS state,
+           floor(id / 64)::BIGINT AS range_id, floor(floor(id / 64) / 1024)::BIGINT AS file_id, coalesce(a.at, b.at)::BIGINT AS "offset",
+           coalesce(a.length, b.length)::BIGINT AS length, a.digest AS digest, b.digest AS replica_digest
+    FROM a FULL JOIN b USING (id) WHERE a.digest IS DISTINCT FROM b.digest
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return fixity.audit(pages, damaged(pages))
