@@ -15,7 +15,8 @@ a component is what links reach.
    So every two classes that share a bucket are connected, or compared and found apart.
 
 A pair is left unconfirmed only if its sketches agree in fewer samples than a similarity of 0.85
-gives, less DEVIATIONS standard deviations. Two sets of similarity 0.85 share no bucket with a
+gives, less DEVIATIONS standard deviations and SLACK samples, where the deviation takes in how many
+bins the sets fill, which bins they share and the folding into bits. Two sets of similarity 0.85 share no bucket with a
 chance below 1e-6.
 
 Defined cases: null or empty texts and texts without words have an empty set and link with
@@ -43,6 +44,8 @@ SAMPLES = BANDS * ROWS
 BINS = 1024
 SKETCH_BITS = 2048
 DEVIATIONS = 5
+#: Samples allowed for besides, as the counts of small sets have longer tails than a normal law.
+SLACK = 3
 
 _U = np.uint64
 _SCALE = (stream(21, SAMPLES) >> _U(32)).astype(np.uint32) | np.uint32(1)
@@ -186,14 +189,16 @@ def _likely(a: str, b: str) -> Column:
     n, m, filled = F.col(f"n_{a}"), F.col(f"n_{b}"), F.col(f"f_{a}") + F.col(f"f_{b}")
     fits = 100 * F.least(n, m) >= 85 * F.greatest(n, m)
     # What a similarity of exactly 0.85 gives: members of the union, bins they fill, samples shared
-    # and apart, and the variances of sampling by bins and of folding into bits.
+    # and apart, and the variances of the bins filled, of sampling by bins and of folding into bits.
     union = (n + m) / 1.85
-    bins = BINS * (1 - F.exp(-union / BINS))
-    apart = F.greatest(filled - 2 * 0.85 * bins, F.lit(1.0))
+    load = union / BINS
+    bins = BINS * (1 - F.exp(-load))
+    apart = F.greatest(BINS * (2 - F.exp(-n / BINS) - F.exp(-m / BINS)) - 2 * 0.85 * bins, F.lit(1.0))
     two, four = F.pow(F.lit(1 - 2 / SKETCH_BITS), apart), F.pow(F.lit(1 - 4 / SKETCH_BITS), apart)
     folding = (SKETCH_BITS / 4 * (1 - four) + SKETCH_BITS**2 / 4 * (four - two * two)) / (two * two)
     sampling = 0.85 * 0.15 * bins * F.greatest(1 - bins / union, F.lit(0.0))
-    least = 0.85 * bins - DEVIATIONS * F.sqrt(sampling + F.greatest(folding, F.lit(0.0)) / 4) - 1
+    filling = 0.85**2 * BINS * F.greatest(F.exp(-load) - (1 + load) * F.exp(-2 * load), F.lit(0.0))
+    least = 0.85 * bins - DEVIATIONS * F.sqrt(filling + sampling + F.greatest(folding, F.lit(0.0)) / 4) - SLACK
     return fits & (agreeing(F.col(f"s_{a}"), F.col(f"s_{b}"), filled) >= least)
 
 

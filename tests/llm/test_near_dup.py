@@ -127,3 +127,25 @@ def test_sketches_agree_as_sets_do(spark, size):
     # Sets of similarity 0.6 hardly ever pass.
     far = df.withColumn("s_b", F.array_sort("s_b")).where(near_dup._likely("a", "b")).count()
     assert far == 0
+
+
+def planted(rng, union, percent, pairs):
+    """Sketches and sizes of pairs of sets with `union` members, of which `percent` are shared."""
+    both = union * percent // 100
+    assert 100 * both == percent * union
+    n, m = (union + both + 1) // 2, (union + both) // 2
+    pool = rng.integers(0, 2**63, (pairs, union)).astype(np.uint64)
+    sets = pool[:, :n], np.concatenate([pool[:, :both], pool[:, n:]], axis=1)
+    (s_a, f_a), (s_b, f_b) = (near_dup.odd_sketches(x.ravel(), np.full(pairs, x.shape[1])) for x in sets)
+    return [(union, *row, n, m) for row in zip(s_a.tolist(), s_b.tolist(), f_a.tolist(), f_b.tolist(), strict=True)]
+
+
+PLANTED = "size long, s_a array<long>, s_b array<long>, f_a long, f_b long, n_a long, n_b long"
+
+
+def test_sketches_rule_no_link_out(spark):
+    """Pairs of exactly the least similarity, at sizes where the number of filled bins varies most."""
+    rng = np.random.default_rng(85)
+    found = [row for union in (20, 40, 60, 100, 200, 400) for row in planted(rng, union, 85, 2000)]
+    lost = spark.createDataFrame(found, PLANTED).where(~near_dup._likely("a", "b"))
+    assert {r["size"]: r["count"] for r in lost.groupBy("size").count().collect()} == {}
