@@ -20,6 +20,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: A text in which no language stands out more than this is rejected, as is one without letters.
 LEAST_SCORE = 0.3
+#: Least similarity, in percent, of two documents of which the pipeline keeps one.
+NEAR = near_dup.PERCENT
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +32,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest id."""
-    return near_dup.without_near_duplicates(docs)
+    return near_dup.without_near_duplicates(docs, NEAR)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,11 +1,11 @@
 """Near-duplicate documents by MinHash bands, checked with odd sketches and confirmed on full sets.
 
 A document's set holds its distinct runs of five words (A-Z lower-cased); with fewer words the
-whole sequence is its one member. Two documents link when 100 * |A and B| >= 85 * |A or B|;
-a component is what links reach.
+whole sequence is its one member. Two documents link when 100 * |A and B| >= percent * |A or B|,
+with a percent of 85 unless the caller gives another; a component is what links reach.
 
 1. One pass over the texts gives, per document, the size and a 128-bit fingerprint of its set,
-   252 MinHash samples as 36 band keys of 7, and an odd sketch: 1024 further samples (the least
+   MinHash samples as band keys (at 85 percent 36 keys of 7 samples, at 80 percent 46 of 6), and an odd sketch: 1024 further samples (the least
    hash in each of 1024 bins) each flip one of 2048 bits. Two sketches differ in few bits if
    the samples agree. Documents with equal sets are one class from here on.
 2. Classes that share a band key stand in one bucket. Each is compared with the bucket's
@@ -14,10 +14,10 @@ a component is what links reach.
    component meet the members of other components, again by sketch, then on full sets.
    So every two classes that share a bucket are connected, or compared and found apart.
 
-A pair is left unconfirmed only if its sketches agree in fewer samples than a similarity of 0.85
+A pair is left unconfirmed only if its sketches agree in fewer samples than the least similarity
 gives, less DEVIATIONS standard deviations and SLACK samples, where the deviation takes in how many
-bins the sets fill, which bins they share and the folding into bits. Two sets of similarity 0.85 share no bucket with a
-chance below 1e-6.
+bins the sets fill, which bins they share and the folding into bits. Two sets of the least similarity share no bucket
+with a chance below 1e-6.
 
 Defined cases: null or empty texts and texts without words have an empty set and link with
 nothing. Rows with a null id link with nothing and are kept. Rows that share an id are each
@@ -27,6 +27,7 @@ component is its smallest id. An empty table gives an empty result. Other column
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +40,10 @@ from stratastar.llm.components import components
 from stratastar.llm.words import Words, chunks, mix, signed, stream, words_of
 
 SHINGLE = 5
-BANDS, ROWS = 36, 7
-SAMPLES = BANDS * ROWS
+PERCENT = 85
+#: Chance that two sets of the least similarity share no band stays below MISSED, with MOST_SAMPLES samples at most.
+MISSED = 1e-6
+MOST_SAMPLES = 276
 BINS = 1024
 SKETCH_BITS = 2048
 DEVIATIONS = 5
@@ -48,15 +51,25 @@ DEVIATIONS = 5
 SLACK = 3
 
 _U = np.uint64
-_SCALE = (stream(21, SAMPLES) >> _U(32)).astype(np.uint32) | np.uint32(1)
-_SHIFT = (stream(22, SAMPLES) >> _U(32)).astype(np.uint32)
-_FOLD = stream(23, ROWS) | _U(1)
-_BAND = stream(24, BANDS)
+_SCALE = (stream(21, MOST_SAMPLES) >> _U(32)).astype(np.uint32) | np.uint32(1)
+_SHIFT = (stream(22, MOST_SAMPLES) >> _U(32)).astype(np.uint32)
+_FOLD = stream(23, MOST_SAMPLES) | _U(1)
+_BAND = stream(24, MOST_SAMPLES)
 _BIN = stream(25, BINS)
 #: Values of one block of samples; it stays in the cache of a core.
 _BLOCK = 1024
 
 
+def bands_of(percent: int) -> tuple[int, int]:
+    """Bands and samples of a band: the longest bands that keep to MISSED and MOST_SAMPLES."""
+    for rows in range(MOST_SAMPLES, 0, -1):
+        alike = (percent / 100) ** rows
+        bands = 1 if alike == 1 else math.ceil(math.log(MISSED) / math.log1p(-alike))
+        if bands * rows <= MOST_SAMPLES:
+            return bands, rows
+    raise ValueError(f"a similarity of {percent} percent needs more than {MOST_SAMPLES} samples")
+
+
 def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Distinct member hashes of every text, one text after another, and their number per text."""
     counts = words.counts
@@ -81,31 +94,32 @@ def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return hashes[fresh], np.bincount(owner[fresh], minlength=len(counts))
 
 
-def samples_of(members: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def samples_of(members: np.ndarray, sizes: np.ndarray, count: int) -> np.ndarray:
     """(sample, text) MinHash values of non-empty sets laid one after another."""
-    out = np.full((SAMPLES, len(sizes)), np.uint32(0xFFFFFFFF))
+    out = np.full((count, len(sizes)), np.uint32(0xFFFFFFFF))
     x = (members >> _U(32)).astype(np.uint32)
     ends = np.cumsum(sizes)
     starts = ends - sizes
-    block = np.empty((SAMPLES, _BLOCK), np.uint32)
+    block = np.empty((count, _BLOCK), np.uint32)
     for at in range(0, len(x), _BLOCK):
         part = x[at : at + _BLOCK]
         values = block[:, : len(part)]
-        np.multiply(_SCALE[:, None], part[None, :], out=values)
-        values += _SHIFT[:, None]
+        np.multiply(_SCALE[:count, None], part[None, :], out=values)
+        values += _SHIFT[:count, None]
         low, high = np.searchsorted(ends, at, "right"), np.searchsorted(starts, at + len(part), "left")
         cuts = np.maximum(starts[low:high] - at, 0)
         out[:, low:high] = np.minimum(out[:, low:high], np.minimum.reduceat(values, cuts, axis=1))
     return out
 
 
-def band_keys(samples: np.ndarray) -> np.ndarray:
-    """(text, band): one key per band of ROWS samples."""
-    keys = np.zeros((samples.shape[1], BANDS), np.uint64)
-    for band in range(BANDS):
+def band_keys(samples: np.ndarray, rows: int) -> np.ndarray:
+    """(text, band): one key per band of `rows` samples."""
+    bands = len(samples) // rows
+    keys = np.zeros((samples.shape[1], bands), np.uint64)
+    for band in range(bands):
         folded = np.full(samples.shape[1], _BAND[band])
-        for row in range(ROWS):
-            folded += samples[band * ROWS + row].astype(np.uint64) * _FOLD[row]
+        for row in range(rows):
+            folded += samples[band * rows + row].astype(np.uint64) * _FOLD[row]
         keys[:, band] = mix(folded)
     return keys
 
@@ -132,7 +146,8 @@ def _lists(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, (rows + 1) * width, width, dtype=np.int32)), pa.array(values.ravel()))
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    bands, of = bands_of(percent)
     for batch in batches:
         for row, end, data, offsets in chunks(batch.column(1), rows=512):
             members, sizes = shingle_sets(words_of(data, offsets, lower=True))
@@ -147,7 +162,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 heads = np.cumsum(sizes[full]) - sizes[full]
                 one = np.add.reduceat(mix(members), heads)
                 two = np.add.reduceat(mix(members ^ _U(0x5851F42D4C957F2D)), heads)
-                samples = samples_of(members, sizes[full])
+                samples = samples_of(members, sizes[full], bands * of)
                 sketches, filled = odd_sketches(members, sizes[full])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -155,7 +170,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         pa.array(sizes[full]),
                         pa.array(signed(one)),
                         pa.array(signed(two)),
-                        _lists(signed(band_keys(samples))),
+                        _lists(signed(band_keys(samples, of))),
                         _lists(sketches),
                         pa.array(filled),
                     ],
@@ -184,38 +199,39 @@ def agreeing(one: Column, two: Column, filled: Column) -> Column:
     return (filled - differ) / 2
 
 
-def _likely(a: str, b: str) -> Column:
+def _likely(a: str, b: str, percent: int = PERCENT) -> Column:
     """Neither the sizes nor the sketches rule the link out."""
+    least = percent / 100
     n, m, filled = F.col(f"n_{a}"), F.col(f"n_{b}"), F.col(f"f_{a}") + F.col(f"f_{b}")
-    fits = 100 * F.least(n, m) >= 85 * F.greatest(n, m)
-    # What a similarity of exactly 0.85 gives: members of the union, bins they fill, samples shared
+    fits = 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    # What exactly the least similarity gives: members of the union, bins they fill, samples shared
     # and apart, and the variances of the bins filled, of sampling by bins and of folding into bits.
-    union = (n + m) / 1.85
+    union = (n + m) / (1 + least)
     load = union / BINS
     bins = BINS * (1 - F.exp(-load))
-    apart = F.greatest(BINS * (2 - F.exp(-n / BINS) - F.exp(-m / BINS)) - 2 * 0.85 * bins, F.lit(1.0))
+    apart = F.greatest(BINS * (2 - F.exp(-n / BINS) - F.exp(-m / BINS)) - 2 * least * bins, F.lit(1.0))
     two, four = F.pow(F.lit(1 - 2 / SKETCH_BITS), apart), F.pow(F.lit(1 - 4 / SKETCH_BITS), apart)
     folding = (SKETCH_BITS / 4 * (1 - four) + SKETCH_BITS**2 / 4 * (four - two * two)) / (two * two)
-    sampling = 0.85 * 0.15 * bins * F.greatest(1 - bins / union, F.lit(0.0))
-    filling = 0.85**2 * BINS * F.greatest(F.exp(-load) - (1 + load) * F.exp(-2 * load), F.lit(0.0))
-    least = 0.85 * bins - DEVIATIONS * F.sqrt(filling + sampling + F.greatest(folding, F.lit(0.0)) / 4) - SLACK
-    return fits & (agreeing(F.col(f"s_{a}"), F.col(f"s_{b}"), filled) >= least)
+    sampling = least * (1 - least) * bins * F.greatest(1 - bins / union, F.lit(0.0))
+    filling = least**2 * BINS * F.greatest(F.exp(-load) - (1 + load) * F.exp(-2 * load), F.lit(0.0))
+    enough = least * bins - DEVIATIONS * F.sqrt(filling + sampling + F.greatest(folding, F.lit(0.0)) / 4) - SLACK
+    return fits & (agreeing(F.col(f"s_{a}"), F.col(f"s_{b}"), filled) >= enough)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
     """Those of the stored pairs (a, b) that link, by the full sets of the documents concerned."""
     ids = scratch.store(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}-ids")
     sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, members array<long>")
     sets = scratch.store(sets, f"{name}-sets")
     of = lambda side: sets.select(F.col("doc_id").alias(side), F.col("members").alias(f"m_{side}"))
     both = F.size(F.array_intersect("m_a", "m_b"))
-    linked = pairs.join(of("a"), "a").join(of("b"), "b").where(100 * both >= 85 * (F.size("m_a") + F.size("m_b") - both))
+    linked = pairs.join(of("a"), "a").join(of("b"), "b").where(100 * both >= percent * (F.size("m_a") + F.size("m_b") - both))
     links = scratch.store(linked.select("a", "b").distinct(), f"{name}-links")
     scratch.drop(f"{name}-sets", f"{name}-ids")
     return links
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
+def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row of `documents` (doc_id, text): doc_id, n_shingles, component_id, kept, text_hash.
 
     text_hash (Spark's xxhash64 of the text) tells rows of one id apart.
@@ -223,7 +239,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     spark = settle(documents.sparkSession)
     scratch = Scratch(spark, "near-dup")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    every = scratch.store(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_sketch, _SCHEMA), "sketches")
+    every = scratch.store(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(lambda batches: _sketch(batches, percent), _SCHEMA), "sketches")
 
     rows = every.select("doc_id", "text_hash", "n_shingles", "print_1", "print_2")
     classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("print_1", "print_2").agg(F.min("doc_id").alias("rep"))
@@ -240,8 +256,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         return chosen.select(F.col("doc_id").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"), F.col("filled").alias(f"f_{side}"))
 
     stars = buckets.where("doc_id <> lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
-    stars = stars.join(looked_up("a"), "a").join(looked_up("b"), "b").where(_likely("a", "b")).select("a", "b")
-    links = _confirmed(scratch.store(stars, "stars"), docs, scratch, "star")
+    stars = stars.join(looked_up("a"), "a").join(looked_up("b"), "b").where(_likely("a", "b", percent)).select("a", "b")
+    links = _confirmed(scratch.store(stars, "stars"), docs, percent, scratch, "star")
     parts = components(links, scratch, "first")
 
     def part_of(df: DataFrame, node: str, out: str) -> DataFrame:
@@ -256,14 +272,14 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     bands = [chosen.select(F.col("doc_id").alias(side), F.col("bands").alias(f"k_{side}")) for side in ("a", "b")]
     left = others.join(looked_up("a"), "a").join(bands[0], "a")
     right = met.join(looked_up("b"), "b").join(bands[1], "b")
-    apart = (F.col("part_a") != F.col("part_b")) & (~F.col("other") | (F.col("a") < F.col("b"))) & _likely("a", "b")
+    apart = (F.col("part_a") != F.col("part_b")) & (~F.col("other") | (F.col("a") < F.col("b"))) & _likely("a", "b", percent)
     # Two documents may share several buckets; they meet in the first.
     shared = F.array_position(F.zip_with("k_a", "k_b", lambda x, y: x == y), True)
     meets = left.join(right, (left["key"] == right["key"]) & apart & (shared == F.array_position(F.col("k_a"), left["key"])))
     more = scratch.store(meets.select("a", "b").distinct(), "meets")
     scratch.drop("leads", "buckets", "placed", "others")
     if not more.isEmpty():
-        parts = components(links.unionByName(_confirmed(more, docs, scratch, "meet")), scratch, "second")
+        parts = components(links.unionByName(_confirmed(more, docs, percent, scratch, "meet")), scratch, "second")
 
     classes = classes.join(parts, classes["rep"] == parts["node"], "left").select("print_1", "print_2", F.coalesce("component", "rep").alias("component_id"))
     classes = scratch.store(classes, "final")
@@ -273,11 +289,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), "text_hash")
 
 
-def without_near_duplicates(documents: DataFrame) -> DataFrame:
+def without_near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Rows of `documents` that stay, with all their columns: of each component the document with the
     smallest id, and of rows that repeat it by id and text, one. Rows with a null id all stay."""
     scratch = Scratch(documents.sparkSession, "near-dup-stay")
-    judged = scratch.store(near_duplicates(documents).select("doc_id", "text_hash", "kept"), "judged")
+    judged = scratch.store(near_duplicates(documents, percent).select("doc_id", "text_hash", "kept"), "judged")
     gone = judged.where("not kept").select("doc_id", "text_hash").distinct()
     again = judged.where("kept and doc_id is not null").groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash")
     again = scratch.store(again, "again")

@@ -143,6 +143,28 @@ def planted(rng, union, percent, pairs):
 PLANTED = "size long, s_a array<long>, s_b array<long>, f_a long, f_b long, n_a long, n_b long"
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_bands_and_filter_at_another_threshold(spark, percent):
+    bands, of = near_dup.bands_of(percent)
+    assert (1 - (percent / 100) ** of) ** bands < 1e-6 and near_dup.bands_of(85) == (36, 7)
+    rng = np.random.default_rng(percent)
+    found = [row for union in (20, 40, 60, 100, 200, 400) for row in planted(rng, union, percent, 1000)]
+    assert spark.createDataFrame(found, PLANTED).where(~near_dup._likely("a", "b", percent)).isEmpty()
+
+
+def test_copies_between_two_thresholds(spark):
+    """Copies of 100 words with two changed far apart share 86 of 106 shingles."""
+    rng = random.Random(80)
+    docs = []
+    for i in range(60):
+        base = [f"t{rng.randrange(10**6)}" for _ in range(100)]
+        docs += [(2 * i, " ".join(base)), (2 * i + 1, " ".join([*base[:30], "one", *base[31:70], "two", *base[71:]]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows(df) == {i: (96, i, True) for i in range(120)}
+    assert {r.doc_id: (r.component_id, r.kept) for r in near_dup.near_duplicates(df, 80).collect()} == {i: (i - i % 2, i % 2 == 0) for i in range(120)}
+    assert near_dup.without_near_duplicates(df, 80).count() == 60
+
+
 def test_sketches_rule_no_link_out(spark):
     """Pairs of exactly the least similarity, at sizes where the number of filled bins varies most."""
     rng = np.random.default_rng(85)

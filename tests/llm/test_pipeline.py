@@ -129,3 +129,12 @@ def test_one_of_repeated_rows_stays(spark):
     df = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "c d"), (2, "a b"), (None, "a b"), (None, "a b")], "doc_id long, text string").withColumn("text_hash", F.lit("clash"))
     got = sorted((r.doc_id or -1, r.text) for r in near_dup.without_near_duplicates(df).collect())
     assert got == [(-1, "a b"), (-1, "a b"), (1, "a b"), (1, "c d")]
+
+
+def test_near_duplicates_stage_follows_its_threshold(spark, monkeypatch):
+    words = [f"word{i}" for i in range(100)]
+    copy = [*words[:30], "one", *words[31:70], "two", *words[71:]]
+    df = spark.createDataFrame([(i, " ".join(w), "en", "src0", 1) for i, w in enumerate((words, copy))], SCHEMA)
+    for percent, left in ((pipeline.NEAR, 2), (80, 1)):
+        monkeypatch.setattr(pipeline, "NEAR", percent)
+        assert pipeline.drop_near_duplicates(spark, df, "").count() == left
