@@ -14,9 +14,9 @@ with a percent of 85 unless the caller gives another; a component is what links
    component meet the members of other components, again by sketch, then on full sets.
    So every two classes that share a bucket are connected, or compared and found apart.
 
-A pair is left unconfirmed only if its sketches agree in fewer samples than the least similarity
-gives, less DEVIATIONS standard deviations and SLACK samples, where the deviation takes in how many
-bins the sets fill, which bins they share and the folding into bits. Two sets of the least similarity share no bucket
+A pair is left unconfirmed only if its sketches differ in more samples than the least similarity
+gives, plus DEVIATIONS standard deviations (of the samples that differ between sets of these sizes,
+and of the folding into bits) and SLACK samples. Two sets of the least similarity share no bucket
 with a chance below 1e-6.
 
 Defined cases: null or empty texts and texts without words have an empty set and link with
@@ -48,7 +48,7 @@ BINS = 1024
 SKETCH_BITS = 2048
 DEVIATIONS = 5
 #: Samples allowed for besides, as the counts of small sets have longer tails than a normal law.
-SLACK = 3
+SLACK = 2
 
 _U = np.uint64
 _SCALE = (stream(21, MOST_SAMPLES) >> _U(32)).astype(np.uint32) | np.uint32(1)
@@ -157,13 +157,13 @@ def _sketch(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             if len(none):
                 blank = pa.nulls(len(none), pa.int64())
                 empty = pa.nulls(len(none), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(none)) for c in own), pa.array(sizes[none]), blank, blank, empty, empty, blank], _NAMES)
+                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(none)) for c in own), pa.array(sizes[none]), blank, blank, empty, empty], _NAMES)
             if len(full):
                 heads = np.cumsum(sizes[full]) - sizes[full]
                 one = np.add.reduceat(mix(members), heads)
                 two = np.add.reduceat(mix(members ^ _U(0x5851F42D4C957F2D)), heads)
                 samples = samples_of(members, sizes[full], bands * of)
-                sketches, filled = odd_sketches(members, sizes[full])
+                sketches, _ = odd_sketches(members, sizes[full])
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(c.take(pa.array(full)) for c in own),
@@ -172,14 +172,13 @@ def _sketch(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
                         pa.array(signed(two)),
                         _lists(signed(band_keys(samples, of))),
                         _lists(sketches),
-                        pa.array(filled),
                     ],
                     _NAMES,
                 )
 
 
-_NAMES = ["doc_id", "text_hash", "n_shingles", "print_1", "print_2", "bands", "sketch", "filled"]
-_SCHEMA = "doc_id long, text_hash long, n_shingles long, print_1 long, print_2 long, bands array<long>, sketch array<long>, filled long"
+_NAMES = ["doc_id", "text_hash", "n_shingles", "print_1", "print_2", "bands", "sketch"]
+_SCHEMA = "doc_id long, text_hash long, n_shingles long, print_1 long, print_2 long, bands array<long>, sketch array<long>"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,31 +190,38 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), sets], ["doc_id", "members"])
 
 
-def agreeing(one: Column, two: Column, filled: Column) -> Column:
-    """Samples that two sets share, estimated from the bits in which their odd sketches differ."""
+def differing(one: Column, two: Column) -> Column:
+    """Samples that two sets do not share, estimated from the bits in which their odd sketches differ."""
     bits = SKETCH_BITS
     apart = sum((F.bit_count(one[i].bitwiseXOR(two[i])) for i in range(bits // 64)), F.lit(0))
-    differ = -F.lit(bits / 2) * F.log(F.greatest(1 - 2 * apart / F.lit(bits), F.lit(1e-9)))
-    return (filled - differ) / 2
+    return -F.lit(bits / 2) * F.log(F.greatest(1 - 2 * apart / F.lit(bits), F.lit(1e-9)))
 
 
 def _likely(a: str, b: str, percent: int = PERCENT) -> Column:
     """Neither the sizes nor the sketches rule the link out."""
     least = percent / 100
-    n, m, filled = F.col(f"n_{a}"), F.col(f"n_{b}"), F.col(f"f_{a}") + F.col(f"f_{b}")
+    n, m = F.col(f"n_{a}"), F.col(f"n_{b}")
     fits = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    # What exactly the least similarity gives: members of the union, bins they fill, samples shared
-    # and apart, and the variances of the bins filled, of sampling by bins and of folding into bits.
-    union = (n + m) / (1 + least)
-    load = union / BINS
-    bins = BINS * (1 - F.exp(-load))
-    apart = F.greatest(BINS * (2 - F.exp(-n / BINS) - F.exp(-m / BINS)) - 2 * least * bins, F.lit(1.0))
+    # What exactly the least similarity gives, per bin: members in all, in both sets, in one only.
+    load = (n + m) / (1 + least) / BINS
+    both = least * load
+    alone = [F.greatest(x / BINS - both, F.lit(0.0)) for x in (n, m)]
+    # Chances that the bin is empty in one set and in both, and mean and variance of its samples apart:
+    # one if it is empty in one set, two if its least members differ. The sizes are known, so what their
+    # chance would add is taken off: per kind of member, its number times the square of its effect.
+    empty, none = [F.exp(-x / BINS) for x in (n, m)], F.exp(-load)
+    share = (1 - none) / load
+    slope = (none - share) / load
+    mean = 2 - empty[0] - empty[1] - 2 * both * share
+    one = empty[0] + empty[1] - 2 * none
+    effects = both * F.pow(empty[0] + empty[1] - 2 * share - 2 * both * slope, 2)
+    effects += sum((x * F.pow(e - 2 * both * slope, 2) for x, e in zip(alone, empty, strict=True)), F.lit(0.0))
+    sampling = BINS * F.greatest(2 * mean - one - mean * mean - effects, F.lit(0.0))
+    apart = F.greatest(BINS * mean, F.lit(1.0))
     two, four = F.pow(F.lit(1 - 2 / SKETCH_BITS), apart), F.pow(F.lit(1 - 4 / SKETCH_BITS), apart)
     folding = (SKETCH_BITS / 4 * (1 - four) + SKETCH_BITS**2 / 4 * (four - two * two)) / (two * two)
-    sampling = least * (1 - least) * bins * F.greatest(1 - bins / union, F.lit(0.0))
-    filling = least**2 * BINS * F.greatest(F.exp(-load) - (1 + load) * F.exp(-2 * load), F.lit(0.0))
-    enough = least * bins - DEVIATIONS * F.sqrt(filling + sampling + F.greatest(folding, F.lit(0.0)) / 4) - SLACK
-    return fits & (agreeing(F.col(f"s_{a}"), F.col(f"s_{b}"), filled) >= enough)
+    most = BINS * mean + DEVIATIONS * F.sqrt(sampling + F.greatest(folding, F.lit(0.0))) + SLACK
+    return fits & (differing(F.col(f"s_{a}"), F.col(f"s_{b}")) <= most)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
@@ -245,7 +251,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("print_1", "print_2").agg(F.min("doc_id").alias("rep"))
     classes = scratch.store(classes, "classes")
     first = (every["print_1"] == classes["print_1"]) & (every["print_2"] == classes["print_2"]) & (every["doc_id"] == classes["rep"])
-    chosen = scratch.store(every.join(classes, first, "left_semi").select("doc_id", "n_shingles", "bands", "sketch", "filled").dropDuplicates(["doc_id"]), "chosen")
+    chosen = scratch.store(every.join(classes, first, "left_semi").select("doc_id", "n_shingles", "bands", "sketch").dropDuplicates(["doc_id"]), "chosen")
 
     banded = chosen.select("doc_id", F.explode("bands").alias("key"))
     leads = banded.groupBy("key").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).where("lead < last")
@@ -253,7 +259,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     buckets = scratch.store(banded.join(leads, "key").select("key", "doc_id", "lead"), "buckets")
 
     def looked_up(side: str) -> DataFrame:
-        return chosen.select(F.col("doc_id").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"), F.col("filled").alias(f"f_{side}"))
+        return chosen.select(F.col("doc_id").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
 
     stars = buckets.where("doc_id <> lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
     stars = stars.join(looked_up("a"), "a").join(looked_up("b"), "b").where(_likely("a", "b", percent)).select("a", "b")
