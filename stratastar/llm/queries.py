@@ -11,7 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratastar.llm import chat_format, exact_search, fixity, language_id, mixing, multi_index, near_dup, packing, quality, substring_dedup
+from stratastar.llm import (
+    chat_format,
+    chunk_encoding,
+    exact_search,
+    filter_audit,
+    fixity,
+    language_id,
+    mixing,
+    multi_index,
+    near_dup,
+    packing,
+    quality,
+    substring_dedup,
+    whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -286,3 +300,58 @@ RECORD_SQL = """'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return fixity.audit(pages, damaged(pages))
+
+
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op12_filter_interactions",
+    r"""
+    WITH docs AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+        FROM documents),
+    smallest AS (SELECT text, min(doc_id) AS least FROM docs GROUP BY text),
+    said AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    failing AS (
+        SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+               concat(CASE WHEN len(w) < 200 THEN 'A' ELSE '' END,
+                      CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END,
+                      CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 'C' ELSE '' END,
+                      CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END,
+                      CASE WHEN doc_id > least THEN 'E' ELSE '' END) AS fails
+        FROM docs JOIN smallest USING (text) LEFT JOIN said USING (doc_id)),
+    alike AS (SELECT part, fails, good, toxic, count(*) AS n FROM failing GROUP BY ALL),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+    orders AS (
+        SELECT a.c || b.c || d.c || e.c || f.c AS filter_order FROM letters a, letters b, letters d, letters e, letters f
+        WHERE len(list_distinct([a.c, b.c, d.c, e.c, f.c])) = 5),
+    steps AS (SELECT filter_order, s AS step, filter_order[s] AS c, filter_order[1 : s - 1] AS earlier FROM orders, range(1, 6) r(s)),
+    judged AS (
+        SELECT part, filter_order, step, c, n, good, toxic, fails = c AS alone,
+               contains(fails, c) AS hit, len(list_intersect(string_split(fails, ''), string_split(earlier, ''))) > 0 AND earlier <> '' AND fails <> '' AS was_gone
+        FROM alike, steps),
+    told AS (
+        SELECT part, filter_order, step, c,
+               coalesce(sum(n) FILTER (NOT hit AND NOT was_gone), 0)::BIGINT AS kept,
+               coalesce(sum(n) FILTER (hit AND NOT was_gone), 0)::BIGINT AS removed,
+               coalesce(sum(n) FILTER (hit AND was_gone), 0)::BIGINT AS redundant,
+               coalesce(sum(n) FILTER (alone), 0)::BIGINT AS unique_fails,
+               coalesce(sum(n) FILTER (hit AND NOT was_gone AND good), 0)::BIGINT AS good_lost,
+               coalesce(sum(n) FILTER (hit AND NOT was_gone AND toxic), 0)::BIGINT AS toxic_lost
+        FROM judged GROUP BY ALL)
+    SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+           (sum(removed) OVER (PARTITION BY part, c))::BIGINT AS shapley
+    FROM told
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_chunk_encoding")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_encoding.encoded(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))

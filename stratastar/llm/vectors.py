@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -18,12 +18,16 @@ BLOCK = 4096
 QUERIES = 1024
 
 
+def finite(vector: Column) -> Column:
+    """Whether no component is null, NaN or infinite."""
+    return F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+
+
 def usable(embeddings: DataFrame, nonzero: bool) -> DataFrame:
     """(vec_id, vector array<double>) of the rows that take part."""
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
-    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists("vector", lambda x: x != 0) if nonzero else F.size("vector") > 0
-    return rows.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & finite & some).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    return rows.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & finite(F.col("vector")) & some).groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
