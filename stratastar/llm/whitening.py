@@ -18,8 +18,8 @@ Only d sums, one d x d triangle and k x k products reach the driver; d is the wi
 Defined cases: rows whose vector is null or holds null or non-finite components do not take part;
 an empty vector does. Vectors of unequal lengths are padded with components 0. Rows that share an
 id, and rows without one, all count. A component 1024 * c beyond 2**61 counts as 2**61 of its sign. A
-deviation beyond 64 bits is null. Directions without variance (all of them where all vectors are
-alike) have `explained` 0 and `whitened` null and stay out of `identity_error`, which is 0 if no
+deviation beyond 64 bits is null. Directions without variance, as far as the digits of R tell (all of
+them where all vectors are alike), have `explained` 0 and `whitened` null and stay out of `identity_error`, which is 0 if no
 direction has any. An empty table gives an empty result. Other columns are not read.
 """
 
@@ -228,7 +228,7 @@ def directions(r: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     b = Bidiagonal(diagonal, above)
     wanted: list[np.ndarray] = []
     random = np.random.default_rng(1)
-    k = min(k, int((values > values[0] * (EPS * len(values)) ** 2).sum())) if len(values) and values[0] > 0 else 0
+    k = min(k, int((values > values[0] * (64 * EPS * len(values)) ** 2).sum())) if len(values) and values[0] > 0 else 0
     first = 0
     for i in range(k):
         if i and values[i - 1] - values[i] > CLOSE * values[i - 1]:
