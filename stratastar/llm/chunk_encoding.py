@@ -2,7 +2,8 @@
 
 1. Cut. A rolling hash over the last WINDOW bytes decides where a text is cut, so equal passages
    are cut alike wherever they lie. Strings of special tokens are pieces of their own.
-2. Share. Chunks that occur in more than one distinct text are encoded once each.
+2. Share. Chunks that occur in more than one distinct text are encoded once each, by the text of
+   the least digest that holds them.
 3. Repair. A chunk was encoded without its surroundings, so around its two ends the ids may differ
    from those of the whole text. A text is encoded from left to right: what lies between shared
    chunks, with some text on both sides, is re-encoded, and wider and wider until the new
@@ -13,11 +14,16 @@ most two characters ahead of a match. So from a boundary of the whole text on, a
 it has the same boundaries up to two characters before the part's end, and from a boundary that
 both share on, a chunk's words are the text's words. A word's ids depend on the word alone.
 
+Words are found by the same pattern in `regex`, and a word's ids are remembered. A character that
+`regex` and the tokenizer file's own splitter do not class alike (asked once per character) sends
+its piece of text to the tokenizer as it is.
+
 Only tokenizer files of that kind are accepted: byte-level BPE with its usual pattern, no
 normaliser, no added prefix space, no dropout, and added tokens taken as they are.
 
 A text that occurs more than once is encoded once as well. Texts are compared by SHA-256, chunks by a
-128-bit hash.
+128-bit hash. Texts travel between tasks compressed, twice: to those that encode shared chunks, and
+to those that put ids together.
 
 Defined cases: a null text counts as empty and has no ids. Rows that repeat, and rows without a
 doc_id, give a row each. An empty table gives an empty result. Other columns are not read. A text
@@ -35,11 +41,13 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import regex
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratastar.llm.common import Scratch, settle
-from stratastar.llm.words import Powers, chunks, stream, sums_between, utf8
+from stratastar.llm.words import Powers, chunks, stream, sums_between
 
 #: Bytes that decide on a cut, and bits of their hash that have to be zero: a cut in 512 places.
 WINDOW = 32
@@ -51,6 +59,11 @@ HEAD = 6
 AHEAD = 8
 #: Bytes encoded in one call.
 BLOCK = 1 << 18
+#: Words whose ids a task remembers; of two generations the older one goes.
+REMEMBERED = 200_000
+
+#: Fixed value: the pattern of byte-level BPE files.
+PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 _ROLL = Powers(0x9FB21C651E98DF25 | 1)
 _CODE = stream(13, 256)
@@ -134,12 +147,46 @@ class Encoder:
         self.begins = np.concatenate([[0], np.cumsum(self.lengths)])
         self.bytes = np.frombuffer(b"".join(table), np.uint8)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.model = self.tokenizer.model
+        self.letters = "".join(_byte_letters()[b] for b in range(256))
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        #: Characters that `regex` classes as the tokenizer does, and others.
+        self.alike: set[str] = set()
+        self.apart: set[str] = set()
+        self.ascii = self._classed({chr(c) for c in range(128)})
+
+    def _classed(self, characters: set[str]) -> bool:
+        """Whether both splitters class all of these characters alike."""
+        for c in characters - self.alike - self.apart:
+            # Only c's class (letter, number, space, other) decides where this text is split.
+            probe = f"a{c}a1{c}1!{c}! {c} {c}{c}\n{c}a"
+            split = [len(part) for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(probe)]
+            (self.alike if split == [len(w.encode()) for w in PATTERN.findall(probe)] else self.apart).add(c)
+        return self.apart.isdisjoint(characters)
 
     def ids(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a piece of text that holds no special token, and whether each begins a word."""
-        found = self.tokenizer.encode(text.decode(), add_special_tokens=False)
-        words = np.array(found.word_ids, np.int64)
-        return np.array(found.ids, self.dtype), np.diff(words, prepend=-1) != 0
+        whole = text.decode()
+        if not (self.ascii and (whole.isascii() or self._classed(set(whole)))):
+            found = self.tokenizer.encode(whole, add_special_tokens=False)
+            return np.array(found.ids, self.dtype), np.diff(np.array(found.word_ids, np.int64), prepend=-1) != 0
+        words = PATTERN.findall(whole)
+        if len(self.known) >= REMEMBERED:
+            self.known, self.older = {}, self.known
+        entries = list(map(self.known.get, words))
+        for n in [n for n, entry in enumerate(entries) if entry is None]:
+            entry = self.known.get(words[n]) or self.older.get(words[n])
+            self.known[words[n]] = entries[n] = entry or self._word(words[n])
+        size = np.fromiter(map(len, entries), np.int64, len(entries)) // self.dtype.itemsize
+        ids = np.frombuffer(b"".join(entries), self.dtype)
+        begins = np.zeros(len(ids), bool)
+        begins[np.cumsum(size) - size] = True
+        return ids, begins
+
+    def _word(self, word: str) -> bytes:
+        spelt = word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(spelt)], self.dtype).tobytes()
 
     def decoded(self, ids: np.ndarray) -> bytes:
         """Bytes of the tokens, one after another; what is not UTF-8 becomes the replacement character."""
@@ -277,48 +324,42 @@ def ids_of(encoder: Encoder, text: bytes, pieces: list[tuple[int, int, bool]], s
 # ---------------------------------------------------------------- tasks
 
 
-def _chunk_rows(batches: Iterator[pa.RecordBatch], path: str, with_text: bool) -> Iterator[pa.RecordBatch]:
-    """A row per chunk of (digest, text) rows: hash, digest, and its text or its number."""
+def _chunk_hashes(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Per (digest, text) row the hashes of its chunks; null for a special token."""
     encoder = encoder_for(path)
     for batch in batches:
-        owner, number, hashes, parts = [], [], [], []
-        size = 0
-
-        def flush(batch: pa.RecordBatch = batch) -> pa.RecordBatch:
-            last = pa.array(parts, pa.binary()).cast(pa.string()) if with_text else pa.array(number, pa.int32())
-            digest = batch.column(0).take(pa.array(owner, pa.int64()))
-            return pa.RecordBatch.from_arrays([pa.array(hashes, pa.binary()), digest, last], ["hash", "digest", "text" if with_text else "number"])
-
-        for row, text, pieces in _texts(batch.column(1), encoder.special):
-            for n, (a, b, wall) in enumerate(pieces):
-                if wall:
-                    continue
-                owner.append(row)
-                part = text[a:b]
-                hashes.append(hashlib.blake2b(part, digest_size=16).digest())
-                if with_text:
-                    parts.append(part)
-                else:
-                    number.append(n)
-            size += len(text)
-            if size > 1 << 21:
-                yield flush()
-                owner, number, hashes, parts = [], [], [], []
-                size = 0
-        yield flush()
+        hashes, ends = [], [0]
+        for _, text, pieces in _texts(batch.column(1), encoder.special):
+            hashes += [None if wall else hashlib.blake2b(text[a:b], digest_size=16).digest() for a, b, wall in pieces]
+            ends.append(len(hashes))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes, pa.binary()))], ["digest", "hashes"])
+
+
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([press(t.as_buffer()) for t in batch.column(1)], pa.binary())], ["digest", "packed"])
+
+
+def _unpacked(column: pa.Array) -> pa.Array:
+    opened = zstandard.ZstdDecompressor().decompress
+    return pa.array([opened(t.as_buffer()) for t in column], pa.binary())
 
 
 def _encoded_chunks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Ids of the chunks that each (digest, packed, owned) row is to encode."""
     encoder = encoder_for(path)
     for batch in batches:
-        ids, begins = [], []
-        data, offsets = utf8(batch.column(1))
-        raw = data.tobytes()
-        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-            found, begin = encoder.ids(raw[a:b])
-            ids.append(found.tobytes())
-            begins.append(np.packbits(begin).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(begins, pa.binary())], ["hash", "ids", "begins"])
+        first = np.concatenate([[0], np.cumsum(batch.column(2).value_lengths().to_numpy())]).tolist()
+        number, hashes = batch.column(2).flatten().flatten()
+        number, ids, begins = number.to_pylist(), [], []
+        for row, text, pieces in _texts(_unpacked(batch.column(1)), encoder.special):
+            for k in range(first[row], first[row + 1]):
+                a, b, _ = pieces[number[k]]
+                found, begin = encoder.ids(text[a:b])
+                ids.append(found.tobytes())
+                begins.append(np.packbits(begin).tobytes())
+        yield pa.RecordBatch.from_arrays([hashes, pa.array(ids, pa.binary()), pa.array(begins, pa.binary())], ["hash", "ids", "begins"])
 
 
 def _assembled(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -329,7 +370,7 @@ def _assembled(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Reco
         number, ids, begins = lists.flatten().flatten()
         number = number.to_numpy(zero_copy_only=False)
         n_tokens, ids_sha, text_sha = [], [], []
-        for row, text, pieces in _texts(batch.column(1), encoder.special):
+        for row, text, pieces in _texts(_unpacked(batch.column(1)), encoder.special):
             shared = {}
             for k in range(first[row], first[row + 1]):
                 own = np.frombuffer(ids[k].as_buffer(), encoder.dtype)
@@ -346,11 +387,19 @@ def _assembled(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Reco
 # ---------------------------------------------------------------- operator
 
 
-def shared_chunks(texts: DataFrame, tokenizer: str, scratch: Scratch) -> DataFrame:
-    """(hash, ids, begins) of every chunk that two texts (digest, text) share, each encoded once."""
-    rows = texts.mapInArrow(lambda batches: _chunk_rows(batches, tokenizer, True), "hash binary, digest binary, text string")
-    several = rows.groupBy("hash").agg(F.first("text").alias("text"), F.min("digest").alias("a"), F.max("digest").alias("b")).where("a < b")
-    coded = several.select("hash", "text").mapInArrow(lambda batches: _encoded_chunks(batches, tokenizer), "hash binary, ids binary, begins binary")
+def chunk_places(texts: DataFrame, tokenizer: str, scratch: Scratch) -> DataFrame:
+    """(digest, number, hash) of every chunk of the distinct texts among `texts` (digest, text)."""
+    lists = texts.mapInArrow(lambda batches: _chunk_hashes(batches, tokenizer), "digest binary, hashes array<binary>").dropDuplicates(["digest"])
+    lists = scratch.store(lists, "lists")
+    return lists.select("digest", F.posexplode("hashes").alias("number", "hash")).where("hash is not null")
+
+
+def shared_chunks(places: DataFrame, packed: DataFrame, tokenizer: str, scratch: Scratch) -> DataFrame:
+    """(hash, ids, begins) of every chunk that two texts share, each encoded once."""
+    several = places.groupBy("hash").agg(F.min(F.struct("digest", "number")).alias("owner"), F.max("digest").alias("last")).where("owner.digest < last")
+    owned = several.groupBy("owner.digest").agg(F.collect_list(F.struct("owner.number", "hash")).alias("owned"))
+    mine = packed.join(owned, "digest").select("digest", "packed", "owned")
+    coded = mine.mapInArrow(lambda batches: _encoded_chunks(batches, tokenizer), "hash binary, ids binary, begins binary")
     return scratch.store(coded, "shared")
 
 
@@ -365,11 +414,12 @@ def encoded(documents: DataFrame, tokenizer: str) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))
     texts = docs.select("digest", "text")
-    shared = shared_chunks(texts, tokenizer, scratch)
-    places = texts.mapInArrow(lambda batches: _chunk_rows(batches, tokenizer, False), "hash binary, digest binary, number int").distinct()
+    places = chunk_places(texts, tokenizer, scratch)
+    packed = texts.mapInArrow(_compressed, "digest binary, packed binary").dropDuplicates(["digest"])
+    shared = shared_chunks(places, packed, tokenizer, scratch)
     held = places.join(shared, "hash").groupBy("digest").agg(F.collect_list(F.struct("number", "ids", "begins")).alias("held"))
-    once = texts.dropDuplicates(["digest"]).join(held, "digest", "left").select("digest", "text", "held")
+    once = packed.join(held, "digest", "left").select("digest", "packed", "held")
     schema = "digest binary, n_tokens long, ids_sha256 string, decoded_sha256 string"
     results = scratch.store(once.mapInArrow(lambda batches: _assembled(batches, tokenizer), schema), "results")
-    scratch.drop("shared")
+    scratch.keep("results")
     return docs.select("doc_id", "digest").join(results, "digest").select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

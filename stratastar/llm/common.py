@@ -5,11 +5,14 @@ from __future__ import annotations
 import io
 import tempfile
 import zipfile
+from collections.abc import Sequence
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratastar.session import scratch_path
+from stratastar.session import remove, scratch_path
 
 #: Whole texts travel to Python in batches of about this size, so that few very long ones fit too.
 #: Shuffled texts are dealt to tasks in smaller parts than Spark's own rows, as Python holds them too.
@@ -42,6 +45,16 @@ def settle(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def carried(columns: Sequence[str]) -> Column:
+    """The named columns as one struct, whatever their names hold; a number if there are none."""
+    return (F.struct(*("`" + name.replace("`", "``") + "`" for name in columns)) if columns else F.lit(0)).alias("carried")
+
+
+def schema_of(**columns: str | T.DataType) -> T.StructType:
+    """A schema of types by name, without spelling their names in text."""
+    return T.StructType([T.StructField(name, T.DataType.fromDDL(kind) if isinstance(kind, str) else kind) for name, kind in columns.items()])
+
+
 class Scratch:
     """Tables under `spark.checkpoint.dir`; `drop` removes those that nothing reads any more."""
 
@@ -57,5 +70,8 @@ class Scratch:
 
     def drop(self, *names: str) -> None:
         for name in names:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            remove(self.spark, self.paths.pop(name))
+
+    def keep(self, *names: str) -> None:
+        """Drop all tables but these."""
+        self.drop(*(name for name in list(self.paths) if name not in names))
