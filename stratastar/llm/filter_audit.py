@@ -138,10 +138,10 @@ def facts(documents: DataFrame, labels: DataFrame) -> DataFrame:
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"), text.alias("text"))
     alone = sum(failed.cast("int") * (1 << LETTERS.index(c)) for c, failed in conditions(F.col("text")).items())
     found = scratch.store(docs.select("doc_id", "part", alone.alias("mask"), F.unhex(F.sha2("text", 256)).alias("digest")), "masks")
-    # Only texts under several ids can be repeats; the extremes come from the map tasks.
-    several = found.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    repeat = F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False))
-    found = found.join(several, "digest", "left").withColumn("mask", F.col("mask") + repeat.cast("int") * (1 << LETTERS.index("E")))
+    # The minima come from the map tasks, and rows look for theirs by text and id, so copies of one text spread.
+    least = found.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).withColumn("first", F.lit(True))
+    repeat = F.col("doc_id").isNotNull() & F.col("first").isNull()
+    found = found.join(least, ["digest", "doc_id"], "left").withColumn("mask", F.col("mask") + repeat.cast("int") * (1 << LETTERS.index("E")))
     said = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good_lost"), F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic_lost")
     )
