@@ -12,7 +12,7 @@ from stratastar import operators as op
 from stratastar.examples.columns import LOAD_TIME
 from stratastar.examples.registry import Tables, query
 from stratastar.session import scratch_path
-from stratastar.sources import bronze, ingest
+from stratastar.sources import bronze, ingest, ordered
 from stratastar.sources.layout import Layout
 
 SPAN_SQL = """span AS (SELECT CAST(unnest(generate_series(min(CAST(l_shipdate AS DATE)), max(CAST(l_shipdate AS DATE)), INTERVAL 1 DAY)) AS DATE) AS day
@@ -65,6 +65,25 @@ def _(t: Tables):
     return op.next_business_day(span(t))
 
 
+CLOSED_SQL = """closed AS (SELECT CAST(first + CAST(n AS INTEGER) AS DATE) AS day FROM (SELECT min(CAST(l_shipdate AS DATE)) AS first FROM lineitem), range(300, 340) AS r(n)
+                       UNION SELECT CAST(last - CAST(n AS INTEGER) AS DATE) FROM (SELECT max(CAST(l_shipdate AS DATE)) AS last FROM lineitem), range(-30, 20) AS r(n))"""
+
+
+@query(
+    "c4_long_closure",
+    f"""WITH {SPAN_SQL}, {CLOSED_SQL}, ahead AS (SELECT DISTINCT CAST(day + CAST(n AS INTEGER) AS DATE) AS day FROM span, range(0, 100) AS r(n)),
+        {HOLIDAYS_SQL.replace("FROM span", "FROM ahead")},
+        open_days AS (SELECT day FROM ahead WHERE isodow(day) < 6 AND day NOT IN (SELECT day FROM holidays) AND day NOT IN (SELECT day FROM closed))
+        SELECT span.day, min(open_days.day) AS business_day FROM span JOIN open_days ON open_days.day >= span.day GROUP BY span.day""",
+)
+def _(t: Tables):
+    """Closures of 40 days in the span and of 50 days over its end: the next open day lies far behind."""
+    seen = op.observed_span(t.lineitem, "l_shipdate")
+    inside = op.days_between(seen.select(F.date_add("first_day", 300).alias("first_day"), F.date_add("first_day", 339).alias("last_day")))
+    over = op.days_between(seen.select(F.date_add("last_day", -19).alias("first_day"), F.date_add("last_day", 30).alias("last_day")))
+    return op.next_business_day(span(t), closures=inside.unionByName(over))
+
+
 def ship_log(t: Tables) -> DataFrame:
     journal = {"src_lineitem": (t.lineitem.where("l_quantity >= 48"), "l_shipdate")}
     return bronze.run_log_rows(journal, F.lit(LOAD_TIME).cast("timestamp_ntz"))
@@ -216,6 +235,34 @@ def _(t: Tables):
     return layout.save("gold", "flags", t.lineitem.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n")))
 
 
+@query("w5_sorted_output", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_orderdate, o_orderkey) AS position FROM orders")
+def _(t: Tables):
+    """Where each order lies in the stored files; a fifth of all rows share the leading value."""
+    path = scratch_path(t.spark, "sorted")
+    order = [F.col(c) for c in ("o_orderpriority", "o_orderdate", "o_orderkey")]
+    ordered.write_sorted(t.orders, order, path, files=16)
+    return ordered.positions(t.spark, path).select("o_orderkey", F.col(ordered.POSITION).alias("position"))
+
+
+@query(
+    "w5_boundaries",
+    """SELECT count(*) AS n_rows, 0 AS n_out_of_order, 0 AS n_bad_boundaries, min(o_totalprice) AS first_price, max(o_totalprice) AS last_price
+       FROM orders""",
+)
+def _(t: Tables):
+    """Every file in order, and every file's first row not before the last one of the file before."""
+    path = scratch_path(t.spark, "sorted")
+    ordered.write_sorted(t.orders, [F.col("o_totalprice"), F.col("o_orderkey")], path, files=16)
+    found = ordered.boundaries(t.spark, path, ["o_totalprice", "o_orderkey"])
+    return found.agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("n_out_of_order").cast("int").alias("n_out_of_order"),
+        F.count_if(~F.col("follows")).cast("int").alias("n_bad_boundaries"),
+        F.min("first.o_totalprice").alias("first_price"),
+        F.max("last.o_totalprice").alias("last_price"),
+    )
+
+
 @query(
     "s7_run_log_append",
     f"""SELECT CAST(ts AS DATE) AS date_cible, 'src_' || event_type AS table_cible, count(*) AS nb_versions,
@@ -328,11 +375,11 @@ def _(t: Tables):
 
 
 TRANSITIONS_SQL = """SELECT from_status, to_status, count(*) AS n_moves,
-           CAST(sum(s) AS DOUBLE) / count(*) / 86400 AS mean_days
-    FROM (SELECT lag({status}) OVER w AS from_status, {status} AS to_status, lag({clock}) OVER w AS from_time,
+           CAST(sum(s) AS DOUBLE) / nullif(count(s), 0) / 86400 AS mean_days
+    FROM (SELECT lag({status}) OVER w AS from_status, {status} AS to_status, lag(1) OVER w AS had_one,
                  CAST(floor(epoch({clock})) AS BIGINT) - CAST(floor(epoch(lag({clock}) OVER w)) AS BIGINT) AS s
-          FROM {table} WINDOW w AS (PARTITION BY {key} ORDER BY {order}))
-    WHERE from_time IS NOT NULL GROUP BY ALL"""
+          FROM {table} WHERE {key} IS NOT NULL WINDOW w AS (PARTITION BY {key} ORDER BY {order}))
+    WHERE had_one IS NOT NULL GROUP BY ALL"""
 
 
 @query(
@@ -355,4 +402,26 @@ def _(t: Tables):
 )
 def _(t: Tables):
     hot = F.when(F.col("event_type").isin("view", "click"), -1).otherwise(F.col("user_id"))
-    return op.status_transitions(t.events.withColumn("entity", hot), "entity", "event_type", ["ts", "event_id"], hot_rows=1000, slices=16)
+    return op.status_transitions(t.events.withColumn("entity", hot), "entity", "event_type", ["ts", "event_id"], range_rows=1000)
+
+
+@query(
+    "b14_transitions_null_times",
+    TRANSITIONS_SQL.format(
+        table="""(SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_type = 'view' THEN TIMESTAMP '2024-01-01 00:00:00' ELSE ts END AS moment,
+                         nullif(event_type, 'error') AS state, CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS entity FROM events)""",
+        key="entity",
+        status="state",
+        clock="moment",
+        order="moment NULLS FIRST, event_id",
+    ),
+)
+def _(t: Tables):
+    """A third of all versions on one key, many at one instant, a fifth without a time, some without a status."""
+    rows = t.events.select(
+        "event_id",
+        F.expr("case when event_id % 5 = 0 then null when event_type = 'view' then timestamp_ntz '2024-01-01 00:00:00' else ts end").alias("moment"),
+        F.expr("nullif(event_type, 'error')").alias("state"),
+        F.expr("case when event_id % 3 = 0 then -1 else user_id end").alias("entity"),
+    )
+    return op.status_transitions(rows, "entity", "state", ["moment", "event_id"], range_rows=1000)

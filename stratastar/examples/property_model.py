@@ -597,6 +597,15 @@ def _(t: Tables):
     return pipeline.data_tests(silver, gold, tech)
 
 
+@query("fact_vente_keys_only", f"{_with(*_sources('fact_vente'))} {fact_rows_sql('fact_vente')}")
+def _(t: Tables):
+    """The widest fact, seven lookups, with no dimension joined on its own."""
+    model, spec = PropertyModel(t), catalogue.FACTS["fact_vente"]
+    dims = model.dimensions(*[target.dimension for target in spec.lookups])
+    dims |= materialise_all({"dim_statut": model.statuses(spec.status[0]), "source": model.silver(spec.source)})
+    return fact(dims["source"], spec, dims, direct_up_to=-1)
+
+
 # Measures
 
 _CONDITIONS = {

@@ -9,10 +9,11 @@ from stratastar import operators as op
 from stratastar.examples import retail
 from stratastar.examples.columns import CALENDAR_SQL, LOAD_TIME, RATE_SQL
 from stratastar.examples.registry import Tables, query
-from stratastar.plans.gold import dimension
-from stratastar.plans.semantic import propagate, related
-from stratastar.session import materialise
+from stratastar.plans.gold import dimension, fact
+from stratastar.plans.semantic import Measure, Model, measure_query, propagate, related
+from stratastar.session import materialise, materialise_all, scratch_path
 from stratastar.sources import bronze
+from stratastar.sources.state import LatestState
 
 STAR = retail.STAR_SQL
 
@@ -46,6 +47,20 @@ def _(t: Tables):
     return retail.retail_model(t, "fact_line").tables["fact_line"]
 
 
+@query("j2_star_keys_only", f"{STAR} SELECT * FROM fact_line")
+def _(t: Tables):
+    """The star of `j2_star_fact` with no dimension joined on its own: keys travel, the wide row moves once."""
+    stored = materialise_all(
+        {
+            "dim_part": retail.master_dimension(t, "dim_part"),
+            "dim_supplier": retail.master_dimension(t, "dim_supplier"),
+            "dim_statut": retail.dim_status(t).where("domaine_statut = 'LINE'"),
+            "lines": retail.silver_lines(t),
+        }
+    )
+    return fact(stored["lines"], retail.FACT_LINE, stored, direct_up_to=-1)
+
+
 @query("j3_status_lookup", f"{STAR} SELECT order_id, status, statut_key FROM fact_order")
 def _(t: Tables):
     statuses = materialise(retail.dim_status(t), "dim_statut")
@@ -259,6 +274,41 @@ def _(t: Tables):
     return retail.measured(t, ["n_customers"], [("dim_customer", "c_mktsegment")])
 
 
+@query(
+    "a8_distinct_merged",
+    """SELECT 'year and status' AS grouping, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus AS status, count(DISTINCT o_custkey) AS n_customers FROM orders GROUP BY ALL
+       UNION ALL SELECT 'year', CAST(year(o_orderdate) AS INTEGER), NULL, count(DISTINCT o_custkey) FROM orders GROUP BY ALL
+       UNION ALL SELECT 'status', NULL, o_orderstatus, count(DISTINCT o_custkey) FROM orders GROUP BY ALL
+       UNION ALL SELECT 'all', NULL, NULL, count(DISTINCT o_custkey) FROM orders""",
+)
+def _(t: Tables):
+    """Customers of orders at four groupings, all from one stored state."""
+    rows = t.orders.select(F.year("o_orderdate").alias("year"), F.col("o_orderstatus").alias("status"), "o_custkey")
+    numbers = materialise(op.member_numbers(t.orders.select("o_custkey")), "numbers")
+    state = materialise(op.distinct_state(rows, ["year", "status"], F.col("o_custkey"), numbers), "state")
+    results = []
+    for groups in (["year", "status"], ["year"], ["status"], []):
+        counted = op.distinct_counts(state, groups, "n_customers")
+        names = [F.col(g) if g in groups else F.lit(None).cast(kind).alias(g) for g, kind in (("year", "int"), ("status", "string"))]
+        results.append(counted.select(F.lit(" and ".join(groups) or "all").alias("grouping"), *names, "n_customers"))
+    return op.setops.union_all(results)
+
+
+@query(
+    "a8_distinct_across",
+    f"""{STAR} SELECT annee, max(n_buyers) AS n_buyers, max(n_parts) AS n_parts FROM (
+          SELECT date_order_key // 10000 AS annee, count(DISTINCT customer_key) AS n_buyers, NULL AS n_parts FROM fact_order GROUP BY ALL
+          UNION ALL SELECT date_ship_key // 10000, NULL, count(DISTINCT part_key) FROM fact_line GROUP BY ALL) GROUP BY annee""",
+)
+def _(t: Tables):
+    """Distinct measures of two facts by a common dimension, by bitmaps summed up per date before the join."""
+    model = retail.retail_model(t, "fact_order", "fact_line", reads={"fact_order": {"customer_key"}, "fact_line": {"part_key"}})
+    tables = {**model.tables, **materialise_all({f: model.tables[f].select(*c) for f, c in (("fact_order", ("customer_key", "date_order_key")), ("fact_line", ("part_key", "date_ship_key")))})}
+    measures = {m.name: m for m in (Measure("n_buyers", "distinct", "fact_order", "customer_key"), Measure("n_parts", "distinct", "fact_line", "part_key"))}
+    numbers = {(m.table, m.column): op.member_numbers(tables[m.table].select(m.column)) for m in measures.values()}
+    return measure_query(Model(tables, model.relationships, measures, numbers), list(measures), [("dim_date", "annee")])
+
+
 @query("a8_avg", by_segment("CAST(sum(amount) AS DOUBLE) / count(amount) AS mean_order"))
 def _(t: Tables):
     return retail.measured(t, ["mean_order"], BY_SEGMENT)
@@ -350,6 +400,35 @@ for _policy, _where, _after in (
         return newest.select("user_id", "event_id", "event_type")
 
 
+@query(
+    "w1_incremental",
+    """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id, event_type, value, is_deleted) AS rn
+       FROM (SELECT *, event_type = 'error' AS is_deleted FROM events)) WHERE rn = 1 AND NOT is_deleted""",
+)
+def _(t: Tables):
+    """Newest versions from batches that come late, overlap and come twice: as if all came at once."""
+    rows = t.events.withColumn("is_deleted", F.col("event_type") == "error")
+    state = LatestState(t.spark, scratch_path(t.spark, "state"), rows.schema, ["user_id"], ["ts"], buckets=16, deleted="is_deleted")
+    for batch in ("event_id % 3 = 2", "event_id % 3 <> 1", "event_id % 3 = 1", "event_id % 3 = 2"):
+        state.merge(rows.where(batch))
+    return state.current()
+
+
+@query(
+    "w1_incremental_touched",
+    """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey, o_orderstatus, o_totalprice, o_orderpriority) AS rn
+       FROM orders) WHERE rn = 1""",
+)
+def _(t: Tables):
+    """All orders, then the orders of a few customers again: the second batch opens only their buckets."""
+    state = LatestState(t.spark, scratch_path(t.spark, "state"), t.orders.schema, ["o_custkey"], ["o_orderdate"], buckets=32)
+    state.merge(t.orders)
+    touched = state.merge(t.orders.where("o_custkey in (1, 2, 4)"))
+    if len(touched) > 3:
+        raise AssertionError(f"three keys touched {len(touched)} buckets")
+    return state.current()
+
+
 @query(
     "w2_dedup_multi",
     """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (

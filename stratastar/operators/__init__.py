@@ -1,9 +1,10 @@
 """DataFrame-in, DataFrame-out operators."""
 
+from stratastar.operators.asof import next_at_or_after
 from stratastar.operators.business import (
     group_members,
+    in_ranges,
     member_pages,
-    hot_keys,
     last_attributes,
     never_matched,
     previous_version,
@@ -23,7 +24,9 @@ from stratastar.operators.days import (
     public_holidays,
 )
 from stratastar.operators import setops
-from stratastar.operators.lookup import Lookup, find_keys, lookup, status_lookup
+from stratastar.operators.distinct import distinct_counts, distinct_state, member_numbers, merged_state
+from stratastar.operators.lookup import Lookup, Target, find_keys, lookup, membership, status_lookup
+from stratastar.operators.lookup import target as lookup_target
 from stratastar.operators.quality import (
     Check,
     accepted_values_failures,
@@ -32,6 +35,7 @@ from stratastar.operators.quality import (
     quality_log,
     run_log,
     unique_failures,
+    unique_failure_counts,
 )
 from stratastar.operators.setops import domain_values, observed_dates, with_unknown
 from stratastar.operators.versions import latest_of_extract, latest_version

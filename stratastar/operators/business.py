@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from stratastar.functions.finance import RESALE_AFTER_DAYS
 from stratastar.operators.setops import union_all
+from stratastar.session import materialise
 
 # Programme states that follow the stock.
 SELLING, SOLD_OUT = "EN_COMMERCIALISATION", "COMMERCIALISE"
-MAX_HOT_KEYS = 20_000
-HOT_ROWS = 1_000_000
+RANGE_ROWS = 1_000_000
 
 
 def reconcile_stock(programmes: DataFrame, lots: DataFrame, *, available: str = "DISPONIBLE") -> DataFrame:
@@ -121,88 +121,66 @@ def member_pages(df: DataFrame, group: str, member: str, pages: int) -> DataFram
     return paged.groupBy(group, "page", "group_size").agg(F.sort_array(F.collect_list(member)).alias("members"))
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, limit: int = MAX_HOT_KEYS) -> DataFrame:
-    """Keys with at least `min_rows` rows and more than 1/limit of all rows, so fewer than `limit` keys."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
-    return counts.where((F.col("n_rows") >= min_rows) & (F.col("n_rows") * limit > total)).select(key, "n_rows")
+def in_ranges(df: DataFrame, columns: Sequence[str], rows: int) -> DataFrame:
+    """`df` stored in ranges of about `rows` rows by `columns` (ascending, NULL first), numbered in order as __range.
+
+    The number of ranges grows with the table. Sampled bounds cut wherever they fall, through one
+    key or one instant as well, so no value makes a range large that differs in some column.
+    """
+    spark = df.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(least, -(-df.count() // rows))
+    order = [F.col(f"`{c}`").asc_nulls_first() for c in columns]
+    return materialise(df.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id()), "ranges")
 
 
 def previous_version(
-    df: DataFrame,
-    key: str,
-    order_by: Sequence[str],
-    values: Mapping[str, str],
-    *,
-    hot_rows: int = HOT_ROWS,
-    slices: int = 256,
+    df: DataFrame, key: str, order_by: Sequence[str], values: Mapping[str, str], *, range_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """Adds columns (new name to source column) of the version just before, per key.
 
-    Sorting a key's whole history in one task breaks down when one key holds a large
-    share of the rows. Keys of at least `hot_rows` rows are therefore cut into time
-    slices of about that size, at most `slices`, at approximate quantiles of the first
-    order column. Slices are disjoint and ordered, so the window runs inside (key,
-    slice), and only the first row of a slice takes its values from the last row of the
-    slice before it. All other keys have one slice. The broadcast list of cuts has fewer
-    than MAX_HOT_KEYS rows.
+    Sorting a key's whole history in one task breaks down when one key holds a large share of
+    the rows. So all rows are dealt by ranges of (key, order columns), stored once, and the window
+    runs inside (range, key). A key that a bound cuts through hands the last row of one range to
+    the first row of the next: at most one row per range, and it meets the rows where the window
+    already put them. Every table goes this way, whatever its size and its keys.
+
+    Versions alike in all order columns have no order; which comes first is left open. Rows
+    without a key have no version before them.
     """
-    ticks = F.unix_micros(F.col(order_by[0]).cast("timestamp"))
-    hot = hot_keys(df, key, hot_rows).select(F.col(key).alias("__hot"), "n_rows")
-    steps = [i / slices for i in range(1, slices)]
-    stride = F.greatest(F.lit(1), F.floor(F.lit(slices) / F.ceil(F.col("n_rows") / F.lit(hot_rows))))
-    cuts = (
-        df.select(F.col(key).alias("__key"), ticks.alias("__ticks"))
-        .join(F.broadcast(hot), F.col("__key") == F.col("__hot"))
-        .groupBy("__hot", "n_rows")
-        .agg(F.percentile_approx("__ticks", steps, 2 * slices).alias("__steps"))
-        .select("__hot", F.filter("__steps", lambda _, i: (i + 1) % stride == 0).alias("__cuts"))
-    )
-    sliced = df.join(F.broadcast(cuts), F.col(key) == F.col("__hot"), "left").withColumn(
-        "__slice",
-        F.when(
-            F.col("__hot").isNotNull(), F.coalesce(F.size(F.filter("__cuts", lambda cut: cut < ticks)), F.lit(0))
-        ).otherwise(0),
-    )
     sources = list(dict.fromkeys(values.values()))
-    edges = (
-        sliced.where(F.col("__hot").isNotNull())
-        .groupBy(F.col("__hot").alias("__edge_key"), F.col("__slice").alias("__edge_slice"))
-        .agg(F.max_by(F.struct(*sources), F.struct(*order_by)).alias("__edge"))
-    )
-    per_key = Window.partitionBy("__edge_key").orderBy("__edge_slice")
-    handover = edges.select("__edge_key", "__edge_slice", F.lag("__edge").over(per_key).alias("__handed"))
-
-    inside = Window.partitionBy(key, "__slice").orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-    rows = sliced.drop("__hot", "__cuts").withColumns(
-        {"__before": F.lag(F.struct(*sources)).over(inside), "__first": F.row_number().over(inside) == 1}
-    )
-    joined = rows.join(
-        handover.where("__handed is not null"),
-        (F.col(key) == F.col("__edge_key")) & (F.col("__slice") == F.col("__edge_slice")) & F.col("__first"),
-        "left",
-    )
-    before = F.coalesce("__before", "__handed")
+    ranged = in_ranges(df, [key, *order_by], range_rows)
+    # Only the keys at the two ends of a range can go on in another one.
+    ends = ranged.groupBy("__range").agg(F.min(key).alias("__low"), F.max(key).alias("__high"))
+    at_ends = ranged.join(ends, "__range").where((F.col(key) == F.col("__low")) | (F.col(key) == F.col("__high")))
+    edges = at_ends.groupBy("__range", key).agg(F.max_by(F.struct(*sources), F.struct(*order_by)).alias("__last"))
+    per_key = Window.partitionBy(key).orderBy("__range")
+    handed = edges.select(F.col("__range").alias("__edge_range"), F.col(key).alias("__edge_key"), F.lag("__last").over(per_key).alias("__handed"))
+
+    inside = Window.partitionBy("__range", key).orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
+    rows = ranged.withColumns({"__before": F.lag(F.struct(*sources)).over(inside), "__first": F.row_number().over(inside) == 1})
+    met = (F.col("__range") == F.col("__edge_range")) & (F.col(key) == F.col("__edge_key"))
+    joined = rows.join(handed.where("__handed is not null"), met, "left")
+    before = F.when(F.col(key).isNotNull(), F.coalesce("__before", F.when(F.col("__first"), F.col("__handed"))))
     return joined.select(
         *[f"`{c}`" for c in df.columns], *[before[source].alias(new) for new, source in values.items()]
     )
 
 
 def status_transitions(
-    history: DataFrame, key: str, status: str, order_by: Sequence[str], *, hot_rows: int = HOT_ROWS, slices: int = 256
+    history: DataFrame, key: str, status: str, order_by: Sequence[str], *, range_rows: int = RANGE_ROWS
 ) -> DataFrame:
-    """Edges of the state graph: from, to, number of moves and mean days spent in `from`."""
+    """Edges of the state graph: from, to, number of moves and mean days spent in `from`.
+
+    Every version but a key's first is a move, also one after a version without a status or a
+    time. The mean is over the moves whose two times are known, NULL if there are none.
+    """
     clock = order_by[0]
-    moves = previous_version(
-        history.where(F.col(key).isNotNull()).select(key, status, *order_by),
-        key,
-        order_by,
-        {"from_status": status, "from_time": clock},
-        hot_rows=hot_rows,
-        slices=slices,
-    ).where(F.col("from_time").isNotNull())
+    versions = history.where(F.col(key).isNotNull()).select(key, status, *order_by).withColumn("__is", F.lit(True))
+    values = {"from_status": status, "from_time": clock, "__was": "__is"}
+    moves = previous_version(versions, key, order_by, values, range_rows=range_rows).where("__was")
     seconds = F.unix_seconds(F.col(clock).cast("timestamp")) - F.unix_seconds(F.col("from_time").cast("timestamp"))
     return moves.groupBy("from_status", F.col(status).alias("to_status")).agg(
         F.count(F.lit(1)).alias("n_moves"),
-        (F.sum(seconds).cast("double") / F.count(F.lit(1)) / 86400).alias("mean_days"),
+        (F.sum(seconds).cast("double") / F.count(seconds) / 86400).alias("mean_days"),
     )

@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratastar.functions.calendar import day_flag, easter_sunday
+from stratastar.operators.asof import next_at_or_after
 
 # Public holidays as (month, day) and as days after Easter Sunday.
 FIXED_HOLIDAYS = ((1, 1), (5, 1), (5, 8), (7, 14), (8, 15), (11, 1), (11, 11), (12, 25))
 EASTER_HOLIDAYS = (1, 39, 50)
+#: No more days than this in a row are weekends or public holidays.
+WITHOUT_OPEN = 10
 
 
 def candidate_days(spark: SparkSession, start: date | None = None, end: date | None = None) -> DataFrame:
@@ -57,20 +60,19 @@ def business_days(days: DataFrame, exclude_holidays: bool = True) -> DataFrame:
     return weekdays.join(holidays.select("day"), "day", "left_anti")
 
 
-def next_business_day(days: DataFrame, exclude_holidays: bool = True, search: int = 10) -> DataFrame:
-    """For every distinct `day`, the first business day on or after it.
+def next_business_day(days: DataFrame, exclude_holidays: bool = True, closures: DataFrame | None = None) -> DataFrame:
+    """For every distinct `day`, the first business day on or after it that is not in `closures` (column `day`).
 
-    Works on distinct days, so its size follows the calendar and not the rows. A day with
-    no business day in the `search` days from it on is an error, never a missing row.
+    The search has no bound: see `next_at_or_after`. Open days are laid out from the first wanted
+    day to WITHOUT_OPEN days behind the last wanted or closed one, and those last days hold an open
+    one. Everything here works on distinct days, so its size follows the calendar and not the rows.
     """
-    wanted = days.select("day").distinct()
-    ahead = wanted.select(F.explode(F.sequence(F.col("day"), F.date_add("day", search))).alias("day")).distinct()
-    open_days = business_days(ahead, exclude_holidays).select(F.col("day").alias("open_day"))
-    near = wanted.select("day", F.explode(F.sequence(F.col("day"), F.date_add("day", search))).alias("open_day"))
-    found = near.join(open_days, "open_day", "left_semi").groupBy("day").agg(F.min("open_day").alias("business_day"))
-    complaint = F.concat(F.lit(f"no business day in the {search} days from "), F.col("day").cast("string"))
-    checked = F.coalesce("business_day", F.raise_error(complaint).cast("date"))
-    return wanted.join(found, "day", "left").select("day", checked.alias("business_day"))
+    wanted = days.select("day").where("day is not null").distinct()
+    closed = closures.select("day").where("day is not null").distinct() if closures is not None else wanted.limit(0)
+    ends = wanted.select("day", F.col("day").alias("asked")).unionByName(closed.withColumn("asked", F.lit(None).cast("date")))
+    bounds = ends.agg(F.min("asked").alias("first_day"), F.date_add(F.max("day"), WITHOUT_OPEN).alias("last_day"))
+    open_days = business_days(days_between(bounds.where("first_day is not null")), exclude_holidays).join(closed, "day", "left_anti")
+    return next_at_or_after(wanted, open_days, "day", "business_day", lambda day: F.trunc(day, "month"))
 
 
 def days_to_process(days: DataFrame, log: DataFrame | None, *, force: bool = False, exclude_holidays: bool = True) -> DataFrame:

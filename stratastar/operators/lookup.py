@@ -5,6 +5,9 @@ key); Spark broadcasts it when its size is under the session's threshold and
 otherwise runs a shuffle join, where adaptive execution splits skewed keys of the
 fact side. Rows without a foreign key can never match, so they are spread over
 many join partitions instead of meeting in one.
+
+A wide fact with many large dimensions would be shuffled once for each. There the keys
+travel instead of the rows: see `membership`.
 """
 
 from __future__ import annotations
@@ -12,10 +15,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratastar.functions.keys import surrogate_key, unknown_key
+from stratastar.operators.setops import union_all
 
 NULL_BUCKETS = 1024
 
@@ -52,20 +56,79 @@ def spread_nulls(value: Column, spread_by: Sequence[str]) -> Column:
     return F.coalesce(value.cast("string"), F.concat(F.lit("\u0000"), bucket.cast("string")))
 
 
-def find_keys(df: DataFrame, targets: Sequence[Target], spread_by: Sequence[str] | None = None) -> DataFrame:
-    """`df` plus the key of every target, by one left join each.
+def planned_bytes(df: DataFrame) -> int:
+    """Size of a table as the planner estimates it; for a stored table it follows from its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_bytes(spark: SparkSession) -> int:
+    """The size up to which the planner broadcasts a table; negative if it never does."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
+def _combination(sides: Sequence[Column], spread_by: Sequence[str]) -> Column:
+    """128-bit print of the foreign keys of a row. Rows without any key are spread, as they can never match."""
+    parts = [F.coalesce(F.concat(F.length(s).cast("string"), F.lit(":"), s), F.lit("-")) for s in sides]
+    bucket = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_BUCKETS)).cast("string").cast("binary")
+    return F.when(F.coalesce(*sides).isNull(), bucket).otherwise(F.unhex(F.md5(F.concat(*parts).cast("binary"))))
+
+
+def membership(df: DataFrame, targets: Sequence[Target]) -> DataFrame:
+    """(__print, __found) per combination of foreign keys in `df`: bit i says that members of target i hold its key.
+
+    Only keys move. Distinct combinations are unpivoted to (combination, target, key), which
+    meet the members of all targets in one semi join (a hot key's side is split by adaptive
+    execution), and the answers of a combination are put together by a map-side bit_or. A key
+    without a member sends nothing back.
+    """
+    if len(targets) > 63:
+        raise ValueError("at most 63 targets fit the answer of a combination")
+    sides = [t.side.cast("string").alias(f"__f{i}") for i, t in enumerate(targets)]
+    names = [f"__f{i}" for i in range(len(targets))]
+    combinations = df.select(*sides).where(F.coalesce(*[t.side.cast("string") for t in targets]).isNotNull()).distinct()
+    marked = combinations.select(_combination([F.col(n) for n in names], names).alias("__print"), *names)
+    asked = marked.select("__print", F.posexplode(F.array(*names)).alias("__i", "__f")).where("__f is not null")
+    members = [t.members.select(F.lit(i).alias("__i"), F.col(t.members.columns[0]).cast("string").alias("__f")) for i, t in enumerate(targets)]
+    known = union_all(members)
+    met = asked.join(known, ["__i", "__f"], "left_semi")
+    return met.groupBy("__print").agg(F.bit_or(F.expr("shiftleft(cast(1 as bigint), __i)")).alias("__found"))
+
+
+def find_keys(
+    df: DataFrame, targets: Sequence[Target], spread_by: Sequence[str] | None = None, *, direct_up_to: int | None = None
+) -> DataFrame:
+    """`df` plus the key of every target.
 
     Members must be unique (see `unique_failures`), so the row count never changes. Rows
     without a key are spread by a hash of `spread_by`, by default of the whole row.
+
+    Members of at most `direct_up_to` bytes (by default what the session broadcasts) are met by
+    one left join each, which the planner makes a broadcast. Of the larger ones, a single one is a
+    shuffle join; for several `hashed` ones `membership` is worked out on the keys, and the wide
+    row is shuffled once to meet its answers, however many they are. Then `df` is read twice, so
+    it should be stored.
     """
-    joined, spread_by = df, spread_by or [f"`{c}`" for c in df.columns]
+    spread_by = spread_by or [f"`{c}`" for c in df.columns]
+    if direct_up_to is None:
+        direct_up_to = broadcast_bytes(df.sparkSession)
+    large = [i for i, t in enumerate(targets) if t.hashed is not None and planned_bytes(t.members) > direct_up_to]
+    large = large if len(large) > 1 else []
+    joined = df
     for i, target in enumerate(targets):
-        member, *key = target.members.columns
-        members = target.members.select(F.col(member).cast("string").alias(f"__m{i}"), *[F.col(k).alias(f"__k{i}") for k in key])
-        joined = joined.join(members, spread_nulls(target.side, spread_by) == F.col(f"__m{i}"), "left")
+        if i not in large:
+            member, *key = target.members.columns
+            members = target.members.select(F.col(member).cast("string").alias(f"__m{i}"), *[F.col(k).alias(f"__k{i}") for k in key])
+            joined = joined.join(members, spread_nulls(target.side, spread_by) == F.col(f"__m{i}"), "left")
+    if large:
+        asked = [targets[i] for i in large]
+        print_ = _combination([t.side.cast("string") for t in asked], spread_by)
+        joined = joined.withColumn("__print", print_).join(membership(df, asked), "__print", "left")
     keys = []
     for i, target in enumerate(targets):
-        found = F.col(f"__k{i}") if target.hashed is None else F.when(F.col(f"__m{i}").isNotNull(), target.hashed)
+        if i in large:
+            found = F.when(F.col("__found").bitwiseAND(F.lit(1 << large.index(i))) != 0, target.hashed)
+        else:
+            found = F.col(f"__k{i}") if target.hashed is None else F.when(F.col(f"__m{i}").isNotNull(), target.hashed)
         keys.append(F.coalesce(found, target.unknown).alias(target.key))
     return joined.select(*[f"`{c}`" for c in df.columns], *keys)
 

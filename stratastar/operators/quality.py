@@ -24,6 +24,24 @@ def unique_failures(df: DataFrame, column: str) -> DataFrame:
     return counts.where("n_records > 1")
 
 
+def unique_failure_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """How many values occur more than once, for several columns at once: column_name, n_failures.
+
+    One scan unpivots the columns to (number of the column, 128-bit print of the value), which is
+    counted with one shuffle, repeated prints falling together in the map tasks. Only prints
+    that came twice are looked at again: their rows are counted by the values themselves, so two
+    values of one print are no failure.
+    """
+    names = list(dict.fromkeys(columns))
+    values = F.posexplode(F.array(*[F.col(f"`{c}`").cast("string") for c in names])).alias("__i", "__value")
+    cells = df.select(values).where("__value is not null").withColumn("__print", F.unhex(F.md5(F.col("__value").cast("binary"))))
+    twice = cells.groupBy("__i", "__print").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__i", "__print")
+    again = cells.join(twice, ["__i", "__print"], "left_semi").groupBy("__i", "__value").agg(F.count(F.lit(1)).alias("__n"))
+    failed = again.where("__n > 1").groupBy("__i").agg(F.count(F.lit(1)).alias("__failed"))
+    every = df.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(c) for c in names])).alias("__i", "column_name"))
+    return every.join(failed, "__i", "left").select("column_name", F.coalesce("__failed", F.lit(0)).cast("long").alias("n_failures"))
+
+
 def accepted_values_failures(df: DataFrame, column: str, accepted: Sequence[str]) -> DataFrame:
     """Values outside the list, with their count."""
     outside = df.where(F.col(column).isNotNull() & ~F.col(column).isin(*accepted))

@@ -50,10 +50,17 @@ def dimension(
 
 
 def fact(
-    source: DataFrame, spec: FactSpec, dimensions: Mapping[str, DataFrame], only: Collection[str] | None = None
+    source: DataFrame,
+    spec: FactSpec,
+    dimensions: Mapping[str, DataFrame],
+    only: Collection[str] | None = None,
+    *,
+    direct_up_to: int | None = None,
 ) -> DataFrame:
     """Live rows with surrogate keys for every lookup and integer keys for every date.
 
+    `direct_up_to` is the size of a dimension up to which it is joined on its own (see `find_keys`).
+
     `only` names the columns that the consumer reads: lookups of other keys are left out, as a
     left join to a table that is not known to be unique stays in the plan even if nobody reads it.
     """
@@ -71,4 +78,4 @@ def fact(
     targets = [target(dimensions[lookup.dimension], lookup, hashed=True) for lookup in wanted]
     if spec.status and (only is None or "statut_key" in only):
         targets.append(status_target(dimensions["dim_statut"], *spec.status))
-    return find_keys(rows, targets, spread_by=[spec.natural_key])
+    return find_keys(rows, targets, spread_by=[spec.natural_key], direct_up_to=direct_up_to)

@@ -12,7 +12,7 @@ from stratastar.operators.quality import (
     freshness,
     quality_log,
     run_log,
-    unique_failures,
+    unique_failure_counts,
 )
 from stratastar.operators.setops import domain_values, observed_dates, union_all
 from stratastar.plans import catalogue
@@ -116,7 +116,7 @@ def data_tests(
 ) -> DataFrame:
     """Failures per declared test: table_name, column_name, test, n_failures.
 
-    All never-null tests of a table share one aggregate; each unique test reads one column.
+    All never-null tests of a table share one aggregate, and all its unique tests one scan and one shuffle.
     """
     tech = tech or {}
     rows = []
@@ -134,8 +134,9 @@ def data_tests(
         counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
         cells = [F.struct(F.lit(c).alias("column_name"), F.lit("not_null").alias("test"), F.col(c).alias("n_failures")) for c in columns]
         rows.append(counts.select(F.lit(table).alias("table_name"), F.inline(F.array(*cells))))
-        for column in dict.fromkeys(unique):
-            add(table, column, "unique", unique_failures(df, column))
+        if unique:
+            counted = unique_failure_counts(df, unique)
+            rows.append(counted.select(F.lit(table).alias("table_name"), "column_name", F.lit("unique").alias("test"), "n_failures"))
 
     extra = {
         "commissions": ["type_operation"],

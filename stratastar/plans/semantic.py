@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratastar.operators.distinct import BITS, BLANK, BUCKET, distinct_counts, distinct_state
 from stratastar.operators.setops import union_all
 
 
@@ -40,6 +41,9 @@ class Model:
     tables: Mapping[str, DataFrame]
     relationships: Sequence[Relationship]
     measures: Mapping[str, Measure]
+    #: Member numbers (value, number) by (table, column): distinct measures of those columns are counted
+    #: by bitmaps, which are summed up per foreign key before the dimensions as other measures are.
+    numbers: Mapping[tuple[str, str], DataFrame] = field(default_factory=dict)
     by_table: Mapping[str, Mapping[str, Relationship]] = field(init=False)
 
     def __post_init__(self) -> None:
@@ -170,13 +174,18 @@ def _per_table(
         return df
 
     groups = [F.col(alias[pair]).alias(pair[1]) for pair in reached]
-    distinct = [m for m in measures if m.kind == "distinct"]
+    distinct = [m for m in measures if m.kind == "distinct" and (table, m.column) not in model.numbers]
+    numbered = [m for m in measures if m.kind == "distinct" and (table, m.column) in model.numbers]
     additive = [m for m in measures if m.kind != "distinct"]
     results = []
+    keys = list(dict.fromkeys([*[alias[p] for p in own], *[e.foreign_key for e in edges.values()]]))
     if additive:
-        keys = list(dict.fromkeys([*[alias[p] for p in own], *[e.foreign_key for e in edges.values()]]))
         summed = rows.groupBy(*keys).agg(*[cell.alias(name) for name, cell in _partials(additive).items()])
         results.append(with_dimensions(summed).groupBy(*groups).agg(*_finals(additive)))
+    for m in numbered:
+        state = distinct_state(rows, keys, F.col(m.column), model.numbers[table, m.column], m.where() if m.where else None)
+        named = with_dimensions(state).select(*groups, BUCKET, BITS, BLANK)
+        results.append(distinct_counts(named, [column for _, column in reached], m.name))
     if distinct:
         results.append(with_dimensions(rows).groupBy(*groups).agg(*[_distinct(m) for m in distinct]))
     return drill_across(results, [column for _, column in reached])

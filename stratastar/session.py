@@ -72,12 +72,28 @@ def stored(spark: SparkSession, path: str) -> bool:
 
 
 def switch(spark: SparkSession, new: str, path: str) -> None:
-    """Put the table stored at `new` in the place of `path`."""
-    source, place = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, path))
+    """Put the table stored at `new` in the place of `path`.
+
+    The old table is moved aside, the new one moved in, and only then the old one deleted. If the
+    new one cannot be moved in, the old one is moved back.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    source, place, aside = hadoop(new), hadoop(path), hadoop(f"{path}__old_{uuid.uuid4().hex}")
     store = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    store.delete(place, True)
     store.mkdirs(place.getParent())
-    if not store.rename(source, place):
+    had = store.exists(place)
+    if had and not store.rename(place, aside):
+        raise OSError(f"could not move {path} aside")
+    moved = False
+    try:
+        moved = store.rename(source, place)
+    finally:
+        if had:
+            if moved:
+                store.delete(aside, True)
+            else:
+                store.rename(aside, place)
+    if not moved:
         raise OSError(f"could not move {new} to {path}")
 
 

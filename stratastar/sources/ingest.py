@@ -53,12 +53,13 @@ def by_header(spark: SparkSession, paths: list[str]) -> dict[str, list[tuple[str
     return groups
 
 
-def ingest_folder(spark: SparkSession, folder: str, target: str, pattern: str = "*.csv", parallel: int = 8) -> list[str]:
+def ingest_folder(spark: SparkSession, folder: str, target: str, pattern: str = "*.csv", parallel: int = 8, renames: int = 16) -> list[str]:
     """Load every file into `<target>/<table>`, replacing data and schema; returns the table names.
 
     Two files of one table name are an error before anything is written. Only the file list and
     the first lines reach the driver. Files with the same header load in one job, which writes all
-    their tables; jobs of different headers run side by side. A large file is split over many tasks.
+    their tables, and `renames` tables at once are moved to their places; jobs of different headers run
+    side by side. A large file is split over many tasks.
     An empty file has no columns and loads nothing.
     """
     listed = list_files(spark, folder, pattern).select("path", "table_name").collect()
@@ -75,14 +76,18 @@ def ingest_folder(spark: SparkSession, folder: str, target: str, pattern: str =
         beside = f"{target}/__{uuid.uuid4().hex}"
         data = spark.read.option("header", True).option("inferSchema", False).csv([path for path, _ in paths])
         data.withColumn("__table", F.md5(F.col("_metadata.file_path").cast("binary"))).write.partitionBy("__table").parquet(beside)
-        loaded = []
-        for path, known in paths:
+
+        def place(file: tuple[str, str]) -> str:
+            path, known = file
             part = f"{beside}/__table={hashlib.md5(known.encode()).hexdigest()}"
             if stored(spark, part):
                 switch(spark, part, f"{target}/{tables[path]}")
             else:  # a header without rows
                 data.limit(0).write.mode("overwrite").parquet(f"{target}/{tables[path]}")
-            loaded.append(tables[path])
+            return tables[path]
+
+        with ThreadPoolExecutor(max_workers=renames) as movers:
+            loaded = list(movers.map(place, paths))
         if stored(spark, f"{beside}/__table=*"):
             raise OSError(f"rows of unknown files are left in {beside}")
         remove(spark, beside)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratastar import operators as op
+from stratastar.session import materialise
 from stratastar.functions import unknown_key
 
 D = datetime
@@ -115,6 +116,39 @@ def test_data_tests(spark):
     assert [tuple(r) for r in op.accepted_values_failures(df, "v", ["a"]).collect()] == [("b", 1)]
 
 
+def test_unique_failures_of_all_columns_at_once(spark):
+    rows = [("a", 1, "x"), ("a", 2, None), ("b", 2, None), ("c", 2, "x"), ("c", 3, "y"), (None, 4, "z")]
+    df = spark.createDataFrame(rows, "`p.q` string, n int, m string").withColumn("alone", F.monotonically_increasing_id())
+    names = ["p.q", "n", "alone", "m"]
+    found = {r.column_name: r.n_failures for r in op.unique_failure_counts(df, names).collect()}
+    assert found == {"p.q": 2, "n": 1, "alone": 0, "m": 1}
+    assert {r.n_failures for r in op.unique_failure_counts(df.where("false"), names).collect()} == {0}
+
+
+def test_distinct_counts_add_up(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice("ab"), rng.choice([None, 1, 2]), rng.choice([None, *range(70_000)])) for _ in range(4000)] + [("c", 1, None), ("d", 1, 5)]
+    df = spark.createDataFrame(rows, "g string, h int, v int")
+    numbers = op.member_numbers(df.select("v"))
+    assert sorted(r.number for r in numbers.collect()) == list(range(1, len({v for *_, v in rows if v is not None}) + 1))
+    state = op.distinct_state(df, ["g", "h"], F.col("v"), numbers)
+    for groups in (["g", "h"], ["h"], ["g"], []):
+        at = [("g", "h").index(g) for g in groups]
+        expected = {}
+        for row in rows:
+            expected.setdefault(tuple(row[i] for i in at), set()).add(row[2])
+        got = {tuple(r[g] for g in groups): r.n for r in op.distinct_counts(state, groups, "n").collect()}
+        assert got == {k: len(s) for k, s in expected.items()}
+        # States of two halves put under each other count each value once.
+        halves = [op.distinct_state(df.where(f), ["g", "h"], F.col("v"), numbers) for f in ("v % 2 = 0", "v % 2 <> 0 or v is null or v < 100")]
+        merged = op.merged_state(halves[0].unionByName(halves[1]), groups)
+        assert {tuple(r[g] for g in groups): r.n for r in op.distinct_counts(merged, groups, "n").collect()} == got
+    shown = op.distinct_state(df, ["g"], F.col("v"), numbers, where=F.col("v") < 5)
+    assert {r.g: r.n for r in op.distinct_counts(shown, ["g"], "n").collect()} == {g: len({v for a, _, v in rows if a == g and v is not None and v < 5}) or None for g in "abcd"}
+    with pytest.raises(Exception, match="no member number for 1"):
+        op.distinct_counts(op.distinct_state(df.selectExpr("g", "-1 AS v"), ["g"], F.col("v").cast("string").substr(2, 9), numbers.where("false")), ["g"], "n").collect()
+
+
 def test_holidays(spark):
     years = spark.createDataFrame([(2024,), (2025,), (2008,), (1954,), (1981,)], "year int")
     days = {(r.year, r.day) for r in op.public_holidays(years).collect()}
@@ -133,8 +167,13 @@ def test_business_days(spark):
     assert following[date(2025, 4, 19)] == date(2025, 4, 22) and following[date(2025, 4, 17)] == date(2025, 4, 17)
     year_end = op.next_business_day(op.candidate_days(spark, date(2027, 12, 31), date(2028, 1, 1)))
     assert {r.day: r.business_day for r in year_end.collect()}[date(2028, 1, 1)] == date(2028, 1, 3)
-    with pytest.raises(Exception, match="no business day in the 1 days from 2025-04-(19|20)"):
-        op.next_business_day(days, search=1).collect()
+    closures = op.candidate_days(spark, date(2025, 4, 17), date(2025, 5, 26))
+    closed = {r.day: r.business_day for r in op.next_business_day(days, closures=closures).collect()}
+    assert len(closed) == 7 and set(closed.values()) == {date(2025, 5, 27)}
+    wide = op.candidate_days(spark, date(2025, 4, 1), date(2028, 4, 1))
+    far = op.next_business_day(days.unionByName(spark.createDataFrame([(None,)], "day date")), closures=wide).collect()
+    assert {r.business_day for r in far} == {date(2028, 4, 3)} and len(far) == 7
+    assert op.next_business_day(days.where("false")).collect() == []
     with pytest.raises(ValueError):
         op.candidate_days(spark, date(2025, 1, 2), date(2025, 1, 1))
     assert op.candidate_days(spark).first().day == date.today() - timedelta(days=1)
@@ -147,8 +186,18 @@ def test_days_to_process(spark):
     assert op.days_to_process(days, log, force=True).count() == 5
 
 
-@pytest.mark.parametrize(("hot_rows", "slices"), [(1_000_000, 16), (1000, 2), (1000, 16), (10, 16)])
-def test_previous_version_with_a_hot_key(spark, hot_rows, slices):
+def test_next_at_or_after_over_any_number_of_buckets(spark):
+    rng = random.Random(3)
+    offered = sorted(rng.sample(range(10_000), 40))
+    wanted = [rng.randrange(10_500) for _ in range(500)]
+    sides = [spark.createDataFrame([(v,) for v in values], "v int") for values in ([*wanted, None], [*offered, None])]
+    found = op.next_at_or_after(*sides, "v", "next", lambda v: F.floor(v / 50)).collect()
+    assert {(r.v, r.next) for r in found} == {(v, next((o for o in offered if o >= v), None)) for v in wanted} | {(None, None)}
+    assert len(found) == len(set(wanted)) + 1
+
+
+@pytest.mark.parametrize("range_rows", [1_000_000, 100, 10, 3])
+def test_previous_version_with_a_hot_key(spark, range_rows):
     rng = random.Random(7)
     rows, n = [], 0
     for _ in range(4000):
@@ -157,7 +206,7 @@ def test_previous_version_with_a_hot_key(spark, hot_rows, slices):
         rows.append((key, when, n, rng.choice("ABC")))
         n += 1
     df = spark.createDataFrame(rows, "k string, at timestamp_ntz, seq int, s string").repartition(5)
-    found = op.previous_version(df, "k", ["at", "seq"], {"before": "s", "before_seq": "seq"}, hot_rows=hot_rows, slices=slices)
+    found = op.previous_version(df, "k", ["at", "seq"], {"before": "s", "before_seq": "seq"}, range_rows=range_rows)
     expected = {}
     for key in {r[0] for r in rows}:
         last = None
@@ -167,6 +216,78 @@ def test_previous_version_with_a_hot_key(spark, hot_rows, slices):
     assert {r.seq: (r.before, r.before_seq) for r in found.collect()} == expected
 
 
+def test_previous_version_at_one_instant_and_without_keys(spark):
+    """All versions of one key at one instant are cut by the second order column; rows without a key have none before."""
+    rows = [("hot", D(2025, 1, 1), n) for n in range(3000)] + [(None, D(2025, 1, 1), n) for n in range(3000, 3100)]
+    df = spark.createDataFrame(rows, "k string, at timestamp_ntz, seq int").repartition(5)
+    found = {r.seq: r.before for r in op.previous_version(df, "k", ["at", "seq"], {"before": "seq"}, range_rows=100).collect()}
+    assert found == {n: n - 1 if 0 < n < 3000 else None for n in range(3100)}
+    sizes = op.in_ranges(df, ["k", "at", "seq"], 100).groupBy("__range").count().collect()
+    assert len(sizes) >= 28 and max(r["count"] for r in sizes) <= 400
+
+
+def test_transitions_keep_moves_after_a_version_without_a_time(spark):
+    rows = [("a", None, 1, "x"), ("a", D(2025, 1, 1), 2, "y"), ("a", D(2025, 1, 3), 3, "z"), ("b", None, 1, None), ("b", None, 2, "y"), (None, None, 1, "x")]
+    df = spark.createDataFrame(rows, "k string, at timestamp_ntz, seq int, s string")
+    found = {(r.from_status, r.to_status): (r.n_moves, r.mean_days) for r in op.status_transitions(df, "k", "s", ["at", "seq"]).collect()}
+    assert found == {("x", "y"): (1, None), ("y", "z"): (1, 2.0), (None, "y"): (1, None)}
+
+
+def exchanges(df, column):
+    """Shuffles in the physical plan that carry a column, adaptive execution off."""
+    plan = df._jdf.queryExecution().executedPlan()
+    todo, found = [plan], 0
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Exchange" and any(node.output().apply(i).name() == column for i in range(node.output().size())):
+            found += 1
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_star_by_keys_only(spark):
+    """Seven lookups, a third of each key hot, a tenth missing, a tenth unknown: one shuffle of the wide row."""
+    rng = random.Random(5)
+    lookups = [op.Lookup(f"dim{i}", f"fk{i}", f"n{i}", f"key{i}") for i in range(7)]
+    dims = {f"dim{i}": spark.createDataFrame([(f"k{j}",) for j in range(50)], f"n{i} string").withColumn(f"key{i}", F.sha2(f"n{i}", 256)) for i in range(7)}
+
+    def value():
+        draw = rng.random()
+        return "k1" if draw < 0.33 else None if draw < 0.43 else f"missing{rng.randrange(9)}" if draw < 0.53 else f"k{rng.randrange(50)}"
+
+    rows = [(n, *(value() for _ in range(7)), "wide" * 5) for n in range(3000)] + [(n, *[None] * 7, "w") for n in range(3000, 3500)]
+    fact = spark.createDataFrame(rows, "id int, " + ", ".join(f"fk{i} string" for i in range(7)) + ", wide string")
+    fact = materialise(fact, "fact")
+    dims = {name: materialise(df, name) for name, df in dims.items()}
+    targets = [op.lookup_target(dims[x.dimension], x, hashed=True) for x in lookups]
+    direct = {tuple(r) for r in op.find_keys(fact, targets, ["id"]).collect()}
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        by_keys = op.find_keys(fact, targets, ["id"])
+        assert exchanges(by_keys, "wide") == 1
+        assert exchanges(op.find_keys(fact, targets[:1], ["id"]), "wide") == 1
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        found = by_keys.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept[0])
+        spark.conf.set("spark.sql.adaptive.enabled", kept[1])
+    assert len(found) == 3500 and {tuple(r) for r in found} == direct
+    some = op.find_keys(fact, targets, ["id"], direct_up_to=10**9)
+    assert {tuple(r) for r in some.collect()} == direct
+
+
+def test_combinations_of_keys_are_told_apart(spark):
+    """Keys that look alike when put together, and keys in each other's place."""
+    fact = spark.createDataFrame([("a", None), (None, "a"), ("1:a", "b"), ("1", "a1:b"), ("", None), (None, ""), ("-", None), (None, None)], "x string, y string")
+    dims = [spark.createDataFrame([("a",), ("1",), ("",)], "n string"), spark.createDataFrame([("b",), ("",)], "m string")]
+    targets = [op.Target(d, F.col(c), f"{c}_key", F.lit("unknown"), F.concat(F.lit("key "), F.col(c))) for d, c in zip(dims, "xy", strict=True)]
+    found = {(r.x, r.y): (r.x_key, r.y_key) for r in op.find_keys(materialise(fact, "f"), targets, direct_up_to=-1).collect()}
+    known = ({"a", "1", ""}, {"b", ""})
+    assert found == {k: tuple(f"key {v}" if v in names else "unknown" for v, names in zip(k, known, strict=True)) for k in found} and len(found) == 8
+
+
 def test_group_members(spark):
     rows = [("big", i) for i in range(500)] + [("small", i) for i in range(3)] + [("small", 1), (None, 1), ("small", None)]
     df = spark.createDataFrame(rows, "g string, m int")
