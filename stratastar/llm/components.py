@@ -32,7 +32,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         edges.select(F.col("b").alias("node"), F.col("y").alias("code"))
     )
     labels = sides.distinct()
-    live, turn = edges.select("x", "y"), 0
+    live, turn, made = edges.select("x", "y"), 0, [f"{name}-edges"]
     while not live.isEmpty():
         both = live.unionByName(live.select(F.col("y").alias("x"), F.col("x").alias("y")))
         moves = both.groupBy("x").agg(F.min("y").alias("y")).select(F.col("x").alias("old"), F.least("x", "y").alias("new"))
@@ -43,6 +43,10 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         live = scratch.store(live, f"{name}-live-{turn}")
         labels = labels.join(moves, labels["code"] == moves["old"], "left").select("node", F.coalesce("new", "code").alias("code"))
         labels = scratch.store(labels, f"{name}-labels-{turn}")
+        scratch.drop(*made, f"{name}-moves-{turn}")
+        made = [f"{name}-live-{turn}", f"{name}-labels-{turn}"]
         turn += 1
-    least = labels.groupBy("code").agg(F.min("node").alias("component"))
-    return scratch.store(labels.join(scratch.store(least, f"{name}-least"), "code").select("node", "component"), f"{name}-components")
+    least = scratch.store(labels.groupBy("code").agg(F.min("node").alias("component")), f"{name}-least")
+    found = scratch.store(labels.join(least, "code").select("node", "component"), f"{name}-components")
+    scratch.drop(*made, f"{name}-least")
+    return found

@@ -9,9 +9,11 @@ with a percent of 85 unless the caller gives another; a component is what links
    hash in each of 1024 bins) each flip one of 2048 bits. Two sketches differ in few bits if
    the samples agree. Documents with equal sets are one class from here on.
 2. Classes that share a band key stand in one bucket. Each is compared with the bucket's
-   smallest member, first by sketch, then on full sets; confirmed links are contracted.
-3. Where a bucket still holds several components, its members outside the first member's
-   component meet the members of other components, again by sketch, then on full sets.
+   smallest member, first by sketch, then on full sets; confirmed links are contracted, and the
+   smallest member, which has met everyone, leaves. A bucket whose members are all of one component
+   is settled. This is repeated, with a new smallest member each time, as long as a round leaves at
+   most SHARE of the pairs of unsettled buckets, so their number falls at each round.
+3. In what is left, members of different components meet, again by sketch, then on full sets.
    So every two classes that share a bucket are connected, or compared and found apart.
 
 A pair is left unconfirmed only if its sketches differ in more samples than the least similarity
@@ -21,8 +23,8 @@ with a chance below 1e-6.
 
 Defined cases: null or empty texts and texts without words have an empty set and link with
 nothing. Rows with a null id link with nothing and are kept. Rows that share an id are each
-judged by their own text; an id counts as linked if one of its rows is. Ties cannot occur: the
-component is its smallest id. An empty table gives an empty result. Other columns are not read.
+judged by their own text; an id counts as linked if one of its rows is, so it ties what its rows
+link with. Ties cannot occur: the component is its smallest id. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -56,6 +58,10 @@ _SHIFT = (stream(22, MOST_SAMPLES) >> _U(32)).astype(np.uint32)
 _FOLD = stream(23, MOST_SAMPLES) | _U(1)
 _BAND = stream(24, MOST_SAMPLES)
 _BIN = stream(25, BINS)
+#: A round with one lead per bucket is followed by another if at most this share of the pairs is left.
+SHARE = 0.5
+#: Documents (three numbers each, 12 MB in all) up to which those to confirm are broadcast.
+BROADCAST_ROWS = 500_000
 #: Values of one block of samples; it stays in the cache of a core.
 _BLOCK = 1024
 
@@ -224,16 +230,22 @@ def _likely(a: str, b: str, percent: int = PERCENT) -> Column:
     return fits & (differing(F.col(f"s_{a}"), F.col(f"s_{b}")) <= most)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
-    """Those of the stored pairs (a, b) that link, by the full sets of the documents concerned."""
-    ids = scratch.store(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}-ids")
-    sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, members array<long>")
-    sets = scratch.store(sets, f"{name}-sets")
-    of = lambda side: sets.select(F.col("doc_id").alias(side), F.col("members").alias(f"m_{side}"))
+def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, repeated: bool, percent: int, scratch: Scratch, name: str) -> DataFrame:
+    """Those pairs (a, b) of classes that link, by the full sets of a document of each."""
+    pairs = scratch.store(pairs, f"{name}-pairs")
+    concerned = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(reps, "class")
+    concerned = scratch.store(concerned, f"{name}-concerned")
+    # Few documents are looked for in the scan itself; beyond that the join shuffles.
+    few = concerned.count() <= BROADCAST_ROWS
+    texts = docs.join(F.broadcast(concerned) if few else concerned, ["doc_id", "text_hash"]).select("class", "text")
+    if repeated:  # a row that is there more than once, word for word, counts once
+        texts = texts.dropDuplicates(["class"])
+    sets = scratch.store(texts.mapInArrow(_sets, "class long, members array<long>"), f"{name}-sets")
+    of = lambda side: sets.select(F.col("class").alias(side), F.col("members").alias(f"m_{side}"))
     both = F.size(F.array_intersect("m_a", "m_b"))
     linked = pairs.join(of("a"), "a").join(of("b"), "b").where(100 * both >= percent * (F.size("m_a") + F.size("m_b") - both))
-    links = scratch.store(linked.select("a", "b").distinct(), f"{name}-links")
-    scratch.drop(f"{name}-sets", f"{name}-ids")
+    links = scratch.store(linked.select("a", "b"), f"{name}-links")
+    scratch.drop(f"{name}-pairs", f"{name}-concerned", f"{name}-sets")
     return links
 
 
@@ -244,62 +256,110 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     spark = settle(documents.sparkSession)
     scratch = Scratch(spark, "near-dup")
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    every = scratch.store(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(lambda batches: _sketch(batches, percent), _SCHEMA), "sketches")
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    every = scratch.store(docs.mapInArrow(lambda batches: _sketch(batches, percent), _SCHEMA), "sketches")
 
+    # A class is one set, whatever ids hold it. Its number is fixed once it is stored.
     rows = every.select("doc_id", "text_hash", "n_shingles", "print_1", "print_2")
-    classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("print_1", "print_2").agg(F.min("doc_id").alias("rep"))
-    classes = scratch.store(classes, "classes")
-    first = (every["print_1"] == classes["print_1"]) & (every["print_2"] == classes["print_2"]) & (every["doc_id"] == classes["rep"])
-    chosen = scratch.store(every.join(classes, first, "left_semi").select("doc_id", "n_shingles", "bands", "sketch").dropDuplicates(["doc_id"]), "chosen")
-
-    banded = chosen.select("doc_id", F.explode("bands").alias("key"))
-    leads = banded.groupBy("key").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).where("lead < last")
-    leads = scratch.store(leads.select("key", "lead"), "leads")
-    buckets = scratch.store(banded.join(leads, "key").select("key", "doc_id", "lead"), "buckets")
+    of_set = rows.where("n_shingles > 0 and doc_id is not null").groupBy("print_1", "print_2").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"))
+    of_set = of_set.select("print_1", "print_2", F.monotonically_increasing_id().alias("class"), "rep.doc_id", "rep.text_hash")
+    classes = scratch.store(of_set, "classes")
+    reps = classes.select("class", "doc_id", "text_hash")
+    repeated = not rows.where("doc_id is not null").groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty()
+    chosen = every.drop("text_hash").join(classes.drop("text_hash"), ["print_1", "print_2", "doc_id"]).dropDuplicates(["class"])
+    chosen = scratch.store(chosen.select("class", "n_shingles", "bands", "sketch"), "chosen")
+    # An id with several sets ties their classes together.
+    own, prints = rows.where("n_shingles > 0 and doc_id is not null"), F.struct("print_1", "print_2")
+    several = own.groupBy("doc_id").agg(F.min(prints).alias("x"), F.max(prints).alias("y")).where("x < y").select("doc_id")
+    ids = own.join(several, "doc_id").join(classes.select("print_1", "print_2", "class"), ["print_1", "print_2"])
+    ids = scratch.store(ids.select("doc_id", "class").distinct(), "ids")
+    tied = ids.join(ids.groupBy("doc_id").agg(F.min("class").alias("a")), "doc_id").where(F.col("class") != F.col("a"))
+    tied = tied.select("a", F.col("class").alias("b")).distinct()
+    links = [scratch.store(tied, "tied")]
+    banded = chosen.select("class", F.explode("bands").alias("key"))
+    several = banded.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y").select("key")
+    buckets = scratch.store(banded.join(several, "key").select("key", "class"), "buckets-0")
+    parts = None if links[0].isEmpty() else components(links[0], scratch, "parts-0")
 
     def looked_up(side: str) -> DataFrame:
-        return chosen.select(F.col("doc_id").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
-
-    stars = buckets.where("doc_id <> lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
-    stars = stars.join(looked_up("a"), "a").join(looked_up("b"), "b").where(_likely("a", "b", percent)).select("a", "b")
-    links = _confirmed(scratch.store(stars, "stars"), docs, percent, scratch, "star")
-    parts = components(links, scratch, "first")
-
-    def part_of(df: DataFrame, node: str, out: str) -> DataFrame:
-        found = parts.select(F.col("node").alias(node), F.col("component").alias(out))
-        return df.join(found, node, "left").withColumn(out, F.coalesce(out, node))
-
-    placed = scratch.store(part_of(part_of(buckets, "lead", "lead_part"), "doc_id", "part"), "placed")
-    others = scratch.store(placed.where("part <> lead_part").select("key", F.col("doc_id").alias("a"), F.col("part").alias("part_a")), "others")
-    # The first member has met everyone already. Two of the others meet once, from the smaller id.
-    met = placed.where("doc_id <> lead").join(others.select("key").distinct(), "key", "left_semi")
-    met = met.select("key", F.col("doc_id").alias("b"), F.col("part").alias("part_b"), (F.col("part") != F.col("lead_part")).alias("other"))
-    bands = [chosen.select(F.col("doc_id").alias(side), F.col("bands").alias(f"k_{side}")) for side in ("a", "b")]
-    left = others.join(looked_up("a"), "a").join(bands[0], "a")
-    right = met.join(looked_up("b"), "b").join(bands[1], "b")
-    apart = (F.col("part_a") != F.col("part_b")) & (~F.col("other") | (F.col("a") < F.col("b"))) & _likely("a", "b", percent)
-    # Two documents may share several buckets; they meet in the first.
-    shared = F.array_position(F.zip_with("k_a", "k_b", lambda x, y: x == y), True)
-    meets = left.join(right, (left["key"] == right["key"]) & apart & (shared == F.array_position(F.col("k_a"), left["key"])))
-    more = scratch.store(meets.select("a", "b").distinct(), "meets")
-    scratch.drop("leads", "buckets", "placed", "others")
-    if not more.isEmpty():
-        parts = components(links.unionByName(_confirmed(more, docs, percent, scratch, "meet")), scratch, "second")
-
-    classes = classes.join(parts, classes["rep"] == parts["node"], "left").select("print_1", "print_2", F.coalesce("component", "rep").alias("component_id"))
-    classes = scratch.store(classes, "final")
-    out = rows.join(classes, ["print_1", "print_2"], "left")
+        return chosen.select(F.col("class").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
+
+    def placed(buckets: DataFrame, parts: DataFrame | None, name: str) -> DataFrame:
+        """(key, class, part, lead, lead_part) of the buckets that still hold several components."""
+        if parts is None:
+            buckets = buckets.withColumn("part", F.col("class"))
+        else:
+            buckets = buckets.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn("part", F.coalesce("component", "class"))
+        buckets = scratch.store(buckets.select("key", "class", "part"), f"{name}-placed")
+        head = F.min(F.struct("class", "part")).alias("head")
+        open_ones = buckets.groupBy("key").agg(head, F.min("part").alias("x"), F.max("part").alias("y"), F.count("*").alias("n")).where("x < y")
+        open_ones = open_ones.select("key", F.col("head.class").alias("lead"), F.col("head.part").alias("lead_part"), "n")
+        out = scratch.store(buckets.join(open_ones, "key"), name)
+        scratch.drop(f"{name}-placed")
+        return out
+
+    turn, before = 0, None
+    while True:
+        live = placed(buckets, parts, f"live-{turn}")
+        scratch.drop(f"buckets-{turn}")
+        pairs = live.agg(F.sum(F.col("n") - 1) / 2).first()[0] or 0
+        if not pairs or (turn and pairs > SHARE * before):
+            break
+        before = pairs
+        stars = live.where("part <> lead_part").select(F.col("lead").alias("a"), F.col("class").alias("b")).distinct()
+        stars = stars.join(looked_up("a"), "a").join(looked_up("b"), "b").where(_likely("a", "b", percent)).select("a", "b")
+        found = _confirmed(stars, docs, reps, repeated, percent, scratch, f"star-{turn}")
+        buckets = scratch.store(live.where("class <> lead").select("key", "class"), f"buckets-{turn + 1}")
+        scratch.drop(f"live-{turn}")
+        if not found.isEmpty():
+            links.append(found)
+            parts = _joined(links, scratch, f"parts-{turn + 1}")
+        turn += 1
+
+    if pairs:
+        sides = {}
+        for side in ("a", "b"):
+            bands = chosen.select(F.col("class").alias(side), F.col("bands").alias(f"k_{side}"))
+            own = live.select("key", F.col("class").alias(side), F.col("part").alias(f"part_{side}"))
+            sides[side] = own.join(looked_up(side), side).join(bands, side)
+        left, right = sides["a"], sides["b"]
+        apart = (F.col("part_a") != F.col("part_b")) & (F.col("a") < F.col("b")) & _likely("a", "b", percent)
+        # Two classes may share several buckets; they meet in the first.
+        shared = F.array_position(F.zip_with("k_a", "k_b", lambda x, y: x == y), True)
+        meets = left.join(right, (left["key"] == right["key"]) & apart & (shared == F.array_position(F.col("k_a"), left["key"])))
+        found = _confirmed(meets.select("a", "b").distinct(), docs, reps, repeated, percent, scratch, "meet")
+        if not found.isEmpty():
+            links.append(found)
+            parts = _joined(links, scratch, "parts-last")
+
+    component = F.col("doc_id")
+    named = classes.select("print_1", "print_2", "class", "doc_id")
+    if parts is not None:
+        named = named.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn("part", F.coalesce("component", "class"))
+        named = scratch.store(named.select("print_1", "print_2", "part", "doc_id"), "named")
+        named = named.join(named.groupBy("part").agg(F.min("doc_id").alias("least")), "part")
+        component = F.col("least")
+    named = named.select("print_1", "print_2", component.alias("component_id"))
+    out = rows.join(named, ["print_1", "print_2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id"))
     kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), "text_hash")
+    out = scratch.store(out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), "text_hash"), "out")
+    scratch.keep("out")
+    return out
+
+
+def _joined(links: list[DataFrame], scratch: Scratch, name: str) -> DataFrame:
+    edges = links[0]
+    for more in links[1:]:
+        edges = edges.unionByName(more)
+    return components(edges, scratch, name)
 
 
 def without_near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Rows of `documents` that stay, with all their columns: of each component the document with the
     smallest id, and of rows that repeat it by id and text, one. Rows with a null id all stay."""
     scratch = Scratch(documents.sparkSession, "near-dup-stay")
-    judged = scratch.store(near_duplicates(documents, percent).select("doc_id", "text_hash", "kept"), "judged")
+    judged = near_duplicates(documents, percent).select("doc_id", "text_hash", "kept")
     gone = judged.where("not kept").select("doc_id", "text_hash").distinct()
     again = judged.where("kept and doc_id is not null").groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash")
     again = scratch.store(again, "again")

@@ -22,7 +22,7 @@ def members(text):
     return frozenset(tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4)))
 
 
-def brute_force(docs):
+def brute_force(docs, percent=85):
     sets = {i: members(t) for i, t in docs}
     root = {i: i for i in sets}
 
@@ -35,7 +35,7 @@ def brute_force(docs):
     for n, i in enumerate(ids):
         for j in ids[n + 1 :]:
             both = len(sets[i] & sets[j])
-            if both and 100 * both >= 85 * len(sets[i] | sets[j]):
+            if both and 100 * both >= percent * len(sets[i] | sets[j]):
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
     return {i: (len(sets[i]), find(i), find(i) == i) for i in ids}
@@ -91,6 +91,76 @@ def test_repeated_and_null_ids(spark):
     assert found == [(-1, 0, -1, True), (-1, 2, -1, True), (1, 1, 1, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False)]
 
 
+def repeated_ids(docs):
+    """Components over rows: rows link by their sets, and rows of one id are tied."""
+    rows = [(i, members(t)) for i, t in docs]
+    part = list(range(len(rows)))
+
+    def find(n):
+        while part[n] != n:
+            n = part[n]
+        return n
+
+    for x, (i, a) in enumerate(rows):
+        for y, (j, b) in enumerate(rows[:x]):
+            both = len(a & b)
+            if (i == j and a and b) or (both and 100 * both >= 85 * len(a | b)):
+                part[find(x)] = find(y)
+    least = {}
+    for n, (i, _) in enumerate(rows):
+        least[find(n)] = min(i, least.get(find(n), i))
+    return sorted((i, len(s), least[find(n)] if s else i, i == least[find(n)] or not s) for n, (i, s) in enumerate(rows))
+
+
+def test_near_copies_of_each_text_of_an_id(spark):
+    rng = random.Random(11)
+    texts = [" ".join(f"t{rng.randrange(10**6)}" for _ in range(100)) for _ in range(4)]
+    tables = [
+        [(1, texts[0]), (1, texts[1]), (2, texts[0] + " tail"), (3, texts[1] + " tail")],
+        [(5, texts[0]), (5, texts[1]), (2, texts[0] + " tail"), (3, texts[1] + " tail"), (9, None), (5, None)],
+        [(rng.randrange(12), rng.choice(texts[2:]) + " tail" * rng.randrange(3)) for _ in range(10)] + [(20 + k, f"{k} alone {texts[k % 4][:200]}") for k in range(8)],
+    ]
+    for docs in tables:
+        df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+        found = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(df).collect())
+        assert found == repeated_ids(docs)
+
+
+@pytest.mark.parametrize("share", [0.0, 0.5, 1.0])
+def test_buckets_by_leads_and_by_pairs(spark, monkeypatch, share):
+    """Large buckets of several components, settled by leads, by pairs, or by both."""
+    monkeypatch.setattr(near_dup, "SHARE", share)
+    rng = random.Random(12)
+    base, docs = [f"t{rng.randrange(10**6)}" for _ in range(300)], []
+    for group in range(4):
+        mine = base[:]
+        for _ in range(9):
+            mine[rng.randrange(300)] = f"g{rng.randrange(10**6)}"
+        for _ in range(20):
+            copy = mine[:]
+            for _ in range(rng.randrange(1, 4)):
+                copy[rng.randrange(300)] = f"x{rng.randrange(10**6)}"
+            docs.append(" ".join(copy))
+    rng.shuffle(docs)
+    docs = list(enumerate(docs))
+    assert rows(spark.createDataFrame(docs, "doc_id long, text string")) == brute_force(docs)
+
+
+def test_confirming_by_a_shuffle_join(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BROADCAST_ROWS", -1)
+    docs = corpus()
+    assert rows(spark.createDataFrame(docs, "doc_id long, text string")) == brute_force(docs)
+
+
+def test_only_the_result_stays_stored(spark):
+    import os
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    near_dup.near_duplicates(spark.createDataFrame(corpus()[:30], "doc_id long, text string"))
+    assert len(set(os.listdir(folder)) - before) == 1
+
+
 def test_empty_table(spark):
     assert rows(spark.createDataFrame([], "doc_id long, text string")) == {}
 
