@@ -61,30 +61,34 @@ def accumulated(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
     return scores.T
 
 
+_FOUND = "row long, query_id long, vec_id long, score long"
+
+
 def _scored(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
-    ids, asked = right["vec_id"].to_numpy(), left["vec_id"].to_numpy()
-    if not len(ids) or not len(asked):
-        return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.int64())})
+    rows, asked = right["row"].to_numpy(), left["row"].to_numpy()
+    if not len(rows) or not len(asked):
+        return pa.table({name: pa.array([], pa.int64()) for name in ("row", "query_id", "vec_id", "score")})
     width = max(int(np.max(t["vector"].combine_chunks().value_lengths().to_numpy())) for t in (left, right))
     scores = accumulated(weights(right["vector"], width), weights(left["vector"], width))
     if scores.dtype == object:
         scores = np.vectorize(lambda x: max(1 - 2**63, min(2**63 - 1, x)), otypes=[np.int64])(scores)
     absent = -np.inf if scores.dtype == np.float64 else np.iinfo(np.int64).min
-    scores = np.where(asked[:, None] == ids[None, :], absent, scores)
-    row, col = best(scores, ids, k, absent)
-    return pa.table({"query_id": asked[row], "vec_id": ids[col], "score": scores[row, col].astype(np.int64)})
+    scores = np.where(asked[:, None] == rows[None, :], absent, scores)
+    ids = right["vec_id"].to_numpy()
+    at, col = best(scores, ids, k, absent)
+    return pa.table({"row": asked[at], "query_id": left["vec_id"].to_numpy()[at], "vec_id": ids[col], "score": scores[at, col].astype(np.int64)})
 
 
 def exact_top_k(embeddings: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
-    """(query_id, rank, vec_id, score) for queries whose id is divisible by `every`, against all others."""
+    """(query_id, rank, vec_id, score) for query rows whose id is divisible by `every`, against all other rows."""
     spark = settle(embeddings.sparkSession)
     scratch = Scratch(spark, "exact-search")
     rows = scratch.store(usable(embeddings, nonzero=False), "vectors")
     asking = rows.where(F.col("vec_id") % every == 0)
     blocks, slots = (max(1, -(-df.count() // size)) for df, size in ((rows, BLOCK), (asking, QUERIES)))
-    block, slot = (F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)) for salt, n in ((1, blocks), (2, slots)))
+    block, slot = (F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(n)) for salt, n in ((1, blocks), (2, slots)))
     all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     left = asking.withColumn("slot", slot).withColumn("block", all_of(blocks))
     right = rows.withColumn("block", block).withColumn("slot", all_of(slots))
     found = left.groupBy("block", "slot").cogroup(right.groupBy("block", "slot"))
-    return merged(found.applyInArrow(lambda a, b: _scored(a, b, k), "query_id long, vec_id long, score long"), k)
+    return merged(found.applyInArrow(lambda a, b: _scored(a, b, k), _FOUND), k).drop("row")

@@ -22,7 +22,7 @@ vector has no rows. Ties go to the smaller id.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -73,19 +73,22 @@ class Quantiser:
         one, two = (assigned(part, centres) for part, centres in zip(self.split(vectors), self.halves, strict=True))
         return one * self.k + two
 
-    def walk(self, query: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(cell, vectors in it) of the non-empty cells, by falling sum of inner products."""
+    def walk(self, query: np.ndarray, counts: Sequence[int]) -> Iterator[tuple[int, int]]:
+        """(cell, vectors in it) of the non-empty cells, by falling sum of inner products.
+
+        Only cells that the walk reaches are looked at.
+        """
         k = self.k
         near = [part[0] @ centres.T for part, centres in zip(self.split(query[None]), self.halves, strict=True)]
         order = [np.argsort(-x, kind="stable") for x in near]
         a, b = (x[o].tolist() for x, o in zip(near, order, strict=True))
-        grid = counts.reshape(k, k)[order[0]][:, order[1]]
-        filled, first, second = grid.tolist(), order[0].tolist(), order[1].tolist()
+        first, second = (order[0] * k).tolist(), order[1].tolist()
         heap = [(-(a[0] + b[0]), 0, 0)]
         while heap:
             _, i, j = heapq.heappop(heap)
-            if filled[i][j]:
-                yield first[i] * k + second[j], filled[i][j]
+            cell = first[i] + second[j]
+            if counts[cell]:
+                yield cell, counts[cell]
             # The next pair of row i follows, and its first one opens the next row.
             if j + 1 < k:
                 heapq.heappush(heap, (-(a[i] + b[j + 1]), i, j + 1))
@@ -94,8 +97,8 @@ class Quantiser:
 
 
 def fitted(rows: DataFrame, n: int, width: int) -> Quantiser:
-    """K-means on a sample taken by hash of the id; the number of cells follows the number of vectors."""
-    sample = rows.orderBy(F.xxhash64("vec_id")).limit(SAMPLE).toArrow()
+    """K-means on a sample taken by hash of the row; the number of cells follows the number of vectors."""
+    sample = rows.orderBy(F.xxhash64("vec_id", "vector")).limit(SAMPLE).toArrow()
     points = matrix(sample["vector"], width)
     k = int(min(LARGEST, len(points), max(2, 2 ** round(np.log2(max(n, 2)) / 2 - 2))))
     cut = (width + 1) // 2
@@ -125,11 +128,14 @@ def blocks_of(counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return first, number
 
 
+_FOUND = "row long, query_id long, vec_id long, score double"
+
+
 def _searched(left: pa.Table, right: pa.Table, k: int, width: int) -> pa.Table:
     """Scores of the entries in the cells that each query walked, in one block."""
-    ids, asked = right["vec_id"].to_numpy(), left["query_id"].to_numpy()
-    out = np.full((len(asked), len(ids)), -np.inf)
-    if len(ids) and len(asked):
+    rows, asked, ids = right["row"].to_numpy(), left["row"].to_numpy(), right["vec_id"].to_numpy()
+    out = np.full((len(asked), len(rows)), -np.inf)
+    if len(rows) and len(asked):
         vectors, queries, cell = matrix(right["vector"], width), matrix(left["vector"], width), right["cell"].to_numpy()
         walked = left["cells"].combine_chunks()
         flat = walked.flatten().to_numpy()
@@ -138,16 +144,16 @@ def _searched(left: pa.Table, right: pa.Table, k: int, width: int) -> pa.Table:
         there, starts = np.unique(cell[by_cell], return_index=True)
         for c, at, end in zip(there, starts, np.append(starts[1:], len(cell)), strict=True):
             low, high = np.searchsorted(flat[by_walk], [c, c + 1])
-            rows, cols = owner[by_walk[low:high]], by_cell[at:end]
-            if len(rows):
-                out[np.ix_(rows, cols)] = scores(queries[rows], vectors[cols])
-        out[asked[:, None] == ids[None, :]] = -np.inf
-    row, col = best(out, ids, k, -np.inf)
-    return pa.table({"query_id": asked[row], "vec_id": ids[col], "score": out[row, col]})
+            near, cols = owner[by_walk[low:high]], by_cell[at:end]
+            if len(near):
+                out[np.ix_(near, cols)] = scores(queries[near], vectors[cols])
+        out[asked[:, None] == rows[None, :]] = -np.inf
+    at, col = best(out, ids, k, -np.inf)
+    return pa.table({"row": asked[at], "query_id": left["query_id"].to_numpy()[at], "vec_id": ids[col], "score": out[at, col]})
 
 
 def nearest(embeddings: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
-    """(query_id, rank, vec_id, score) for queries whose id is divisible by `every`, against all others."""
+    """(query_id, rank, vec_id, score) for query rows whose id is divisible by `every`, against all other rows."""
     spark = settle(embeddings.sparkSession)
     scratch = Scratch(spark, "multi-index")
     rows = scratch.store(usable(embeddings, nonzero=True), "vectors")
@@ -159,10 +165,11 @@ def nearest(embeddings: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cell = quantiser.value.cells(matrix(batch.column(1), width))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], ["vec_id", "vector", "cell"])
+            cell = quantiser.value.cells(matrix(batch.column(2), width))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], ["row", "vec_id", "vector", "cell"])
 
-    entries = scratch.store(rows.mapInArrow(enter, "vec_id long, vector array<double>, cell long"), "entries")
+    entries = scratch.store(rows.mapInArrow(enter, "row long, vec_id long, vector array<double>, cell long"), "entries")
+    scratch.drop("vectors")
     counts = np.zeros(size * size, np.int64)
     for r in entries.groupBy("cell").count().collect():  # one row per cell, LARGEST squared at most
         counts[r["cell"]] = r["count"]
@@ -172,8 +179,9 @@ def nearest(embeddings: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, first, number = layout.value
+        counts = counts.tolist()
         for batch in batches:
-            for at, query in enumerate(matrix(batch.column(1), width)):
+            for at, query in enumerate(matrix(batch.column(2), width)):
                 met, held = [], 0
                 for cell, there in quantiser.value.walk(query, counts):
                     met.append(cell)
@@ -189,49 +197,53 @@ def nearest(embeddings: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
                 cuts = np.append(heads, len(order)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(cells[order]))
                 take = pa.array(np.full(len(heads), at))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(block[order[heads]]), lists], ["query_id", "vector", "block", "cells"])
+                own = [batch.column(i).take(take) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(block[order[heads]]), lists], ["row", "query_id", "vector", "block", "cells"])
 
-    asking = entries.where(F.col("vec_id") % every == 0).select("vec_id", "vector")
-    walks = scratch.store(asking.mapInArrow(walk, "query_id long, vector array<double>, block long, cells array<long>"), "walks")
+    asking = entries.where(F.col("vec_id") % every == 0).select("row", "vec_id", "vector")
+    walks = scratch.store(asking.mapInArrow(walk, "row long, query_id long, vector array<double>, block long, cells array<long>"), "walks")
     splits = walks.groupBy("block").agg(F.ceil(F.count("*") / QUERIES).alias("slots"))
     splits = scratch.store(splits, "splits")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, first, number = layout.value
         for batch in batches:
-            centroid = batch.column(2).to_numpy() // size
-            block = first[centroid] + batch.column(3).to_numpy() % number[centroid]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(block)], ["vec_id", "vector", "cell", "block"])
+            centroid = batch.column(3).to_numpy() // size
+            block = first[centroid] + batch.column(4).to_numpy() % number[centroid]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(block)], ["row", "vec_id", "vector", "cell", "block"])
 
-    spread = entries.select("vec_id", "vector", "cell", F.shiftrightunsigned(F.xxhash64("vec_id"), 1).alias("deal"))
-    placed = spread.mapInArrow(place, "vec_id long, vector array<double>, cell long, block long")
-    left = walks.join(splits, "block").withColumn("slot", F.pmod(F.xxhash64("query_id"), F.col("slots"))).drop("slots")
+    spread = entries.select("row", "vec_id", "vector", "cell", F.shiftrightunsigned(F.xxhash64("row"), 1).alias("deal"))
+    placed = spread.mapInArrow(place, "row long, vec_id long, vector array<double>, cell long, block long")
+    left = walks.join(splits, "block").withColumn("slot", F.pmod(F.xxhash64("row"), F.col("slots"))).drop("slots")
     right = placed.join(splits, "block").withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1))).drop("slots")
     found = left.groupBy("block", "slot").cogroup(right.groupBy("block", "slot"))
-    return merged(found.applyInArrow(lambda a, b: _searched(a, b, k, width), "query_id long, vec_id long, score double"), k)
+    return merged(found.applyInArrow(lambda a, b: _searched(a, b, k, width), _FOUND), k).drop("row")
 
 
 def _enough(entries: DataFrame, quantiser: Quantiser, counts: np.ndarray, width: int, k: int, every: int) -> int:
     """Vectors to pass in a walk so that the probes meet AIM of their true neighbours."""
     spark = entries.sparkSession
-    probes = entries.where(F.col("vec_id") % every == 0).orderBy(F.xxhash64("vec_id", F.lit(3))).limit(PROBES).select("vec_id", "vector").toArrow()
+    some = entries.where(F.col("vec_id") % every == 0).orderBy(F.xxhash64("vec_id", "vector", F.lit(3))).limit(PROBES)
+    probes = some.select("row", "vector").toArrow()
     if not probes.num_rows:
         return k
-    shared = spark.sparkContext.broadcast((probes["vec_id"].to_numpy(), matrix(probes["vector"], width)))
+    shared = spark.sparkContext.broadcast((probes["row"].to_numpy(), matrix(probes["vector"], width)))
 
     def truth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, queries = shared.value
         for batch in batches:
-            ids, cell = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            found = np.where(asked[:, None] == ids[None, :], -np.inf, scores(queries, matrix(batch.column(1), width)))
-            row, col = best(found, ids, k, -np.inf)
-            yield pa.RecordBatch.from_arrays([pa.array(asked[row]), pa.array(ids[col]), pa.array(found[row, col]), pa.array(cell[col])], ["query_id", "vec_id", "score", "cell"])
-
-    nearest = entries.mapInArrow(truth, "query_id long, vec_id long, score double, cell long")
-    top = merged(nearest.withColumn("score", F.struct("score", "cell")), k).select("query_id", "score.cell").collect()
+            rows, ids, cell = (batch.column(i).to_numpy() for i in (0, 1, 3))
+            found = np.where(asked[:, None] == rows[None, :], -np.inf, scores(queries, matrix(batch.column(2), width)))
+            at, col = best(found, ids, k, -np.inf)
+            values = [asked[at], ids[col], found[at, col], cell[col]]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], ["row", "vec_id", "score", "cell"])
+
+    nearest = entries.mapInArrow(truth, "row long, vec_id long, score double, cell long").withColumn("query_id", F.col("row"))
+    top = merged(nearest.withColumn("score", F.struct("score", "cell")), k).select("row", "score.cell").collect()
     wanted: dict[int, list[int]] = {}
     for r in top:
-        wanted.setdefault(r["query_id"], []).append(r["cell"])
+        wanted.setdefault(r["row"], []).append(r["cell"])
+    counts = counts.tolist()
     need = []
     for query, vector in zip(*shared.value, strict=True):
         passed, left = 0, wanted.get(int(query), [])

@@ -133,15 +133,19 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op10_exact_top_k",
     """
     WITH usable AS (
-        SELECT vec_id, min(embedding) AS e FROM embeddings
-        WHERE vec_id IS NOT NULL AND len(embedding) > 0
-          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-        GROUP BY vec_id),
-    weighted AS (SELECT vec_id, list_transform(e, lambda x: floor(64 * x::DOUBLE)) AS w FROM usable),
+        SELECT DISTINCT vec_id, embedding AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    weighted AS (
+        SELECT row_number() OVER (ORDER BY vec_id, e) AS n, vec_id, list_transform(e, lambda x: floor(64 * x::DOUBLE)) AS w, len(e) AS width
+        FROM usable),
     scored AS (
-        SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.w, v.w)::BIGINT AS score
-        FROM weighted q JOIN weighted v ON q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id)
-    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        SELECT q.n, q.vec_id AS query_id, v.vec_id,
+               CASE WHEN least(q.width, v.width) = 0 THEN 0
+                    WHEN q.width = v.width THEN list_inner_product(q.w, v.w)
+                    ELSE list_inner_product(q.w[: least(q.width, v.width)], v.w[: least(q.width, v.width)]) END::BIGINT AS score
+        FROM weighted q JOIN weighted v ON q.vec_id % 20 = 0 AND v.n <> q.n)
+    SELECT query_id, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
     FROM scored QUALIFY rank <= 20
     """,
 )

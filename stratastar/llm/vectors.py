@@ -1,8 +1,8 @@
 """What the two vector searches share: usable vectors, matrices from Arrow, best of a block, merging.
 
-Usable: an id, a vector that is not null or empty, and no null or non-finite component. Rows that
-share an id count once, by the smallest vector in array order. Vectors of unequal lengths are
-compared as if padded with zeros.
+Usable: an id, a vector that is not null, and no null or non-finite component. Rows alike in id and
+vector count once; rows of one id with other vectors are rows of their own, as queries and as
+candidates. Vectors of unequal lengths are compared as if padded with zeros.
 """
 
 from __future__ import annotations
@@ -24,10 +24,12 @@ def finite(vector: Column) -> Column:
 
 
 def usable(embeddings: DataFrame, nonzero: bool) -> DataFrame:
-    """(vec_id, vector array<double>) of the rows that take part."""
+    """(row, vec_id, vector array<double>) of the rows that take part; `row` is fixed once it is stored."""
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
-    some = F.exists("vector", lambda x: x != 0) if nonzero else F.size("vector") > 0
-    return rows.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & finite(F.col("vector")) & some).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    rows = rows.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & finite(F.col("vector")))
+    if nonzero:
+        rows = rows.where(F.exists("vector", lambda x: x != 0))
+    return rows.distinct().select(F.monotonically_increasing_id().alias("row"), "vec_id", "vector")
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
@@ -60,6 +62,6 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int, absent) -> tuple[np.ndarra
 
 
 def merged(found: DataFrame, k: int) -> DataFrame:
-    """The k best of each query over all blocks, ranked."""
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    """The k best of each query row over all blocks, ranked."""
+    order = W.partitionBy("row").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("row", "query_id", "rank", "vec_id", "score")
