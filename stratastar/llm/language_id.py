@@ -10,7 +10,11 @@ landmarks times K to the power -1/2; one-versus-rest kernel ridge regression is
 solve. Landmarks, K and the solution fold into one weight per bucket and language, so that scoring
 is one matrix product per batch of presence rows.
 
-Defined cases: `und` with score 0 where the text is null or has no letter, and for all texts if
+How familiar a text is does not depend on how many languages there are: the mean, over its own
+n-grams, of the share of a language's landmarks that hold them, for the language where it is
+largest. Texts of other languages have rarer n-grams; a short text has few, but common ones.
+
+Defined cases: `und` with score and familiarity 0 where the text is null or has no letter, and for all texts if
 nothing could be learned. Ties between languages go to the first by name. A null doc_id is
 scored, not held out, and never learned from. Rows that repeat are scored alike and learned from
 once. Other columns are not read.
@@ -28,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratastar.llm.common import Scratch, settle
+from stratastar.llm.common import Scratch, carried, schema_of, settle
 from stratastar.llm.words import chunks
 
 LONGEST = 4
@@ -36,6 +40,7 @@ BITS = 15
 BUCKETS = 1 << BITS
 LANDMARKS = 60
 TRAINED = 400
+SALTS = 64
 RIDGE = 1e-2
 #: Sharpness of the softmax over regression values, which lie about -1 and 1.
 SHARPNESS = 4.0
@@ -66,13 +71,18 @@ class Model:
     languages: tuple[str, ...]
     weights: np.ndarray  # (bucket, language)
     bias: np.ndarray
+    common: np.ndarray  # (bucket, language): share of the language's landmarks that hold an n-gram of the bucket
 
-    def scores(self, rows: np.ndarray) -> np.ndarray:
-        """(text, language) probabilities of presence rows."""
+    def judged(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(text, language) probabilities of presence rows, and how familiar each text is."""
         size = np.maximum(rows.sum(axis=1, dtype=np.int64), 1)
-        values = rows.astype(np.float32) @ self.weights / np.sqrt(size)[:, None] + self.bias
+        products = rows.astype(np.float32) @ np.concatenate([self.weights, self.common], axis=1)
+        values = products[:, : len(self.bias)] / np.sqrt(size)[:, None] + self.bias
         values = np.exp(SHARPNESS * (values - values.max(axis=1, keepdims=True)))
-        return values / values.sum(axis=1, keepdims=True)
+        return values / values.sum(axis=1, keepdims=True), (products[:, len(self.bias) :] / size[:, None]).max(axis=1)
+
+    def scores(self, rows: np.ndarray) -> np.ndarray:
+        return self.judged(rows)[0]
 
 
 def normed(rows: np.ndarray) -> np.ndarray:
@@ -95,7 +105,9 @@ def learned(rows: np.ndarray, labels: list[str], landmark: np.ndarray) -> Model:
     inner = centred.T @ centred + RIDGE * len(labels) * np.eye(len(mean))
     solution = np.linalg.solve(inner, centred.T @ (target - target.mean(axis=0)))
     bias = target.mean(axis=0) - mean @ solution
-    return Model(languages, (marks.T.astype(np.float64) @ (root @ solution)).astype(np.float32), bias.astype(np.float32))
+    of = np.array(labels)[landmark]
+    common = np.stack([rows[landmark][of == name].mean(axis=0) if (of == name).any() else np.zeros(rows.shape[1]) for name in languages], axis=1)
+    return Model(languages, (marks.T.astype(np.float64) @ (root @ solution)).astype(np.float32), bias.astype(np.float32), common.astype(np.float32))
 
 
 def lettered(text: Column) -> Column:
@@ -120,11 +132,16 @@ def train(documents: DataFrame) -> Model | None:
     known = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).withColumn("print", F.xxhash64("text"))
     usable = known.where(lettered(F.col("text"))).groupBy("lang", "print").agg(F.min("doc_id").alias("doc_id"))
-    place = F.row_number().over(W.partitionBy("lang").orderBy("print"))
-    chosen = scratch.store(usable.withColumn("place", place).where(F.col("place") <= TRAINED), "sample")
+    # The first of each of SALTS parts of a language, then of those.
+    usable = usable.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    for groups in (("lang", "salt"), ("lang",)):
+        place = F.row_number().over(W.partitionBy(*groups).orderBy("print"))
+        usable = usable.withColumn("place", place).where(F.col("place") <= TRAINED)
+    chosen = scratch.store(usable.drop("salt"), "sample")
     # TRAINED rows of three numbers per language.
     sample = known.join(F.broadcast(chosen), ["lang", "print", "doc_id"]).dropDuplicates(["lang", "print"]).select("text", "lang", "place")
     rows = sample.mapInArrow(_bits, "bits binary, lang string, place int").orderBy("lang", "place").collect()
+    scratch.drop("sample")
     if not rows:
         return None
     unpacked = np.unpackbits(np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8).reshape(len(rows), -1), axis=1)
@@ -132,11 +149,10 @@ def train(documents: DataFrame) -> Model | None:
 
 
 def predicted(documents: DataFrame, model: Model | None, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: doc_id, carried (a struct of the columns `carry`), held_out, lang_pred, score."""
+    """Per row: doc_id, carried (a struct of the columns `carry`), held_out, lang_pred, score, familiar."""
     spark = settle(documents.sparkSession)
-    carried = (F.struct(*carry) if carry else F.lit(0)).alias("carried")
     text = F.col("text").cast("string")
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), carried, F.when(lettered(text), text).alias("text"))
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), carried(carry), F.when(lettered(text), text).alias("text"))
     shared = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,17 +160,17 @@ def predicted(documents: DataFrame, model: Model | None, carry: tuple[str, ...]
         for batch in batches:
             if known is None:
                 n = batch.num_rows
-                yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(["und"] * n), pa.array(np.zeros(n))], names)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(["und"] * n), pa.array(np.zeros(n)), pa.array(np.zeros(n))], names)
                 continue
             languages = pa.array(known.languages)
             for row, end, data, offsets in chunks(pc.utf8_lower(batch.column(2)), rows=128):
-                p = known.scores(presence(data, offsets))
+                p, familiar = known.judged(presence(data, offsets))
                 none = batch.column(2).slice(row, end - row).is_null()
                 found = pc.if_else(none, pa.scalar("und"), languages.take(pa.array(p.argmax(axis=1))))
-                value = pc.if_else(none, pa.scalar(0.0), pa.array(p.max(axis=1).astype(np.float64)))
-                yield pa.RecordBatch.from_arrays([*(c.slice(row, end - row) for c in batch.columns[:2]), found, value], names)
+                values = [pc.if_else(none, pa.scalar(0.0), pa.array(v.astype(np.float64))) for v in (p.max(axis=1), familiar)]
+                yield pa.RecordBatch.from_arrays([*(c.slice(row, end - row) for c in batch.columns[:2]), found, *values], names)
 
-    names = ["doc_id", "carried", "lang_pred", "score"]
-    kind = docs.schema["carried"].dataType.simpleString()
-    out = docs.mapInArrow(score, f"doc_id long, carried {kind}, lang_pred string, score double")
-    return out.select("doc_id", "carried", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    schema = schema_of(doc_id="long", carried=docs.schema["carried"].dataType, lang_pred="string", score="double", familiar="double")
+    names = schema.names
+    out = docs.mapInArrow(score, schema)
+    return out.select("doc_id", "carried", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "familiar")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratastar.llm.common import Scratch, settle
+from stratastar.llm.common import Scratch, carried, schema_of, settle
 from stratastar.llm.words import GRAMS, GRAMS_2, OTHER, Powers, Words, chunks, mix, signed, sums_between, words_of
 
 WINDOW = 20
@@ -210,7 +210,9 @@ def maximal_repeats(documents: DataFrame) -> DataFrame:
     later = found.where("hash_1 is not null").withColumn("place", F.rank().over(place)).where("place > 1")
     later = later.select("doc_id", "row", "start", "length").unionByName(found.where("hash_1 is null").select("doc_id", "row", "start", "length"))
     runs = later.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set(F.struct("start", "length"))).alias("runs"))
-    return scratch.store(runs.mapInArrow(_merged, "doc_id long, row int, repeats array<struct<start:int,end:int>>"), "spans")
+    spans = scratch.store(runs.mapInArrow(_merged, "doc_id long, row int, repeats array<struct<start:int,end:int>>"), "spans")
+    scratch.keep("spans")
+    return spans
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,10 +278,8 @@ def cut_repeats(documents: DataFrame, carry: tuple[str, ...] = (), as_it_was: bo
     kept_text has the kept words joined by one space; with `as_it_was` a text that loses nothing
     keeps its own white space (and a null stays null).
     """
-    carried = F.struct(*carry) if carry else F.lit(0)
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), carried.alias("carried"), F.col("text").cast("string").alias("text"))
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), carried(carry), F.col("text").cast("string").alias("text"))
     spans = maximal_repeats(docs)
     joined = docs.withColumn("row", F.hash("text")).join(spans, ["doc_id", "row"], "left").select("doc_id", "carried", "text", "repeats")
-    kind = docs.schema["carried"].dataType.simpleString()
-    schema = f"doc_id long, carried {kind}, n_words long, n_removed long, kept_text string"
+    schema = schema_of(doc_id="long", carried=docs.schema["carried"].dataType, n_words="long", n_removed="long", kept_text="string")
     return joined.mapInArrow(lambda batches: _kept(batches, as_it_was), schema)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -48,6 +51,50 @@ def test_accuracy_on_held_out_documents(spark):
     assert out.where("held_out <> (crc32(cast(string(doc_id) as binary)) % 4 = 2)").isEmpty()
 
 
+def test_training_rows_and_scores_against_a_plain_version(spark, monkeypatch):
+    """The query recomputed: which rows are learned from, the model of them, and every score one by one."""
+    monkeypatch.setattr(lid, "TRAINED", 12)
+    monkeypatch.setattr(lid, "LANDMARKS", 5)
+    rng = random.Random(2)
+    words = {"en": "the of and to in that with hat".split(), "de": "der die und das nicht ein über".split(), "fr": "le la les des est une été".split()}
+    docs = []
+    for i in range(150):
+        lang = rng.choice(list(words))
+        docs.append((i, " ".join(rng.choice(words[lang]) for _ in range(rng.randrange(4, 30))), lang))
+    docs += [(200, docs[0][1], docs[0][2]), (201, None, "en"), (202, "12 !", "de"), (None, "the of", "en"), (203, "of the", None), (0, docs[0][1], docs[0][2])]
+    df = spark.createDataFrame(docs, SCHEMA).repartition(5)
+
+    prints = {r.text: r.p for r in df.select("text", F.xxhash64("text").alias("p")).collect()}
+    learned = {}
+    for i, text, lang in docs:
+        if i is not None and lang and text and any(c.isalpha() for c in text) and zlib.crc32(str(i).encode()) % 4 != 2:
+            learned.setdefault(lang, set()).add(text)
+    rows, labels, landmark = [], [], []
+    for lang in sorted(learned):
+        for place, text in enumerate(sorted(learned[lang], key=prints.get)[:12]):
+            data = np.frombuffer(text.lower().encode(), np.uint8)
+            rows.append(lid.presence(data, np.array([0, len(data)]))[0])
+            labels.append(lang)
+            landmark.append(place < 5)
+    model = lid.learned(np.array(rows), labels, np.array(landmark))
+    found = lid.train(df)
+    assert found.languages == model.languages
+    np.testing.assert_allclose(found.weights, model.weights, atol=1e-4)
+    np.testing.assert_allclose(found.common, model.common, atol=1e-6)
+    out = lid.predicted(df, found).collect()
+    expected = []
+    for i, text, _ in docs:
+        if text and any(c.isalpha() for c in text):
+            data = np.frombuffer(text.lower().encode(), np.uint8)
+            p, familiar = model.judged(lid.presence(data, np.array([0, len(data)])))
+            expected.append((i if i is not None else -1, model.languages[int(p[0].argmax())], round(float(p[0].max()), 3), round(float(familiar[0]), 3)))
+        else:
+            expected.append((i if i is not None else -1, "und", 0.0, 0.0))
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.lang_pred, round(r.score, 3), round(r.familiar, 3)) for r in out)
+    for one, two in zip(got, sorted(expected), strict=True):
+        assert one[:2] == two[:2] and abs(one[2] - two[2]) < 2e-3 and abs(one[3] - two[3]) < 2e-3
+
+
 @pytest.fixture(scope="module")
 def small(spark):
     texts = {"en": "the cat and the dog with that hat ", "de": "und der die das nicht ein zwei über "}

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratastar.llm import mixing
+from stratastar.llm.common import Scratch
 from stratastar.llm.mixing import Mix
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -106,6 +107,27 @@ def test_fine_digits_change_nothing(spark, monkeypatch):
     assert rows(df, MIXES[1]) == whole
 
 
+@pytest.mark.parametrize("digits", [(8, 16_384), (1, 2), (64, 64)])
+def test_level_among_many_children(spark, monkeypatch, digits):
+    """Thousands of children under one parent, many alike or of one ratio, at budgets from nothing to more than all."""
+    monkeypatch.setattr(mixing, "RATIO_DIGITS", digits)
+    rng = random.Random(9)
+    children = {}
+    for n in range(1500):
+        parent = rng.choice(["hot"] * 5 + ["p", "q"])
+        weight, capacity = rng.choice([1, 1, 2, 3, 7]), rng.choice([10, 20, 30, rng.randrange(1, 10**6), rng.randrange(1, 50)])
+        children.setdefault(parent, {})[f"s{n}"] = (weight, capacity)
+    children["exact"] = {"a": (1, 10), "b": (2, 20), "c": (3, 30), "d": (1, 11)}
+    children["one"] = {"a": (5, 7)}
+    scratch = Scratch(spark, "test")
+    total = {p: sum(c for _, c in own.values()) for p, own in children.items()}
+    for share in (Fraction(0), Fraction(1, 1000), Fraction(1, 7), Fraction(60, 71), Fraction(99, 100), Fraction(1), Fraction(3)):
+        rows = [(p, name, w, c, int(total[p] * share)) for p, own in children.items() for name, (w, c) in own.items()]
+        df = spark.createDataFrame(rows, "domain string, source string, weight long, capacity long, budget long")
+        got = {(r.domain, r.source): r.share for r in mixing.allotted(df, ["domain"], scratch, "t").collect()}
+        assert got == {(p, name): x for p, own in children.items() for name, x in shared(int(total[p] * share), own).items()}
+
+
 def test_siblings_make_up_before_ancestors(spark):
     """b1 is short; b2 takes what is missing, and a1 gains nothing."""
     docs = [(i, "w " * 10, "en", "a1") for i in range(100)] + [(200, "w " * 10, "en", "b1")] + [(300 + i, "w " * 10, "en", "b2") for i in range(100)]

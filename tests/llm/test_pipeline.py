@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,7 +65,7 @@ def test_language_stage_rejects_only_texts_without_language(stages):
 
 def test_near_duplicates_stage_keeps_one_of_each_group(stages):
     before, after = stages[1], stages[2]
-    parts = test_near_dup.brute_force([(r.doc_id, r.text) for r in before if r.doc_id is not None])
+    parts = test_near_dup.brute_force([(r.doc_id, r.text) for r in before if r.doc_id is not None], pipeline.NEAR)
     expected = sorted(i for i, (_, _, kept) in parts.items() if kept)
     assert sorted(r.doc_id for r in after if r.doc_id is not None) == expected
     assert sum(r.doc_id is None for r in after) == 1 and not set(after) - set(before)
@@ -114,7 +115,10 @@ def test_packing_stage(stages):
 
 def test_run_writes_and_rereads_every_stage(spark, tmp_path):
     spark.createDataFrame(fixture(), SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    stored = set(folder.iterdir())
     out = pipeline.run(spark, str(tmp_path))
+    assert [p.name.split("-")[0] for p in set(folder.iterdir()) - stored] == ["packing"]  # nothing else stays
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and not out.isEmpty()
 
 
@@ -135,6 +139,42 @@ def test_near_duplicates_stage_follows_its_threshold(spark, monkeypatch):
     words = [f"word{i}" for i in range(100)]
     copy = [*words[:30], "one", *words[31:70], "two", *words[71:]]
     df = spark.createDataFrame([(i, " ".join(w), "en", "src0", 1) for i, w in enumerate((words, copy))], SCHEMA)
-    for percent, left in ((pipeline.NEAR, 2), (80, 1)):
+    assert pipeline.NEAR == 80
+    for percent, left in ((85, 2), (80, 1)):
         monkeypatch.setattr(pipeline, "NEAR", percent)
         assert pipeline.drop_near_duplicates(spark, df, "").count() == left
+
+
+def test_columns_of_any_name(spark):
+    """Names with dots and back quotes, and those that the operators use themselves, pass every stage."""
+    rows = [(*r, "x", i, "y", 1) for i, r in enumerate(fixture()[:60])]
+    names = "`a.b` string, `c``d` int, carried string, row int"
+    df = spark.createDataFrame(rows, f"{SCHEMA}, {names}")
+    for _, stage in pipeline.STAGES[:-1]:
+        result = stage(spark, df, "")
+        assert result.columns == df.columns
+        df = spark.createDataFrame(result.collect(), result.schema)
+    kept = df.collect()
+    assert kept and all((r["a.b"], r["carried"], r["row"]) == ("x", "y", 1) for r in kept)
+    assert pipeline.STAGES[-1][1](spark, df, "").count() >= len(kept)
+
+
+FOREIGN = {
+    "fi": "Tämä on suomenkielinen teksti joka ei kuulu mihinkään opituista kielistä ja siksi se pitäisi hylätä heti",
+    "pl": "Ten tekst jest napisany po polsku i nie należy do żadnego z poznanych języków dlatego powinien odpaść szybko",
+    "ru": "Этот текст написан по русски и не относится ни к одному из известных языков поэтому его надо отбросить",
+    "tr": "Bu metin Türkçe yazılmıştır ve öğrenilen dillerin hiçbirine ait değildir bu yüzden reddedilmelidir",
+    "zh": "这是一段中文文本不属于任何已学习的语言因此应当被拒绝",
+    "none": "qzx vbkw jqpf xxzt wqvj kzzp fvbq xjwk zqpv bqxt jvkz pwqx",
+}
+
+
+def test_language_stage_on_foreign_and_clean_texts(spark):
+    """Texts in no learned language go, whatever their length; every document with letters stays."""
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    more = [(10**9 + i, " ".join([text] * times), None, "src0", 1) for i, text in enumerate(FOREIGN.values()) for times in (1, 20)]
+    more += [(2 * 10**9, "This text is written in English and so it stays here", None, "src0", 1), (2 * 10**9 + 1, "Der Text ist deutsch und bleibt", None, "src0", 1)]
+    kept = pipeline.identify_language(spark, documents.unionByName(spark.createDataFrame(more, documents.schema)), "")
+    assert sorted(r.doc_id for r in kept.where("doc_id >= 1000000000").collect()) == [2 * 10**9, 2 * 10**9 + 1]
+    clean = documents.where(r"text rlike '\\p{L}'")
+    assert kept.where("doc_id < 1000000000").count() == clean.count()
