@@ -14,20 +14,20 @@ from pyspark.sql import functions as F
 
 from stratastar.llm import language_id, mixing, near_dup, packing, substring_dedup
 from stratastar.llm.queries import MIX, domain_of, tokenizer
-from stratastar.session import scratch_path
+from stratastar.session import remove, scratch_path, scratch_scope
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: A text in which no language stands out more than this is rejected, as is one without letters.
-LEAST_SCORE = 0.3
+#: A text less familiar than this (see language_id) is in no learned language and is rejected, as is one without letters.
+LEAST_FAMILIAR = 0.3
 #: Least similarity, in percent, of two documents of which the pipeline keeps one.
-NEAR = near_dup.PERCENT
+NEAR = 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the classifier knows stay, unchanged."""
     found = language_id.predicted(docs, language_id.train(docs), carry=tuple(docs.columns))
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("carried.*")
+    return found.where((F.col("lang_pred") != "und") & (F.col("familiar") >= LEAST_FAMILIAR)).select("carried.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document that loses nothing keeps its text as it is; one that loses every word goes.
     """
     cut = substring_dedup.cut_repeats(docs, carry=tuple(docs.columns), as_it_was=True)
-    own = {name: F.col(f"carried.{name}") for name in docs.columns}
+    own = {name: F.col("carried").getField(name) for name in docs.columns}
     own["text"] = F.col("kept_text")
     if "n_chars" in own:
         own["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(own["n_chars"]).cast(docs.schema["n_chars"].dataType)
@@ -73,10 +73,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages' last result. What a stage stores on its way goes when its result is written, and its input after that."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, name)
-        result = stage(spark, docs, sf_dir)
-        result.write.parquet(path)
-        docs = spark.read.schema(result.schema).parquet(path)
+        with scratch_scope(spark):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        docs, before = spark.read.schema(result.schema).parquet(path), path
     return docs

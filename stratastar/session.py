@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,8 +56,26 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+#: Paths handed out inside each open `scratch_scope`, innermost last.
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes every scratch table made inside once the block ends: write what is to stay before that, elsewhere."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove(spark, path)
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -97,6 +116,17 @@ def switch(spark: SparkSession, new: str, path: str) -> None:
         raise OSError(f"could not move {new} to {path}")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """`df`, dealt out to all cores if its scan has fewer tasks than there are cores.
+
+    A file of one row group is read by one task, which would then do a whole wide projection
+    alone. A table with enough files or row groups is left as it is, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if 0 < tasks < cores else df
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once and read it back.
 
