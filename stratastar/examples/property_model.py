@@ -22,7 +22,7 @@ from stratastar.plans.gold import dimension, fact
 from stratastar.plans.security import ROLES, access_table, stored_grants, visible
 from stratastar.plans.semantic import measure_query, needed
 from stratastar.plans.silver import silver_table
-from stratastar.session import materialise, materialise_all
+from stratastar.session import dealt, materialise, materialise_all
 
 # Source table: (given table, versions per key).
 ORIGINS = {
@@ -168,7 +168,7 @@ class PropertyModel:
 
     def bronze(self, name: str) -> DataFrame:
         table, _ = ORIGINS[name]
-        rows = getattr(self.t, table).withColumn("k", F.expr(ROWS[table]).cast("long"))
+        rows = dealt(getattr(self.t, table)).withColumn("k", F.expr(ROWS[table]).cast("long"))
         return rows.select(*[F.expr(text).alias(column) for column, text in source_columns(name).items()])
 
     def silver(self, name: str) -> DataFrame:

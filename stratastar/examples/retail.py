@@ -17,7 +17,7 @@ from stratastar.plans.gold import dimension, fact
 from stratastar.plans.semantic import Measure, Model, Relationship, measure_query, needed
 from stratastar.plans.silver import silver_table
 from stratastar.plans.specs import DimensionSpec, FactSpec, SilverSpec
-from stratastar.session import materialise_all
+from stratastar.session import dealt, materialise_all
 
 ORDER_TEXT = {
     "order_id": "cast(o_orderkey as string)",
@@ -129,11 +129,11 @@ FACT_LINE = FactSpec(
 
 
 def bronze_orders(t: Tables) -> DataFrame:
-    return t.orders.select(*[F.expr(text).alias(name) for name, text in ORDER_TEXT.items()])
+    return dealt(t.orders).select(*[F.expr(text).alias(name) for name, text in ORDER_TEXT.items()])
 
 
 def bronze_lines(t: Tables) -> DataFrame:
-    return t.lineitem.select(*[F.expr(text).alias(name) for name, text in LINE_TEXT.items()])
+    return dealt(t.lineitem).select(*[F.expr(text).alias(name) for name, text in LINE_TEXT.items()])
 
 
 def silver_orders(t: Tables) -> DataFrame:

@@ -10,7 +10,7 @@ from stratastar.examples import retail
 from stratastar.examples.columns import CALENDAR_SQL, LOAD_TIME, RATE_SQL
 from stratastar.examples.registry import Tables, query
 from stratastar.plans.gold import dimension, fact
-from stratastar.plans.semantic import Measure, Model, measure_query, propagate, related
+from stratastar.plans.semantic import Measure, Model, measure_query, propagate, related, store_by_year
 from stratastar.session import materialise, materialise_all, scratch_path
 from stratastar.sources import bronze
 from stratastar.sources.state import LatestState
@@ -155,6 +155,24 @@ def _(t: Tables):
     return propagate(model, "fact_order", filters).select("order_id", "amount")
 
 
+@query(
+    "j9_pruned_years",
+    f"""{STAR} SELECT order_id, amount FROM fact_order WHERE customer_key IN (
+           SELECT customer_key FROM dim_customer WHERE c_mktsegment = 'BUILDING')
+        AND date_order_key // 10000 = 1997""",
+)
+def _(t: Tables):
+    """The same filters on a fact stored by year: the other years' files stay closed."""
+    model = retail.retail_model(t, "fact_order", reads={"fact_order": {"customer_key"}})
+    stored = store_by_year(model.tables["fact_order"], "date_order_key", scratch_path(t.spark, "by-year"))
+    model = Model({**model.tables, "fact_order": stored}, model.relationships, model.measures, by_year={"fact_order": "date_order_key"})
+    filters = {
+        "dim_customer": model.tables["dim_customer"].where("c_mktsegment = 'BUILDING'"),
+        "dim_date": model.tables["dim_date"].where("annee = 1997"),
+    }
+    return propagate(model, "fact_order", filters).select("order_id", "amount")
+
+
 @query(
     "j10_drill_across",
     f"""{STAR}, o AS (SELECT date_order_key // 10000 AS annee, statut_value, sum(amount) AS revenue, count(*) AS n_orders

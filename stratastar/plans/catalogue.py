@@ -697,15 +697,15 @@ _TARGETS = {
 }
 
 
-def _lookups(stems: str) -> tuple[Lookup, ...]:
-    return tuple(Lookup(_TARGETS[s][0], f"{s}_id", f"{s}_id", _TARGETS[s][1]) for s in stems.split())
+def _lookups(stems: Sequence[str]) -> tuple[Lookup, ...]:
+    return tuple(Lookup(_TARGETS[s][0], f"{s}_id", f"{s}_id", _TARGETS[s][1]) for s in stems)
 
 
-def _dimension(stem: str, source: str, unknown: str, texts: Mapping[str, str | bool], **extra) -> DimensionSpec:
+def _dimension(stem: str, source: str, unknown: Sequence[str], texts: Mapping[str, str | bool], **extra) -> DimensionSpec:
     """`unknown` lists the columns that read INCONNU in the unknown member."""
     name, key = _TARGETS[stem]
     spec = SILVER[source]
-    values = {**dict.fromkeys(unknown.split(), "INCONNU"), **texts}
+    values = {**dict.fromkeys(unknown, "INCONNU"), **texts}
     return DimensionSpec(
         name, source, f"{stem}_id", key, unknown=values, version_order=spec.version_order, deleted=spec.deleted, **extra
     )
@@ -718,7 +718,7 @@ DIMENSIONS = {
         _dimension(
             "agence",
             "agences_regions",
-            "statut_agence",
+            ("statut_agence",),
             {
                 "nom_agence": "Agence inconnue",
                 "code_agence": "__UNKNOWN__",
@@ -730,55 +730,55 @@ DIMENSIONS = {
         _dimension(
             "partenaire",
             "partenaires_patrimoine",
-            "type_partenaire statut_partenaire niveau_partenaire segment_partenaire statut_convention",
+            ("type_partenaire", "statut_partenaire", "niveau_partenaire", "segment_partenaire", "statut_convention"),
             {"raison_sociale": "Partenaire inconnu", "is_active": True},
             full_name=("contact_principal", "prenom_contact_principal", "nom_contact_principal"),
         ),
         _dimension(
             "programme",
             "programmes_immobiliers",
-            "type_programme type_actif segment_marche statut_programme",
+            ("type_programme", "type_actif", "segment_marche", "statut_programme"),
             {"nom_programme": "Programme inconnu", "is_active": True},
         ),
         _dimension(
             "produit",
             "produits_investissement",
-            "famille_produit type_produit sous_type_produit statut_commercialisation",
+            ("famille_produit", "type_produit", "sous_type_produit", "statut_commercialisation"),
             {"nom_produit": "Produit inconnu", "is_active": True},
         ),
         _dimension(
             "conseiller",
             "conseillers",
-            "statut_collaborateur",
+            ("statut_collaborateur",),
             {
                 "nom": "Conseiller inconnu",
                 "nom_complet": "Conseiller inconnu",
                 "region_id": "__UNKNOWN__",
                 "is_active": True,
             },
-            parents=_lookups("agence"),
+            parents=_lookups(("agence",)),
             full_name=("nom_complet", "prenom", "nom"),
         ),
         _dimension(
             "lot",
             "lots_immobiliers",
-            "type_lot typologie statut_lot",
+            ("type_lot", "typologie", "statut_lot"),
             {"numero_lot": "Lot inconnu", "parking_inclus": False, "is_active": True},
-            parents=_lookups("programme"),
+            parents=_lookups(("programme",)),
         ),
         _dimension(
             "investisseur",
             "crm_investisseurs",
-            "profil_investisseur statut_client",
+            ("profil_investisseur", "statut_client"),
             {"nom": "Investisseur inconnu", "nom_complet": "Investisseur inconnu", "is_deleted": False},
-            parents=_lookups("partenaire conseiller agence"),
+            parents=_lookups(("partenaire", "conseiller", "agence")),
             full_name=("nom_complet", "prenom", "nom"),
         ),
     )
 }
 
 
-def _fact(name: str, source: str, key: str, stems: str, date_role: str, status: tuple[str, str] | None = None, **extra) -> FactSpec:
+def _fact(name: str, source: str, key: str, stems: Sequence[str], date_role: str, status: tuple[str, str] | None = None, **extra) -> FactSpec:
     spec = SILVER[source]
     live = ("is_deleted", False) if spec.deleted else ("is_active", True)
     return FactSpec(name, source, spec.key, key, _lookups(stems), f"{date_role}_key", status, live, **extra)
@@ -791,7 +791,7 @@ FACTS = {
             "fact_vente",
             "ventes_immobilieres",
             "vente_key",
-            "investisseur partenaire conseiller agence programme lot",
+            ("investisseur", "partenaire", "conseiller", "agence", "programme", "lot"),
             "date_signature_acte",
             ("VENTE", "statut_vente"),
         ),
@@ -799,7 +799,7 @@ FACTS = {
             "fact_reservation",
             "reservations_immobilieres",
             "reservation_key",
-            "investisseur partenaire conseiller agence programme lot",
+            ("investisseur", "partenaire", "conseiller", "agence", "programme", "lot"),
             "date_reservation",
             ("RESERVATION", "statut_reservation"),
             drop=("commentaire_commercial",),
@@ -808,7 +808,7 @@ FACTS = {
             "fact_commission",
             "commissions",
             "commission_key",
-            "investisseur partenaire conseiller agence produit programme",
+            ("investisseur", "partenaire", "conseiller", "agence", "produit", "programme"),
             "date_calcul",
             ("COMMISSION", "statut_commission"),
         ),
@@ -816,7 +816,7 @@ FACTS = {
             "fact_objectif_commercial",
             "objectifs_commerciaux",
             "objectif_key",
-            "agence conseiller partenaire",
+            ("agence", "conseiller", "partenaire"),
             "date_objectif",
             drop=("is_active",),
             extra={
@@ -828,7 +828,7 @@ FACTS = {
             "fact_souscription_pierre_papier",
             "souscriptions_pierre_papier",
             "souscription_key",
-            "investisseur partenaire conseiller agence produit",
+            ("investisseur", "partenaire", "conseiller", "agence", "produit"),
             "date_souscription",
             ("SOUSCRIPTION", "statut_souscription"),
         ),
@@ -836,7 +836,7 @@ FACTS = {
             "fact_operation_crowdfunding",
             "operations_crowdfunding",
             "crowdfunding_key",
-            "investisseur partenaire conseiller agence",
+            ("investisseur", "partenaire", "conseiller", "agence"),
             "date_investissement",
             ("CROWDFUNDING", "statut_operation"),
         ),
@@ -844,7 +844,7 @@ FACTS = {
             "fact_financement",
             "financements",
             "financement_key",
-            "investisseur",
+            ("investisseur",),
             "date_demande",
             ("FINANCEMENT", "statut_financement"),
         ),
@@ -852,7 +852,7 @@ FACTS = {
             "fact_gestion_locative",
             "gestion_locative",
             "gestion_locative_key",
-            "investisseur programme lot",
+            ("investisseur", "programme", "lot"),
             "date_debut_gestion",
             ("GESTION_LOCATIVE", "statut_gestion"),
         ),
@@ -860,7 +860,7 @@ FACTS = {
             "fact_revente",
             "revente_biens",
             "revente_key",
-            "investisseur programme lot",
+            ("investisseur", "programme", "lot"),
             "date_demande_revente",
             ("REVENTE", "statut_revente"),
         ),
@@ -868,7 +868,7 @@ FACTS = {
             "fact_dossier_adv",
             "dossiers_adv",
             "dossier_adv_key",
-            "investisseur partenaire conseiller programme lot",
+            ("investisseur", "partenaire", "conseiller", "programme", "lot"),
             "date_ouverture_dossier",
             ("DOSSIER_ADV", "statut_dossier"),
         ),

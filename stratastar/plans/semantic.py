@@ -44,6 +44,8 @@ class Model:
     #: Member numbers (value, number) by (table, column): distinct measures of those columns are counted
     #: by bitmaps, which are summed up per foreign key before the dimensions as other measures are.
     numbers: Mapping[tuple[str, str], DataFrame] = field(default_factory=dict)
+    #: Date key by table, for facts stored by year (see `store_by_year`): a filter on dates then opens only its years' files.
+    by_year: Mapping[str, str] = field(default_factory=dict)
     by_table: Mapping[str, Mapping[str, Relationship]] = field(init=False)
 
     def __post_init__(self) -> None:
@@ -56,6 +58,25 @@ class Model:
         return self.by_table.get(table, {}).get(dimension)
 
 
+YEAR = "annee_partition"
+
+
+def year_of_key(date_key: Column) -> Column:
+    """Year of an integer date key."""
+    return F.floor(date_key / 10000).cast("int")
+
+
+def store_by_year(fact: DataFrame, date_key: str, path: str) -> DataFrame:
+    """Store a fact in one folder per year of a date key; rows without a date have a folder of their own.
+
+    Rows of a year are dealt to files of a limited size, so a year that holds a third of all rows is
+    written by many tasks.
+    """
+    rows = fact.withColumn(YEAR, year_of_key(F.col(date_key)))
+    rows.hint("rebalance", F.col(YEAR)).write.partitionBy(YEAR).parquet(path)
+    return fact.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def related(model: Model, table: str, dimension: str, columns: Sequence[str | Column], df: DataFrame | None = None) -> DataFrame:
     """`table` with columns of a related dimension, joined over the registered relationship."""
     edge = model.edge(table, dimension)
@@ -75,6 +96,10 @@ def propagate(model: Model, table: str, filters: Mapping[str, DataFrame], df: Da
             rows = rows.join(survivors.select(F.col(edge_key).alias("__pk")), F.col(edge_key) == F.col("__pk"), "left_semi")
             continue
         edge = model.edge(table, dimension)
+        if edge is not None and model.by_year.get(table) == edge.foreign_key:
+            # Years are few, so this side is broadcast, and the scan is pruned by it before it starts.
+            years = survivors.select(year_of_key(F.col(edge.key)).alias("__year")).distinct()
+            rows = rows.join(years, F.col(YEAR) == F.col("__year"), "left_semi")
         if edge is not None:
             keys = survivors.select(F.col(edge.key).alias("__pk"))
             rows = rows.join(keys, F.col(edge.foreign_key) == F.col("__pk"), "left_semi")

@@ -12,7 +12,8 @@ from stratastar.examples import Tables
 from stratastar.examples.property_model import PropertyModel
 from stratastar.plans import catalogue, pipeline
 from stratastar.plans.security import ROLES, Role, access_table, secured, user_grants, visible
-from stratastar.plans.semantic import measure_query, propagate
+from stratastar.plans.semantic import YEAR, Model, Relationship, measure_query, propagate, store_by_year
+from stratastar.session import materialise
 from stratastar.sources.layout import Layout
 
 FOLDER = "/root/testdata/sf0.001"
@@ -191,3 +192,20 @@ def test_roles_reach_the_facts(spark, layers):
     assert kept.count() == gold["fact_vente"].where(F.col("agence_region_key") == agency.agence_region_key).count()
     # A second role leaves the agencies unfiltered, and roles add up.
     assert secured(gold, access, "U@x.com", [role, Role("dim_conseiller", ("agence_id",))]) == {}
+
+
+def test_a_date_filter_opens_only_its_years(spark, tmp_path):
+    rows = [(n, None if n % 50 == 0 else 20200101 + 10000 * (n % 5) + n % 28) for n in range(2000)]
+    fact = spark.createDataFrame(rows, "id int, date_key int")
+    stored = store_by_year(fact, "date_key", str(tmp_path / "f"))
+    days = spark.createDataFrame([(k, k // 10000) for k in sorted({k for _, k in rows if k})], "date_key int, annee int")
+    days = materialise(days, "days")
+    model = Model({"fact": stored, "dim_date": days}, [Relationship("fact", "date_key", "dim_date", "date_key")], {}, by_year={"fact": "date_key"})
+    # Files that no reader could open: the query succeeds only if they stay closed.
+    for folder in (tmp_path / "f").glob(f"{YEAR}=*"):
+        if not folder.name.endswith("=2022"):
+            for file in folder.glob("*.parquet"):
+                file.write_bytes(b"closed")
+                file.with_name(f".{file.name}.crc").unlink()
+    kept = propagate(model, "fact", {"dim_date": days.where("annee = 2022")})
+    assert sorted(r.id for r in kept.collect()) == [n for n, k in rows if k and k // 10000 == 2022]
