@@ -24,12 +24,14 @@ are not read.
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +49,11 @@ SMALL = (1 / 8, 1 / 3, 2 / 5, 1 / 2)
 GROUPS = 96
 #: Rows ranked together.
 SALTED = 50_000
-#: Space-free runs whose ids a task remembers; forgotten when full.
-REMEMBERED = 100_000
+#: Space-free runs, and words, whose ids a task remembers; forgotten when full.
+REMEMBERED = 500_000
+#: Bytes of text split into runs at once.
+BLOCK = 4 << 20
+_SPACE = re.compile(rb"[\x09-\x0D ]")
 
 # ---------------------------------------------------------------- tokens
 
@@ -56,14 +61,36 @@ if sys.byteorder != "little":
     raise ImportError("ids are packed as this machine lays them out, which must be little-endian")
 
 
+#: Normaliser and pre-tokenizer under which a text's ids are those of its space-free runs.
+RUNS = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
 class Encoder(dict):
     """Ids of whole texts, as little-endian 32-bit numbers.
 
-    White space never lies inside a token and leaves no token, so a text's ids are those of its
-    space-free runs, one after another. A run's ids are remembered; of two generations of
-    REMEMBERED runs the older one goes. A run of Latin letters is one word of the vocabulary's
-    model, lower-cased, byte by byte, and ASCII marks after it are words of their own; any other
-    run is encoded in full.
+    Under a file's RUNS rules white space never lies inside a token and leaves no token, so a text's
+    ids are those of its space-free runs, one after another. A run's ids are remembered; of two
+    generations of REMEMBERED runs the older one goes. A run of Latin letters is one word of the
+    vocabulary's model, lower-cased, byte by byte, and ASCII marks after it are words of their own;
+    any other run is encoded in full. Words are remembered too, as the same one stands in runs with
+    other marks and capitals. A file with other rules encodes whole texts.
     """
 
     #: Letters whose lower case is one letter and which no normal form changes, then marks.
@@ -76,9 +103,19 @@ class Encoder(dict):
         super().__init__()
         from tokenizers import Tokenizer
 
+        read = json.loads(Path(path).read_text())
+        self.by_runs = (
+            all(read[part] == rules for part, rules in RUNS.items())
+            and read["model"]["type"] == "BPE"
+            and not read["model"].get("dropout")
+            and all(re.fullmatch(r"<\|[a-z]+\|>", t["content"]) and not (t["normalized"] or t["lstrip"] or t["rstrip"]) for t in read["added_tokens"])
+        )
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.older: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {"": b""}
 
     def full(self, run: str) -> bytes:
@@ -100,9 +137,12 @@ class Encoder(dict):
             else:
                 word, marks = parts
                 word = word.lower()
-                if not word.isascii():
-                    word = word.encode().decode("latin-1").translate(self.written)
-                ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+                ids = self.words.get(word)
+                if ids is None:
+                    spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self.written)
+                    if len(self.words) >= REMEMBERED:
+                        self.words.clear()
+                    ids = self.words[word] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
                 if marks:
                     if marks not in self.marks:
                         self.marks = {"": b""} if len(self.marks) > REMEMBERED else self.marks
@@ -114,9 +154,23 @@ class Encoder(dict):
         self[run] = ids
         return ids
 
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        for text in texts:
-            yield b"".join(map(self.__getitem__, text.split()))
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of every text."""
+        if not self.by_runs:
+            return [self.full(text.decode()) for text in texts]
+        return [b"".join(b"".join(map(self.__getitem__, block.split())) for block in _blocks(text)) for text in texts]
+
+
+def _blocks(text: bytes) -> Iterator[bytes]:
+    """A long text in blocks cut at white space, which no token crosses."""
+    at = 0
+    while len(text) - at > BLOCK:
+        end = _SPACE.search(text, at + BLOCK)
+        if end is None:
+            break
+        yield text[at : end.start()]
+        at = end.start()
+    yield text[at:]
 
 
 _ENCODERS: dict[str, Encoder] = {}

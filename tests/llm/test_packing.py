@@ -46,14 +46,39 @@ def test_ids_of_every_letter(tk):
 @given(st.text(max_size=60) | st.text(alphabet="aé É.!ßſİŉΣ' -1", max_size=30))
 def test_ids_of_any_text(text):
     tk, encoder = Tokenizer.from_file(tokenizer()), packing.encoder_for(tokenizer())
-    assert np.frombuffer(next(encoder.encode([text.encode()])), "<u4").tolist() == tk.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == tk.encode(text, add_special_tokens=False).ids
+
+
+def test_other_tokenizer_files_encode_whole_texts():
+    """A file whose normaliser or splitter is another one: no short way is taken."""
+    path = tokenizer("byte_bpe_50k.json")
+    encoder, tk = packing.Encoder(path), Tokenizer.from_file(path)
+    assert not encoder.by_runs and packing.Encoder(tokenizer()).by_runs
+    texts = ["Plain Words, here it is. don't STOP now! été", "", " a\n\tb  ", "x<|endoftext|>y"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([t.encode() for t in texts])] == [e.ids for e in tk.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_both_files_pack(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 50)
+    docs = {i: f"Some Words, number {i}; don't stop! " * (i % 9 + 1) for i in range(60)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        check(packing.packed(df, tokenizer(name)).collect(), docs, Tokenizer.from_file(tokenizer(name)))
+
+
+def test_long_texts_in_blocks(tk, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 20)
+    text = ("the cat, sat!\n\non  the mat " * 20 + "x" * 70 + " end").encode()
+    blocks = list(packing._blocks(text))
+    assert b"".join(blocks) == text and len(blocks) > 10
+    assert sum((np.frombuffer(packing.Encoder(tokenizer()).encode([b])[0], "<u4").tolist() for b in blocks), []) == tk.encode(text.decode(), add_special_tokens=False).ids
 
 
 def test_forgetting_changes_nothing(tk, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 3)
     encoder = packing.Encoder(tokenizer())
     text = "the cat, sat! the mat. on the cat, again? " * 5
-    assert np.frombuffer(next(encoder.encode([text.encode()])), "<u4").tolist() == tk.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == tk.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("seed", range(12))
