@@ -17,8 +17,8 @@ from stratastar.session import remove, scratch_path
 #: Whole texts travel to Python in batches of about this size, so that few very long ones fit too.
 #: Shuffled texts are dealt to tasks in smaller parts than Spark's own rows, as Python holds them too.
 BATCH = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "1m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
 }
 

@@ -360,7 +360,7 @@ def without_near_duplicates(documents: DataFrame, percent: int = PERCENT) -> Dat
     smallest id, and of rows that repeat it by id and text, one. Rows with a null id all stay."""
     scratch = Scratch(documents.sparkSession, "near-dup-stay")
     judged = near_duplicates(documents, percent).select("doc_id", "text_hash", "kept")
-    gone = judged.where("not kept").select("doc_id", "text_hash").distinct()
+    gone = scratch.store(judged.where("not kept").select("doc_id", "text_hash").distinct(), "gone")
     again = judged.where("kept and doc_id is not null").groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash")
     again = scratch.store(again, "again")
 

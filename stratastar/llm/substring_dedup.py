@@ -40,7 +40,7 @@ ANCHOR = 8
 #: Anchors in a window.
 SPREAD = WINDOW - ANCHOR + 1
 #: Candidate runs and windows that a task holds before it compares them among themselves.
-HELD = 200_000
+HELD = 80_000
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -178,9 +178,10 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if near.any():
                 (_, one), (_, two) = words.grams(WINDOW), words.grams(WINDOW, second=True)
                 add(found.first[near], one[near], two[near], np.ones(int(near.sum())))
-        if held >= HELD:
-            yield from _compared(parts)
-            parts, held = [], 0
+            if held >= HELD:
+                yield from _compared(parts)
+                parts, held = [], 0
+        pa.default_memory_pool().release_unused()
     if held:
         yield from _compared(parts)
 

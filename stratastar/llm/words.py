@@ -52,7 +52,7 @@ class Powers:
             self.down = np.concatenate([self.down, self.down * _U(pow(self.inverse, m, 1 << 64))])
         return self.up[:n], self.down[:n]
 
-    def forget(self, most: int = 4 << 20) -> None:
+    def forget(self, most: int = 1 << 20) -> None:
         """Give back what one very long text needed."""
         if len(self.up) > most:
             self.up, self.down = self.up[:most].copy(), self.down[:most].copy()
