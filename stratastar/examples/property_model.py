@@ -10,6 +10,8 @@ theirs follow from the row number.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +20,10 @@ from stratastar.examples.registry import Tables, query
 from stratastar.functions.keys import NULL_TOKEN
 from stratastar.operators import domain_values, freshness, observed_dates, quality_log
 from stratastar.plans import catalogue, pipeline
-from stratastar.plans.gold import dimension, fact
+from stratastar.plans.gold import dimension, fact, read_by_dimension, read_by_fact
 from stratastar.plans.security import ROLES, access_table, stored_grants, visible
 from stratastar.plans.semantic import measure_query, needed
-from stratastar.plans.silver import silver_table
+from stratastar.plans.silver import silver_columns, silver_table
 from stratastar.session import dealt, materialise, materialise_all
 
 # Source table: (given table, versions per key).
@@ -178,8 +180,22 @@ class PropertyModel:
         """All typed versions; a reader of few columns scans few columns and shuffles nothing."""
         return silver_table(self.bronze(name), catalogue.SILVER[name], dedup=False)
 
-    def dimensions(self, *names: str) -> dict[str, DataFrame]:
-        """The dimensions and their parents, stored in dependency order, independent ones together."""
+    def silver_of(self, reads: dict[str, set[str]]) -> dict[str, DataFrame]:
+        """Stored silver tables that hold the columns named for each and its version time."""
+
+        def one(item: tuple[str, set[str]]) -> DataFrame:
+            name, columns = item
+            spec = catalogue.SILVER[name]
+            return silver_columns(self.bronze(name), spec, columns | {spec.version_order[0]}, lambda df: materialise(df, name))
+
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            return dict(zip(reads, pool.map(one, reads.items()), strict=True))
+
+    def dimensions(self, *names: str, reads: dict[str, set[str]] | None = None) -> dict[str, DataFrame]:
+        """The dimensions and their parents, stored in dependency order, independent ones together.
+
+        With `reads` (columns by dimension) they hold their keys and what is read.
+        """
         specs = catalogue.DIMENSIONS
         wanted: set[str] = set()
         pending = [n for n in names if n in specs]
@@ -188,10 +204,12 @@ class PropertyModel:
             if name not in wanted:
                 wanted.add(name)
                 pending += [p.dimension for p in specs[name].parents]
+        silver = None if reads is None else self.silver_of({specs[n].source: read_by_dimension(specs[n]) | reads.get(n, set()) for n in wanted})
         built: dict[str, DataFrame] = {}
         while wanted - set(built):
             ready = [n for n in specs if n in wanted - set(built) and all(p.dimension in built for p in specs[n].parents)]
-            built |= materialise_all({n: dimension(self.silver(specs[n].source), specs[n], built, latest=False) for n in ready})
+            rows = {n: self.silver(specs[n].source) if silver is None else silver[specs[n].source] for n in ready}
+            built |= materialise_all({n: dimension(rows[n], specs[n], built, latest=False) for n in ready})
         return built
 
     def statuses(self, *domains: str) -> DataFrame:
@@ -208,20 +226,27 @@ class PropertyModel:
         dims = dict(dimensions) if dimensions else self.dimensions(*[target.dimension for target in spec.lookups])
         if spec.status and "dim_statut" not in dims and (only is None or "statut_key" in only):
             dims["dim_statut"] = materialise(self.statuses(spec.status[0]), "dim_statut")
-        return fact(self.silver(spec.source), spec, dims, only)
+        return fact(self.silver(spec.source), spec, dims, only, unique=True)
 
     def facts(self, *names: str, reads: dict[str, set[str]] | None = None) -> dict[str, DataFrame]:
-        """The facts and what they look up; with `reads` (columns by fact) only the lookups that are read."""
+        """The facts and what they look up; with `reads` (columns by table) only the lookups and columns that are read."""
         specs = [catalogue.FACTS[n] for n in names]
         keys = {spec.name: None if reads is None else reads.get(spec.name, set()) for spec in specs}
         read = lambda spec, key: keys[spec.name] is None or key in keys[spec.name]
-        dims = self.dimensions(*[target.dimension for spec in specs for target in spec.lookups if read(spec, target.key)])
+        dims = self.dimensions(*[target.dimension for spec in specs for target in spec.lookups if read(spec, target.key)], reads=reads)
         domains = [spec.status[0] for spec in specs if spec.status and read(spec, "statut_key")]
         if domains:
             dims["dim_statut"] = materialise(self.statuses(*domains), "dim_statut")
         if reads is None:
             return {**dims, **{spec.name: self.fact(spec.name, dims) for spec in specs}}
-        return {**dims, **{spec.name: fact(self.silver(spec.source), spec, dims, keys[spec.name]) for spec in specs}}
+        silver = self.silver_of({spec.source: read_by_fact(spec, keys[spec.name]) | _behind(spec, keys[spec.name]) for spec in specs})
+        return {**dims, **{spec.name: fact(silver[spec.source], spec, dims, keys[spec.name]) for spec in specs}}
+
+
+def _behind(spec, columns: set[str]) -> set[str]:
+    """Source columns that the columns of a gold table come from; all of them if it has derived ones."""
+    source = catalogue.SILVER[spec.source].columns
+    return set(source) if getattr(spec, "extra", None) else {c for c in source if c in columns or f"{c}_key" in columns}
 
 
 # The same layers in SQL.
@@ -466,12 +491,16 @@ def _gold(t: Tables, *names: str, reads: dict[str, set[str]] | None = None) -> d
     facts = [n for n in names if n in catalogue.FACTS]
     tables = model.facts(*facts, reads=reads) if facts else {}
     missing = [n for n in names if n in catalogue.DIMENSIONS and n not in tables]
-    return {**tables, **model.dimensions(*missing)}
+    return {**tables, **model.dimensions(*missing, reads=reads)}
+
+
+def _checked_columns() -> dict[str, set[str]]:
+    return {check.table: {c.column for c in catalogue.QUALITY_CHECKS if c.table == check.table} for check in catalogue.QUALITY_CHECKS}
 
 
 @query("tech_data_quality_log", _quality_sql())
 def _(t: Tables):
-    return quality_log(_gold(t, *_QUALITY_TABLES, reads={c.table: {c.column} for c in catalogue.QUALITY_CHECKS}), catalogue.QUALITY_CHECKS, F.lit(LOAD_TIME).cast("timestamp_ntz"))
+    return quality_log(_gold(t, *_QUALITY_TABLES, reads=_checked_columns()), catalogue.QUALITY_CHECKS, F.lit(LOAD_TIME).cast("timestamp_ntz"))
 
 
 def _freshness_rows_sql() -> str:
@@ -496,10 +525,29 @@ def _freshness_sql() -> str:
     return f"{silver}, {built} {_freshness_rows_sql()}"
 
 
-def stored_layers(t: Tables) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """All silver and gold tables, each stored once, as a full refresh leaves them."""
+def _stored_columns(name: str, reads: dict[str, set[str]]) -> set[str]:
+    """Columns of a silver table that the gold tables are built from, and those behind what is read of them."""
+    spec = catalogue.SILVER[name]
+    dims = [s for s in catalogue.DIMENSIONS.values() if s.source == name]
+    facts = [s for s in catalogue.FACTS.values() if s.source == name]
+    columns = {spec.key, *reads.get(name, ())}
+    columns |= set().union(*[read_by_dimension(s) for s in dims], *[read_by_fact(s) for s in facts])
+    columns |= set().union(*[_behind(s, reads.get(s.name, set())) for s in (*dims, *facts)])
+    columns |= {column for source, column in catalogue.STATUS_DOMAINS.values() if source == name}
+    if facts:
+        columns |= {c for c, kind in spec.columns.items() if kind == "date"}
+    return set(spec.columns) if name == "security_user_access" else columns
+
+
+def stored_layers(t: Tables, reads: dict[str, set[str]] | None = None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """All silver and gold tables with the columns that keys, dates and statuses come from and those in
+    `reads` (columns by silver or gold table).
+
+    Each silver table, dimension, date and status is stored once. Facts are plans over stored tables: their hash
+    keys, 64 characters each, would be most of the disk.
+    """
     model = PropertyModel(t)
-    silver = materialise_all({name: model.silver(name) for name in catalogue.SILVER})
+    silver = model.silver_of({name: _stored_columns(name, reads or {}) for name in catalogue.SILVER})
     base = {n: s for n, s in catalogue.DIMENSIONS.items()}
     gold: dict[str, DataFrame] = {}
     while set(base) - set(gold):
@@ -507,8 +555,8 @@ def stored_layers(t: Tables) -> tuple[dict[str, DataFrame], dict[str, DataFrame]
         gold |= materialise_all({n: dimension(silver[base[n].source], base[n], gold, latest=False) for n in ready})
     rest = pipeline.build_dimensions(silver, only={"dim_date", "dim_statut"})
     gold |= materialise_all({n: rest[n] for n in ("dim_date", "dim_statut")})
-    gold |= materialise_all({**pipeline.build_facts(silver, gold), "security_user_access": access_table(silver["security_user_access"])})
-    return silver, gold
+    gold |= materialise_all({"security_user_access": access_table(silver["security_user_access"])})
+    return silver, {**gold, **pipeline.build_facts(silver, gold)}
 
 
 @query("tech_data_freshness", _freshness_sql())
@@ -566,6 +614,18 @@ def _tests_sql() -> str:
     )
 
 
+def _tested_columns() -> dict[str, set[str]]:
+    """Columns by table that the data tests and the quality log read."""
+    reads: dict[str, set[str]] = {}
+    for name, spec in catalogue.SILVER.items():
+        reads[name] = {c for c in ("is_deleted", "is_active") if c in spec.columns} | set(pipeline.NEVER_NULL.get(name, ()))
+    for name, spec in {**catalogue.DIMENSIONS, **catalogue.FACTS}.items():
+        reads[name] = set().union(*catalogue.required_columns(spec))
+    for name, columns in _checked_columns().items():
+        reads[name] = reads.get(name, set()) | columns
+    return reads
+
+
 def statements(t: Tables) -> DataFrame:
     """The events as statements of a warehouse, moved by whole days so that the last week is in reach."""
     return t.events.select(
@@ -586,13 +646,13 @@ def statements(t: Tables) -> DataFrame:
     RUN_LOG_SQL.replace("ts AS start_time, ts + INTERVAL 1 MINUTE", "ts + INTERVAL 720 DAY AS start_time, ts + INTERVAL 720 DAY + INTERVAL 1 MINUTE"),
 )
 def _(t: Tables):
-    built = pipeline.build_tech({}, _gold(t, *_QUALITY_TABLES, reads={}), F.lit(LOAD_TIME).cast("timestamp_ntz"), statements(t))
+    built = pipeline.build_tech({}, _gold(t, *_QUALITY_TABLES, reads=_checked_columns()), F.lit(LOAD_TIME).cast("timestamp_ntz"), statements(t))
     return built["pipeline_run_log"]
 
 
 @query("tech_data_tests", _tests_sql())
 def _(t: Tables):
-    silver, gold = stored_layers(t)
+    silver, gold = stored_layers(t, _tested_columns())
     tech = materialise_all(pipeline.build_tech(silver, gold, F.lit(LOAD_TIME).cast("timestamp_ntz"), statements(t)))
     return pipeline.data_tests(silver, gold, tech)
 
@@ -602,8 +662,8 @@ def _(t: Tables):
     """The widest fact, seven lookups, with no dimension joined on its own."""
     model, spec = PropertyModel(t), catalogue.FACTS["fact_vente"]
     dims = model.dimensions(*[target.dimension for target in spec.lookups])
-    dims |= materialise_all({"dim_statut": model.statuses(spec.status[0]), "source": model.silver(spec.source)})
-    return fact(dims["source"], spec, dims, direct_up_to=-1)
+    dims["dim_statut"] = materialise(model.statuses(spec.status[0]), "dim_statut")
+    return fact(model.silver(spec.source), spec, dims, direct_up_to=-1, unique=True)
 
 
 # Measures
@@ -674,6 +734,7 @@ def _measures_query(name: str, dim: str, column: str, tables: tuple[str, ...], n
     def _(t: Tables):
         model = PropertyModel(t)
         reads = needed(catalogue.relationships(), catalogue.measures(normalised), [*names, *ratios], [dim])
+        reads.setdefault(dim, set()).add(column)
         built = _gold(t, *gold, reads=reads)
         if dim == "dim_date":
             built["dim_date"] = model.dates(*tables)

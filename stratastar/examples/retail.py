@@ -237,7 +237,7 @@ def retail_model(t: Tables, *facts: str, reads: dict[str, set[str]] | None = Non
         stored["dim_statut"] = dim_status(t).where(F.col("domaine_statut").isin(domains))
     tables = materialise_all(stored)
     for spec in specs:
-        tables[spec.name] = fact(SILVER[spec.name](t), spec, tables, only[spec.name])
+        tables[spec.name] = fact(SILVER[spec.name](t), spec, tables, only[spec.name], unique=True)
     if "fact_target" in facts:
         tables["fact_target"] = fact_target(t)
     if "dim_customer" in tables:

@@ -55,10 +55,9 @@ def _(t: Tables):
             "dim_part": retail.master_dimension(t, "dim_part"),
             "dim_supplier": retail.master_dimension(t, "dim_supplier"),
             "dim_statut": retail.dim_status(t).where("domaine_statut = 'LINE'"),
-            "lines": retail.silver_lines(t),
         }
     )
-    return fact(stored["lines"], retail.FACT_LINE, stored, direct_up_to=-1)
+    return fact(retail.silver_lines(t), retail.FACT_LINE, stored, direct_up_to=-1, unique=True)
 
 
 @query("j3_status_lookup", f"{STAR} SELECT order_id, status, statut_key FROM fact_order")

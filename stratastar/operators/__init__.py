@@ -25,7 +25,7 @@ from stratastar.operators.days import (
 )
 from stratastar.operators import setops
 from stratastar.operators.distinct import distinct_counts, distinct_state, member_numbers, merged_state
-from stratastar.operators.lookup import Lookup, Target, find_keys, lookup, membership, status_lookup
+from stratastar.operators.lookup import Lookup, Target, find_keys, lookup, membership, misses, status_lookup
 from stratastar.operators.lookup import target as lookup_target
 from stratastar.operators.quality import (
     Check,
@@ -38,6 +38,6 @@ from stratastar.operators.quality import (
     unique_failure_counts,
 )
 from stratastar.operators.setops import domain_values, observed_dates, with_unknown
-from stratastar.operators.versions import latest_of_extract, latest_version
+from stratastar.operators.versions import latest_columns, latest_of_extract, latest_version
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK = "__version_rank"
+_TIED = "__version_tied"
 
 
 def latest_version(
@@ -61,6 +62,30 @@ def latest_version(
     return result.where(live) if live is not None and deleted_policy == "after" else result
 
 
+def latest_columns(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], columns: Sequence[str], store: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """`columns` of `latest_version(df, keys, order_by)`, sorted and shuffled without the others.
+
+    The others only decide between versions of a key that are first at equal times. Two rows per key
+    tell whether there are such; their keys alone are decided over all columns. `store` writes a
+    table and reads it back.
+    """
+    over = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_by])
+    times = F.struct(*order_by)
+    for key in keys:
+        df = df.where(F.col(key).isNotNull())
+    rows = df.select(*dict.fromkeys([*keys, *order_by, *columns]))
+    rows = rows.withColumn(_RANK, F.row_number().over(over)).where(F.col(_RANK) <= 2)
+    rows = rows.withColumn(_TIED, F.lead(times).over(over).eqNullSafe(times)).where(F.col(_RANK) == 1)
+    newest = store(rows.select(*dict.fromkeys([*keys, *columns]), _TIED))
+    tied = newest.where(F.col(_TIED)).select(*keys)
+    if tied.isEmpty():
+        return newest.select(*columns)
+    decided = store(latest_version(df.join(tied, [*keys], "left_semi"), keys, order_by).select(*columns))
+    return newest.where(~F.col(_TIED)).select(*columns).unionByName(decided)
+
+
 def latest_of_extract(df: DataFrame, key: str, time: str = "updated_at", sequence: str | None = None) -> DataFrame:
     """Newest version per key of a raw extract.
 

@@ -56,11 +56,16 @@ def fact(
     only: Collection[str] | None = None,
     *,
     direct_up_to: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Live rows with surrogate keys for every lookup and integer keys for every date.
 
     `direct_up_to` is the size of a dimension up to which it is joined on its own (see `find_keys`).
 
+    `unique` says that `source` has one row per natural key and none without, as its latest versions
+    do; they lie by that key already, so they are not shuffled again for large dimensions. The hash
+    of the natural key and other derived columns are made after the lookups and not shuffled.
+
     `only` names the columns that the consumer reads: lookups of other keys are left out, as a
     left join to a table that is not known to be unique stays in the plan even if nobody reads it.
     """
@@ -68,14 +73,31 @@ def fact(
     rows = source.where(F.coalesce(F.col(column), F.lit(not value)) == F.lit(value))
     days = [f.name for f in source.schema if isinstance(f.dataType, T.DateType)]
     keep = [c for c in source.columns if c not in days and c not in spec.drop and c != "is_deleted"]
-    rows = rows.select(
+    wanted = [lookup for lookup in spec.lookups if only is None or lookup.key in only]
+    targets = [target(dimensions[lookup.dimension], lookup, hashed=True) for lookup in wanted]
+    if spec.status and (only is None or "statut_key" in only):
+        targets.append(status_target(dimensions["dim_statut"], *spec.status))
+    row = spec.natural_key if unique else None
+    rows = find_keys(rows, targets, spread_by=[spec.natural_key], direct_up_to=direct_up_to, row=row)
+    return rows.select(
         surrogate_key(spec.natural_key).alias(spec.key),
         *keep,
         *[date_key(d).alias(f"{d}_key") for d in days],
         *[build().alias(name) for name, build in spec.extra.items()],
+        *[t.key for t in targets],
     )
-    wanted = [lookup for lookup in spec.lookups if only is None or lookup.key in only]
-    targets = [target(dimensions[lookup.dimension], lookup, hashed=True) for lookup in wanted]
+
+
+def read_by_dimension(spec: DimensionSpec) -> set[str]:
+    """Columns of the source that `dimension` needs, whatever is read of its result."""
+    names = {spec.natural_key, *([spec.deleted] if spec.deleted else []), *[p.foreign_key for p in spec.parents], *spec.unknown}
+    return names | set(spec.full_name or ())
+
+
+def read_by_fact(spec: FactSpec, only: Collection[str] | None = None) -> set[str]:
+    """Columns of the source that `fact` needs for its keys, or for those in `only`."""
+    names = {spec.natural_key, spec.live[0]}
+    names |= {lookup.foreign_key for lookup in spec.lookups if only is None or lookup.key in only}
     if spec.status and (only is None or "statut_key" in only):
-        targets.append(status_target(dimensions["dim_statut"], *spec.status))
-    return find_keys(rows, targets, spread_by=[spec.natural_key], direct_up_to=direct_up_to)
+        names.add(spec.status[1])
+    return names

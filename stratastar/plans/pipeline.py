@@ -23,6 +23,14 @@ from stratastar.plans.silver import silver_table
 Save = Callable[[str, str, DataFrame], DataFrame]
 
 
+# Columns of silver tables that must be filled, besides the key and the state.
+NEVER_NULL = {
+    "commissions": ("type_operation",),
+    "objectifs_commerciaux": ("annee", "mois"),
+    "security_user_access": ("user_email", "role_metier"),
+}
+
+
 def keep(layer: str, name: str, df: DataFrame) -> DataFrame:
     """No storage: consumers extend the plan."""
     return df
@@ -138,16 +146,11 @@ def data_tests(
             counted = unique_failure_counts(df, unique)
             rows.append(counted.select(F.lit(table).alias("table_name"), "column_name", F.lit("unique").alias("test"), "n_failures"))
 
-    extra = {
-        "commissions": ["type_operation"],
-        "objectifs_commerciaux": ["annee", "mois"],
-        "security_user_access": ["user_email", "role_metier"],
-    }
     for name, spec in catalogue.SILVER.items():
         if name in silver:
             state = "is_deleted" if spec.deleted else "is_active"
             unique = [] if name == "security_user_access" else [spec.key]
-            declare(name, silver[name], [spec.key, state, *extra.get(name, [])], unique)
+            declare(name, silver[name], [spec.key, state, *NEVER_NULL.get(name, ())], unique)
     for name, spec in {**catalogue.DIMENSIONS, **catalogue.FACTS}.items():
         if name in gold:
             declare(name, gold[name], *catalogue.required_columns(spec))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame
 
 from stratastar.functions import cleaning
-from stratastar.operators.versions import latest_version
+from stratastar.operators.versions import latest_columns, latest_version
 from stratastar.plans.specs import SilverSpec
 
 KINDS: dict[str, Callable[[str], Column]] = {
@@ -40,3 +40,10 @@ def silver_table(bronze: DataFrame, spec: SilverSpec, *, dedup: bool = True) ->
     if not dedup:
         return projected
     return latest_version(projected, [spec.key], spec.version_order)
+
+
+def silver_columns(bronze: DataFrame, spec: SilverSpec, columns: Collection[str], store: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Some columns of `silver_table`, in its order, for consumers that read no others."""
+    projected = bronze.select(*[typed(name, kind) for name, kind in spec.columns.items()])
+    wanted = [name for name in spec.columns if name in columns]
+    return latest_columns(projected, [spec.key], spec.version_order, wanted, store)

@@ -209,3 +209,14 @@ def test_a_date_filter_opens_only_its_years(spark, tmp_path):
                 file.with_name(f".{file.name}.crc").unlink()
     kept = propagate(model, "fact", {"dim_date": days.where("annee = 2022")})
     assert sorted(r.id for r in kept.collect()) == [n for n, k in rows if k and k // 10000 == 2022]
+
+
+def test_layers_hold_what_is_read(spark):
+    """Measured tables are built from silver rows that hold only the columns that are read, with the same values."""
+    model = PropertyModel(Tables(spark, FOLDER))
+    some = model.silver_of({"commissions": {"commission_id", "motif_blocage"}})["commissions"]
+    assert some.columns == ["commission_id", "updated_at", "motif_blocage"]
+    assert sorted(map(str, some.collect())) == sorted(map(str, model.silver("commissions").select(*some.columns).collect()))
+    built = model.facts("fact_commission", reads={"fact_commission": {"motif_blocage", "conseiller_key"}})
+    assert "commentaire" not in " ".join(built["fact_commission"].columns) and len(built["fact_commission"].columns) < 10
+    assert built["fact_commission"].count() == model.fact("fact_commission").count()

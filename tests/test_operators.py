@@ -288,6 +288,44 @@ def test_combinations_of_keys_are_told_apart(spark):
     assert found == {k: tuple(f"key {v}" if v in names else "unknown" for v, names in zip(k, known, strict=True)) for k in found} and len(found) == 8
 
 
+def test_latest_versions_are_not_shuffled_again_for_large_dimensions(spark):
+    """Lookups over latest versions by the row's own key: the wide row is in one shuffle, which both readers share."""
+    rng = random.Random(6)
+    value = lambda: rng.choice([None, "k1", "k1", "missing", *[f"k{j}" for j in range(20)]])
+    rows = [(f"r{n % 700}", n, value(), value(), "wide" * 5) for n in range(1500)]
+    newest = op.latest_version(materialise(spark.createDataFrame(rows, "id string, at int, x string, y string, wide string"), "v"), ["id"], ["at"])
+    dims = [materialise(spark.createDataFrame([(f"k{j}",) for j in range(0, 20, s)], "n string"), "d") for s in (1, 2)]
+    targets = [op.Target(d, F.col(c), f"{c}_key", F.lit("unknown"), F.concat(F.lit("key "), F.col(c))) for d, c in zip(dims, "xy", strict=True)]
+    direct = {tuple(r) for r in op.find_keys(newest, targets, ["id"]).collect()}
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        by_row = op.find_keys(newest, targets, ["id"], row="id")
+        assert exchanges(by_row, "wide") == 1 and "ReusedExchange" in by_row._jdf.queryExecution().executedPlan().toString()
+        assert exchanges(op.find_keys(newest, targets[:1], ["id"], row="id"), "wide") == 1
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        found = by_row.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept[0])
+        spark.conf.set("spark.sql.adaptive.enabled", kept[1])
+    assert len(found) == 700 and {tuple(r) for r in found} == direct
+
+
+def test_latest_columns_decide_ties_by_the_columns_left_out(spark):
+    rows = [("a", 1, 1, "p", "z"), ("a", 2, 1, "q", "y"), ("b", 3, 1, "r", "x"), ("b", 3, 1, "s", "w"), ("b", 3, 1, "t", "v")]
+    rows += [("c", None, None, "u", "2"), ("c", None, None, "u", "1"), (None, 9, 9, "n", "n"), ("d", 5, None, "o", "o"), ("d", 5, 0, "m", "k")]
+    df = spark.createDataFrame(rows, "id string, at int, made int, value string, last string")
+    whole = op.latest_version(df, ["id"], ["at", "made"])
+    for columns in (["value"], ["last", "id"], ["id", "last", "at"]):
+        stored = []
+        some = op.latest_columns(df, ["id"], ["at", "made"], columns, lambda t: stored.append(t) or materialise(t, "t"))
+        assert sorted(map(tuple, some.collect()), key=str) == sorted(map(tuple, whole.select(*columns).collect()), key=str)
+        plan = stored[0]._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("WindowGroupLimit") >= 2 and len(stored) == 2
+        assert (plan.count("last#") == 1) == ("last" not in columns)  # otherwise it is in the scan alone
+
+
 def test_group_members(spark):
     rows = [("big", i) for i in range(500)] + [("small", i) for i in range(3)] + [("small", 1), (None, 1), ("small", None)]
     df = spark.createDataFrame(rows, "g string, m int")
