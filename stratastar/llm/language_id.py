@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratastar.llm.common import Scratch, carried, schema_of, settle
+from stratastar.llm.common import Scratch, carried, leanly, schema_of, settle
 from stratastar.llm.words import chunks
 
 LONGEST = 4
@@ -140,7 +140,7 @@ def train(documents: DataFrame) -> Model | None:
     chosen = scratch.store(usable.drop("salt"), "sample")
     # TRAINED rows of three numbers per language.
     sample = known.join(F.broadcast(chosen), ["lang", "print", "doc_id"]).dropDuplicates(["lang", "print"]).select("text", "lang", "place")
-    rows = sample.mapInArrow(_bits, "bits binary, lang string, place int").orderBy("lang", "place").collect()
+    rows = sample.mapInArrow(leanly("language_id", _bits), "bits binary, lang string, place int").orderBy("lang", "place").collect()
     scratch.drop("sample")
     if not rows:
         return None
@@ -172,5 +172,5 @@ def predicted(documents: DataFrame, model: Model | None, carry: tuple[str, ...]
 
     schema = schema_of(doc_id="long", carried=docs.schema["carried"].dataType, lang_pred="string", score="double", familiar="double")
     names = schema.names
-    out = docs.mapInArrow(score, schema)
+    out = docs.mapInArrow(leanly("language_id", score), schema)
     return out.select("doc_id", "carried", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "familiar")

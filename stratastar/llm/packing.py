@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratastar.llm.common import Scratch, settle
+from stratastar.llm.common import Scratch, lean, settle
 from stratastar.llm.words import chunks
 
 CAPACITY = 2048
@@ -173,18 +173,21 @@ def _blocks(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+def encoder_for(path: str, remembered: dict[str, Encoder] | None = None) -> Encoder:
+    """One encoder per Python worker; what it remembers serves later tasks of packing."""
+    remembered = {} if remembered is None else remembered
+    if path not in remembered:
+        remembered[path] = Encoder(path)
+    return remembered[path]
 
 
-def encoder_for(path: str) -> Encoder:
-    """One encoder per Python worker; what it remembers serves later tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa.RecordBatch]:
+    with lean("packing") as remembered:
+        yield from _cut(batches, encoder_for(path, remembered), capacity)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa.RecordBatch]:
-    encoder, end_id = encoder_for(path), np.array([END], "<u4").tobytes()
+def _cut(batches: Iterator[pa.RecordBatch], encoder: Encoder, capacity: int) -> Iterator[pa.RecordBatch]:
+    end_id = np.array([END], "<u4").tobytes()
     for batch in batches:
         for row, end, data, offsets in chunks(batch.column(1)):
             raw = data.tobytes()

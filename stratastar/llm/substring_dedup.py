@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratastar.llm.common import Scratch, carried, schema_of, settle
+from stratastar.llm.common import Scratch, carried, leanly, schema_of, settle
 from stratastar.llm.words import GRAMS, GRAMS_2, OTHER, Powers, Words, chunks, mix, signed, sums_between, words_of
 
 WINDOW = 20
@@ -195,7 +195,7 @@ def maximal_repeats(documents: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "repeats")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("row"), F.col("text").cast("string").alias("text"))
     docs = docs.where("doc_id is not null and text is not null")
-    anchors = docs.select("doc_id", "text").mapInArrow(_anchors, "doc_id long, anchor long, content long, n int, inner boolean")
+    anchors = docs.select("doc_id", "text").mapInArrow(leanly("substring_dedup", _anchors), "doc_id long, anchor long, content long, n int, inner boolean")
     anchors = scratch.store(anchors, "anchors")
     seeds = anchors.groupBy("anchor").agg(
         F.sum("n").alias("n"), (F.max("inner") | (F.min("content") != F.max("content"))).alias("mixed")
@@ -206,12 +206,12 @@ def maximal_repeats(documents: DataFrame) -> DataFrame:
     seeded = scratch.store(seeded, "seeded")
     scratch.drop("anchors", "seeds")
     found = docs.join(seeded, "doc_id").select("doc_id", "row", "text", "alike", "mixed")
-    found = scratch.store(found.mapInArrow(_places, "hash_1 long, hash_2 long, doc_id long, row int, start int, length int"), "places")
+    found = scratch.store(found.mapInArrow(leanly("substring_dedup", _places), "hash_1 long, hash_2 long, doc_id long, row int, start int, length int"), "places")
     place = W.partitionBy("hash_1", "hash_2").orderBy("doc_id", "start")
     later = found.where("hash_1 is not null").withColumn("place", F.rank().over(place)).where("place > 1")
     later = later.select("doc_id", "row", "start", "length").unionByName(found.where("hash_1 is null").select("doc_id", "row", "start", "length"))
     runs = later.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set(F.struct("start", "length"))).alias("runs"))
-    spans = scratch.store(runs.mapInArrow(_merged, "doc_id long, row int, repeats array<struct<start:int,end:int>>"), "spans")
+    spans = scratch.store(runs.mapInArrow(leanly("substring_dedup", _merged), "doc_id long, row int, repeats array<struct<start:int,end:int>>"), "spans")
     scratch.keep("spans")
     return spans
 
@@ -283,4 +283,4 @@ def cut_repeats(documents: DataFrame, carry: tuple[str, ...] = (), as_it_was: bo
     spans = maximal_repeats(docs)
     joined = docs.withColumn("row", F.hash("text")).join(spans, ["doc_id", "row"], "left").select("doc_id", "carried", "text", "repeats")
     schema = schema_of(doc_id="long", carried=docs.schema["carried"].dataType, n_words="long", n_removed="long", kept_text="string")
-    return joined.mapInArrow(lambda batches: _kept(batches, as_it_was), schema)
+    return joined.mapInArrow(leanly("substring_dedup", lambda batches: _kept(batches, as_it_was)), schema)

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from stratastar.llm import packing
+from stratastar.llm import common, packing
 from stratastar.llm.queries import tokenizer
 
 CAPACITY = 2048
@@ -147,3 +147,17 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert sorted((r.doc_id or -1, r.length) for r in rows) == [(-1, 1), (-1, 2), (1, 3), (1, 3)]
     assert sorted((r.offset, r.length) for r in rows) == [(o, n) for o, n in sorted((r.offset, r.length) for r in rows)] and len({r.offset for r in rows}) == 4
     assert packing.packed(df.where("false"), tokenizer()).collect() == []
+
+
+def test_a_worker_forgets_its_encoder_when_another_operator_begins():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["some words"])], ["doc_id", "text"])
+    for _ in packing._pieces(iter([batch]), tokenizer(), 2048):
+        pass
+    first = common.REMEMBERED["packing"][tokenizer()]
+    for _ in packing._pieces(iter([batch]), tokenizer(), 2048):
+        pass
+    assert common.REMEMBERED["packing"][tokenizer()] is first
+    assert list(common.leanly("near_dup", lambda batches: batches)(iter([batch]))) == [batch]
+    assert "packing" not in common.REMEMBERED
