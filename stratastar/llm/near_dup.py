@@ -12,8 +12,11 @@ with a percent of 85 unless the caller gives another; a component is what links
    smallest member, first by sketch, then on full sets; confirmed links are contracted, and the
    smallest member, which has met everyone, leaves. A bucket whose members are all of one component
    is settled. This is repeated, with a new smallest member each time, as long as a round leaves at
-   most SHARE of the pairs of unsettled buckets, so their number falls at each round.
-3. In what is left, members of different components meet, again by sketch, then on full sets.
+   most SHARE of the pairs of different components in a bucket, so their number falls at each round.
+   After that leads are drawn, one for about DRAWN members of a bucket, others at each round: copies of one
+   text that link with few of each other are contracted so, without meeting all others. Nobody leaves then.
+3. In what is left, or once it is FEW pairs per place, members of different components meet, again by
+   sketch, then on full sets.
    So every two classes that share a bucket are connected, or compared and found apart.
 
 A pair is left unconfirmed only if its sketches differ in more samples than the least similarity
@@ -37,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratastar.llm.common import Scratch, settle
+from stratastar.llm.common import Scratch, leanly, settle
 from stratastar.llm.components import components
 from stratastar.llm.words import Words, chunks, mix, signed, stream, words_of
 
@@ -58,8 +61,12 @@ _SHIFT = (stream(22, MOST_SAMPLES) >> _U(32)).astype(np.uint32)
 _FOLD = stream(23, MOST_SAMPLES) | _U(1)
 _BAND = stream(24, MOST_SAMPLES)
 _BIN = stream(25, BINS)
-#: A round with one lead per bucket is followed by another if at most this share of the pairs is left.
+#: A round is followed by another of its kind if at most this share of the pairs is left.
 SHARE = 0.5
+#: Pairs per place in a bucket up to which the rest meets without a further round.
+FEW = 4
+#: Members of a bucket that get one lead when leads are drawn.
+DRAWN = 8
 #: Documents (three numbers each, 12 MB in all) up to which those to confirm are broadcast.
 BROADCAST_ROWS = 500_000
 #: Values of one block of samples; it stays in the cache of a core.
@@ -240,7 +247,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, repeated: boo
     texts = docs.join(F.broadcast(concerned) if few else concerned, ["doc_id", "text_hash"]).select("class", "text")
     if repeated:  # a row that is there more than once, word for word, counts once
         texts = texts.dropDuplicates(["class"])
-    sets = scratch.store(texts.mapInArrow(_sets, "class long, members array<long>"), f"{name}-sets")
+    sets = scratch.store(texts.mapInArrow(leanly("near_dup", _sets), "class long, members array<long>"), f"{name}-sets")
     of = lambda side: sets.select(F.col("class").alias(side), F.col("members").alias(f"m_{side}"))
     both = F.size(F.array_intersect("m_a", "m_b"))
     linked = pairs.join(of("a"), "a").join(of("b"), "b").where(100 * both >= percent * (F.size("m_a") + F.size("m_b") - both))
@@ -257,7 +264,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark = settle(documents.sparkSession)
     scratch = Scratch(spark, "near-dup")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    every = scratch.store(docs.mapInArrow(lambda batches: _sketch(batches, percent), _SCHEMA), "sketches")
+    every = scratch.store(docs.mapInArrow(leanly("near_dup", lambda batches: _sketch(batches, percent)), _SCHEMA), "sketches")
 
     # A class is one set, whatever ids hold it. Its number is fixed once it is stored.
     rows = every.select("doc_id", "text_hash", "n_shingles", "print_1", "print_2")
@@ -285,31 +292,42 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         return chosen.select(F.col("class").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
 
     def placed(buckets: DataFrame, parts: DataFrame | None, name: str) -> DataFrame:
-        """(key, class, part, lead, lead_part) of the buckets that still hold several components."""
+        """(key, class, part, lead, lead_part, n, pairs) of the buckets that still hold several components.
+
+        n is a bucket's number of members, pairs that of its pairs of different components.
+        """
         if parts is None:
             buckets = buckets.withColumn("part", F.col("class"))
         else:
             buckets = buckets.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn("part", F.coalesce("component", "class"))
         buckets = scratch.store(buckets.select("key", "class", "part"), f"{name}-placed")
-        head = F.min(F.struct("class", "part")).alias("head")
-        open_ones = buckets.groupBy("key").agg(head, F.min("part").alias("x"), F.max("part").alias("y"), F.count("*").alias("n")).where("x < y")
-        open_ones = open_ones.select("key", F.col("head.class").alias("lead"), F.col("head.part").alias("lead_part"), "n")
+        by_part = buckets.groupBy("key", "part").agg(F.min("class").alias("class"), F.count("*").cast("double").alias("of"))
+        head, n = F.min(F.struct("class", "part")).alias("head"), F.sum("of").alias("n")
+        open_ones = by_part.groupBy("key").agg(head, F.count("*").alias("parts"), n, F.sum(F.col("of") * F.col("of")).alias("alike")).where("parts > 1")
+        apart = ((F.col("n") * F.col("n") - F.col("alike")) / 2).alias("pairs")
+        open_ones = open_ones.select("key", F.col("head.class").alias("lead"), F.col("head.part").alias("lead_part"), "n", apart)
         out = scratch.store(buckets.join(open_ones, "key"), name)
         scratch.drop(f"{name}-placed")
         return out
 
-    turn, before = 0, None
+    turn, before, drawn = 0, None, False
     while True:
         live = placed(buckets, parts, f"live-{turn}")
         scratch.drop(f"buckets-{turn}")
-        pairs = live.agg(F.sum(F.col("n") - 1) / 2).first()[0] or 0
-        if not pairs or (turn and pairs > SHARE * before):
+        pairs, places = live.agg(F.sum(F.col("pairs") / F.col("n")), F.count("*")).first()
+        if not pairs or (turn and pairs <= FEW * places):
             break
+        if turn and pairs > SHARE * before:
+            if drawn:
+                break
+            drawn = True
         before = pairs
-        stars = live.where("part <> lead_part").select(F.col("lead").alias("a"), F.col("class").alias("b")).distinct()
+        stars = (_drawn(live, turn) if drawn else live).where("part <> lead_part")
+        stars = stars.select(F.least("lead", "class").alias("a"), F.greatest("lead", "class").alias("b")).distinct()
         stars = stars.join(looked_up("a"), "a").join(looked_up("b"), "b").where(_likely("a", "b", percent)).select("a", "b")
         found = _confirmed(stars, docs, reps, repeated, percent, scratch, f"star-{turn}")
-        buckets = scratch.store(live.where("class <> lead").select("key", "class"), f"buckets-{turn + 1}")
+        buckets = (live if drawn else live.where("class <> lead")).select("key", "class")
+        buckets = scratch.store(buckets, f"buckets-{turn + 1}")
         scratch.drop(f"live-{turn}")
         if not found.isEmpty():
             links.append(found)
@@ -348,6 +366,15 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     return out
 
 
+def _drawn(live: DataFrame, turn: int) -> DataFrame:
+    """`live` with a lead for about DRAWN members of a bucket each, drawn by hashes that change with `turn`."""
+    slots = F.greatest(F.ceil(F.col("n") / DRAWN), F.lit(1))
+    live = live.drop("lead", "lead_part").withColumn("slot", F.pmod(F.xxhash64("key", "class", F.lit(turn)), slots))
+    heads = live.groupBy("key", "slot").agg(F.min(F.struct(F.xxhash64("class", "key", F.lit(turn)).alias("draw"), "class", "part")).alias("head"))
+    heads = heads.select("key", "slot", F.col("head.class").alias("lead"), F.col("head.part").alias("lead_part"))
+    return live.join(heads, ["key", "slot"])
+
+
 def _joined(links: list[DataFrame], scratch: Scratch, name: str) -> DataFrame:
     edges = links[0]
     for more in links[1:]:

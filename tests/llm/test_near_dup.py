@@ -85,6 +85,27 @@ def test_members_of_other_components_meet(spark):
     assert rows(spark.createDataFrame(docs, "doc_id long, text string")) == brute_force(docs)
 
 
+def test_copies_that_link_with_few_are_contracted_before_all_meet(spark, monkeypatch):
+    """Copies of one text, of which only some link, must not all be compared in full with all others."""
+    rng = random.Random(3)
+    base = [f"t{i}" for i in range(150)]
+    docs = []
+    for i in range(240):
+        tokens = list(base)
+        for at in rng.sample(range(150), 1 + i % 3):
+            tokens[at] = f"x{i}-{at}"
+        docs.append((i, " ".join(tokens)))
+    compared, confirmed = [], near_dup._confirmed
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return confirmed(pairs, *rest)
+
+    monkeypatch.setattr(near_dup, "_confirmed", counted)
+    assert rows(spark.createDataFrame(docs, "doc_id long, text string")) == brute_force(docs)
+    assert sum(compared) < 3_900  # 4,395 when every bucket kept one lead
+
+
 def test_repeated_and_null_ids(spark):
     docs = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "other words"), (None, "a b c d e f"), (2, "A b c d e f"), (None, None)]
     found = sorted((r.doc_id or -1, r.n_shingles, r.component_id or -1, r.kept) for r in near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect())
