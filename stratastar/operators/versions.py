@@ -7,6 +7,9 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratastar.operators.lookup import broadcast_bytes, planned_bytes
+from stratastar.session import materialise
+
 _RANK = "__version_rank"
 _TIED = "__version_tied"
 
@@ -68,8 +71,8 @@ def latest_columns(
     """`columns` of `latest_version(df, keys, order_by)`, sorted and shuffled without the others.
 
     The others only decide between versions of a key that are first at equal times. Two rows per key
-    tell whether there are such; their keys alone are decided over all columns. `store` writes a
-    table and reads it back.
+    tell whether there are such; their keys alone are decided over all columns, or all keys at once where those
+    are more than the session broadcasts. `store` writes a table and reads it back.
     """
     over = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_by])
     times = F.struct(*order_by)
@@ -79,9 +82,12 @@ def latest_columns(
     rows = rows.withColumn(_RANK, F.row_number().over(over)).where(F.col(_RANK) <= 2)
     rows = rows.withColumn(_TIED, F.lead(times).over(over).eqNullSafe(times)).where(F.col(_RANK) == 1)
     newest = store(rows.select(*dict.fromkeys([*keys, *columns]), _TIED))
-    tied = newest.where(F.col(_TIED)).select(*keys)
+    # Stored, its size is known before the join is planned; otherwise all rows are shuffled to meet it.
+    tied = materialise(newest.where(F.col(_TIED)).select(*keys), "tied")
     if tied.isEmpty():
         return newest.select(*columns)
+    if planned_bytes(tied) > broadcast_bytes(df.sparkSession):
+        return store(latest_version(df, keys, order_by).select(*columns))
     decided = store(latest_version(df.join(tied, [*keys], "left_semi"), keys, order_by).select(*columns))
     return newest.where(~F.col(_TIED)).select(*columns).unionByName(decided)
 

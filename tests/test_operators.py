@@ -368,3 +368,25 @@ def test_run_log(spark):
     df = df.withColumns({"status": F.lit("ok"), "end_time": F.col("start_time"), "row_count": F.lit(1)})
     log = op.run_log(df, F.lit("2025-01-08").cast("timestamp_ntz"))
     assert {r.run_id: (r.duration_seconds, r.error_message) for r in log.collect()} == {"1": (1, None), "5": (0, "42")}
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_latest_columns_shuffles_no_row_to_meet_tied_keys(spark, threshold):
+    from stratastar.operators.versions import latest_columns, latest_version
+
+    rows = [(f"k{i % 40}", i % 3, i % 2, f"v{i * 7 % 11}", i * 5 % 13) for i in range(400)] + [(None, 1, 1, "x", 0), ("alone", None, None, None, 1)]
+    df = spark.createDataFrame(rows, "id string, t int, c int, v string, w int")
+    plans = []
+
+    def store(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return materialise(frame, "latest")
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found = latest_columns(df, ["id"], ["t", "c"], ["id", "v"], store)
+        assert sorted(found.collect()) == sorted(latest_version(df, ["id"], ["t", "c"]).select("id", "v").collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not any("SortMergeJoin" in plan for plan in plans)
