@@ -223,11 +223,15 @@ class PropertyModel:
 
     def fact(self, name: str, dimensions: dict[str, DataFrame] | None = None, only: set[str] | None = None) -> DataFrame:
         spec = catalogue.FACTS[name]
-        dims = dict(dimensions) if dimensions else self.dimensions(*[target.dimension for target in spec.lookups])
+        dims = dict(dimensions) if dimensions else self.looked_up(spec)
         if spec.status and "dim_statut" not in dims and (only is None or "statut_key" in only):
             dims["dim_statut"] = materialise(self.statuses(spec.status[0]), "dim_statut")
         return fact(self.silver(spec.source), spec, dims, only, unique=True)
 
+    def looked_up(self, spec) -> dict[str, DataFrame]:
+        """The dimensions of a fact with what its lookups and their own parents read."""
+        return self.dimensions(*[target.dimension for target in spec.lookups], reads={})
+
     def facts(self, *names: str, reads: dict[str, set[str]] | None = None) -> dict[str, DataFrame]:
         """The facts and what they look up; with `reads` (columns by table) only the lookups and columns that are read."""
         specs = [catalogue.FACTS[n] for n in names]
@@ -401,7 +405,7 @@ def _(t: Tables):
 def _(t: Tables):
     model = PropertyModel(t)
     spec = catalogue.FACTS["fact_vente"]
-    dims = model.dimensions(*[target.dimension for target in spec.lookups])
+    dims = model.looked_up(spec)
     dims["dim_statut"] = materialise(model.statuses("VENTE"), "dim_statut")
     return fact(model.versions(spec.source), spec, dims)
 
@@ -661,7 +665,7 @@ def _(t: Tables):
 def _(t: Tables):
     """The widest fact, seven lookups, with no dimension joined on its own."""
     model, spec = PropertyModel(t), catalogue.FACTS["fact_vente"]
-    dims = model.dimensions(*[target.dimension for target in spec.lookups])
+    dims = model.looked_up(spec)
     dims["dim_statut"] = materialise(model.statuses(spec.status[0]), "dim_statut")
     return fact(model.silver(spec.source), spec, dims, direct_up_to=-1, unique=True)
 

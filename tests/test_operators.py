@@ -288,6 +288,16 @@ def test_combinations_of_keys_are_told_apart(spark):
     assert found == {k: tuple(f"key {v}" if v in names else "unknown" for v, names in zip(k, known, strict=True)) for k in found} and len(found) == 8
 
 
+def test_only_missed_keys_are_answered(spark):
+    """Combinations whose keys all have members send nothing back; a missed key is told from a like one of another target."""
+    fact = spark.createDataFrame([("a", "b"), ("a", None), ("b", "a"), ("a", "a"), (None, None)], "x string, y string")
+    dims = [spark.createDataFrame([("a",)], "n string"), spark.createDataFrame([("b",)], "m string")]
+    targets = [op.Target(d, F.col(c), f"{c}_key", F.lit("unknown"), F.col(c)) for d, c in zip(dims, "xy", strict=True)]
+    answers = op.membership(materialise(fact, "f"), targets)
+    assert dict(answers.dtypes)[answers.columns[0]] == "bigint"
+    assert sorted(sorted(r["__missed"]) for r in answers.collect()) == [["0:b", "1:a"], ["1:a"]]
+
+
 def test_latest_versions_are_not_shuffled_again_for_large_dimensions(spark):
     """Lookups over latest versions by the row's own key: the wide row is in one shuffle, which both readers share."""
     rng = random.Random(6)
