@@ -40,9 +40,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document that loses nothing keeps its text as it is; one that loses every word goes.
     """
-    cut = substring_dedup.cut_repeats(docs, carry=tuple(docs.columns), as_it_was=True)
-    own = {name: F.col("carried").getField(name) for name in docs.columns}
-    own["text"] = F.col("kept_text")
+    others = [name for name in docs.columns if name != "text"]  # the text itself travels once
+    cut = substring_dedup.cut_repeats(docs, carry=tuple(others), as_it_was=True)
+    own = {name: F.col("kept_text") if name == "text" else F.col("carried").getField(name) for name in docs.columns}
     if "n_chars" in own:
         own["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(own["n_chars"]).cast(docs.schema["n_chars"].dataType)
     left = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))

@@ -288,8 +288,8 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     buckets = scratch.store(banded.join(several, "key").select("key", "class"), "buckets-0")
     parts = None if links[0].isEmpty() else components(links[0], scratch, "parts-0")
 
-    def looked_up(side: str) -> DataFrame:
-        return chosen.select(F.col("class").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
+    def looked_up(side: str, *more: str) -> DataFrame:
+        return chosen.select(F.col("class").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"), *(F.col(c).alias(f"{c}_{side}") for c in more))
 
     def placed(buckets: DataFrame, parts: DataFrame | None, name: str) -> DataFrame:
         """(key, class, part, lead, lead_part, n, pairs) of the buckets that still hold several components.
@@ -337,14 +337,13 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     if pairs:
         sides = {}
         for side in ("a", "b"):
-            bands = chosen.select(F.col("class").alias(side), F.col("bands").alias(f"k_{side}"))
             own = live.select("key", F.col("class").alias(side), F.col("part").alias(f"part_{side}"))
-            sides[side] = own.join(looked_up(side), side).join(bands, side)
+            sides[side] = own.join(looked_up(side, "bands"), side)
         left, right = sides["a"], sides["b"]
         apart = (F.col("part_a") != F.col("part_b")) & (F.col("a") < F.col("b")) & _likely("a", "b", percent)
         # Two classes may share several buckets; they meet in the first.
-        shared = F.array_position(F.zip_with("k_a", "k_b", lambda x, y: x == y), True)
-        meets = left.join(right, (left["key"] == right["key"]) & apart & (shared == F.array_position(F.col("k_a"), left["key"])))
+        shared = F.array_position(F.zip_with("bands_a", "bands_b", lambda x, y: x == y), True)
+        meets = left.join(right, (left["key"] == right["key"]) & apart & (shared == F.array_position(F.col("bands_a"), left["key"])))
         found = _confirmed(meets.select("a", "b").distinct(), docs, reps, repeated, percent, scratch, "meet")
         if not found.isEmpty():
             links.append(found)

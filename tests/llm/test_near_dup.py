@@ -106,6 +106,27 @@ def test_copies_that_link_with_few_are_contracted_before_all_meet(spark, monkeyp
     assert sum(compared) < 3_900  # 4,395 when every bucket kept one lead
 
 
+def test_last_meeting_looks_a_class_up_once(spark, monkeypatch):
+    """Sketch and bands of a class come by one join on each side, and a third join lets the sides meet."""
+    plans, confirmed = {}, near_dup._confirmed
+
+    def spied(pairs, *rest):
+        plans[rest[-1]] = pairs._jdf.queryExecution().analyzed().toString()
+        return confirmed(pairs, *rest)
+
+    monkeypatch.setattr(near_dup, "_confirmed", spied)
+    rng = random.Random(9)
+    base = [f"t{rng.randrange(10**6)}" for _ in range(200)]
+    docs = [(i, base[:]) for i in range(60)]
+    for i, tokens in docs:
+        for _ in range(3 + i % 4):
+            tokens[rng.randrange(200)] = f"x{rng.randrange(10**6)}"
+    docs = [(i, " ".join(t)) for i, t in docs]
+    monkeypatch.setattr(near_dup, "FEW", 10**9)
+    assert rows(spark.createDataFrame(docs, "doc_id long, text string")) == brute_force(docs)
+    assert plans["meet"].count("Join Inner") == 3
+
+
 def test_repeated_and_null_ids(spark):
     docs = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "other words"), (None, "a b c d e f"), (2, "A b c d e f"), (None, None)]
     found = sorted((r.doc_id or -1, r.n_shingles, r.component_id or -1, r.kept) for r in near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect())

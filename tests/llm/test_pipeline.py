@@ -178,3 +178,14 @@ def test_language_stage_on_foreign_and_clean_texts(spark):
     assert sorted(r.doc_id for r in kept.where("doc_id >= 1000000000").collect()) == [2 * 10**9, 2 * 10**9 + 1]
     clean = documents.where(r"text rlike '\\p{L}'")
     assert kept.where("doc_id < 1000000000").count() == clean.count()
+
+
+def test_text_is_not_carried_beside_itself(spark, monkeypatch):
+    """The stage that cuts passages moves a text once and still returns the columns as they came."""
+    seen, cut = [], pipeline.substring_dedup.cut_repeats
+    monkeypatch.setattr(pipeline.substring_dedup, "cut_repeats", lambda docs, carry=(), **rest: seen.append(carry) or cut(docs, carry=carry, **rest))
+    passage = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, f"a  {passage}", "en"), (2, f"{passage} b", "fr"), (3, None, None)], "doc_id long, text string, lang string")
+    found = pipeline.cut_repeats(spark, docs, "")
+    assert seen == [("doc_id", "lang")] and found.columns == docs.columns
+    assert sorted(tuple(r) for r in found.collect()) == [(1, f"a  {passage}", "en"), (2, "b", "fr"), (3, None, None)]
