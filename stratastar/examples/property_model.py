@@ -168,13 +168,15 @@ class PropertyModel:
     def __init__(self, t: Tables) -> None:
         self.t = t
 
-    def bronze(self, name: str) -> DataFrame:
-        table, _ = ORIGINS[name]
-        rows = dealt(getattr(self.t, table)).withColumn("k", F.expr(ROWS[table]).cast("long"))
+    def bronze(self, name: str, ranked: bool = False) -> DataFrame:
+        """`ranked` if the versions of a key are compared next."""
+        table, versions = ORIGINS[name]
+        keys = [F.floor(F.expr(ROWS[table]) / versions)] if ranked else []
+        rows = dealt(getattr(self.t, table), keys).withColumn("k", F.expr(ROWS[table]).cast("long"))
         return rows.select(*[F.expr(text).alias(column) for column, text in source_columns(name).items()])
 
     def silver(self, name: str) -> DataFrame:
-        return silver_table(self.bronze(name), catalogue.SILVER[name])
+        return silver_table(self.bronze(name, ranked=True), catalogue.SILVER[name])
 
     def versions(self, name: str) -> DataFrame:
         """All typed versions; a reader of few columns scans few columns and shuffles nothing."""
