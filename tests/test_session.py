@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratastar.session import dealt
+from stratastar.session import SETTINGS, TEXT_SETTINGS, dealt, tune
 
 
 def _held(df):
@@ -30,3 +30,15 @@ def test_rows_of_a_large_row_group_are_dealt_out(spark, tmp_path):
         assert "__piece" not in dealt(table, [F.col("key")], task_rows=40000)._jdf.queryExecution().toString()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_hot_key_is_split_before_its_sort_fills_a_task(spark):
+    """Keys of a few statuses come as partitions of 64 to 256 MB, ten times that when sorted."""
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        assert [tune(spark).conf.get(k) for k in names] == [SETTINGS[k] for k in names] == ["32m", "64m"]
+        assert [tune(spark, TEXT_SETTINGS).conf.get(k) for k in names] == ["128m", "256m"]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
