@@ -24,7 +24,7 @@ from stratastar.plans.gold import dimension, fact, read_by_dimension, read_by_fa
 from stratastar.plans.security import ROLES, access_table, stored_grants, visible
 from stratastar.plans.semantic import measure_query, needed
 from stratastar.plans.silver import silver_columns, silver_table
-from stratastar.session import dealt, materialise, materialise_all
+from stratastar.session import TASK_ROWS, dealt, materialise, materialise_all
 
 # Source table: (given table, versions per key).
 ORIGINS = {
@@ -168,11 +168,11 @@ class PropertyModel:
     def __init__(self, t: Tables) -> None:
         self.t = t
 
-    def bronze(self, name: str, ranked: bool = False) -> DataFrame:
-        """`ranked` if the versions of a key are compared next."""
+    def bronze(self, name: str, ranked: bool = False, narrow: bool = False) -> DataFrame:
+        """`ranked` if the versions of a key are compared next, `narrow` if few of the columns are read then."""
         table, versions = ORIGINS[name]
         keys = [F.floor(F.expr(ROWS[table]) / versions)] if ranked else []
-        rows = dealt(getattr(self.t, table), keys).withColumn("k", F.expr(ROWS[table]).cast("long"))
+        rows = dealt(getattr(self.t, table), keys, None if narrow else TASK_ROWS).withColumn("k", F.expr(ROWS[table]).cast("long"))
         return rows.select(*[F.expr(text).alias(column) for column, text in source_columns(name).items()])
 
     def silver(self, name: str) -> DataFrame:
@@ -188,7 +188,7 @@ class PropertyModel:
         def one(item: tuple[str, set[str]]) -> DataFrame:
             name, columns = item
             spec = catalogue.SILVER[name]
-            return silver_columns(self.bronze(name), spec, columns | {spec.version_order[0]}, lambda df: materialise(df, name))
+            return silver_columns(self.bronze(name, ranked=True, narrow=True), spec, columns | {spec.version_order[0]}, lambda df: materialise(df, name))
 
         with ThreadPoolExecutor(max_workers=8) as pool:
             return dict(zip(reads, pool.map(one, reads.items()), strict=True))
@@ -545,7 +545,16 @@ def _stored_columns(name: str, reads: dict[str, set[str]]) -> set[str]:
     return set(spec.columns) if name == "security_user_access" else columns
 
 
-def stored_layers(t: Tables, reads: dict[str, set[str]] | None = None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+def _stored_dimensions(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    base = catalogue.DIMENSIONS
+    gold: dict[str, DataFrame] = {}
+    while set(base) - set(gold):
+        ready = [n for n in base if n not in gold and all(p.dimension in gold for p in base[n].parents)]
+        gold |= materialise_all({n: dimension(silver[base[n].source], base[n], gold, latest=False) for n in ready})
+    return gold
+
+
+def stored_layers(t: Tables, reads: dict[str, set[str]]) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """All silver and gold tables with the columns that keys, dates and statuses come from and those in
     `reads` (columns by silver or gold table).
 
@@ -553,12 +562,8 @@ def stored_layers(t: Tables, reads: dict[str, set[str]] | None = None) -> tuple[
     keys, 64 characters each, would be most of the disk.
     """
     model = PropertyModel(t)
-    silver = model.silver_of({name: _stored_columns(name, reads or {}) for name in catalogue.SILVER})
-    base = {n: s for n, s in catalogue.DIMENSIONS.items()}
-    gold: dict[str, DataFrame] = {}
-    while set(base) - set(gold):
-        ready = [n for n in base if n not in gold and all(p.dimension in gold for p in base[n].parents)]
-        gold |= materialise_all({n: dimension(silver[base[n].source], base[n], gold, latest=False) for n in ready})
+    silver = model.silver_of({name: _stored_columns(name, reads) for name in catalogue.SILVER})
+    gold = _stored_dimensions(silver)
     rest = pipeline.build_dimensions(silver, only={"dim_date", "dim_statut"})
     gold |= materialise_all({n: rest[n] for n in ("dim_date", "dim_statut")})
     gold |= materialise_all({"security_user_access": access_table(silver["security_user_access"])})
@@ -567,7 +572,7 @@ def stored_layers(t: Tables, reads: dict[str, set[str]] | None = None) -> tuple[
 
 @query("tech_data_freshness", _freshness_sql())
 def _(t: Tables):
-    silver, gold = stored_layers(t)
+    silver, gold = stored_layers(t, {})
     return freshness(pipeline.freshness_tables(silver, gold), F.lit(LOAD_TIME).cast("timestamp_ntz"))
 
 
@@ -659,7 +664,8 @@ def _(t: Tables):
 @query("tech_data_tests", _tests_sql())
 def _(t: Tables):
     silver, gold = stored_layers(t, _tested_columns())
-    tech = materialise_all(pipeline.build_tech(silver, gold, F.lit(LOAD_TIME).cast("timestamp_ntz"), statements(t)))
+    probed = {**gold, **pipeline.build_facts(silver, gold, only=_checked_columns())}
+    tech = materialise_all(pipeline.build_tech(silver, probed, F.lit(LOAD_TIME).cast("timestamp_ntz"), statements(t)))
     return pipeline.data_tests(silver, gold, tech)
 
 

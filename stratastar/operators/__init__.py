@@ -30,6 +30,7 @@ from stratastar.operators.lookup import target as lookup_target
 from stratastar.operators.quality import (
     Check,
     accepted_values_failures,
+    column_failures,
     freshness,
     not_null_failures,
     quality_log,

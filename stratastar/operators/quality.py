@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stratastar.functions.cleaning import zero_to_null
 from stratastar.operators.setops import union_all
+from stratastar.session import materialise
 
 WARN_BELOW = 5  # percent of failed records
 
@@ -25,21 +26,51 @@ def unique_failures(df: DataFrame, column: str) -> DataFrame:
 
 
 def unique_failure_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """How many values occur more than once, for several columns at once: column_name, n_failures.
+    """How many values occur more than once, for several columns at once: column_name, n_failures (see `column_failures`)."""
+    return column_failures(df, [], columns).select("column_name", "n_failures")
 
-    One scan unpivots the columns to (number of the column, 128-bit print of the value), which is
-    counted with one shuffle, repeated prints falling together in the map tasks. Only prints
-    that came twice are looked at again: their rows are counted by the values themselves, so two
-    values of one print are no failure.
+
+def column_failures(df: DataFrame, never_null: Sequence[str], unique: Sequence[str]) -> DataFrame:
+    """Failures of all tests on the columns of a table: column_name, test, n_failures.
+
+    `df` is worked out once. One scan unpivots the unique columns to (number of the column, 64-bit print of the
+    value), and a row with a NULL where none may be adds one cell that names all such columns; one shuffle counts
+    them, like cells falling together in the map tasks. The few counts that matter are stored. Only if a print
+    came twice are its rows looked at again: they are counted by the values themselves, so two values of one
+    print are no failure.
     """
-    names = list(dict.fromkeys(columns))
-    values = F.posexplode(F.array(*[F.col(f"`{c}`").cast("string") for c in names])).alias("__i", "__value")
-    cells = df.select(values).where("__value is not null").withColumn("__print", F.unhex(F.md5(F.col("__value").cast("binary"))))
-    twice = cells.groupBy("__i", "__print").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__i", "__print")
-    again = cells.join(twice, ["__i", "__print"], "left_semi").groupBy("__i", "__value").agg(F.count(F.lit(1)).alias("__n"))
-    failed = again.where("__n > 1").groupBy("__i").agg(F.count(F.lit(1)).alias("__failed"))
-    every = df.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(c) for c in names])).alias("__i", "column_name"))
-    return every.join(failed, "__i", "left").select("column_name", F.coalesce("__failed", F.lit(0)).cast("long").alias("n_failures"))
+    names, filled = list(dict.fromkeys(unique)), list(dict.fromkeys(never_null))
+    if len(filled) > 63:
+        raise ValueError("at most 63 never-null columns fit the name of a row's NULLs")
+    values = [F.col(f"`{c}`").cast("string") for c in names]
+    prints = [F.when(v.isNotNull(), F.xxhash64(v)) for v in values]
+    empty = F.lit(0).cast("long")
+    for j, c in enumerate(filled):
+        empty = empty.bitwiseOR(F.when(F.col(f"`{c}`").isNull(), F.lit(1 << j).cast("long")).otherwise(0))
+    cells = df.select(F.posexplode(F.array(*prints, F.nullif(empty, F.lit(0).cast("long")))).alias("__i", "__print")).where("__print is not null")
+    counts = cells.groupBy("__i", "__print").agg(F.count(F.lit(1)).alias("__n")).where((F.col("__i") == len(names)) | (F.col("__n") > 1))
+    found = materialise(counts, "cells")
+    rows = []
+    if filled:
+        held = [F.sum(F.when(F.col("__print").bitwiseAND(F.lit(1 << j).cast("long")) != 0, F.col("__n"))) for j in range(len(filled))]
+        totals = found.where(F.col("__i") == len(names)).agg(*[F.coalesce(h, F.lit(0)).alias(f"__c{j}") for j, h in enumerate(held)])
+        rows.append(totals.select(F.inline(F.array(*[_failures(c, "not_null", F.col(f"__c{j}")) for j, c in enumerate(filled)]))))
+    if names:
+        twice = found.where(F.col("__i") < len(names)).select("__i", "__print")
+        every = df.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(c) for c in names])).alias("__i", "column_name"))
+        failed = F.lit(0)
+        if not twice.isEmpty():
+            looked = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("__i"), v.alias("__value")) for i, v in enumerate(values)])))
+            looked = looked.where("__value is not null").withColumn("__print", F.xxhash64("__value"))
+            again = looked.join(twice, ["__i", "__print"], "left_semi").groupBy("__i", "__value").agg(F.count(F.lit(1)).alias("__n"))
+            every = every.join(again.where("__n > 1").groupBy("__i").agg(F.count(F.lit(1)).alias("__failed")), "__i", "left")
+            failed = F.coalesce("__failed", F.lit(0))
+        rows.append(every.select("column_name", F.lit("unique").alias("test"), failed.cast("long").alias("n_failures")))
+    return union_all(rows)
+
+
+def _failures(column: str, test: str, count: Column) -> Column:
+    return F.struct(F.lit(column).alias("column_name"), F.lit(test).alias("test"), count.cast("long").alias("n_failures"))
 
 
 def accepted_values_failures(df: DataFrame, column: str, accepted: Sequence[str]) -> DataFrame:

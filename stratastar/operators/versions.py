@@ -70,17 +70,16 @@ def latest_columns(
 ) -> DataFrame:
     """`columns` of `latest_version(df, keys, order_by)`, sorted and shuffled without the others.
 
-    The others only decide between versions of a key that are first at equal times. Two rows per key
-    tell whether there are such; their keys alone are decided over all columns, or all keys at once where those
-    are more than the session broadcasts. `store` writes a table and reads it back.
+    The others only decide between versions of a key that are first at equal times. A map task sends those of each
+    key, mostly one; keys that have more are decided over all columns, alone or, where they are more than the
+    session broadcasts, all keys at once. `store` writes a table and reads it back.
     """
     over = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_by])
-    times = F.struct(*order_by)
     for key in keys:
         df = df.where(F.col(key).isNotNull())
     rows = df.select(*dict.fromkeys([*keys, *order_by, *columns]))
-    rows = rows.withColumn(_RANK, F.row_number().over(over)).where(F.col(_RANK) <= 2)
-    rows = rows.withColumn(_TIED, F.lead(times).over(over).eqNullSafe(times)).where(F.col(_RANK) == 1)
+    rows = rows.withColumn(_RANK, F.rank().over(over)).where(F.col(_RANK) == 1)
+    rows = rows.withColumns({_RANK: F.row_number().over(over), _TIED: F.lead(F.lit(True)).over(over).isNotNull()}).where(F.col(_RANK) == 1)
     newest = store(rows.select(*dict.fromkeys([*keys, *columns]), _TIED))
     # Stored, its size is known before the join is planned; otherwise all rows are shuffled to meet it.
     tied = materialise(newest.where(F.col(_TIED)).select(*keys), "tied")
@@ -88,7 +87,9 @@ def latest_columns(
         return newest.select(*columns)
     if planned_bytes(tied) > broadcast_bytes(df.sparkSession):
         return store(latest_version(df, keys, order_by).select(*columns))
-    decided = store(latest_version(df.join(tied, [*keys], "left_semi"), keys, order_by).select(*columns))
+    # A filter, unlike a join, goes below the projection of `df`: only rows of tied keys are projected.
+    asked = F.col(keys[0]).isin(tied) if len(keys) == 1 else F.struct(*keys).isin(tied.select(F.struct(*keys)))
+    decided = store(latest_version(df.where(asked), keys, order_by).select(*columns))
     return newest.where(~F.col(_TIED)).select(*columns).unionByName(decided)
 
 

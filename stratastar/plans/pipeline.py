@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratastar.operators.quality import (
     accepted_values_failures,
+    column_failures,
     freshness,
     quality_log,
     run_log,
-    unique_failure_counts,
 )
 from stratastar.operators.setops import domain_values, observed_dates, union_all
 from stratastar.plans import catalogue
@@ -68,10 +69,16 @@ def build_dimensions(
 
 
 def build_facts(
-    silver: Mapping[str, DataFrame], dimensions: Mapping[str, DataFrame], *, save: Save = keep
+    silver: Mapping[str, DataFrame],
+    dimensions: Mapping[str, DataFrame],
+    *,
+    only: Mapping[str, Collection[str]] | None = None,
+    save: Save = keep,
 ) -> dict[str, DataFrame]:
+    """All facts; with `only` (columns by fact) just the lookups of keys that are read."""
+    read = {name: None if only is None else only.get(name, ()) for name in catalogue.FACTS}
     return {
-        name: save("gold", name, fact(silver[spec.source], spec, dimensions)) for name, spec in catalogue.FACTS.items()
+        name: save("gold", name, fact(silver[spec.source], spec, dimensions, read[name])) for name, spec in catalogue.FACTS.items()
     }
 
 
@@ -124,10 +131,10 @@ def data_tests(
 ) -> DataFrame:
     """Failures per declared test: table_name, column_name, test, n_failures.
 
-    All never-null tests of a table share one aggregate, and all its unique tests one scan and one shuffle.
+    All never-null and unique tests of a table share one scan and one shuffle; the tables are tested side by side.
     """
     tech = tech or {}
-    rows = []
+    rows, declared = [], []
 
     def add(table: str, column: str, test: str, failures: DataFrame) -> None:
         counted = failures.agg(F.count(F.lit(1)).alias("n_failures"))
@@ -138,13 +145,7 @@ def data_tests(
         )
 
     def declare(table: str, df: DataFrame, never_null: list[str], unique: list[str]) -> None:
-        columns = list(dict.fromkeys(never_null))
-        counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-        cells = [F.struct(F.lit(c).alias("column_name"), F.lit("not_null").alias("test"), F.col(c).alias("n_failures")) for c in columns]
-        rows.append(counts.select(F.lit(table).alias("table_name"), F.inline(F.array(*cells))))
-        if unique:
-            counted = unique_failure_counts(df, unique)
-            rows.append(counted.select(F.lit(table).alias("table_name"), "column_name", F.lit("unique").alias("test"), "n_failures"))
+        declared.append((table, df, never_null, unique))
 
     for name, spec in catalogue.SILVER.items():
         if name in silver:
@@ -172,4 +173,6 @@ def data_tests(
             declare(name, tech[name], list(never_null), list(unique))
             for column, values in accepted.items():
                 add(name, column, "accepted_values", accepted_values_failures(tech[name], column, values))
-    return union_all(rows)
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        tested = pool.map(lambda d: column_failures(*d[1:]).select(F.lit(d[0]).alias("table_name"), "*"), declared)
+        return union_all([*rows, *tested])

@@ -43,7 +43,7 @@ def silver_table(bronze: DataFrame, spec: SilverSpec, *, dedup: bool = True) ->
 
 
 def silver_columns(bronze: DataFrame, spec: SilverSpec, columns: Collection[str], store: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Some columns of `silver_table`, in its order, for consumers that read no others."""
+    """Some columns of `silver_table` for consumers that read no others: key and times first, the rest in its order."""
     projected = bronze.select(*[typed(name, kind) for name, kind in spec.columns.items()])
-    wanted = [name for name in spec.columns if name in columns]
+    wanted = [name for name in dict.fromkeys([spec.key, *spec.version_order, *spec.columns]) if name in columns]
     return latest_columns(projected, [spec.key], spec.version_order, wanted, store)

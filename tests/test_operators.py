@@ -400,3 +400,28 @@ def test_latest_columns_shuffles_no_row_to_meet_tied_keys(spark, threshold):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert not any("SortMergeJoin" in plan for plan in plans)
+
+
+def test_all_tests_of_a_table_work_it_out_once(spark, tmp_path):
+    """Never-null and unique tests share one scan; unless a print came twice, nothing reads the table again."""
+    rows = [("a", 1, None), ("a", 2, "y"), (None, 2, None), (None, 3, "y"), ("d", 4, "z")]
+    df = materialise(spark.createDataFrame(rows, "`p.q` string, n int, m string").withColumn("alone", F.monotonically_increasing_id()), "tested")
+    found = {(r.column_name, r.test): r.n_failures for r in op.column_failures(df, ["p.q", "n", "m", "m"], ["n", "alone", "p.q"]).collect()}
+    assert found == {("p.q", "not_null"): 2, ("n", "not_null"): 0, ("m", "not_null"): 2, ("n", "unique"): 1, ("alone", "unique"): 0, ("p.q", "unique"): 1}
+    calm = op.column_failures(df, ["p.q"], ["alone"])
+    assert "tested" not in calm._jdf.queryExecution().executedPlan().toString()
+    assert {(r.column_name, r.test, r.n_failures) for r in calm.collect()} == {("p.q", "not_null", 2), ("alone", "unique", 0)}
+    assert {r.n_failures for r in op.column_failures(df.where("false"), ["n"], ["n"]).collect()} == {0}
+
+
+def test_only_tied_keys_are_projected_again(spark):
+    """The second pass drops all other keys before their columns are worked out, not after."""
+    from stratastar.operators.versions import latest_columns
+
+    table = materialise(spark.createDataFrame([(f"k{i % 90}", i % 45, i) for i in range(360)] + [("one", 1, 1)], "id string, t int, w int"), "v")
+    df = table.select("id", "t", F.sha2(F.col("w").cast("string"), 256).alias("dear"))
+    stored = []
+    found = latest_columns(df, ["id"], ["t"], ["id", "dear"], lambda frame: stored.append(frame) or materialise(frame, "latest"))
+    assert sorted(found.collect()) == sorted(op.latest_version(df, ["id"], ["t"]).select("id", "dear").collect())
+    plan = stored[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("sha2(") < plan.index("LeftSemi")

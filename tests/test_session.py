@@ -42,3 +42,13 @@ def test_a_hot_key_is_split_before_its_sort_fills_a_task(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_versions_stay_together_when_dealt_to_idle_cores(spark, tmp_path):
+    """A file of one row group: its rows go to all cores, versions of a key to the same one."""
+    spark.range(20000).select("id", F.floor(F.col("id") / 2).alias("key")).coalesce(1).write.parquet(str(tmp_path / "t"))
+    out = dealt(spark.read.parquet(str(tmp_path / "t")), [F.col("key")], task_rows=None)
+    tasks = out.select("key", F.spark_partition_id().alias("task"))
+    assert tasks.groupBy("key").agg(F.count_distinct("task").alias("n")).where("n > 1").isEmpty()
+    assert len(_held(out)) == spark.sparkContext.defaultParallelism
+    assert out.count() == 20000 and out.columns == ["id", "key"]
