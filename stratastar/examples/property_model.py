@@ -545,6 +545,26 @@ def _stored_columns(name: str, reads: dict[str, set[str]]) -> set[str]:
     return set(spec.columns) if name == "security_user_access" else columns
 
 
+def _probed_columns(name: str) -> set[str]:
+    """Columns of a silver table that its row count and newest time, and those of the gold tables built from it, come from."""
+    spec = catalogue.SILVER[name]
+    facts = [s for s in catalogue.FACTS.values() if s.source == name]
+    columns = {spec.key, spec.version_order[0]}.union(*[read_by_fact(s, ()) | _behind(s, set()) for s in facts])
+    return columns.union(*[read_by_dimension(s) for s in catalogue.DIMENSIONS.values() if s.source == name])
+
+
+def probed_layers(t: Tables) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The silver tables, dimensions and facts that freshness probes, with nothing but what it reads.
+
+    As for measures, a fact has no lookup of a key that nobody reads (a lookup never changes its rows), and
+    dates, statuses and grants are not probed.
+    """
+    model = PropertyModel(t)
+    silver = model.silver_of({name: _probed_columns(name) for name in catalogue.SILVER if name != "security_user_access"})
+    gold = _stored_dimensions(silver)
+    return silver, {**gold, **pipeline.build_facts(silver, gold, only={})}
+
+
 def _stored_dimensions(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
     base = catalogue.DIMENSIONS
     gold: dict[str, DataFrame] = {}
@@ -572,7 +592,7 @@ def stored_layers(t: Tables, reads: dict[str, set[str]]) -> tuple[dict[str, Data
 
 @query("tech_data_freshness", _freshness_sql())
 def _(t: Tables):
-    silver, gold = stored_layers(t, {})
+    silver, gold = probed_layers(t)
     return freshness(pipeline.freshness_tables(silver, gold), F.lit(LOAD_TIME).cast("timestamp_ntz"))
 
 

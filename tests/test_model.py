@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratastar.examples import Tables
-from stratastar.examples.property_model import PropertyModel
+from stratastar.examples.property_model import PropertyModel, probed_layers
 from stratastar.plans import catalogue, pipeline
 from stratastar.plans.security import ROLES, Role, access_table, secured, user_grants, visible
 from stratastar.plans.semantic import YEAR, Model, Relationship, measure_query, propagate, store_by_year
@@ -220,3 +220,14 @@ def test_layers_hold_what_is_read(spark):
     built = model.facts("fact_commission", reads={"fact_commission": {"motif_blocage", "conseiller_key"}})
     assert "commentaire" not in " ".join(built["fact_commission"].columns) and len(built["fact_commission"].columns) < 10
     assert built["fact_commission"].count() == model.fact("fact_commission").count()
+
+
+def test_freshness_stores_no_keys_that_nobody_reads(spark):
+    """Row counts and newest times of all layers, without foreign keys, dates and statuses of facts."""
+    silver, gold = probed_layers(Tables(spark, FOLDER))
+    assert silver["commissions"].columns == ["commission_id", "updated_at", "is_deleted"] and "dim_statut" not in gold
+    whole = PropertyModel(Tables(spark, FOLDER)).fact("fact_commission")
+    assert gold["fact_commission"].agg(F.count("*"), F.max("updated_at")).first() == whole.agg(F.count("*"), F.max("updated_at")).first()
+    assert set(pipeline.freshness_tables(silver, gold)) == {("silver", n) for n in catalogue.SILVER if n != "security_user_access"} | {
+        ("gold", n) for n in [*catalogue.FACTS, *catalogue.DIMENSIONS]
+    }
