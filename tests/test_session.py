@@ -52,3 +52,20 @@ def test_versions_stay_together_when_dealt_to_idle_cores(spark, tmp_path):
     assert tasks.groupBy("key").agg(F.count_distinct("task").alias("n")).where("n > 1").isEmpty()
     assert len(_held(out)) == spark.sparkContext.defaultParallelism
     assert out.count() == 20000 and out.columns == ["id", "key"]
+
+
+def test_partitions_follow_the_given_tables(spark, tmp_path, monkeypatch):
+    """Sorted rows of a window cannot be split by adaptive execution, so larger tables get more shuffle partitions."""
+    from stratastar import session
+
+    spark.range(4000).select(F.sha2(F.col("id").cast("string"), 256).alias("pad")).write.parquet(str(tmp_path / "in" / "t.parquet"))
+    held = session.stored_bytes(spark, str(tmp_path / "in"))
+    monkeypatch.setattr(session, "INPUT_OF_PARTITION", held // 40)
+    name, least = session.PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        assert int(tune(spark, folder=str(tmp_path / "in")).conf.get(name)) == held // (held // 40) >= 40
+        monkeypatch.setattr(session, "INPUT_OF_PARTITION", held)
+        assert int(tune(spark, folder=str(tmp_path / "in")).conf.get(name)) == least
+    finally:
+        assert tune(spark, TEXT_SETTINGS).conf.get(name, None) is None
+        tune(spark)
