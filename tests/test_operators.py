@@ -298,6 +298,15 @@ def test_only_missed_keys_are_answered(spark):
     assert sorted(sorted(r["__missed"]) for r in answers.collect()) == [["0:b", "1:a"], ["1:a"]]
 
 
+def test_keys_of_combinations_travel_once(spark):
+    """Combinations are not made distinct by a shuffle of their own; equal ones still share one answer."""
+    fact = materialise(spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "x"), ("c", None)], "x string, y string"), "f")
+    dims = [materialise(spark.createDataFrame([(v,)], "n string"), "d") for v in "ax"]
+    answers = op.membership(fact, [op.Target(d, F.col(c), f"{c}_key", F.lit("unknown"), F.col(c)) for d, c in zip(dims, "xy", strict=True)])
+    assert "keys=[__f0" not in answers._jdf.queryExecution().executedPlan().toString()
+    assert sorted(list(r["__missed"]) for r in answers.collect()) == [["0:b"], ["0:c"]]
+
+
 def test_latest_versions_are_not_shuffled_again_for_large_dimensions(spark):
     """Lookups over latest versions by the row's own key: the wide row is in one shuffle, which both readers share."""
     rng = random.Random(6)
